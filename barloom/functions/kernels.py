@@ -58,3 +58,52 @@ def walk_sar(batches):
             index.extend(range(position, position + end - first))
             position += end - first
         yield batch.assign(sar=np.array(sar, dtype="float64"), bar_index=np.array(index, dtype="int64"))
+
+
+def _points(frame):
+    ordered = frame.sort_values("member", kind="stable")
+    return ordered, np.array(ordered["point"].tolist(), dtype="float64").reshape(len(ordered), -1)
+
+
+def _distances(a, b):
+    """Euclidean distances of all rows of ``a`` to all rows of ``b``, to nine places."""
+    total = np.zeros((len(a), len(b)))
+    for i in range(a.shape[1]):
+        total += np.square(a[:, i, None] - b[None, :, i])
+    return np.round(np.sqrt(total), 9)
+
+
+def _closest(distances, members, k):
+    """Per row the ``k`` closest members; columns are in member order, which settles ties."""
+    k = min(k, distances.shape[1])
+    limit = np.partition(distances, k - 1, axis=1)[:, k - 1]
+    out = []
+    for row, bound in zip(distances, limit):
+        near = np.flatnonzero(row <= bound)
+        near = near[np.argsort(row[near], kind="stable")][:k]
+        out.append([(int(members[j]), float(row[j])) for j in near if np.isfinite(row[j])])
+    return out
+
+
+def _search(asking, points, hosting_members, hosts, k, skip_self):
+    found = []
+    for begin in range(0, len(points), 512):
+        distances = _distances(points[begin : begin + 512], hosts)
+        if skip_self:
+            rows = np.arange(len(distances))
+            distances[rows, rows + begin] = np.inf
+        found.extend(_closest(distances, hosting_members, k))
+    return asking.assign(found=[[{"neighbour": n, "distance": d} for n, d in hits] for hits in found])
+
+
+def nearest_inside(cell, k):
+    """Neighbours of every row within its cell, and the distance a nearer row must beat."""
+    rows, points = _points(cell)
+    out = _search(rows, points, rows["member"].to_numpy(), points, k, skip_self=True)
+    return out.assign(bound=[hits[-1]["distance"] if len(hits) == k else np.inf for hits in out["found"]])
+
+
+def nearest_across(asking, hosting, k):
+    rows, points = _points(asking)
+    hosts, host_points = _points(hosting)
+    return _search(rows, points, hosts["member"].to_numpy(), host_points, k, skip_self=False)

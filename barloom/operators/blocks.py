@@ -51,12 +51,14 @@ def with_position(
 ) -> DataFrame:
     """0-based position of each row within ``keys``, given a block column that follows the order.
 
-    Rows are numbered inside (keys, block) and shifted by the row count of the earlier blocks.
+    Rows are numbered inside (keys, block) and shifted by the row count of the earlier blocks. The
+    join is a left one so that only the small side can ever be the broadcast side; broadcasting the
+    rows would leave them partitioned by the keys alone.
     """
     before = totals_before(df, keys, block, {"_rows_before": F.count(F.lit(1))})
     inside = Window.partitionBy(*keys, block).orderBy(*order)
     return (
-        df.join(before, [*keys, block])
+        df.join(before, [*keys, block], "left")
         .withColumn(name, F.col("_rows_before") + F.row_number().over(inside) - 1)
         .drop("_rows_before")
     )
@@ -94,12 +96,17 @@ def is_own(block_bars: int = BLOCK_BARS) -> Column:
     return block_of(F.col(INDEX), block_bars) == F.col(BLOCK)
 
 
-def join_per_series(df: DataFrame, per_series: DataFrame, keys: Sequence[str] = KEYS, salts: int = 32) -> DataFrame:
-    """Attach per-series values to every row.
+def join_per_group(df: DataFrame, per_group: DataFrame, keys: Sequence[str], spread_by: Sequence[str], salts: int = 32) -> DataFrame:
+    """Attach one row per group to every row of the group.
 
-    The small side is repeated per salt, so a hot series meets its values in many tasks. Spark still
+    The small side is repeated per salt, so a hot group meets its values in many tasks. Spark still
     broadcasts the small side when its measured size is under the broadcast threshold.
     """
-    salted = per_series.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    rows = df.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in df.columns if c in (TIME, INDEX)]), F.lit(salts)).cast("int"))
-    return rows.join(salted, [*keys, "_salt"]).drop("_salt")
+    salted = per_group.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    rows = df.withColumn("_salt", F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int"))
+    return rows.join(salted, [*keys, "_salt"], "left").drop("_salt")
+
+
+def join_per_series(df: DataFrame, per_series: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
+    """Attach per-series values to every bar."""
+    return join_per_group(df, per_series, keys, [TIME])

@@ -24,35 +24,46 @@ class Rows:
 
     def __init__(self, chunks: Iterable[int] = ()):
         self.chunks = sorted(set(chunks), reverse=True)
+        self._specs: dict = {}
 
     @staticmethod
     def chunk_column(size: int) -> str:
         return f"_chunk_{size}"
 
-    def _ordered(self, inside: int | None = None) -> "Window":
-        names = [self.chunk_column(size) for size in self.chunks]
-        cut = 0 if inside is None else self.chunks.index(inside) + 1
-        return Window.partitionBy(*KEYS, BLOCK, *names[:cut]).orderBy(*names[cut:], INDEX)
+    def _window(self, inside: int | None = None, frame: tuple[int, int] | None = None):
+        if (inside, frame) not in self._specs:
+            if frame is not None:
+                spec = self._window(inside).rowsBetween(*frame)
+            else:
+                names = [self.chunk_column(size) for size in self.chunks]
+                cut = 0 if inside is None else self.chunks.index(inside) + 1
+                spec = Window.partitionBy(*KEYS, BLOCK, *names[:cut]).orderBy(*names[cut:], INDEX)
+            self._specs[inside, frame] = spec
+        return self._specs[inside, frame]
 
     def lag(self, name: str, bars: int = 1) -> Column:
-        return F.lag(name, bars).over(self._ordered())
+        return F.lag(name, bars).over(self._window())
 
     def lead(self, name: str, bars: int = 1) -> Column:
-        return F.lead(name, bars).over(self._ordered())
+        return F.lead(name, bars).over(self._window())
 
-    def rolling(self, function: Callable[[str], Column], name: str, bars: int) -> Column:
-        """Aggregate of the last ``bars`` rows, null until that many values are there."""
-        frame = self._ordered().rowsBetween(-(bars - 1), 0)
-        return F.when(F.count(name).over(frame) == bars, function(name).over(frame))
+    def rolling(self, function: Callable[[str], Column], name: str, bars: int, gaps: bool = False) -> Column:
+        """Aggregate of the last ``bars`` rows, null until that many values are there.
+
+        Prices have no nulls, so the position of the row tells. Sources with ``gaps`` are counted.
+        """
+        frame = self._window(frame=(-(bars - 1), 0))
+        full = F.count(name).over(frame) == bars if gaps else F.col(INDEX) >= bars - 1
+        return F.when(full, function(name).over(frame))
 
     def preceding(self, expression: Column, bars: int) -> Column:
-        return expression.over(self._ordered().rowsBetween(-bars, -1))
+        return expression.over(self._window(frame=(-bars, -1)))
 
     def running(self, expression: Column, inside: int | None = None) -> Column:
-        return expression.over(self._ordered(inside).rowsBetween(Window.unboundedPreceding, 0))
+        return expression.over(self._window(inside, (Window.unboundedPreceding, 0)))
 
     def earlier(self, expression: Column) -> Column:
-        return expression.over(self._ordered().rowsBetween(Window.unboundedPreceding, -1))
+        return expression.over(self._window(frame=(Window.unboundedPreceding, -1)))
 
 
 @dataclass(frozen=True)
@@ -72,8 +83,8 @@ def _row(name: str, needs: tuple[str, ...], build: Callable[[], Column]) -> Step
     return Step(name, lambda rows: build(), needs)
 
 
-def _rolling(name: str, function, source: str, bars: int) -> Step:
-    return Step(name, lambda rows: rows.rolling(function, source, bars), (source,), bars - 1)
+def _rolling(name: str, function, source: str, bars: int, gaps: bool = False) -> Step:
+    return Step(name, lambda rows: rows.rolling(function, source, bars, gaps), (source,), bars - 1)
 
 
 def _lag(name: str, source: str, bars: int) -> Step:
@@ -197,7 +208,7 @@ def stochastic(bars: int, k_name: str, d_name: str) -> list[Step]:
         _rolling(lowest, F.min, "low", bars),
         _rolling(highest, F.max, "high", bars),
         _row(k_name, ("close", lowest, highest), lambda: ratio(F.col("close") - F.col(lowest), F.col(highest) - F.col(lowest)) * 100.0),
-        _rolling(d_name, F.avg, k_name, 3),
+        _rolling(d_name, F.avg, k_name, 3, gaps=True),
     ]
 
 
@@ -231,7 +242,7 @@ def adx(bars: int, name: str) -> list[Step]:
         _row("plus_di", (f"_plus_{bars}", f"_tr_{bars}"), lambda: directional(f"_plus_{bars}")),
         _row("minus_di", (f"_minus_{bars}", f"_tr_{bars}"), lambda: directional(f"_minus_{bars}")),
         _row("dx", ("plus_di", "minus_di"), imbalance),
-        _rolling(name, F.avg, "dx", bars),
+        _rolling(name, F.avg, "dx", bars, gaps=True),
     ]
 
 
@@ -371,7 +382,7 @@ def _with_totals(work: DataFrame, indexed: DataFrame, block_bars: int, one_block
     blocks = indexed.withColumn(BLOCK, block_of(F.col(INDEX), block_bars))
     before = totals_before(blocks, KEYS, BLOCK, {_TRADED: F.sum(_traded()), _VOLUME: F.sum("volume")})
     # A copy beyond the last block has no totals; it is dropped with the other copies.
-    return work.join(before, [*KEYS, BLOCK])
+    return work.join(before, [*KEYS, BLOCK], "left")
 
 
 def backfill(df: DataFrame, columns: Iterable[str], one_block: bool = False) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 from math import gcd
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -107,7 +108,9 @@ def bars_from_ticks(ticks: DataFrame, sizes: Sequence[str] = tuple(BAR_SECONDS))
 
 
 def _tick_totals() -> list[Column]:
-    arrival = F.struct("ts", "seq")
+    # (time, sequence) as one fixed-width number: a struct would force a sort-based aggregate.
+    micros = F.unix_micros(F.col("ts").cast("timestamp")).cast("decimal(17,0)")
+    arrival = micros * F.lit(Decimal(10**19)) + F.col("seq").cast("decimal(19,0)")
     return [
         F.min_by("price", arrival).alias("open"),
         F.max("price").alias("high"),
