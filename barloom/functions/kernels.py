@@ -107,3 +107,99 @@ def nearest_across(asking, hosting, k):
     rows, points = _points(asking)
     hosts, host_points = _points(hosting)
     return _search(rows, points, hosts["member"].to_numpy(), host_points, k, skip_self=False)
+
+
+def solve_least_squares(batch):
+    """One row of moments per series -> intercept and weights."""
+    intercepts, weights = [], []
+    for means, covariances in zip(batch["means"], batch["covariances"]):
+        means = np.asarray(means, dtype="float64")
+        width = len(means) - 1
+        table = np.asarray(covariances, dtype="float64").reshape(width, width + 1)
+        solution = np.linalg.lstsq(table[:, :width], table[:, width], rcond=1e-11)[0]
+        intercepts.append(float(means[-1] - solution @ means[:-1]))
+        weights.append(solution.tolist())
+    return batch.assign(intercept=intercepts, weights=weights)
+
+
+def _regress(target, columns):
+    """Least squares; coefficients, residuals, and the inverse of the normal matrix."""
+    design = np.column_stack(columns)
+    solution = np.linalg.lstsq(design, target, rcond=None)[0]
+    return solution, target - design @ solution, design
+
+
+def _lagged(values, lag, start):
+    return values[start - lag : len(values) - lag]
+
+
+def arima_criterion(prices, p, d, q):
+    """Akaike criterion of an ARIMA fit in two regressions; None where it cannot be fitted.
+
+    A long autoregression estimates the shocks, then the series is regressed on its own lags and the
+    lagged shocks. All orders leave out the same first rows, so their criteria are comparable.
+    """
+    series = np.diff(np.asarray(prices, dtype="float64"), d)
+    length = len(series)
+    longest = max(6, min(12, length // 10))
+    start = longest + 6
+    if length - start < 2 * (p + q) + 5:
+        return None
+    constant = [] if d else [np.ones(length)]
+    try:
+        ones = [c[longest:] for c in constant]
+        lags = [_lagged(series, i, longest) for i in range(1, longest + 1)]
+        shocks = np.zeros(length)
+        shocks[longest:] = _regress(series[longest:], ones + lags)[1]
+        terms = [c[start:] for c in constant]
+        terms += [_lagged(series, i, start) for i in range(1, p + 1)]
+        terms += [_lagged(shocks, i, start) for i in range(1, q + 1)]
+        target = series[start:]
+        rest = _regress(target, terms)[1] if terms else target
+    except np.linalg.LinAlgError:
+        return None
+    variance = float(np.mean(np.square(rest)))
+    if not np.isfinite(variance) or variance <= 0.0:
+        return None
+    rows = len(target)
+    return rows * (np.log(2 * np.pi * variance) + 1) + 2 * (len(terms) + 1)
+
+
+def arima_criteria(batch):
+    found = [
+        arima_criterion(prices, p, d, q) for prices, p, d, q in zip(batch["prices"], batch["p"], batch["d"], batch["q"])
+    ]
+    return batch.assign(aic=np.array([np.nan if v is None else v for v in found], dtype="float64"))
+
+
+def dickey_fuller(prices):
+    """Augmented Dickey-Fuller statistic; the number of lags is the one of lowest Akaike criterion."""
+    series = np.asarray(prices, dtype="float64")
+    change = np.diff(series)
+    most = min(int(np.ceil(12.0 * (len(series) / 100.0) ** 0.25)), len(change) // 2 - 2)
+    best = None
+    for lags in range(max(most, 0) + 1):
+        tau, criterion = _dickey_fuller_at(series, change, lags, max(most, 0))
+        if tau is not None and (best is None or criterion < best[1]):
+            best = (lags, criterion)
+    return None if best is None else _dickey_fuller_at(series, change, best[0], best[0])[0]
+
+
+def _dickey_fuller_at(series, change, lags, start):
+    target = change[start:]
+    columns = [series[start:-1]] + [_lagged(change, i, start) for i in range(1, lags + 1)] + [np.ones(len(target))]
+    rows, width = len(target), len(columns)
+    if rows <= width:
+        return None, None
+    solution, rest, design = _regress(target, columns)
+    squares = float(rest @ rest)
+    if squares <= 0.0:
+        return None, None
+    spread = np.linalg.pinv(design.T @ design)[0, 0] * squares / (rows - width)
+    criterion = rows * np.log(squares / rows) + 2 * width
+    return (float(solution[0] / np.sqrt(spread)), criterion) if spread > 0 else (None, None)
+
+
+def dickey_fuller_batch(batch):
+    found = [dickey_fuller(prices) for prices in batch["prices"]]
+    return batch.assign(tau=np.array([np.nan if v is None else v for v in found], dtype="float64"))

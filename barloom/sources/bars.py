@@ -91,7 +91,7 @@ def bars_from_ticks(ticks: DataFrame, sizes: Sequence[str] = tuple(BAR_SECONDS))
     base = _common_length(seconds.values())
     fine = (
         ticks.groupBy("symbol", bucket_start(F.col("ts"), F.lit(base)).alias("_at"))
-        .agg(*_tick_totals())
+        .agg(*tick_totals())
     )
     sizes_of_row = F.explode(F.array(*[F.struct(F.lit(s).alias("interval"), F.lit(n).alias("n")) for s, n in seconds.items()]))
     return (
@@ -107,7 +107,7 @@ def bars_from_ticks(ticks: DataFrame, sizes: Sequence[str] = tuple(BAR_SECONDS))
     )
 
 
-def _tick_totals() -> list[Column]:
+def tick_totals() -> list[Column]:
     # (time, sequence) as one fixed-width number: a struct would force a sort-based aggregate.
     micros = F.unix_micros(F.col("ts").cast("timestamp")).cast("decimal(17,0)")
     arrival = micros * F.lit(Decimal(10**19)) + F.col("seq").cast("decimal(19,0)")
