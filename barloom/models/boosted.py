@@ -64,10 +64,11 @@ def train(rows: DataFrame, space: dict, folds: int = 3, n_iter: int = 50, parall
 
 def with_contiguous_folds(rows: DataFrame, folds: int, order: str = INDEX) -> DataFrame:
     """Folds of neighbouring rows, without shuffling; rows of one series with a known position."""
-    ends = rows.agg(F.min(order).alias("_first"), F.max(order).alias("_last"))
-    share = (F.col(order) - F.col("_first")) * folds / (F.col("_last") - F.col("_first") + 1)
-    # One row of two numbers on the small side.
-    return rows.join(F.broadcast(ends)).withColumn("fold", F.floor(share).cast("int")).drop("_first", "_last")
+    first, last = rows.agg(F.min(order), F.max(order)).first()
+    if first is None:
+        raise ValueError("no rows to train on")
+    share = (F.col(order) - first) * folds / (last - first + 1)
+    return rows.withColumn("fold", F.floor(share).cast("int"))
 
 
 def look_back_rows(windows: DataFrame) -> DataFrame:

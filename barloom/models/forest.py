@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -34,11 +35,12 @@ def weighted_probabilities(parts: Sequence[Column], trees: Sequence[int]) -> Col
     Probabilities of a forest are the mean over its trees, so this equals one forest of all trees.
     """
     total = float(sum(trees))
-    combined = None
-    for part, count in zip(parts, trees):
-        share = F.transform(part, lambda p, c=count: p * (c / total))
-        combined = share if combined is None else F.zip_with(combined, share, lambda a, b: a + b)
-    return combined
+
+    def share(part: Column, count: int) -> Column:
+        return F.transform(part, lambda p: p * (count / total))
+
+    shares = [share(part, count) for part, count in zip(parts, trees)]
+    return reduce(lambda left, right: F.zip_with(left, right, lambda a, b: a + b), shares)
 
 
 @dataclass

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from barloom.functions import kernels
 from barloom.functions.scalar import hash32
 from barloom.operators.blocks import BLOCK_BARS, INDEX, KEYS, block_of, join_per_group, with_position
+from barloom.session import stage
 
 NEIGHBOURS = 5  # fixed value: neighbours per row
 CELL_ROWS = 2048
@@ -48,11 +49,11 @@ def class_neighbours(
     diagonal. The neighbours inside its own cell bound how far a row has to look: a projection never
     stretches a distance, so cells farther away than that bound hold no nearer row and are skipped.
     Each task compares one cell with one cell. Distances count to nine places, ties go to the lower
-    member number.
+    member number. The cells and the first search are written out: both feed several later steps.
     """
     groups = [*keys, label]
-    located = _with_cells(members, groups, cell_rows)
-    near = _inside_cells(located, groups, k)
+    located = stage(_with_cells(members, groups, cell_rows), "cells")
+    near = stage(_inside_cells(located, groups, k), "near")
     far = _across_cells(located, near, groups, k)
     ranked = near.select(*groups, "member", F.explode("found").alias("hit")).unionByName(
         far.select(*groups, "member", F.explode("found").alias("hit"))
@@ -125,7 +126,10 @@ def _across_cells(located: DataFrame, near: DataFrame, groups: Sequence[str], k:
         .select(*groups, "cell", "other", "member", "point")
     )
     pairs = visits.select(*groups, "cell", "other").distinct()
-    hosts = located.select(*groups, F.col("cell").alias("other"), "member", "point").join(pairs, [*groups, "other"])
+    # Renamed afresh: the pairs carry the columns of the visits, the other side of the cogroup.
+    asked = pairs.select(*[F.col(name).alias(name) for name in pairs.columns])
+    hosts = located.select(*groups, F.col("cell").alias("other"), "member", "point").join(asked, [*groups, "other"])
+    hosts = hosts.select(*[F.col(name).alias(name) for name in (*groups, "cell", "other", "member", "point")])
     schema = _hits_schema(located, groups)
     bound_keys = [*groups, "cell", "other"]
 
@@ -134,7 +138,7 @@ def _across_cells(located: DataFrame, near: DataFrame, groups: Sequence[str], k:
 
     return (
         visits.groupBy(*bound_keys)
-        .cogroup(hosts.select(*bound_keys, "member", "point").groupBy(*bound_keys))
+        .cogroup(hosts.groupBy(*bound_keys))
         .applyInPandas(search, schema)
     )
 
@@ -156,7 +160,7 @@ def synthetic_rows(
     short = counts.where(F.col("_missing") > 0).withColumn(
         "class_rows", F.when(F.col("class_rows") < 2, alone.cast("long")).otherwise(F.col("class_rows"))
     )
-    members = class_members(_of_classes(df, short, groups), features, label, keys)
+    members = stage(class_members(_of_classes(df, short, groups), features, label, keys), "members")
     nearest = class_neighbours(members, label, k, keys, cell_rows)
     wanted = _running_numbers(short, groups)
     parts = [F.col(name) for name in groups] + [F.col("replica")]

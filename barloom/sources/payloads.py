@@ -58,10 +58,13 @@ def bars_from_payloads(payloads: DataFrame) -> DataFrame:
     A column counts as there when any row of the payload has the key, as in a table built from rows.
     """
     rows = F.col("data.rows")
-    has_all = [F.exists(rows, lambda row, name=name: F.map_contains_key(row, name)) for name in (TIME, *PRICES)]
+
+    def present(name: str) -> Column:
+        return F.exists(rows, lambda row: F.map_contains_key(row, name))
+
     whole = payloads.where(F.size(rows) > 0)
-    for present in has_all:
-        whole = whole.where(present)
+    for name in (TIME, *PRICES):
+        whole = whole.where(present(name))
     bars = whole.select("symbol", "interval", F.posexplode(rows).alias("arrival", "row"))
     millis = to_number(F.try_element_at("row", F.lit(TIME))).cast("long")
     return bars.select(

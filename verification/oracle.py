@@ -236,8 +236,8 @@ def oracle() -> dict[str, str]:
       union select distinct symbol, "interval" from bars)
       select symbol, "interval", exists (select 1 from bars x where x.symbol = a.symbol and x."interval" = a."interval") as found from asked a"""
     q["series_like"] = f"with {BARS} select distinct symbol, \"interval\" from bars where symbol || '_' || \"interval\" like 'PERP_%_%'"
-    q["series_coverage"] = f"""with {BARS} select symbol, "interval", min(start_timestamp)::date as first_date,
-      max(start_timestamp)::date as last_date, count(*) as bars from bars group by 1, 2"""
+    q["series_coverage"] = f"""with {BARS} select symbol, "interval", strftime(min(start_timestamp), '%Y-%m-%d') as first_date,
+      strftime(max(start_timestamp), '%Y-%m-%d') as last_date, count(*) as bars from bars group by 1, 2"""
     q["model_keys"] = f"""with {BARS}, {STRATEGIES} select distinct symbol, bars."interval", strategy,
       symbol || '_' || bars."interval" || '_' || replace(features, ',', '_') as model_key
       from bars join strategies s on s."interval" = bars."interval" """
@@ -258,7 +258,7 @@ def oracle() -> dict[str, str]:
       from s2 join strategies s on s."interval" = s2."interval")
       select symbol, "interval", strategy, position::int as position, feature,
              case when regexp_matches(feature, '_[0-9]+$') then regexp_extract(feature, '^(.*)_([0-9]+)$', 1) else feature end as indicator,
-             case when regexp_matches(feature, '_[0-9]+$') then regexp_extract(feature, '^(.*)_([0-9]+)$', 2)::int end as "window" from p"""
+             case when regexp_matches(feature, '_[0-9]+$') then regexp_extract(feature, '^(.*)_([0-9]+)$', 2)::int else 0 end as "window" from p"""
 
     # --- scalar functions
     q["numbers_from_text"] = """select event_id, try_cast(json_extract_string(props, '$.k') as double) as k,
@@ -564,8 +564,10 @@ def oracle() -> dict[str, str]:
         )
         sides.append(f"select {KEYS}, '{version}' as scaler, close, {cols} from lf")
     q["linear_update_rows"] = f"with recursive {lin} {' union all '.join(sides)}"
-    q["forest_weights"] = f"""with {SCORED} select {KEYS}, {r6('(100 * p_neg + 50 * p_pos) / 150', 'p_neg')},
-      {r6('(100 * p_zero + 50 * p_neg) / 150', 'p_zero')}, {r6('(100 * p_pos + 50 * p_zero) / 150', 'p_pos')} from scored"""
+    # Unrounded: both sides do the same three operations.
+    q["forest_weights"] = f"""with {SCORED} select {KEYS}, p_neg * (100.0::double / 150) + p_pos * (50.0::double / 150) as p_neg,
+      p_zero * (100.0::double / 150) + p_neg * (50.0::double / 150) as p_zero,
+      p_pos * (100.0::double / 150) + p_zero * (50.0::double / 150) as p_pos from scored"""
 
     # --- streaming
     q["streamed_bars"] = f"with {BARS} select {KEYS}, open, high, low, close, volume from bars where \"interval\" = '1h'"
