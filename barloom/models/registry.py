@@ -41,6 +41,25 @@ class ModelStore:
         rows = self.spark.read.schema("version int, note string").parquet(self.path(key, "note"))
         return json.loads(rows.agg(F.max_by("note", "version")).first()[0])
 
+    def save_table(self, key: str, table: DataFrame, keys: Iterable[str]) -> None:
+        """Write a new version of a table of models; rows of keys that are not in it are carried over."""
+        version, rows = 0, table
+        if self.exists(key):
+            version = self.note(key)["version"] + 1
+            kept = self.table(key).join(table.select(*keys), list(keys), "left_anti")
+            rows = table.unionByName(kept)
+        rows.write.mode("overwrite").parquet(self.path(key, f"v{version}/table"))
+        text = json.dumps({"version": version, "parts": ["table"]})
+        self.spark.createDataFrame([(version, text)], "version int, note string").write.mode("append").parquet(
+            self.path(key, "note")
+        )
+
+    def table(self, key: str) -> DataFrame | None:
+        """Newest version of a table of models, or None."""
+        if not self.exists(key):
+            return None
+        return self.spark.read.parquet(self.path(key, f"v{self.note(key)['version']}/table"))
+
     def load(self, key: str, name: str, reader) -> object:
         return reader.load(self.path(key, f"v{self.note(key)['version']}/{name}"))
 

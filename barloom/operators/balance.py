@@ -203,6 +203,7 @@ def _running_numbers(short: DataFrame, groups: Sequence[str]) -> DataFrame:
 def balanced(
     df: DataFrame, features: Sequence[str], label: str = "target", k: int = NEIGHBOURS, keys: Sequence[str] = KEYS
 ) -> DataFrame:
-    """Original rows and the synthetic ones, told apart by ``replica`` (null on original rows)."""
-    original = df.select(*keys, label, F.lit(None).cast("long").alias("replica"), *features)
-    return original.unionByName(synthetic_rows(df, features, label, k, keys))
+    """Original and synthetic rows; ``row_id`` tells them apart (``b<bar_index>``, ``s<replica>``)."""
+    original = df.select(*keys, label, F.concat(F.lit("b"), F.col(INDEX)).alias("row_id"), *features)
+    made = synthetic_rows(df, features, label, k, keys).withColumn("row_id", F.concat(F.lit("s"), F.col("replica")))
+    return original.unionByName(made.drop("replica"))

@@ -392,7 +392,8 @@ def _returns(spark, sf_dir):
 
 
 def _labelled(spark, sf_dir):
-    return labels.with_three_way_target(_returns(spark, sf_dir))
+    """Thresholds and rows both read the returns, so these are written once."""
+    return labels.with_three_way_target(stage(_returns(spark, sf_dir), "returns"))
 
 
 def _rows(spark, sf_dir):
