@@ -66,13 +66,24 @@ def tuned_thresholds(
     lower threshold wins a tie.
     """
     information = stage(selection.mutual_information(rows, features), "information")
-    candidates = stage(selection.features_above(information, features), "thresholds")
-    scored = []
-    for case in candidates.toLocalIterator():  # one row per series and threshold
-        score = _threshold_score(of_series(rows, case), list(case["features"]), folds, trees, seed)
-        scored.append((case["symbol"], case["interval"], case["threshold"], score))
-    scores = rows.sparkSession.createDataFrame(scored, "symbol string, interval string, threshold double, score double")
-    best = evaluate.best_of(scores, F.col("score"), "threshold", ["threshold"])
+    tried = selection.features_above(information, features)
+    # Thresholds that keep the same features score the same; the lowest of them stands for all.
+    candidates = stage(tried.groupBy(*KEYS, "features").agg(F.min("threshold").alias("threshold")), "thresholds")
+    reports = []
+    for case in candidates.select("features").distinct().toLocalIterator():  # one row per feature list
+        names = list(case["features"])
+        jobs = candidates.where(F.col("features") == F.array(*[F.lit(n) for n in names])).select(*KEYS, "threshold")
+        even, _ = balanced_rows(rows.join(jobs.select(*KEYS), list(KEYS), "left_semi"), names, folds)
+        ready = stage(assembled(even, names), "folds")
+        scores: list[tuple] = []
+
+        def one(job: Row) -> None:
+            scores.append((*[job[k] for k in (*KEYS, "threshold")], _cross_validated(of_series(ready, job), folds, trees, seed)))
+
+        run_jobs(rows.sparkSession, jobs, one, KEYS)
+        reports += scores
+    scored = rows.sparkSession.createDataFrame(reports, "symbol string, interval string, threshold double, score double")
+    best = evaluate.best_of(scored, F.col("score"), "threshold", ["threshold"])
     chosen = candidates.join(best, [*KEYS, "threshold"], "left_semi").select(*KEYS, "features")
     everything = F.array(*[F.lit(f) for f in features])
     return rows.select(*KEYS).distinct().join(chosen, list(KEYS), "left").withColumn(
@@ -80,16 +91,15 @@ def tuned_thresholds(
     )
 
 
-def _threshold_score(rows: DataFrame, features: list[str], folds: int, trees: int, seed: int) -> float | None:
-    even, _ = balanced_rows(rows, features, folds)
-    ready = stage(assembled(even, features), "folds")
+def _cross_validated(rows: DataFrame, folds: int, trees: int, seed: int) -> float | None:
+    """Mean area over folds; folds whose test rows hold one class are left out."""
     score = search.auc_score(CLASSES)
     values = []
     for fold in range(folds):
-        test = ready.where(F.col("fold") == fold)
+        test = rows.where(F.col("fold") == fold)
         if test.select("label").distinct().count() < 2:
             continue
-        model = classifier(None, seed).setNumTrees(trees).fit(ready.where(F.col("fold") != fold))
+        model = classifier(None, seed).setNumTrees(trees).fit(rows.where(F.col("fold") != fold))
         value = score(model.transform(test))
         if value is not None:
             values.append(value)
