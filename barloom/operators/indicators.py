@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 
 from barloom.functions.scalar import ratio
 from barloom.operators import recurrence
-from barloom.operators.blocks import BLOCK, BLOCK_BARS, INDEX, KEYS, is_own, spread, totals_before, with_bar_index, block_of
+from barloom.operators.blocks import BLOCK, BLOCK_BARS, INDEX, KEYS, block_of, is_own, spread, totals_before, with_bar_index
+from barloom.session import stage
 
 
 class Rows:
@@ -74,13 +75,14 @@ class Step:
     reach: int = 0
     chunk: int | None = None
     ahead: int = 0
+    gaps: bool = False  # may be null past its warm-up, whatever it needs
 
 
 # --- building blocks ---------------------------------------------------------------------------
 
 
-def _row(name: str, needs: tuple[str, ...], build: Callable[[], Column]) -> Step:
-    return Step(name, lambda rows: build(), needs)
+def _row(name: str, needs: tuple[str, ...], build: Callable[[], Column], gaps: bool = False) -> Step:
+    return Step(name, lambda rows: build(), needs, gaps=gaps)
 
 
 def _rolling(name: str, function, source: str, bars: int, gaps: bool = False) -> Step:
@@ -198,7 +200,7 @@ def rsi(source: str, bars: int, name: str) -> list[Step]:
         _row(down, (source, before), lambda: part(-1)),
         _rolling(mean_up, F.avg, up, bars),
         _rolling(mean_down, F.avg, down, bars),
-        _row(name, (mean_up, mean_down), index),
+        _row(name, (mean_up, mean_down), index, gaps=True),
     ]
 
 
@@ -207,7 +209,7 @@ def stochastic(bars: int, k_name: str, d_name: str) -> list[Step]:
     return [
         _rolling(lowest, F.min, "low", bars),
         _rolling(highest, F.max, "high", bars),
-        _row(k_name, ("close", lowest, highest), lambda: ratio(F.col("close") - F.col(lowest), F.col(highest) - F.col(lowest)) * 100.0),
+        _row(k_name, ("close", lowest, highest), lambda: ratio(F.col("close") - F.col(lowest), F.col(highest) - F.col(lowest)) * 100.0, gaps=True),
         _rolling(d_name, F.avg, k_name, 3, gaps=True),
     ]
 
@@ -217,7 +219,7 @@ def momentum(bars: int, name: str) -> list[Step]:
 
 
 def rate_of_change(bars: int, name: str, scale: float = 1.0) -> list[Step]:
-    return [Step(name, lambda rows: (ratio(F.col("close"), rows.lag("close", bars)) - 1.0) * scale, ("close",), bars)]
+    return [Step(name, lambda rows: (ratio(F.col("close"), rows.lag("close", bars)) - 1.0) * scale, ("close",), bars, gaps=True)]
 
 
 def adx(bars: int, name: str) -> list[Step]:
@@ -239,9 +241,9 @@ def adx(bars: int, name: str) -> list[Step]:
         _rolling(f"_tr_{bars}", F.avg, "tr", bars),
         _rolling(f"_plus_{bars}", F.avg, "plus_dm", bars),
         _rolling(f"_minus_{bars}", F.avg, "minus_dm", bars),
-        _row("plus_di", (f"_plus_{bars}", f"_tr_{bars}"), lambda: directional(f"_plus_{bars}")),
-        _row("minus_di", (f"_minus_{bars}", f"_tr_{bars}"), lambda: directional(f"_minus_{bars}")),
-        _row("dx", ("plus_di", "minus_di"), imbalance),
+        _row("plus_di", (f"_plus_{bars}", f"_tr_{bars}"), lambda: directional(f"_plus_{bars}"), gaps=True),
+        _row("minus_di", (f"_minus_{bars}", f"_tr_{bars}"), lambda: directional(f"_minus_{bars}"), gaps=True),
+        _row("dx", ("plus_di", "minus_di"), imbalance, gaps=True),
         _rolling(name, F.avg, "dx", bars, gaps=True),
     ]
 
@@ -307,6 +309,7 @@ def vwap(name: str = "vwap") -> list[Step]:
             name,
             lambda rows: ratio(own_running(rows, _traded(), _TRADED), own_running(rows, F.col("volume"), _VOLUME)),
             ("high", "low", "close", "volume", _TRADED, _VOLUME),
+            gaps=True,
         )
     ]
 
@@ -385,30 +388,51 @@ def _with_totals(work: DataFrame, indexed: DataFrame, block_bars: int, one_block
     return work.join(before, [*KEYS, BLOCK], "left")
 
 
-def backfill(df: DataFrame, columns: Iterable[str], one_block: bool = False) -> DataFrame:
+def open_columns(steps: Iterable[Step], columns: Iterable[str], block_bars: int = BLOCK_BARS) -> list[str]:
+    """Columns whose nulls may reach past the end of a block.
+
+    Prices have no nulls, so most columns are null only while they warm up. If that ends inside the
+    first block, later blocks have nothing to fill and the first one fills itself.
+    """
+    by_name = {}
+    for step in steps:
+        by_name.setdefault(step.name, step)
+
+    def measure(name: str) -> tuple[bool, int]:
+        if name not in by_name:
+            return False, 0
+        step = by_name[name]
+        below = [measure(need) for need in step.needs]
+        return step.gaps or any(g for g, _ in below), step.reach + max((r for _, r in below), default=0)
+
+    found = {name: measure(name) for name in columns}
+    return [name for name, (gaps, reach) in found.items() if gaps or reach >= block_bars]
+
+
+def backfill(df: DataFrame, columns: Iterable[str], open_ended: Iterable[str] | None = None, block_bars: int = BLOCK_BARS) -> DataFrame:
     """Fill nulls with the next value in time; nulls after the last value stay.
 
-    Inside a block this is one running ``last`` over descending time. What a block cannot fill comes
-    from the first value of the next block that has one. Blocks are read for that only past the
-    first, so series of one block pay nothing.
+    Inside a block this is one running ``last`` over descending time. After it, the first row of a
+    block holds the first value of the block, so what a block cannot fill itself is read from the
+    first rows of the later blocks: one row per block. Columns in ``open_ended`` (all, if not given)
+    take that second step; the rows are written once in between, since both sides read them.
     """
     columns = list(columns)
+    open_ended = columns if open_ended is None else [c for c in columns if c in set(open_ended)]
     downward = Window.partitionBy(*KEYS, BLOCK).orderBy(F.col(INDEX).desc()).rowsBetween(Window.unboundedPreceding, 0)
-    inside = {name: F.last(name, ignorenulls=True).over(downward) for name in columns}
-    if one_block:
-        return df.withColumns(inside)
-    opening = (
-        df.where(F.col(BLOCK) > 0)
-        .groupBy(*KEYS, BLOCK)
-        .agg(*[F.min_by(name, F.when(F.col(name).isNotNull(), F.col(INDEX))).alias(f"_next_{name}") for name in columns])
-    )
+    inside = df.withColumns({name: F.last(name, ignorenulls=True).over(downward) for name in columns})
+    if not open_ended:
+        return inside
+    inside = stage(inside, "filled")
+    opening = inside.where((F.col(INDEX) % block_bars == 0) & (F.col(BLOCK) > 0))
     later = Window.partitionBy(*KEYS).orderBy(F.col(BLOCK).desc()).rowsBetween(Window.unboundedPreceding, 0)
     following = opening.select(
         *KEYS,
         (F.col(BLOCK) - 1).alias(BLOCK),
-        *[F.last(f"_next_{name}", ignorenulls=True).over(later).alias(f"_next_{name}") for name in columns],
+        *[F.last(name, ignorenulls=True).over(later).alias(f"_next_{name}") for name in open_ended],
     )
-    filled = df.withColumns(inside).join(following, [*KEYS, BLOCK], "left")
-    return filled.withColumns({name: F.coalesce(name, f"_next_{name}") for name in columns}).drop(
-        *[f"_next_{name}" for name in columns]
+    return (
+        inside.join(following, [*KEYS, BLOCK], "left")
+        .withColumns({name: F.coalesce(name, f"_next_{name}") for name in open_ended})
+        .drop(*[f"_next_{name}" for name in open_ended])
     )

@@ -15,7 +15,10 @@ from pyspark.sql import functions as F
 from barloom.operators.blocks import join_per_group, totals_before
 
 BUCKETS = 64
+SMALL_GROUP = 20000  # groups up to this size are their own bracket
 _SKETCH_ACCURACY = 1000
+_BRACKET_ACCURACY = 10000
+_MARGIN = 3.0 / _BRACKET_ACCURACY  # the sketch may be off by one part in its accuracy
 
 
 def _bucketed(distinct: DataFrame, keys: Sequence[str], value: str, buckets: int) -> DataFrame:
@@ -45,42 +48,54 @@ def value_ranks(
 
 
 def exact_quantiles(
-    df: DataFrame, keys: Sequence[str], value: str, points: Mapping[str, float], buckets: int = BUCKETS
+    df: DataFrame, keys: Sequence[str], value: str, points: Mapping[str, float], small_group: int = SMALL_GROUP
 ) -> DataFrame:
     """Quantiles with linear interpolation between neighbours, nulls left out.
 
-    Bucket totals tell which bucket holds a wanted rank; only values of those buckets are ranked.
+    A sketch brackets each quantile; the second scan counts the rows below the bracket and keeps only
+    the values inside it. Both scans reduce map-side, so no group is shuffled or sorted whole. The
+    counts also tell if a bracket missed its rank, which fails the job rather than giving a near value.
     """
-    distinct = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
-    located = _bucketed(distinct, keys, value, buckets)
-    per_bucket = located.groupBy(*keys, "_bucket").agg(F.sum("_n").alias("_in"))
-    ordered = Window.partitionBy(*keys).orderBy("_bucket")
-    bounds = per_bucket.withColumns(
-        {
-            "_before": F.sum("_in").over(ordered.rowsBetween(Window.unboundedPreceding, 0)) - F.col("_in"),
-            "_total": F.sum("_in").over(Window.partitionBy(*keys)),
-        }
+    rows = df.select(*keys, value).where(F.col(value).isNotNull())
+    edges = [e for p in points.values() for e in (max(p - _MARGIN, 0.0), min(p + _MARGIN, 1.0))]
+    sketch = rows.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_total"),
+        F.min(value).alias("_least"),
+        F.max(value).alias("_most"),
+        F.percentile_approx(value, F.array(*[F.lit(e) for e in edges]), F.lit(_BRACKET_ACCURACY)).alias("_edges"),
     )
-    wanted = []
-    for name, point in points.items():
-        position = (F.col("_total") - 1) * F.lit(float(point))
-        wanted.append(F.struct(F.lit(name).alias("name"), F.floor(position).alias("rank"), (1 - (position - F.floor(position))).alias("weight")))
-        wanted.append(F.struct(F.lit(name).alias("name"), F.ceil(position).alias("rank"), (position - F.floor(position)).alias("weight")))
-    targets = (
-        bounds.withColumn("_at", F.explode(F.array(*wanted)))
-        .where((F.col("_before") <= F.col("_at.rank")) & (F.col("_at.rank") < F.col("_before") + F.col("_in")))
-        .groupBy(*keys, "_bucket")
-        .agg(F.first("_before").alias("_before"), F.collect_list("_at").alias("_targets"))
+    whole = F.col("_total") <= small_group
+
+    def bracket(i: int, name: str) -> Column:
+        low = F.when(whole, F.col("_least")).otherwise(F.get("_edges", F.lit(2 * i)))
+        high = F.when(whole, F.col("_most")).otherwise(F.get("_edges", F.lit(2 * i + 1)))
+        return F.struct(F.lit(name).alias("name"), low.alias("low"), high.alias("high"))
+
+    brackets = sketch.select(*keys, F.array(*[bracket(i, n) for i, n in enumerate(points)]).alias("_brackets"))
+    x = F.col(value)
+    within = F.filter("_brackets", lambda b: x <= b["high"])
+    # Null stands for every value below the bracket: one partial count per task.
+    kept = F.transform(within, lambda b: F.struct(b["name"].alias("name"), F.when(x >= b["low"], x).alias("at")))
+    counted = (
+        join_per_group(rows, brackets, keys, [value])
+        .select(*keys, F.inline(kept))
+        .groupBy(*keys, "name", "at")
+        .agg(F.count(F.lit(1)).alias("_n"))
     )
-    inside = Window.partitionBy(*keys, "_bucket").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-    ranked = located.join(targets, [*keys, "_bucket"]).withColumn(
-        "_upto", F.col("_before") + F.sum("_n").over(inside)
+    upto = Window.partitionBy(*keys, "name").orderBy(F.col("at").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
+    ranked = counted.withColumn("_upto", F.sum("_n").over(upto)).join(sketch.select(*keys, "_total"), list(keys))
+    share = F.element_at(F.create_map(*[F.lit(part) for item in points.items() for part in (item[0], float(item[1]))]), F.col("name"))
+    position = (F.col("_total") - 1) * share
+    first = F.col("_upto") - F.col("_n")
+
+    def at_rank(rank: Column) -> Column:
+        return F.max(F.when((first <= rank) & (rank < F.col("_upto")), F.col("at")))
+
+    found = ranked.groupBy(*keys, "name").agg(
+        at_rank(F.floor(position)).alias("_low"), at_rank(F.ceil(position)).alias("_high"), F.max(position - F.floor(position)).alias("_part")
     )
-    hit = (F.col("_at.rank") >= F.col("_upto") - F.col("_n")) & (F.col("_at.rank") < F.col("_upto"))
-    found = ranked.withColumn("_at", F.explode("_targets")).where(hit)
-    return found.groupBy(*keys).agg(
-        *[
-            F.sum(F.when(F.col("_at.name") == name, F.col(value) * F.col("_at.weight"))).alias(name)
-            for name in points
-        ]
+    missed = F.raise_error(F.lit("a quantile lies outside its bracket")).cast("double")
+    exact = F.when(F.col("_low").isNull() | F.col("_high").isNull(), missed).otherwise(
+        F.col("_low") * (1 - F.col("_part")) + F.col("_high") * F.col("_part")
     )
+    return found.groupBy(*keys).agg(*[F.max(F.when(F.col("name") == name, exact)).alias(name) for name in points])

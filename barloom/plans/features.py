@@ -94,13 +94,15 @@ def add_indicators(
     source = with_sar(bars) if "sar" in features else bars
     keep = [*added, *[step.name for step in extra if not step.name.startswith("_")]]
     computed = ind.apply_steps(source, [*steps, *extra], keep, block_bars, max_rows)
-    return _finish(computed, added, fill, block_bars, max_rows)
+    if not fill or not added:
+        return computed.drop(BLOCK)
+    return _filled(computed, steps, added, block_bars, max_rows)
 
 
-def _finish(computed: DataFrame, added: Sequence[str], fill: bool, block_bars: int, max_rows: int | None) -> DataFrame:
-    if fill and added:
-        computed = ind.backfill(computed, added, max_rows is not None and max_rows <= block_bars)
-    return computed.drop(BLOCK)
+def _filled(computed: DataFrame, steps: Sequence[ind.Step], added: Sequence[str], block_bars: int, max_rows: int | None) -> DataFrame:
+    short = max_rows is not None and max_rows <= block_bars
+    open_ended = [] if short else ind.open_columns(steps, added, block_bars)
+    return ind.backfill(computed, added, open_ended, block_bars).drop(BLOCK)
 
 
 # Feature lists of the signal, linear and boosted models.
@@ -125,7 +127,7 @@ def signal_features(
     ]
     keep = [*SIGNAL_FEATURES, *[step.name for step in extra]]
     computed = ind.apply_steps(bars, [*steps, *extra], keep, block_bars, max_rows)
-    return _finish(computed, SIGNAL_FEATURES, True, block_bars, max_rows)
+    return _filled(computed, steps, SIGNAL_FEATURES, block_bars, max_rows)
 
 
 def linear_features(bars: DataFrame, block_bars: int = BLOCK_BARS, max_rows: int | None = None) -> DataFrame:
@@ -135,7 +137,7 @@ def linear_features(bars: DataFrame, block_bars: int = BLOCK_BARS, max_rows: int
         *ind.bollinger("close", 10, "sma_10", "_band", "bollinger_high", "bollinger_low"),
     ]
     computed = ind.apply_steps(bars, steps, LINEAR_FEATURES, block_bars, max_rows)
-    filled = _finish(computed, LINEAR_FEATURES, True, block_bars, max_rows)
+    filled = _filled(computed, steps, LINEAR_FEATURES, block_bars, max_rows)
     return filled.withColumns({"hour": F.hour(TIME), "day_of_week": day_of_week(F.col(TIME))})
 
 
@@ -148,5 +150,5 @@ def boosted_features(bars: DataFrame, block_bars: int = BLOCK_BARS, max_rows: in
         *ind.deviation("close_scaled", 10, "volatility"),
     ]
     computed = ind.apply_steps(scaled, steps, BOOSTED_FEATURES[1:], block_bars, max_rows)
-    filled = _finish(computed, BOOSTED_FEATURES[1:], True, block_bars, max_rows)
+    filled = _filled(computed, steps, BOOSTED_FEATURES[1:], block_bars, max_rows)
     return filled.withColumn("time_index", F.col(INDEX).cast("double"))

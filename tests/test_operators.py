@@ -109,7 +109,7 @@ def test_strategies_need_features():
 def test_quantiles_and_ranks_are_exact(spark, values, buckets):
     frame = spark.createDataFrame([("g", float(v)) for v in values] + [("g", None)], "g string, v double")
     points = {"low": 0.15, "mid": 0.5, "high": 0.85, "first": 0.0, "last": 1.0}
-    found = ranking.exact_quantiles(frame, ["g"], "v", points, buckets).first()
+    found = ranking.exact_quantiles(frame, ["g"], "v", points).first()
     for name, point in points.items():
         assert found[name] == pytest.approx(np.quantile(values, point), rel=1e-12, abs=1e-9)
     ranks = {r["v"]: r["n_below"] for r in ranking.value_ranks(frame, ["g"], "v", {"n": F.count(F.lit(1))}, buckets).collect()}
@@ -117,6 +117,19 @@ def test_quantiles_and_ranks_are_exact(spark, values, buckets):
     assert ranks == {v: ordered.index(v) for v in set(values)}
 
 
+@pytest.mark.parametrize("kind", ["distinct", "copies", "skewed"])
+def test_bracketed_quantiles_are_exact(spark, kind):
+    """Groups too large to be their own bracket: only values near the quantile are ranked."""
+    value = {"distinct": F.rand(3), "copies": F.floor(F.rand(3) * 7) * 1.0, "skewed": F.when(F.rand(4) < 0.4, 0.0).otherwise(F.exp(F.rand(3) * 20))}[kind]
+    from barloom.session import stage
+
+    frame = stage(spark.range(60000).select(F.lit("g").alias("g"), value.cast("double").alias("v")), "quantiles")
+    points = {"low": 0.15, "mid": 0.5, "high": 0.85}
+    found = ranking.exact_quantiles(frame, ["g"], "v", points, small_group=1000).first()
+    values = frame.toPandas()["v"].to_numpy()
+    assert [found[n] for n in points] == pytest.approx([np.quantile(values, p) for p in points.values()], rel=1e-13)
+
+
 # --- labels ------------------------------------------------------------------------------------------
 
 

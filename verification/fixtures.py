@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.session import prepare
+from barloom.session import prepare, stage
 from barloom.sources.bars import bars_from_ticks
 
 
@@ -32,6 +32,15 @@ def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ticks_of(table(spark, sf_dir, "events"))
 
 
+_STORED: dict[tuple[str, str], DataFrame] = {}
+
+
 def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bars of all four sizes over all ticks."""
-    return bars_from_ticks(ticks(spark, sf_dir))
+    """The bars table: all four sizes over all ticks, written once per session as an ingest would.
+
+    Operators read stored bars, so their plans start at a scan of that table.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _STORED:
+        _STORED[key] = stage(bars_from_ticks(ticks(spark, sf_dir)), "stored-bars")
+    return _STORED[key]

@@ -47,7 +47,7 @@ def steps(spark: SparkSession, sf_dir: str, parts: list[ind.Step], *keep: str) -
 
 @query
 def bars_from_ticks(spark, sf_dir):
-    return fx.bars(spark, sf_dir).select(*ALL)
+    return src.bars_from_ticks(fx.ticks(spark, sf_dir)).select(*ALL)
 
 
 @query
@@ -350,7 +350,7 @@ def parabolic_sar(spark, sf_dir):
 
 def _register_feature_query(name: str, features: list[str], intervals: list[str]) -> None:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        bars = src.bars_from_ticks(fx.ticks(spark, sf_dir), intervals)
+        bars = fx.bars(spark, sf_dir).where(F.col("interval").isin(intervals))
         found = sets.add_indicators(bars, features)
         return r6(found, *BAR, INDEX, *[c for c in found.columns if c not in (*ALL, INDEX)])
 
