@@ -56,6 +56,7 @@ def bars_from_payloads(payloads: DataFrame) -> DataFrame:
     """Typed bars; a payload is rejected whole when its rows lack a required column.
 
     A column counts as there when any row of the payload has the key, as in a table built from rows.
+    ``arrival`` orders the rows: by ``landed`` (any column that orders the payloads), then by place.
     """
     rows = F.col("data.rows")
 
@@ -65,14 +66,15 @@ def bars_from_payloads(payloads: DataFrame) -> DataFrame:
     whole = payloads.where(F.size(rows) > 0)
     for name in (TIME, *PRICES):
         whole = whole.where(present(name))
-    bars = whole.select("symbol", "interval", F.posexplode(rows).alias("arrival", "row"))
+    landed = [name for name in ("landed",) if name in payloads.columns]
+    bars = whole.select("symbol", "interval", *landed, F.posexplode(rows).alias("place", "row"))
     millis = to_number(F.try_element_at("row", F.lit(TIME))).cast("long")
     return bars.select(
         "symbol",
         "interval",
         F.timestamp_millis(millis).alias(TIME),
         *[to_number(F.try_element_at("row", F.lit(name))).alias(name) for name in PRICES],
-        "arrival",
+        F.struct(*landed, "place").alias("arrival"),
     )
 
 

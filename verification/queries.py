@@ -72,20 +72,17 @@ def bars_ordered(spark, sf_dir):
 
 @query
 def bars_from_payloads(spark, sf_dir):
-    """Ticks packed as hourly payload rows, one payload per symbol and hour, copies included."""
-    ticks = fx.ticks(spark, sf_dir).withColumn("at", F.date_trunc("hour", "ts"))
+    """Every tick lands as a payload with one hourly row, so each hour arrives in many copies."""
     row = F.struct(
-        F.unix_millis("at").alias(TIME),
+        F.unix_millis(F.date_trunc("hour", "ts")).alias(TIME),
         *[F.col("price").alias(n) for n in ("open", "high", "low", "close")],
         F.col("amount").alias("volume"),
     )
-    # An hour of one symbol is one landed payload here; a real payload holds at most 1,000 bars.
-    packed = ticks.groupBy("symbol", "at").agg(F.sort_array(F.collect_list(F.struct("ts", "seq", row.alias("row")))).alias("r"))
-    text = F.to_json(
-        F.struct("symbol", F.lit("1h").alias("interval"), F.struct(F.transform("r", lambda x: x["row"]).alias("rows")).alias("data"))
+    text = F.to_json(F.struct("symbol", F.lit("1h").alias("interval"), F.struct(F.array(row).alias("rows")).alias("data")))
+    landed = fx.ticks(spark, sf_dir).select(
+        F.struct("ts", "seq").alias("landed"), F.from_json(text, payloads.BARS_PAYLOAD).alias("p")
     )
-    landed = packed.select(F.from_json(text, payloads.BARS_PAYLOAD).alias("p")).select("p.*")
-    return payloads.first_arrivals(payloads.bars_from_payloads(landed)).select(*ALL)
+    return payloads.first_arrivals(payloads.bars_from_payloads(landed.select("landed", "p.*"))).select(*ALL)
 
 
 @query
