@@ -72,7 +72,7 @@ def test_equal_tick_times_are_settled_by_sequence(spark):
 def test_ticks_are_aggregated_by_hash(spark, sf_dir):
     from verification import fixtures
 
-    plan = fixtures.bars(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    plan = src.bars_from_ticks(fixtures.ticks(spark, sf_dir))._jdf.queryExecution().executedPlan().toString()
     assert "SortAggregate" not in plan and "partial_min_by" in plan
 
 
