@@ -93,6 +93,22 @@ def _lag(name: str, source: str, bars: int) -> Step:
     return Step(name, lambda rows: rows.lag(source, bars), (source,), bars)
 
 
+def _extreme(name: str, sign: str, source: str, bars: int) -> list[Step]:
+    """Lowest or highest of the last bars. A long even window is two windows of half its length."""
+    function, both = {"min": (F.min, F.least), "max": (F.max, F.greatest)}[sign]
+    half = bars // 2
+    if bars < 32 or bars % 2:
+        return [_rolling(name, function, source, bars)]
+    part = f"_{'lowest' if sign == 'min' else 'highest'}_{half}"
+    whole = Step(
+        name,
+        lambda rows: F.when(F.col(INDEX) >= bars - 1, both(F.col(part), rows.lag(part, half))),
+        (part,),
+        half,
+    )
+    return [*_extreme(part, sign, source, half), whole]
+
+
 def lookback(source: str, bars: int, name: str) -> list[Step]:
     """The ``bars`` values before a row, oldest first."""
     return [Step(name, lambda rows: rows.preceding(F.collect_list(source), bars), (source,), bars)]
@@ -207,8 +223,8 @@ def rsi(source: str, bars: int, name: str) -> list[Step]:
 def stochastic(bars: int, k_name: str, d_name: str) -> list[Step]:
     lowest, highest = f"_lowest_{bars}", f"_highest_{bars}"
     return [
-        _rolling(lowest, F.min, "low", bars),
-        _rolling(highest, F.max, "high", bars),
+        *_extreme(lowest, "min", "low", bars),
+        *_extreme(highest, "max", "high", bars),
         _row(k_name, ("close", lowest, highest), lambda: ratio(F.col("close") - F.col(lowest), F.col(highest) - F.col(lowest)) * 100.0, gaps=True),
         _rolling(d_name, F.avg, k_name, 3, gaps=True),
     ]
@@ -251,8 +267,8 @@ def adx(bars: int, name: str) -> list[Step]:
 def mid_range(bars: int, name: str) -> list[Step]:
     lowest, highest = f"_lowest_{bars}", f"_highest_{bars}"
     return [
-        _rolling(lowest, F.min, "low", bars),
-        _rolling(highest, F.max, "high", bars),
+        *_extreme(lowest, "min", "low", bars),
+        *_extreme(highest, "max", "high", bars),
         _row(name, (lowest, highest), lambda: (F.col(highest) + F.col(lowest)) / 2.0),
     ]
 

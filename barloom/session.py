@@ -12,6 +12,8 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
+    # Blocks have a bounded number of rows; windows keep one in memory instead of sorting it to disk.
+    "spark.sql.windowExec.buffer.in.memory.threshold": "65536",
 }
 
 
