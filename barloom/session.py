@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -60,3 +61,56 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+class Workspace:
+    """A folder in the shared place that one run owns; everything staged in it goes with ``close()``.
+
+    ``with Workspace(spark, "label") as ws`` removes it at the end of the block. A run whose result is
+    still to be read from it (a query that returns a DataFrame) leaves it open; ``release(spark)``
+    closes every workspace of the session that is still open.
+    """
+
+    _open: dict[str, list[Workspace]] = {}
+
+    def __init__(self, spark: SparkSession, label: str):
+        self.spark, self.folder = spark, scratch_path(spark, label)
+        self._open.setdefault(spark.sparkContext.applicationId, []).append(self)
+
+    def path(self, name: str) -> str:
+        return f"{self.folder}/{name}-{uuid.uuid4().hex[:12]}"
+
+    def stage(self, df: DataFrame, name: str, **options: Any) -> DataFrame:
+        """Write ``df`` once and read it back; lost executors then re-read files, not the lineage."""
+        path = self.path(name)
+        df.write.options(**options).parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self, staged: DataFrame) -> None:
+        """Remove one staged table that nothing reads any more."""
+        for file in {f.rsplit("/", 1)[0] for f in staged.inputFiles()}:
+            _delete(self.spark, file)
+
+    def close(self) -> None:
+        mine = self._open.get(self.spark.sparkContext.applicationId, [])
+        if self in mine:
+            mine.remove(self)
+            _delete(self.spark, self.folder)
+
+    def __enter__(self) -> Workspace:
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        self.close()
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    jvm = spark._jvm  # Hadoop's file system reaches whatever store the shared folder is in
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def release(spark: SparkSession) -> None:
+    """Close every workspace of this session that is still open."""
+    for workspace in list(Workspace._open.get(spark.sparkContext.applicationId, [])):
+        workspace.close()
