@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import sharding
+from barloom.llm import decontamination, quality, sharding
 from barloom.llm.common import table, text_bytes
 from barloom.session import Workspace
 
@@ -34,3 +34,25 @@ def op1_histogram_shards(spark, sf_dir):
         "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+@query
+def op10_host_quality(spark, sf_dir):
+    """Rules of every document and the verdict of its host."""
+    rows = quality.judge(table(spark, sf_dir, "documents"), Workspace(spark, "op10"))
+    return rows.select("doc_id", *quality.MEASURES, "base_failed", "kept", "host", "host_rate")
+
+
+@query
+def op9_winnowing_decontamination(spark, sf_dir):
+    """Words of every document that lie in a window of the benchmark."""
+    documents, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    rows = decontamination.contamination(documents, benchmark, Workspace(spark, "op9"))
+    return rows.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
