@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import decontamination, quality, sharding
+from barloom.llm import decontamination, quality, sharding, token_files
 from barloom.llm.common import table, text_bytes
 from barloom.session import Workspace
 
@@ -16,6 +16,12 @@ QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
 
 
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
 def query(function: Query) -> Query:
     QUERIES[function.__name__] = function
     return function
@@ -56,3 +62,11 @@ def op9_winnowing_decontamination(spark, sf_dir):
         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"),
     )
+
+
+@query
+def op4_token_files(spark, sf_dir):
+    """All documents as token files, and what is read back from them."""
+    path = Workspace(spark, "op4").path("tokens")
+    token_files.write_tokens(table(spark, sf_dir, "documents"), path, tokenizer_path())
+    return token_files.read_documents(token_files.read_segments(spark, path))
