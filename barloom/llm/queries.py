@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import decontamination, quality, sharding, token_files
+from barloom.llm import decontamination, mixing, quality, sharding, token_files
 from barloom.llm.common import table, text_bytes
 from barloom.session import Workspace
 
@@ -70,3 +70,34 @@ def op4_token_files(spark, sf_dir):
     path = Workspace(spark, "op4").path("tokens")
     token_files.write_tokens(table(spark, sf_dir, "documents"), path, tokenizer_path())
     return token_files.read_documents(token_files.read_segments(spark, path))
+
+
+@query
+def op7_poisson_mixture(spark, sf_dir):
+    """All documents, repeated or thinned out to the target weights of their sources, in global hash order."""
+    rows = mixing.mixed(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "copy", "copies", "mix_order", "source", "lang", "n_chars", "text")
+
+
+ORACLE["op7_poisson_mixture"] = f"""
+with recursive sizes as (
+  select coalesce(source, '') s, sum(coalesce(strlen(text), 0) + 1)::double b from documents group by 1
+), total as (select sum(b) b, sum(pow(b, 0.7)) w from sizes),
+rates as (select s, pow(sizes.b, 0.7) / total.w * total.b / sizes.b rate from sizes, total),
+draws as (select s, rate, greatest(ceil(rate / {mixing.SPLIT}), 1)::int draws from rates),
+cdf as (
+  select s, 0 k, exp(-rate / draws) p, exp(-rate / draws) c from draws
+  union all
+  select cdf.s, k + 1, p * (rate / draws) / (k + 1), c + p * (rate / draws) / (k + 1) from cdf join draws using (s) where k < {mixing.TERMS}
+), hashed as (
+  select d.*, coalesce(d.source, '') s, coalesce(doc_id::varchar, '') || ':17' label from documents d
+), drawn as (
+  select h.*, n, ('0x' || substr(md5(label || ':' || n), 1, 13))::bigint / 4503599627370496.0::double u
+  from hashed h join draws using (s), unnest(range(1, draws + 1)) t(n)
+), counted as (
+  select doc_id, label, text, lang, source, n_chars, count(cdf.k)::int copies
+  from drawn left join cdf on cdf.s = drawn.s and cdf.c <= drawn.u group by all
+)
+select doc_id, copy::int copy, copies, ('0x' || substr(md5(label || ':order:' || copy), 1, 15))::bigint mix_order, source, lang, n_chars, text
+from counted, unnest(range(1, copies + 1)) t(copy)
+"""
