@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import decontamination, mixing, quality, sharding, token_files
+from barloom.llm import decontamination, mixing, quality, sharding, token_files, url_filter
 from barloom.llm.common import table, text_bytes
 from barloom.session import Workspace
 
@@ -101,3 +101,9 @@ cdf as (
 select doc_id, copy::int copy, copies, ('0x' || substr(md5(label || ':order:' || copy), 1, 15))::bigint mix_order, source, lang, n_chars, text
 from counted, unnest(range(1, copies + 1)) t(copy)
 """
+
+
+@query
+def op2_template_tree(spark, sf_dir):
+    """The verdict on every url, by rule or else by the template of its path."""
+    return url_filter.judge(table(spark, sf_dir, "pages"), Workspace(spark, "op2"))
