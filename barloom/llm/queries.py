@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import decontamination, mixing, quality, sharding, token_files, url_filter
+from barloom.llm import chat, decontamination, mixing, quality, sharding, token_files, url_filter
 from barloom.llm.common import table, text_bytes
 from barloom.session import Workspace
 
@@ -107,3 +107,9 @@ from counted, unnest(range(1, copies + 1)) t(copy)
 def op2_template_tree(spark, sf_dir):
     """The verdict on every url, by rule or else by the template of its path."""
     return url_filter.judge(table(spark, sf_dir, "pages"), Workspace(spark, "op2"))
+
+
+@query
+def op5_role_repair(spark, sf_dir):
+    """All conversations with the cheapest legal roles, as rendered pieces."""
+    return chat.repaired(table(spark, sf_dir, "conversations"), Workspace(spark, "op5"))
