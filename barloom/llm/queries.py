@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import chat, decontamination, mixing, quality, sharding, token_files, url_filter
+from barloom.llm import chat, decontamination, language_model, mixing, quality, sharding, token_files, url_filter
 from barloom.llm.common import table, text_bytes
 from barloom.session import Workspace
 
@@ -113,3 +113,13 @@ def op2_template_tree(spark, sf_dir):
 def op5_role_repair(spark, sf_dir):
     """All conversations with the cheapest legal roles, as rendered pieces."""
     return chat.repaired(table(spark, sf_dir, "conversations"), Workspace(spark, "op5"))
+
+
+@query
+def op8_kneser_ney(spark, sf_dir):
+    """All documents scored by a model of those that are not held out."""
+    documents, workspace = table(spark, sf_dir, "documents"), Workspace(spark, "op8")
+    model = language_model.train(documents.where(~language_model.held_out()), workspace)
+    rows = language_model.score(documents.withColumn("held_out", language_model.held_out()), model, ("doc_id", "held_out"))
+    tokens = F.lit(model.levels[1].raw).cast("long").alias("train_tokens")
+    return rows.select("doc_id", "held_out", "n_tokens", "n_known", tokens, "base_score", "score", "perplexity")
