@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import chat, decontamination, language_model, mixing, quality, sharding, token_files, url_filter
+from barloom.llm import chat, decontamination, language_model, mixing, near_duplicates, quality, sharding, token_files, url_filter
 from barloom.llm.common import table, text_bytes
 from barloom.session import Workspace
 
@@ -123,3 +123,10 @@ def op8_kneser_ney(spark, sf_dir):
     rows = language_model.score(documents.withColumn("held_out", language_model.held_out()), model, ("doc_id", "held_out"))
     tokens = F.lit(model.levels[1].raw).cast("long").alias("train_tokens")
     return rows.select("doc_id", "held_out", "n_tokens", "n_known", tokens, "base_score", "score", "perplexity")
+
+
+@query
+def op6_order_minhash(spark, sf_dir):
+    """The class of near copies of every document."""
+    rows = near_duplicates.duplicate_classes(table(spark, sf_dir, "documents"), Workspace(spark, "op6"))
+    return rows.select("doc_id", "class_id", "kept")
