@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 LIMITS = {
     # Long texts: a batch that goes to a Python worker is bounded in bytes, not only in rows.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "4000",
-    "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20),
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20),
 }
 
 
@@ -51,6 +51,13 @@ def size_of(df: DataFrame, each: Column) -> tuple[int, int]:
     return int(row["n"]), int(row["s"])
 
 
+def join_facts(rows: DataFrame, facts: DataFrame, keys: list[str], spread: Column, salts: int = 64) -> DataFrame:
+    """``rows`` with the columns of ``facts``, which has one row for each key. ``spread`` deals the rows of a key,
+    however many, over ``salts`` tasks, each with its copy of the key's facts."""
+    copied = facts.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return rows.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int")).join(copied, [*keys, "_salt"]).drop("_salt")
+
+
 def text_bytes(text: str | Column = "text") -> Column:
     """UTF-8 bytes of a text; a null has none."""
     return F.coalesce(F.octet_length(F.col(text) if isinstance(text, str) else text), F.lit(0)).cast("long")

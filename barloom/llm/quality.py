@@ -13,7 +13,10 @@ replaced.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,9 +29,10 @@ SYMBOLS = b"#*$%&|<>"
 SPACES = b"\t\n\x0b\x0c\r "
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 #: A document fails when one of these holds.
+LEAST_WORDS, MOST_REPEATED = 50, 50  # words, percent of words
 RULES = {
-    "few_words": lambda: F.col("n_words") < 50,
-    "repetition": lambda: 100 * F.col("n_repeat_words") > 50 * F.col("n_words"),
+    "few_words": lambda: F.col("n_words") < LEAST_WORDS,
+    "repetition": lambda: 100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"),
 }
 
 
@@ -68,6 +72,12 @@ def measure_text(text: str | None) -> tuple[int, int, int, int, int]:
     )
 
 
+def passes(text: str | None) -> bool:
+    """Whether a text fails no rule."""
+    words = text.encode("utf-8", "surrogatepass").split() if text else []
+    return len(words) >= LEAST_WORDS and 100 * repeated_words(words) <= MOST_REPEATED * len(words)
+
+
 def measure(documents: DataFrame, keep: tuple[str, ...] = ("doc_id",), host: str = "source") -> DataFrame:
     """``keep``, ``host`` (the named column as text) and MEASURES of each document."""
     prepared(documents.sparkSession)
@@ -120,6 +130,23 @@ def judge(documents: DataFrame, workspace: Workspace, keep: tuple[str, ...] = ("
     """``keep``, host, MEASURES, base_failed, the host's columns and kept, one row for each document."""
     measured = measure(documents, keep, host).withColumn("base_failed", failed())
     rows = workspace.stage(measured, "measured")
-    # The host table is one row a host; adaptive execution broadcasts it where it is small and else splits the hot host.
     found = rows.join(host_rates(rows, host_limit), "host")
     return found.withColumn("kept", ~F.col("base_failed") & F.col("host_kept"))
+
+
+def kept_documents(documents: DataFrame, workspace: Workspace, host: str = "source", host_limit: float = 0.6) -> DataFrame:
+    """The documents, all columns, without those that fail a rule or come from a rejected host.
+
+    The first pass only writes measures; the second judges each text again as it reads it, which costs less
+    than moving the texts to a join with their measures.
+    """
+    rows = workspace.stage(measure(documents, (), host).select("host", failed().alias("base_failed")), "failures")
+    rejected = host_rates(rows, host_limit).where(~F.col("host_kept")).select("host")
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
+            yield batch.filter(pa.array([passes(t) for t in texts], pa.bool_()))
+
+    passing = documents.mapInArrow(work, documents.schema)
+    return passing.join(rejected, F.coalesce(F.col(host).cast("string"), F.lit("")) == rejected["host"], "left_anti")
