@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import chat, decontamination, language_model, mixing, near_duplicates, quality, sharding, token_files, url_filter
+from barloom.llm import chat, decontamination, language_model, mixing, near_duplicates, personal_data, quality, sharding, token_files, url_filter
 from barloom.llm.common import table, text_bytes
 from barloom.session import Workspace
 
@@ -130,3 +130,19 @@ def op6_order_minhash(spark, sf_dir):
     """The class of near copies of every document."""
     rows = near_duplicates.duplicate_classes(table(spark, sf_dir, "documents"), Workspace(spark, "op6"))
     return rows.select("doc_id", "class_id", "kept")
+
+
+def _written(spans: str) -> Column:
+    names = F.array(*[F.lit(k) for k in personal_data.KINDS])
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.get(names, s["kind"]), s["start"], s["end"])), ",")
+
+
+@query
+def op3_contextual_personal_data(spark, sf_dir):
+    """Personal data of every document: base patterns and what contexts add."""
+    rows = personal_data.find(table(spark, sf_dir, "documents"), Workspace(spark, "op3"))
+
+    def count(kind: int) -> Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{personal_data.KINDS[kind]}")
+
+    return rows.select("doc_id", *[count(k) for k in range(4)], F.sha2(_written("base"), 256).alias("base_sha256"), _written("spans").alias("spans"))
