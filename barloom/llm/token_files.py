@@ -19,6 +19,8 @@ their text. A null id sorts first. An empty table gives no segments.
 from __future__ import annotations
 
 import itertools
+import json
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -104,54 +106,119 @@ class Segment:
         return value
 
 
+#: A run of ASCII and Latin-1 letters, and what may follow it without touching its ids (fixed; after A-Z is lower-cased).
+CORE = re.compile(rb"((?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([^a-z0-9\x80-\xff']*)")
+
+
+def _gather(pool: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The pieces of ``pool`` that begin at ``start`` with ``size`` entries, one after the other."""
+    ends = np.cumsum(size)
+    return pool[np.repeat(start - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)]
+
+
 class ChunkEncoder:
-    """Ids of whole texts, from ids of their pieces between white space.
+    """Ids of whole texts, from ids of their pieces.
 
-    The tokenizer drops white space and looks at no piece's neighbours, so a text's ids are those of its pieces
-    in order. Each distinct piece is encoded by the library once, until more than ``most`` are known.
+    A tokenizer that lower-cases, drops white space and marks the ends of words looks at no piece's neighbours,
+    so a text's ids are those of its pieces in order. Each distinct piece is encoded by the library once, until
+    more than ``most`` are known; letters and the punctuation after them are two pieces. Texts of other
+    tokenizers are encoded whole.
     """
 
-    def __init__(self, path: str, most: int = 250_000, at_once: int = 50_000):
+    _last: tuple[str, ChunkEncoder] | None = None
+
+    def __init__(self, path: str, most: int = 400_000, at_once: int = 50_000):
         from tokenizers import Tokenizer
 
         self.tokenizer, self.most, self.at_once = Tokenizer.from_file(path), most, at_once
+        kind = json.loads(self.tokenizer.to_str())
+        self.by_piece = kind["model"].get("end_of_word_suffix") == "</w>" and '"Lowercase"' in json.dumps(kind["normalizer"]) and '"Removed"' in json.dumps(kind["pre_tokenizer"])
+        if self.by_piece:
+            words = self.tokenizer.get_vocab(with_added_tokens=True)
+            self.ends = np.zeros(max(words.values()) + 1, bool)
+            self.ends[[i for w, i in words.items() if w.endswith("</w>")]] = True
         self._forget()
 
+    @classmethod
+    def of(cls, path: str) -> ChunkEncoder:
+        """The encoder of this worker process, kept with what it knows for its next task."""
+        if cls._last is None or cls._last[0] != path:
+            cls._last = path, cls(path)
+        return cls._last[1]
+
     def _forget(self) -> None:
-        self.slots: dict[bytes, int] = {}
-        self.pool, self.start, self.size = np.empty(0, np.uint32), np.empty(0, np.int64), np.empty(0, np.int64)
-
-    def _learn(self, pieces: list[bytes]) -> None:
-        pools, sizes = [self.pool], [self.size]
-        while pieces:
-            total, some = 0, []
-            while pieces and (total < self.at_once or not some):
-                some.append(pieces.pop().decode("utf-8", "replace"))
-                total += len(some[-1])
+        self.slots: dict[bytes, int] = {b"": 0}
+        self.pool, self.size = np.empty(0, np.uint32), np.zeros(1, np.int64)
+
+    def _learn(self, pieces: list[bytes], plain: bool) -> None:
+        """Encode new pieces, joined to texts of bounded size. A plain piece is one word of letters."""
+        pools, sizes, first = [self.pool], [self.size], 0
+        self.slots |= zip(pieces, itertools.count(len(self.slots)), strict=False)
+        while first < len(pieces):
+            some, total = [], 0
+            while first < len(pieces) and (total < self.at_once or not some):
+                some.append(pieces[first].decode("utf-8", "replace"))
+                total += len(some[-1]) + 1
+                first += 1
             found = self.tokenizer.encode("\n".join(some), add_special_tokens=False)
-            first = np.cumsum([0, *(len(s) + 1 for s in some)])
-            at = np.fromiter((o[0] for o in found.offsets), np.int64, len(found.offsets))
-            pools.append(np.array(found.ids, np.uint32))
-            sizes.append(np.bincount(np.searchsorted(first, at, "right") - 1, minlength=len(some)))
+            ids = np.array(found.ids, np.uint32)
+            if plain:
+                own = np.diff(np.flatnonzero(self.ends[ids]), prepend=-1)
+            else:
+                at = np.fromiter((o[0] for o in found.offsets), np.int64, len(ids))
+                begins = np.cumsum([0, *(len(s) + 1 for s in some)])
+                own = np.bincount(np.searchsorted(begins, at, "right") - 1, minlength=len(some))
+            if len(own) != len(some):
+                raise ValueError("pieces and ids do not agree")
+            pools.append(ids)
+            sizes.append(own)
         self.pool, self.size = np.concatenate(pools), np.concatenate(sizes)
-        self.start = np.cumsum(self.size) - self.size
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
-        split = [t.encode("utf-8", "replace").split() if t else [] for t in texts]
+        if not self.by_piece:
+            found = self.tokenizer.encode_batch_fast([t or "" for t in texts], add_special_tokens=False)
+            return [np.array(f.ids, np.uint32) for f in found]
         if len(self.slots) > self.most:
             self._forget()
-        new = list(dict.fromkeys(p for pieces in split for p in pieces if p not in self.slots))
-        if new:
-            self.slots |= zip(new, itertools.count(len(self.slots)), strict=False)
-            self._learn(new[::-1])
-        return [self._ids(pieces) for pieces in split]
-
-    def _ids(self, pieces: list[bytes]) -> np.ndarray:
-        slots = np.fromiter(map(self.slots.__getitem__, pieces), np.int64, len(pieces))
-        sizes = self.size[slots]
-        ends = np.cumsum(sizes)
-        shift = self.start[slots] - (ends - sizes)
-        return self.pool[np.repeat(shift, sizes) + np.arange(ends[-1] if len(ends) else 0)]
+        split, special = [], set()
+        for t in texts:
+            raw = t.encode("utf-8", "replace") if t else b""
+            if b"<|" in raw:  # special tokens keep their case and their neighbours
+                split.append(raw.split())
+                special.update(split[-1])
+            else:
+                split.append(raw.lower().split())
+        flat = list(itertools.chain.from_iterable(split))
+        chunks: dict[bytes, int] = dict.fromkeys(flat, 0)
+        parts: list[bytes] = []
+        words: dict[bytes, None] = {}
+        others: dict[bytes, None] = {}
+        for i, chunk in enumerate(chunks):
+            chunks[chunk] = i
+            match = CORE.fullmatch(chunk) if chunk not in special else None
+            if match is None:
+                parts += (chunk, b"")
+                if chunk not in self.slots:
+                    others[chunk] = None
+            else:
+                word, rest = match.groups()
+                parts += (word, rest)
+                if word not in self.slots:
+                    words[word] = None
+                if rest not in self.slots:
+                    others[rest] = None
+        if words:
+            self._learn(list(words), plain=True)
+        if others:
+            self._learn(list(others), plain=False)
+        start = np.cumsum(self.size) - self.size
+        slots = np.fromiter(map(self.slots.__getitem__, parts), np.int64, len(parts))
+        pool = _gather(self.pool, start[slots], self.size[slots])
+        size = self.size[slots].reshape(-1, 2).sum(axis=1)
+        start = np.cumsum(size) - size
+        places = np.fromiter(map(chunks.__getitem__, flat), np.int64, len(flat))
+        ends = np.cumsum([0, *map(len, split)])
+        return [_gather(pool, start[p], size[p]) for p in (places[a:b] for a, b in itertools.pairwise(ends))]
 
 
 def encoded_segments(documents: DataFrame, tokenizer_path: str, end_id: int = END_ID, part_bytes: int = 32 << 20, segment_tokens: int = 1 << 19) -> DataFrame:
@@ -164,7 +231,7 @@ def encoded_segments(documents: DataFrame, tokenizer_path: str, end_id: int = EN
     moved = rows.repartitionByRange(max(1, -(-total // part_bytes)), *order).sortWithinPartitions(*order).select("doc_id", "text")
 
     def work(batches: Iterator[dict[str, list]]) -> Iterator[dict[str, list]]:
-        part, encoder = TaskContext.get().partitionId(), ChunkEncoder(tokenizer_path)
+        part, encoder = TaskContext.get().partitionId(), ChunkEncoder.of(tokenizer_path)
         seq = before = held = 0
         names: list = []
         ids: list[np.ndarray] = []
