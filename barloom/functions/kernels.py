@@ -5,6 +5,7 @@ from __future__ import annotations
 import sys
 
 import numpy as np
+import pyarrow as pa
 from pyspark import cloudpickle
 
 # Executors need not have this package installed: send these functions by value.
@@ -122,84 +123,117 @@ def solve_least_squares(batch):
     return batch.assign(intercept=intercepts, weights=weights)
 
 
-def _regress(target, columns):
-    """Least squares; coefficients, residuals, and the inverse of the normal matrix."""
-    design = np.column_stack(columns)
-    solution = np.linalg.lstsq(design, target, rcond=None)[0]
-    return solution, target - design @ solution, design
+def partial_products(batches, size):
+    """Arrow batches of (symbol, interval, v) -> per series of a batch: rows and the sum of v v'."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        names = [batch.column(k).dictionary_encode() for k in ("symbol", "interval")]
+        codes = [n.indices.to_numpy(zero_copy_only=False) for n in names]
+        series, first, place = np.unique(codes[0].astype(np.int64) * (len(names[1].dictionary) + 1) + codes[1], return_index=True, return_inverse=True)
+        values = batch.column("v").flatten().to_numpy(zero_copy_only=False).reshape(-1, size)
+        rows, sums = [], []
+        for i in range(len(series)):
+            own = values[place == i]
+            rows.append(len(own))
+            sums.append((own.T @ own).ravel().tolist())
+        keys = [pa.array([batch.column(k)[int(f)].as_py() for f in first], pa.string()) for k in ("symbol", "interval")]
+        yield pa.RecordBatch.from_arrays([*keys, pa.array(rows, pa.int64()), pa.array(sums, pa.list_(pa.float64()))], ["symbol", "interval", "rows", "sums"])
+
+
+def _lag_vectors(prices, first, size):
+    """v of the prices from position ``first`` on; rows that lack a price are left out."""
+    prices = np.asarray([np.nan if p is None else p for p in prices], dtype="float64")
+    changes = np.diff(prices)
+    rows = [[1.0, prices[t - 1], *changes[t - 1 :: -1][: size - 2]] for t in range(max(first, size - 2), len(prices))]
+    table = np.array(rows, dtype="float64").reshape(-1, size)
+    return table[np.isfinite(table).all(axis=1)]
+
+
+def joined_products(batch, size):
+    """Stored sums, the sums of the stretch that follows, and the rows whose lags reach over the seam."""
+    rows, sums, tails = [], [], []
+    for old_tail, head, tail, old_rows, new_rows, old, new in zip(
+        batch["_old_tail"], batch["head"], batch["tail"], batch["_old_rows"], batch["rows"], batch["_old_sums"], batch["sums"]
+    ):
+        # The first prices of the new stretch have no row of their own there.
+        seam = _lag_vectors([*old_tail, *head], len(old_tail), size)
+        rows.append(int(old_rows + new_rows + len(seam)))
+        sums.append((np.asarray(old) + np.asarray(new) + (seam.T @ seam).ravel()).tolist())
+        tails.append([*old_tail, *tail][-(size - 2) :])
+    return batch.assign(rows=rows, sums=sums, tail=tails)
+
+
+def _least_squares(products, target, columns):
+    """Coefficients, squared residuals and the inverse of the normal matrix, from a matrix of products."""
+    normal = products[np.ix_(columns, columns)]
+    inverse = np.linalg.pinv(normal, rcond=1e-12, hermitian=True)
+    solution = inverse @ products[columns, target]
+    return solution, float(products[target, target] - solution @ products[columns, target]), inverse
+
+
+def dickey_fuller(sums, rows, size):
+    """Augmented Dickey-Fuller statistic from the products of v; the number of lags has the least Akaike criterion."""
+    products = np.asarray(sums, dtype="float64").reshape(size, size)
+    best = None
+    for lags in range(size - 2):
+        columns = [1, *range(3, 3 + lags), 0]
+        if rows <= len(columns):
+            break
+        solution, squares, inverse = _least_squares(products, 2, columns)
+        if squares <= 0.0 or inverse[0, 0] <= 0.0:
+            continue
+        criterion = rows * np.log(squares / rows) + 2 * len(columns)
+        if best is None or criterion < best[0]:
+            best = (criterion, float(solution[0] / np.sqrt(inverse[0, 0] * squares / (rows - len(columns)))))
+    return None if best is None else best[1]
 
 
-def _lagged(values, lag, start):
-    return values[start - lag : len(values) - lag]
+def dickey_fuller_batch(batch, size):
+    found = [dickey_fuller(s, n, size) for s, n in zip(batch["sums"], batch["rows"])]
+    return batch.assign(tau=np.array([np.nan if v is None else v for v in found], dtype="float64"))
 
 
-def arima_criterion(prices, p, d, q):
+def arima_criterion(sums, rows, p, d, q, size, long_order):
     """Akaike criterion of an ARIMA fit in two regressions; None where it cannot be fitted.
 
-    A long autoregression estimates the shocks, then the series is regressed on its own lags and the
-    lagged shocks. All orders leave out the same first rows, so their criteria are comparable.
+    A long autoregression estimates the shocks, then the series is regressed on its own lags and the lagged
+    shocks. Shocks are differences of lags, so both regressions are on linear forms of v.
     """
-    series = np.diff(np.asarray(prices, dtype="float64"), d)
-    length = len(series)
-    longest = max(6, min(12, length // 10))
-    start = longest + 6
-    if length - start < 2 * (p + q) + 5:
+    forms = np.zeros((long_order + q + 2, size))  # the constant, then the series and its lags
+    forms[0, 0] = 1.0
+    for lag in range(long_order + q + 1):
+        if d:
+            forms[1 + lag, 2 + lag] = 1.0
+        else:
+            forms[1 + lag, 1] = 1.0
+            if lag:
+                forms[1 + lag, 3 : 2 + lag] = -1.0
+            else:
+                forms[1, 2] = 1.0
+    products = np.asarray(sums, dtype="float64").reshape(size, size)
+    constant = [] if d else [0]
+    if rows < max(2 * (p + q) + 5, 2 * long_order):
         return None
-    constant = [] if d else [np.ones(length)]
-    try:
-        ones = [c[longest:] for c in constant]
-        lags = [_lagged(series, i, longest) for i in range(1, longest + 1)]
-        shocks = np.zeros(length)
-        shocks[longest:] = _regress(series[longest:], ones + lags)[1]
-        terms = [c[start:] for c in constant]
-        terms += [_lagged(series, i, start) for i in range(1, p + 1)]
-        terms += [_lagged(shocks, i, start) for i in range(1, q + 1)]
-        target = series[start:]
-        rest = _regress(target, terms)[1] if terms else target
-    except np.linalg.LinAlgError:
+    moments = forms @ products @ forms.T
+    weights = _least_squares(moments, 1, [*constant, *range(2, 2 + long_order)])[0]
+    shocks = np.zeros((q, len(forms)))
+    for j in range(1, q + 1):
+        shocks[j - 1, 1 + j] = 1.0
+        shocks[j - 1, constant] -= weights[: len(constant)]
+        shocks[j - 1, 2 + j : 2 + j + long_order] -= weights[len(constant) :]
+    chosen = np.vstack([np.eye(len(forms))[[1, *constant, *range(2, 2 + p)]], shocks])
+    moments = chosen @ moments @ chosen.T
+    columns = list(range(1, len(chosen)))
+    squares = _least_squares(moments, 0, columns)[1] if columns else float(moments[0, 0])
+    if not np.isfinite(squares) or squares <= 0.0:
         return None
-    variance = float(np.mean(np.square(rest)))
-    if not np.isfinite(variance) or variance <= 0.0:
-        return None
-    rows = len(target)
-    return rows * (np.log(2 * np.pi * variance) + 1) + 2 * (len(terms) + 1)
+    return rows * (np.log(2 * np.pi * squares / rows) + 1) + 2 * (len(columns) + 1)
 
 
-def arima_criteria(batch):
+def arima_criteria(batch, size, long_order):
     found = [
-        arima_criterion(prices, p, d, q) for prices, p, d, q in zip(batch["prices"], batch["p"], batch["d"], batch["q"])
+        arima_criterion(s, n, p, d, q, size, long_order)
+        for s, n, p, d, q in zip(batch["sums"], batch["rows"], batch["p"], batch["d"], batch["q"])
     ]
     return batch.assign(aic=np.array([np.nan if v is None else v for v in found], dtype="float64"))
-
-
-def dickey_fuller(prices):
-    """Augmented Dickey-Fuller statistic; the number of lags is the one of lowest Akaike criterion."""
-    series = np.asarray(prices, dtype="float64")
-    change = np.diff(series)
-    most = min(int(np.ceil(12.0 * (len(series) / 100.0) ** 0.25)), len(change) // 2 - 2)
-    best = None
-    for lags in range(max(most, 0) + 1):
-        tau, criterion = _dickey_fuller_at(series, change, lags, max(most, 0))
-        if tau is not None and (best is None or criterion < best[1]):
-            best = (lags, criterion)
-    return None if best is None else _dickey_fuller_at(series, change, best[0], best[0])[0]
-
-
-def _dickey_fuller_at(series, change, lags, start):
-    target = change[start:]
-    columns = [series[start:-1]] + [_lagged(change, i, start) for i in range(1, lags + 1)] + [np.ones(len(target))]
-    rows, width = len(target), len(columns)
-    if rows <= width:
-        return None, None
-    solution, rest, design = _regress(target, columns)
-    squares = float(rest @ rest)
-    if squares <= 0.0:
-        return None, None
-    spread = np.linalg.pinv(design.T @ design)[0, 0] * squares / (rows - width)
-    criterion = rows * np.log(squares / rows) + 2 * width
-    return (float(solution[0] / np.sqrt(spread)), criterion) if spread > 0 else (None, None)
-
-
-def dickey_fuller_batch(batch):
-    found = [dickey_fuller(prices) for prices in batch["prices"]]
-    return batch.assign(tau=np.array([np.nan if v is None else v for v in found], dtype="float64"))

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
@@ -12,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barloom.models.registry import ModelStore
-from barloom.models.search import LOOK_BACK_SPACE, PRICE_SPACE, param_map, tuned
+from barloom.models.search import LOOK_BACK_SPACE, PRICE_SPACE, error_score, param_map, tuned
 from barloom.operators.blocks import BLOCK_BARS, INDEX, KEYS, TIME
 from barloom.plans.features import BOOSTED_FEATURES, boosted_features
 
@@ -57,8 +56,7 @@ def regressor(seed: int = 42, label: str = "label") -> GBTRegressor:
 
 def train(rows: DataFrame, space: dict, folds: int = 3, n_iter: int = 50, parallelism: int = 4, seed: int = 42) -> BoostedRegressor:
     """Random search by mean squared error on contiguous folds, then a fit on all rows."""
-    evaluator = RegressionEvaluator(metricName="mse")
-    model, params = tuned(regressor(seed), space, with_contiguous_folds(rows, folds), evaluator, folds, n_iter, parallelism=parallelism, seed=seed)
+    model, params = tuned(regressor(seed), space, with_contiguous_folds(rows, folds), error_score(), folds, n_iter, parallelism=parallelism, seed=seed)
     return BoostedRegressor([model], params)
 
 
@@ -89,7 +87,7 @@ def train_price(features: DataFrame, n_iter: int = 50, folds: int = 3, space: di
 
 
 def with_next_row(bars: DataFrame) -> DataFrame:
-    """Every series plus one bar that repeats its last price, one bar length later."""
+    """Every series plus one bar that repeats its last price, just after it."""
     last = bars.groupBy(*KEYS).agg(
         F.max_by(F.struct(*[c for c in bars.columns if c not in KEYS]), TIME).alias("_last")
     )
@@ -97,6 +95,6 @@ def with_next_row(bars: DataFrame) -> DataFrame:
     return bars.unionByName(repeated.select(*bars.columns))
 
 
-def price_update_features(bars: DataFrame, block_bars: int = BLOCK_BARS, max_rows: int | None = None) -> DataFrame:
+def price_update_features(bars: DataFrame, block_bars: int = BLOCK_BARS) -> DataFrame:
     """Training rows of an update: the features of the series with its last price repeated once."""
-    return boosted_features(with_next_row(bars), block_bars, None if max_rows is None else max_rows + 1)
+    return boosted_features(with_next_row(bars), block_bars)

@@ -4,15 +4,16 @@ from __future__ import annotations
 
 import random
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Transformer
-from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barloom.operators.evaluate import roc_auc
+from barloom.operators.evaluate import accuracy, mean_score, mean_squared_error, roc_auc
 
 # Search spaces. A pair (low, high) is a range of whole numbers without its end, a list
 # is a choice. Names are those of Spark ML.
@@ -71,42 +72,53 @@ def param_map(estimator: Estimator, params: Mapping[str, object]) -> dict:
     return {estimator.getParam(name): value for name, value in params.items()}
 
 
-class ScoreEvaluator(Evaluator):
-    """Any function from scored rows to a number, as a Spark ML evaluator."""
+@dataclass(frozen=True)
+class Score:
+    """``by_fold`` gives (fold, score) of scored rows, null where a fold cannot be scored."""
 
-    def __init__(self, score: Callable[[DataFrame], float | None], larger_better: bool = True):
-        super().__init__()
-        self.score, self.larger_better = score, larger_better
+    by_fold: Callable[[DataFrame, str], DataFrame]
+    larger_better: bool = True
 
-    def _evaluate(self, dataset: DataFrame) -> float:
-        value = self.score(dataset)
-        return float("nan") if value is None else float(value)
 
-    def isLargerBetter(self) -> bool:
-        return self.larger_better
+def area_score(classes: Sequence[int], label: str = "label") -> Score:
+    """Macro one-vs-rest area; labels are positions in ``classes``. A fold of one class has none."""
 
-
-def auc_score(classes: Sequence[int], label: str = "label") -> Callable[[DataFrame], float | None]:
-    """Macro one-vs-rest area of a scored table whose labels are positions in ``classes``."""
-
-    def score(scored: DataFrame) -> float | None:
+    def by_fold(scored: DataFrame, fold: str) -> DataFrame:
         p = vector_to_array("probability")
         rows = scored.select(
-            F.lit("all").alias("group"),
+            fold,
             F.get(F.array(*[F.lit(c) for c in classes]), F.col(label).cast("int")).alias("target"),
             *[F.get(p, F.lit(i)).alias(f"p{i}") for i in range(len(classes))],
         )
-        found = roc_auc(rows, {c: f"p{i}" for i, c in enumerate(classes)}, "target", ["group"]).first()
-        return found["roc_auc"] if found else None
+        found = roc_auc(rows, {c: f"p{i}" for i, c in enumerate(classes)}, "target", [fold])
+        return found.select(fold, F.col("roc_auc").alias("score"))
+
+    return Score(by_fold)
+
+
+def accuracy_score(label: str = "label") -> Score:
+    return Score(lambda scored, fold: accuracy(scored, label, "prediction", [fold]).select(fold, F.col("accuracy").alias("score")))
+
+
+def error_score(label: str = "label") -> Score:
+    return Score(lambda scored, fold: mean_squared_error(scored, label, "prediction", [fold]).select(fold, F.col("mse").alias("score")), False)
 
-    return score
+
+def cross_validated(estimator: Estimator, params: Mapping[str, object], rows: DataFrame, score: Score, folds: int, fold_col: str = "fold") -> float | None:
+    """Mean score over the folds that can be scored; None if there is none. All folds are scored in one job."""
+    scored = None
+    for fold in range(folds):
+        model = estimator.fit(rows.where(F.col(fold_col) != fold), param_map(estimator, params))
+        part = model.transform(rows.where(F.col(fold_col) == fold))
+        scored = part if scored is None else scored.unionByName(part)
+    return mean_score(score.by_fold(scored, fold_col), [], "score").first()["mean_score"]
 
 
 def tuned(
     estimator: Estimator,
     space: Mapping[str, tuple[int, int] | list],
     rows: DataFrame,
-    evaluator: Evaluator,
+    score: Score,
     folds: int,
     n_iter: int,
     fold_col: str = "fold",
@@ -115,36 +127,14 @@ def tuned(
 ) -> tuple[Transformer, dict]:
     """Best of ``n_iter`` draws by cross-validation on the given folds, refitted on all rows.
 
-    A draw whose folds cannot be scored (one class only) counts by the folds that can.
+    Folds that cannot be scored (one class only) are left out of a draw's mean; a draw without any score
+    never wins. The first draw wins a tie.
     """
     draws = sample_params(space, n_iter, seed)
-    search = CrossValidator(
-        estimator=estimator,
-        estimatorParamMaps=[param_map(estimator, d) for d in draws],
-        evaluator=_MissingAware(evaluator),
-        numFolds=folds,
-        foldCol=fold_col,
-        parallelism=parallelism,
-        seed=seed,
-    )
-    fitted = search.fit(rows)
-    worst = float("-inf") if evaluator.isLargerBetter() else float("inf")
-    means = [worst if m != m else m for m in fitted.avgMetrics]
-    pick = max if evaluator.isLargerBetter() else min
-    chosen = draws[means.index(pick(means))]
+    with ThreadPoolExecutor(parallelism) as pool:
+        run = inheritable_thread_target(rows.sparkSession)(lambda d: cross_validated(estimator, d, rows, score, folds, fold_col))
+        means = list(pool.map(run, draws))
+    sign = 1.0 if score.larger_better else -1.0
+    ranked = [float("-inf") if m is None else sign * m for m in means]
+    chosen = draws[ranked.index(max(ranked))]
     return estimator.fit(rows, param_map(estimator, chosen)), chosen
-
-
-class _MissingAware(Evaluator):
-    """Counts a fold that cannot be scored as the value of no skill, so means stay comparable."""
-
-    def __init__(self, inner: Evaluator):
-        super().__init__()
-        self.inner = inner
-
-    def _evaluate(self, dataset: DataFrame) -> float:
-        value = self.inner.evaluate(dataset)
-        return 0.5 if value != value and self.inner.isLargerBetter() else value
-
-    def isLargerBetter(self) -> bool:
-        return self.inner.isLargerBetter()

@@ -64,18 +64,14 @@ def with_position(
     )
 
 
-def with_bar_index(bars: DataFrame, block_bars: int = BLOCK_BARS, max_rows: int | None = None) -> DataFrame:
+def with_bar_index(bars: DataFrame, block_bars: int = BLOCK_BARS) -> DataFrame:
     """Add ``bar_index``, the 0-based position of a bar in its series.
 
     Bars of a series have distinct times on a grid, so a time block of ``block_bars`` bar lengths
-    holds at most ``block_bars`` rows. Series already known to be short (``max_rows``) are numbered
-    in one step. Bars without a time have no place in a series and get no index.
+    holds at most ``block_bars`` rows. Bars without a time have no place in a series and get no index.
     """
     if INDEX in bars.columns:
         return bars
-    if max_rows is not None and max_rows <= block_bars:
-        series = Window.partitionBy(*KEYS).orderBy(TIME)
-        return bars.withColumn(INDEX, F.row_number().over(series).cast("long") - 1)
     unknown = F.raise_error(F.concat(F.lit("unknown bar size: "), F.coalesce("interval", F.lit("null")))).cast("long")
     seconds = F.coalesce(bar_seconds_col(F.col("interval")), unknown) * block_bars
     span = F.floor(F.unix_seconds(F.col(TIME).cast("timestamp")) / seconds).cast("long")

@@ -135,6 +135,16 @@ def mean_squared_error(scored: DataFrame, label: str, prediction: str = "predict
     return scored.groupBy(*keys).agg(F.avg(F.pow(F.col(label) - F.col(prediction), 2)).alias("mse"))
 
 
+def fold_scores(
+    scored: DataFrame, candidate: str, label: str = "target", prediction: str = "prediction", keys: Sequence[str] = KEYS
+) -> DataFrame:
+    """Accuracy of every candidate on every fold, with the labels that occur; null where there is only one."""
+    scores = scored.groupBy(*keys, "fold", candidate).agg(
+        F.count_distinct(label).alias("labels"), F.avg((F.col(label) == F.col(prediction)).cast("double")).alias("score")
+    )
+    return scores.withColumn("score", F.when(F.col("labels") >= 2, F.col("score")))
+
+
 def mean_score(folds: DataFrame, by: Sequence[str], score: str = "score") -> DataFrame:
     """Mean over folds; missing folds are left out."""
     return folds.groupBy(*by).agg(F.avg(score).alias("mean_score"))

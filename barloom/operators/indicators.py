@@ -48,14 +48,10 @@ class Rows:
     def lead(self, name: str, bars: int = 1) -> Column:
         return F.lead(name, bars).over(self._window())
 
-    def rolling(self, function: Callable[[str], Column], name: str, bars: int, gaps: bool = False) -> Column:
-        """Aggregate of the last ``bars`` rows, null until that many values are there.
-
-        Prices have no nulls, so the position of the row tells. Sources with ``gaps`` are counted.
-        """
+    def rolling(self, function: Callable[[str], Column], name: str, bars: int) -> Column:
+        """Aggregate of the last ``bars`` rows, null unless each of them has a value."""
         frame = self._window(frame=(-(bars - 1), 0))
-        full = F.count(name).over(frame) == bars if gaps else F.col(INDEX) >= bars - 1
-        return F.when(full, function(name).over(frame))
+        return F.when(F.count(name).over(frame) == bars, function(name).over(frame))
 
     def preceding(self, expression: Column, bars: int) -> Column:
         return expression.over(self._window(frame=(-bars, -1)))
@@ -85,8 +81,8 @@ def _row(name: str, needs: tuple[str, ...], build: Callable[[], Column], gaps: b
     return Step(name, lambda rows: build(), needs, gaps=gaps)
 
 
-def _rolling(name: str, function, source: str, bars: int, gaps: bool = False) -> Step:
-    return Step(name, lambda rows: rows.rolling(function, source, bars, gaps), (source,), bars - 1)
+def _rolling(name: str, function, source: str, bars: int) -> Step:
+    return Step(name, lambda rows: rows.rolling(function, source, bars), (source,), bars - 1)
 
 
 def _lag(name: str, source: str, bars: int) -> Step:
@@ -102,7 +98,7 @@ def _extreme(name: str, sign: str, source: str, bars: int) -> list[Step]:
     part = f"_{'lowest' if sign == 'min' else 'highest'}_{half}"
     whole = Step(
         name,
-        lambda rows: F.when(F.col(INDEX) >= bars - 1, both(F.col(part), rows.lag(part, half))),
+        lambda rows: F.when(F.col(part).isNotNull() & rows.lag(part, half).isNotNull(), both(F.col(part), rows.lag(part, half))),
         (part,),
         half,
     )
@@ -118,56 +114,92 @@ def next_value(source: str, name: str) -> list[Step]:
     return [Step(name, lambda rows: rows.lead(source), (source,), ahead=1)]
 
 
-def ema(source: str, span: int, name: str, start: int = 0) -> list[Step]:
-    """Recursive exponential average: the first value as it is, then weight 2/(span+1)."""
+def ema(source: str, span: int, name: str) -> list[Step]:
+    """Recursive exponential average: the first value as it is, then weight 2/(span+1).
+
+    A missing value keeps the average. The value after g missing ones weighs what it would have after a
+    decay of g + 1 bars, normalised again, which is what ``ewm(adjust=False)`` of pandas does.
+    """
     if span <= 1:
-        return [_row(name, (source,), lambda: F.col(source))]
+        return [Step(name, lambda rows: rows.running(F.last(source, ignorenulls=True)), (source,), 1)]
     size = recurrence.chunk_bars(span)
-    return _scan(source, span, name, start, adjust=False, size=size) + [
-        _row(name, (f"_{name}_sum", f"_{name}_carry"), lambda: _scanned(name, span, start, size))
+    at, gap = f"_at_{source}", f"_gap_{source}"
+    fade, term, faded, total, carry = (f"_{name}_{part}" for part in ("fade", "term", "faded", "sum", "carry"))
+    count, there = f"_rows_{size}", F.col(source).isNotNull()
+    return [
+        Step(at, lambda rows: rows.running(F.last(F.when(there, F.col(INDEX)), ignorenulls=True)), (source,)),
+        Step(gap, lambda rows: F.when(there, F.col(INDEX) - rows.lag(at)), (source, at), 1),
+        _row(fade, (source, gap), lambda: F.when(there, recurrence.log_fade(span, F.col(gap)))),
+        _row(term, (source, gap), lambda: F.col(source) * recurrence.new_share(span, F.col(gap))),
+        Step(faded, lambda rows: rows.running(F.sum(fade), inside=size), (fade,), 0, size),
+        Step(
+            total,
+            lambda rows: F.exp(faded) * rows.running(F.sum(F.col(term) * F.exp(-F.col(faded))), inside=size),
+            (term, faded),
+            recurrence.reach_bars(span),
+            size,
+        ),
+        Step(count, lambda rows: rows.running(F.count(F.lit(1)), inside=size), (), 0, size),
+        Step(
+            carry,
+            lambda rows: rows.earlier(F.last(recurrence.closing(size, total, faded, count), ignorenulls=True)),
+            (total, faded, count),
+            0,
+            size,
+        ),
+        _row(
+            name,
+            (total, carry, faded),
+            lambda: F.when(
+                F.col(total).isNotNull(), F.col(total) + F.exp(faded) * F.coalesce(carry, F.lit(0.0))
+            ).otherwise(F.col(carry)),
+        ),
     ]
 
 
-def weighted_average(source: str, span: int, name: str, start: int = 0) -> list[Step]:
-    """Exponentially weighted mean over the whole history, null for the first span-1 values."""
+def weighted_average(source: str, span: int, name: str) -> list[Step]:
+    """Exponentially weighted mean over the whole history, null until ``span`` values are there.
+
+    Missing values have no weight; the weights of the others go by their distance in bars.
+    """
     if span <= 1:
-        return [_row(name, (source,), lambda: F.col(source))]
+        return [Step(name, lambda rows: rows.running(F.last(source, ignorenulls=True)), (source,), 1)]
     size = recurrence.chunk_bars(span)
-    return _scan(source, span, name, start, adjust=True, size=size) + [
+    there, seen = f"_there_{source}", f"_seen_{source}"
+    return [
+        _row(there, (source,), lambda: F.when(F.col(source).isNotNull(), F.lit(1.0))),
+        Step(seen, lambda rows: rows.running(F.count(source)), (source,)),
+        *_scan(source, span, f"{name}_values", size),
+        *_scan(there, span, f"{name}_weights", size),
         _row(
             name,
-            (f"_{name}_sum", f"_{name}_carry"),
-            lambda: F.when(
-                F.col(INDEX) >= start + span - 1,
-                _scanned(name, span, start, size) / recurrence.adjusted_weight_sum(span, start),
-            ),
-        )
+            (f"_{name}_values", f"_{name}_weights", seen),
+            lambda: F.when(F.col(seen) >= span, F.col(f"_{name}_values") / F.col(f"_{name}_weights")),
+        ),
     ]
 
 
-def _scan(source: str, span: int, name: str, start: int, adjust: bool, size: int) -> list[Step]:
+def _scan(source: str, span: int, name: str, size: int) -> list[Step]:
+    """``_name``: sum of the values so far, each faded by its distance in bars."""
     place = recurrence.offset_in_chunk(size)
 
     def chunk_sum(rows: Rows) -> Column:
-        term = recurrence.chunk_input(F.col(source), span, start, adjust)
-        return recurrence.weight(span, place) * rows.running(F.sum(term * recurrence.weight(span, -place)), inside=size)
+        return recurrence.weight(span, place) * rows.running(F.sum(F.col(source) * recurrence.weight(span, -place)), inside=size)
 
     def carry(rows: Rows) -> Column:
-        closing = F.when(place == size - 1, F.col(f"_{name}_sum"))
-        return rows.earlier(F.last(closing, ignorenulls=True))
+        return rows.earlier(F.last(F.when(place == size - 1, F.coalesce(f"_{name}_sum", F.lit(0.0))), ignorenulls=True))
+
+    def whole() -> Column:
+        carried = F.coalesce(F.col(f"_{name}_carry"), F.lit(0.0))
+        return F.coalesce(F.col(f"_{name}_sum"), F.lit(0.0)) + recurrence.weight(span, place + 1) * carried
 
     return [
         Step(f"_{name}_sum", chunk_sum, (source,), recurrence.reach_bars(span), size),
         Step(f"_{name}_carry", carry, (f"_{name}_sum",), 0, size),
+        _row(f"_{name}", (f"_{name}_sum", f"_{name}_carry"), whole),
     ]
 
 
-def _scanned(name: str, span: int, start: int, size: int) -> Column:
-    carried = F.coalesce(F.col(f"_{name}_carry"), F.lit(0.0))
-    total = F.col(f"_{name}_sum") + recurrence.weight(span, recurrence.offset_in_chunk(size) + 1) * carried
-    return F.when(F.col(INDEX) >= start, total)
-
-
 def true_range() -> list[Step]:
     def widest() -> Column:
         high, low, before = F.col("high"), F.col("low"), F.col("_close_before")
@@ -226,7 +258,7 @@ def stochastic(bars: int, k_name: str, d_name: str) -> list[Step]:
         *_extreme(lowest, "min", "low", bars),
         *_extreme(highest, "max", "high", bars),
         _row(k_name, ("close", lowest, highest), lambda: ratio(F.col("close") - F.col(lowest), F.col(highest) - F.col(lowest)) * 100.0, gaps=True),
-        _rolling(d_name, F.avg, k_name, 3, gaps=True),
+        _rolling(d_name, F.avg, k_name, 3),
     ]
 
 
@@ -260,7 +292,7 @@ def adx(bars: int, name: str) -> list[Step]:
         _row("plus_di", (f"_plus_{bars}", f"_tr_{bars}"), lambda: directional(f"_plus_{bars}"), gaps=True),
         _row("minus_di", (f"_minus_{bars}", f"_tr_{bars}"), lambda: directional(f"_minus_{bars}"), gaps=True),
         _row("dx", ("plus_di", "minus_di"), imbalance, gaps=True),
-        _rolling(name, F.avg, "dx", bars, gaps=True),
+        _rolling(name, F.avg, "dx", bars),
     ]
 
 
@@ -301,7 +333,7 @@ def windowed_macd(spans: tuple[int, int, int] = (12, 26, 9)) -> list[Step]:
         *weighted_average("close", fast, "_fast_mean"),
         *weighted_average("close", slow, "_slow_mean"),
         _row("macd", ("_fast_mean", "_slow_mean"), lambda: F.col("_fast_mean") - F.col("_slow_mean")),
-        *weighted_average("macd", signal, "macd_signal", start=max(fast, slow) - 1),
+        *weighted_average("macd", signal, "macd_signal"),
     ]
 
 
@@ -315,7 +347,7 @@ def _traded() -> Column:
 
 
 def vwap(name: str = "vwap") -> list[Step]:
-    """Volume-weighted average price since the first bar read."""
+    """Volume-weighted average price since the first bar read; null on a bar without a price or volume."""
 
     def own_running(rows: Rows, term: Column, before: str) -> Column:
         return F.col(before) + rows.running(F.sum(F.when(F.col("_own"), term).otherwise(0.0)))
@@ -323,7 +355,9 @@ def vwap(name: str = "vwap") -> list[Step]:
     return [
         Step(
             name,
-            lambda rows: ratio(own_running(rows, _traded(), _TRADED), own_running(rows, F.col("volume"), _VOLUME)),
+            lambda rows: F.when(
+                _traded().isNotNull(), ratio(own_running(rows, _traded(), _TRADED), own_running(rows, F.col("volume"), _VOLUME))
+            ),
             ("high", "low", "close", "volume", _TRADED, _VOLUME),
             gaps=True,
         )
@@ -369,47 +403,48 @@ def apply_steps(
     steps: Iterable[Step],
     keep: Iterable[str],
     block_bars: int = BLOCK_BARS,
-    max_rows: int | None = None,
 ) -> DataFrame:
     """Compute steps over every series at once and keep the named ones.
 
     The result carries ``bar_index`` and ``bar_block`` and stays partitioned by (series, block).
     """
     steps = list(steps)
-    indexed = with_bar_index(bars, block_bars, max_rows)
+    indexed = with_bar_index(bars, block_bars)
     carried = [_TRADED, _VOLUME]
     layers, reach, ahead = layers_of(steps, [*indexed.columns, *carried])
-    one_block = max_rows is not None and max_rows <= block_bars
-    work = spread(indexed, 0 if one_block else reach, 0 if one_block else ahead, block_bars)
+    work = spread(indexed, reach, ahead, block_bars)
     if any(need in carried for step in steps for need in step.needs):
-        work = _with_totals(work, indexed, block_bars, one_block)
+        work = _with_totals(work, indexed, block_bars)
+    # Windows inside chunks of a block would otherwise ask for a finer partitioning first, which the others can't use.
+    work = work.repartition(*KEYS, BLOCK)
     rows = Rows(step.chunk for step in steps if step.chunk)
     if rows.chunks:
         work = work.withColumns({rows.chunk_column(s): block_of(F.col(INDEX), s) for s in rows.chunks})
     for layer in layers:
         work = work.withColumns({step.name: step.build(rows) for step in layer})
-    if not one_block:
-        work = work.where(is_own(block_bars))
+    work = work.where(is_own(block_bars))
     names = list(dict.fromkeys([*indexed.columns, BLOCK, *keep]))
     return work.select(*names)
 
 
-def _with_totals(work: DataFrame, indexed: DataFrame, block_bars: int, one_block: bool) -> DataFrame:
+def _with_totals(work: DataFrame, indexed: DataFrame, block_bars: int) -> DataFrame:
     work = work.withColumn("_own", is_own(block_bars))
-    if one_block:
-        return work.withColumns({_TRADED: F.lit(0.0), _VOLUME: F.lit(0.0)})
     blocks = indexed.withColumn(BLOCK, block_of(F.col(INDEX), block_bars))
     before = totals_before(blocks, KEYS, BLOCK, {_TRADED: F.sum(_traded()), _VOLUME: F.sum("volume")})
     # A copy beyond the last block has no totals; it is dropped with the other copies.
     return work.join(before, [*KEYS, BLOCK], "left")
 
 
-def open_columns(steps: Iterable[Step], columns: Iterable[str], block_bars: int = BLOCK_BARS) -> list[str]:
+def open_columns(steps: Iterable[Step], columns: Iterable[str], bars: DataFrame, block_bars: int = BLOCK_BARS) -> list[str]:
     """Columns whose nulls may reach past the end of a block.
 
-    Prices have no nulls, so most columns are null only while they warm up. If that ends inside the
-    first block, later blocks have nothing to fill and the first one fills itself.
+    Where no price of ``bars`` is missing, most columns are null only while they warm up. If that ends
+    inside the first block, later blocks have nothing to fill and the first one fills itself.
     """
+    columns = list(columns)
+    prices = [c for c in ("high", "low", "close", "volume") if c in bars.columns]
+    if not bars.where(F.concat(*[F.col(c).cast("string") for c in prices]).isNull()).select(F.lit(1)).isEmpty():
+        return columns
     by_name = {}
     for step in steps:
         by_name.setdefault(step.name, step)

@@ -34,12 +34,12 @@ def rises_next() -> list[ind.Step]:
     return [*ind.next_value("close", "_next_close"), ind.Step("target", lambda rows: target(), ("_next_close", "close"))]
 
 
-def binary_labels(bars: DataFrame, block_bars: int = BLOCK_BARS, max_rows: int | None = None) -> DataFrame:
-    return ind.apply_steps(bars, rises_next(), ["target"], block_bars, max_rows).drop(BLOCK)
+def binary_labels(bars: DataFrame, block_bars: int = BLOCK_BARS) -> DataFrame:
+    return ind.apply_steps(bars, rises_next(), ["target"], block_bars).drop(BLOCK)
 
 
-def with_return(bars: DataFrame, block_bars: int = BLOCK_BARS, max_rows: int | None = None) -> DataFrame:
-    return ind.apply_steps(bars, next_return(), ["return"], block_bars, max_rows).drop(BLOCK)
+def with_return(bars: DataFrame, block_bars: int = BLOCK_BARS) -> DataFrame:
+    return ind.apply_steps(bars, next_return(), ["return"], block_bars).drop(BLOCK)
 
 
 def return_thresholds(df: DataFrame) -> DataFrame:
@@ -64,11 +64,11 @@ def label_distribution(df: DataFrame) -> DataFrame:
 
 
 def look_back_windows(
-    bars: DataFrame, look_back: int = LOOK_BACK, block_bars: int = BLOCK_BARS, max_rows: int | None = None
+    bars: DataFrame, look_back: int = LOOK_BACK, block_bars: int = BLOCK_BARS
 ) -> DataFrame:
     """``x``: the preceding scaled closes, oldest first; ``y``: the scaled close that follows them."""
     scaled = min_max_scaled(bars, ["close"], suffix="_scaled")
     steps = ind.lookback("close_scaled", look_back, "x")
-    windows = ind.apply_steps(scaled, steps, ["x"], block_bars, max_rows)
+    windows = ind.apply_steps(scaled, steps, ["x"], block_bars)
     full = windows.where(F.col(INDEX) >= look_back)
     return full.select(*KEYS, "start_timestamp", INDEX, "x", F.col("close_scaled").alias("y"))

@@ -22,6 +22,8 @@ from barloom.operators.blocks import INDEX, KEYS, TIME
 
 _SMALLEST_CHUNK = 256
 _CHUNK_DECAY = 100.0  # exp(-100) is what a chunk leaves of the value two chunks back
+_ENOUGH_FADE = 35.0  # exp(-35) < 1e-15: what is left of the chunks before can't be seen any more
+_LONGEST_FADE = 150.0  # more than that is nothing either, and its inverse must stay a double
 _REACH_DECAY = 46.1  # exp(-46.1) < 1e-20: beyond this many bars a value cannot change a double
 
 
@@ -44,14 +46,29 @@ def reach_bars(span: int) -> int:
     return 0 if span <= 1 else math.ceil(_REACH_DECAY / -math.log(decay(span)))
 
 
-def chunk_input(value: Column, span: int, start: int, adjust: bool) -> Column:
-    """Term a row adds to the sum. The first row of a recursive average enters unweighted."""
-    position = F.col(INDEX)
-    if adjust:
-        term = value
-    else:
-        term = F.when(position == start, value).otherwise(value * (2.0 / (span + 1)))
-    return F.when(position >= start, term)
+def log_fade(span: int, gap: Column) -> Column:
+    """Logarithm of what a new value leaves of the average; ``gap`` is its distance to the value before, null if there is none."""
+    q = decay(span)
+    left = gap * math.log(q) - F.log(F.pow(F.lit(q), gap) + F.lit(1.0 - q))
+    return F.when(gap == 1, F.lit(math.log(q))).when(gap.isNull(), F.lit(0.0)).otherwise(F.greatest(left, F.lit(-_LONGEST_FADE)))
+
+
+def new_share(span: int, gap: Column) -> Column:
+    """Weight of a new value in the average."""
+    q = decay(span)
+    return F.when(gap == 1, F.lit(1.0 - q)).when(gap.isNull(), F.lit(1.0)).otherwise((1.0 - q) / (F.pow(F.lit(q), gap) + F.lit(1.0 - q)))
+
+
+def closing(size: int, total: str, faded: str, rows: str) -> Column:
+    """What a chunk hands on: its own part of the average on its last row.
+
+    It leaves out the chunks before, which is right as long as they have faded. Where so many values of a
+    chunk (all its ``rows`` are here) are missing that they have not, the query fails rather than giving a
+    wrong average.
+    """
+    sparse = F.raise_error(F.lit("too many missing values for an exponential average")).cast("double")
+    unfaded = (F.col(faded) > -_ENOUGH_FADE) & (F.col(rows) == size) & (F.col(INDEX) >= size)
+    return F.when(offset_in_chunk(size) == size - 1, F.when(unfaded, sparse).otherwise(F.col(total)))
 
 
 def offset_in_chunk(size: int) -> Column:
@@ -62,14 +79,6 @@ def weight(span: int, exponent: Column) -> Column:
     return F.pow(F.lit(decay(span)), exponent)
 
 
-def adjusted_weight_sum(span: int, start: int) -> Column:
-    """Closed form of the sum of weights after the row's history."""
-    q = decay(span)
-    if q == 0.0:
-        return F.lit(1.0)
-    return (1.0 - weight(span, F.col(INDEX) - start + 1)) / (1.0 - q)
-
-
 def with_sar(bars: DataFrame) -> DataFrame:
     """Add ``sar`` and ``bar_index``.
 

@@ -78,7 +78,6 @@ def add_indicators(
     side_columns: bool = True,
     extra: Sequence[ind.Step] = (),
     block_bars: int = BLOCK_BARS,
-    max_rows: int | None = None,
 ) -> DataFrame:
     """Compute exactly the requested features (and their side columns) for every series.
 
@@ -93,15 +92,14 @@ def add_indicators(
     added = list(dict.fromkeys(added))
     source = with_sar(bars) if "sar" in features else bars
     keep = [*added, *[step.name for step in extra if not step.name.startswith("_")]]
-    computed = ind.apply_steps(source, [*steps, *extra], keep, block_bars, max_rows)
+    computed = ind.apply_steps(source, [*steps, *extra], keep, block_bars)
     if not fill or not added:
         return computed.drop(BLOCK)
-    return _filled(computed, steps, added, block_bars, max_rows)
+    return _filled(computed, steps, added, block_bars)
 
 
-def _filled(computed: DataFrame, steps: Sequence[ind.Step], added: Sequence[str], block_bars: int, max_rows: int | None) -> DataFrame:
-    short = max_rows is not None and max_rows <= block_bars
-    open_ended = [] if short else ind.open_columns(steps, added, block_bars)
+def _filled(computed: DataFrame, steps: Sequence[ind.Step], added: Sequence[str], block_bars: int) -> DataFrame:
+    open_ended = ind.open_columns(steps, added, computed, block_bars)
     return ind.backfill(computed, added, open_ended, block_bars).drop(BLOCK)
 
 
@@ -114,9 +112,7 @@ LINEAR_FEATURES = ("sma_10", "ema_10", "rsi", "bollinger_high", "bollinger_low")
 BOOSTED_FEATURES = ("time_index", "sma_10", "ema_10", "volatility")
 
 
-def signal_features(
-    bars: DataFrame, extra: Sequence[ind.Step] = (), block_bars: int = BLOCK_BARS, max_rows: int | None = None
-) -> DataFrame:
+def signal_features(bars: DataFrame, extra: Sequence[ind.Step] = (), block_bars: int = BLOCK_BARS) -> DataFrame:
     steps = [
         *ind.rsi("close", 14, "rsi"),
         *ind.windowed_macd(),
@@ -126,22 +122,22 @@ def signal_features(
         *ind.rate_of_change(1, "price_rate_of_change"),
     ]
     keep = [*SIGNAL_FEATURES, *[step.name for step in extra]]
-    computed = ind.apply_steps(bars, [*steps, *extra], keep, block_bars, max_rows)
-    return _filled(computed, steps, SIGNAL_FEATURES, block_bars, max_rows)
+    computed = ind.apply_steps(bars, [*steps, *extra], keep, block_bars)
+    return _filled(computed, steps, SIGNAL_FEATURES, block_bars)
 
 
-def linear_features(bars: DataFrame, block_bars: int = BLOCK_BARS, max_rows: int | None = None) -> DataFrame:
+def linear_features(bars: DataFrame, block_bars: int = BLOCK_BARS) -> DataFrame:
     steps = [
         *ind.ema("close", 10, "ema_10"),
         *ind.rsi("close", 14, "rsi"),
         *ind.bollinger("close", 10, "sma_10", "_band", "bollinger_high", "bollinger_low"),
     ]
-    computed = ind.apply_steps(bars, steps, LINEAR_FEATURES, block_bars, max_rows)
-    filled = _filled(computed, steps, LINEAR_FEATURES, block_bars, max_rows)
+    computed = ind.apply_steps(bars, steps, LINEAR_FEATURES, block_bars)
+    filled = _filled(computed, steps, LINEAR_FEATURES, block_bars)
     return filled.withColumns({"hour": F.hour(TIME), "day_of_week": day_of_week(F.col(TIME))})
 
 
-def boosted_features(bars: DataFrame, block_bars: int = BLOCK_BARS, max_rows: int | None = None) -> DataFrame:
+def boosted_features(bars: DataFrame, block_bars: int = BLOCK_BARS) -> DataFrame:
     """Time index and three indicators of the close price scaled to [0, 1] per series."""
     scaled = min_max_scaled(bars, ["close"], suffix="_scaled")
     steps = [
@@ -149,6 +145,6 @@ def boosted_features(bars: DataFrame, block_bars: int = BLOCK_BARS, max_rows: in
         *ind.ema("close_scaled", 10, "ema_10"),
         *ind.deviation("close_scaled", 10, "volatility"),
     ]
-    computed = ind.apply_steps(scaled, steps, BOOSTED_FEATURES[1:], block_bars, max_rows)
-    filled = _filled(computed, steps, BOOSTED_FEATURES[1:], block_bars, max_rows)
+    computed = ind.apply_steps(scaled, steps, BOOSTED_FEATURES[1:], block_bars)
+    filled = _filled(computed, steps, BOOSTED_FEATURES[1:], block_bars)
     return filled.withColumn("time_index", F.col(INDEX).cast("double"))

@@ -3,25 +3,24 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, RandomForestClassificationModel
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from barloom.models import arima, boosted, linear, search
 from barloom.models.forest import SCORE_COLUMNS, GrowingForest, assembled, classifier, score_columns
-from barloom.models.registry import ModelStore, run_jobs
+from barloom.models.registry import JOB_KEYS, ModelStore, run_jobs
 from barloom.operators import balance, evaluate, labels, scaling, selection
 from barloom.operators.blocks import INDEX, KEYS
 from barloom.operators.evaluate import CLASSES
 from barloom.plans import features as sets
-from barloom.plans.strategies import BASE_FEATURES, existing_features
-from barloom.session import stage
-from barloom.sources.bars import DEFAULT_ROW_LIMIT, bars_in_range, first_bars
+from barloom.plans.strategies import BASE_FEATURES, existing_features, model_key
+from barloom.session import Workspace, stage
+from barloom.sources.bars import bars_in_range, first_bars
 from barloom.sources.store import append_metrics
 
 FIRST_DAY = "2024-01-01"  # fixed value: start of the training range
@@ -69,20 +68,18 @@ def tuned_thresholds(
     tried = selection.features_above(information, features)
     # Thresholds that keep the same features score the same; the lowest of them stands for all.
     candidates = stage(tried.groupBy(*KEYS, "features").agg(F.min("threshold").alias("threshold")), "thresholds")
-    reports = []
+    path = Workspace.current(rows.sparkSession).path("threshold-scores")
     for case in candidates.select("features").distinct().toLocalIterator():  # one row per feature list
         names = list(case["features"])
         jobs = candidates.where(F.col("features") == F.array(*[F.lit(n) for n in names])).select(*KEYS, "threshold")
         even, _ = balanced_rows(rows.join(jobs.select(*KEYS), list(KEYS), "left_semi"), names, folds)
         ready = stage(assembled(even, names), "folds")
-        scores: list[tuple] = []
 
-        def one(job: Row) -> None:
-            scores.append((*[job[k] for k in (*KEYS, "threshold")], _cross_validated(of_series(ready, job), folds, trees, seed)))
+        def one(job: Row, ready=ready) -> dict:
+            return {"threshold": job["threshold"], "score": search.cross_validated(classifier(None, seed), {"numTrees": trees}, of_series(ready, job), search.area_score(CLASSES), folds)}
 
-        run_jobs(rows.sparkSession, jobs, one, KEYS)
-        reports += scores
-    scored = rows.sparkSession.createDataFrame(reports, "symbol string, interval string, threshold double, score double")
+        run_jobs(rows.sparkSession, jobs, one, path, KEYS, "threshold double, score double")
+    scored = rows.sparkSession.read.schema("symbol string, interval string, threshold double, score double").parquet(path)
     best = evaluate.best_of(scored, F.col("score"), "threshold", ["threshold"])
     chosen = candidates.join(best, [*KEYS, "threshold"], "left_semi").select(*KEYS, "features")
     everything = F.array(*[F.lit(f) for f in features])
@@ -91,21 +88,6 @@ def tuned_thresholds(
     )
 
 
-def _cross_validated(rows: DataFrame, folds: int, trees: int, seed: int) -> float | None:
-    """Mean area over folds; folds whose test rows hold one class are left out."""
-    score = search.auc_score(CLASSES)
-    values = []
-    for fold in range(folds):
-        test = rows.where(F.col("fold") == fold)
-        if test.select("label").distinct().count() < 2:
-            continue
-        model = classifier(None, seed).setNumTrees(trees).fit(rows.where(F.col("fold") != fold))
-        value = score(model.transform(test))
-        if value is not None:
-            values.append(value)
-    return sum(values) / len(values) if values else None
-
-
 def chosen_features(rows: DataFrame, features: Sequence[str], force: bool, **tuning) -> DataFrame:
     """``final_features`` per series: all of them when forced, else selected from the data."""
     if force:
@@ -121,18 +103,6 @@ def scaling_of(statistics: DataFrame, job: Row, features: Sequence[str]) -> dict
     return {f: (row[f"_mean_{f}"], row[f"_deviation_{f}"]) for f in features}
 
 
-def metrics_of(scored: DataFrame, job: Row, now: dt.datetime) -> DataFrame:
-    found = evaluate.classification_metrics(score_columns(scored), SCORE_COLUMNS)
-    return found.select(
-        F.col("symbol").alias("asset"), "interval", F.lit(job["strategy"]).alias("strategy"),
-        "accuracy", "precision", "recall", "f1_score", "roc_auc", F.lit(now).alias("timestamp"),
-    )
-
-
-def model_key(job: Row, features: Sequence[str]) -> str:
-    return "trained_models/" + "_".join([job["symbol"], job["interval"], *features]).replace(" ", "")
-
-
 def train_strategies(
     bars: DataFrame,
     jobs: DataFrame,
@@ -150,75 +120,84 @@ def train_strategies(
 ) -> DataFrame:
     """Train or update one forest per (symbol, interval, strategy) and report how each job went.
 
-    Indicators, labels, scaling and balance of a strategy are computed for all its series together.
-    Metrics are in-sample on the balanced rows; with ``holdout`` that share of the latest rows is kept
-    out of training and scored instead.
+    Indicators, labels, scaling and balance of a strategy are computed for all its series together. A model
+    is saved before anything is said about it; metrics and registry rows are written once per table of jobs,
+    by one writer. Metrics are in-sample on the balanced rows; with ``holdout`` that share of the latest rows
+    is kept out of training and scored instead. With ``replace_metrics`` those of this run replace all older.
     """
+    spark, path = bars.sparkSession, store.report_path("strategies")
     read = bars_in_range(bars, values)
-    reports = []
+    run_at = dt.datetime.now(dt.timezone.utc)
+    keyed = jobs.withColumn("model_key", F.concat(F.lit("trained_models/"), model_key(F.col("symbol"), F.col("interval"), F.col("features"))))
     groups = jobs.select("interval", "strategy", "features", "force_features").distinct()
     for group in groups.toLocalIterator():  # at most one per bar size and strategy
-        mine = jobs.where((F.col("interval") == group["interval"]) & (F.col("strategy") == group["strategy"]))
-        wanted = read.join(mine.select(*KEYS), list(KEYS), "left_semi")
-        features = list(dict.fromkeys([*BASE_FEATURES, *group["features"]]))
-        rows = stage(strategy_rows(wanted, features), "strategy-rows")
-        kept, unseen = rows, None
-        if holdout:
-            length = rows.groupBy(*KEYS).agg((F.max(INDEX) * (1.0 - holdout)).alias("_end"))
-            marked = rows.join(length, list(KEYS), "left")
-            kept, unseen = marked.where(F.col(INDEX) <= F.col("_end")), marked.where(F.col(INDEX) > F.col("_end"))
-        stored = {j["symbol"]: model_key(j, group["features"]) for j in mine.select(*KEYS).toLocalIterator()}
-        known = {s: GrowingForest.load(store, k).features for s, k in stored.items() if store.exists(k)}
-        new = kept.where(~F.col("symbol").isin(list(known))) if known else kept
-        lists = {s: tuple(f) for s, f in known.items()}
-        if len(known) < len(stored):
-            chosen = chosen_features(new, features, group["force_features"], folds=folds, trees=threshold_trees)
-            lists.update({row["symbol"]: tuple(row["final_features"]) for row in chosen.toLocalIterator()})
-        # Series with the same feature list are scaled and balanced together.
-        for names in sorted(set(lists.values())):
-            symbols = [s for s, f in lists.items() if f == names]
-            part = kept.where(F.col("symbol").isin(symbols))
-            even, statistics = balanced_rows(part, names, folds)
-            ready, statistics = stage(assembled(even, names), "training"), stage(statistics, "scaling")
-
-            def one(job: Row) -> None:
-                data, key = of_series(ready, job), stored[job["symbol"]]
-                scale = scaling_of(statistics, job, names)
-                if store.exists(key):
-                    model = GrowingForest.load(store, key).grown(data.drop("features", "label"), scale, trees=new_trees)
-                else:
-                    fitted, params = search.tuned(
-                        classifier(), space, data, search.ScoreEvaluator(search.auc_score(CLASSES)), folds, n_iter, parallelism=parallelism
-                    )
-                    model = GrowingForest(list(names), scale, [fitted], params)
-                if unseen is None:
-                    scored = model.transform(data.drop("features", "label"), scaled=True)
-                else:
-                    scored = model.transform(of_series(unseen, job))
-                append_metrics(metrics_of(scored, job, dt.datetime.now(dt.timezone.utc)), metrics_path, replace_metrics)
-                model.save(store, key)
-
-            work = mine.where(F.col("symbol").isin(symbols)).select("symbol", "interval", "strategy")
-            reports.append(run_jobs(bars.sparkSession, work, one, parallelism=parallelism))
-    return _all(reports)
-
-
-def _all(reports: list[DataFrame]) -> DataFrame:
-    if not reports:
-        raise ValueError("no jobs")
-    whole = reports[0]
-    for report in reports[1:]:
-        whole = whole.unionByName(report)
-    return whole
+        with Workspace(spark, "strategies"):
+            mine = keyed.where((F.col("interval") == group["interval"]) & (F.col("strategy") == group["strategy"]))
+            features = list(dict.fromkeys([*BASE_FEATURES, *group["features"]]))
+            rows = stage(strategy_rows(read.join(mine.select(*KEYS), list(KEYS), "left_semi"), features), "strategy-rows")
+            kept, unseen = rows, None
+            if holdout:
+                length = rows.groupBy(*KEYS).agg((F.max(INDEX) * (1.0 - holdout)).alias("_end"))
+                marked = rows.join(length, list(KEYS), "left")
+                kept, unseen = marked.where(F.col(INDEX) <= F.col("_end")), marked.where(F.col(INDEX) > F.col("_end"))
+            known = store.registered("strategy").select("model_key", F.col("features").alias("final_features"))
+            updates = mine.join(known, "model_key").select(*JOB_KEYS, "model_key", "final_features", F.lit(True).alias("stored"))
+            new = mine.join(known, "model_key", "left_anti")
+            lists = updates
+            if not new.isEmpty():
+                some = kept.join(new.select(*KEYS), list(KEYS), "left_semi")
+                chosen = chosen_features(some, features, group["force_features"], folds=folds, trees=threshold_trees)
+                lists = lists.unionByName(new.join(chosen, list(KEYS)).select(*JOB_KEYS, "model_key", "final_features", F.lit(False).alias("stored")))
+            lists = stage(lists, "jobs")
+            # Series with the same feature list are scaled and balanced together.
+            for case in lists.select("final_features").distinct().toLocalIterator():
+                names = list(case["final_features"])
+                work = lists.where(F.col("final_features") == F.array(*[F.lit(n) for n in names]))
+                part = kept.join(work.select(*KEYS), list(KEYS), "left_semi")
+                even, statistics = balanced_rows(part, names, folds)
+                ready, statistics = stage(assembled(even, names), "training"), stage(statistics, "scaling")
+
+                def one(job: Row, names=names, ready=ready, statistics=statistics, unseen=unseen) -> dict:
+                    data, key = of_series(ready, job), job["model_key"]
+                    scale = scaling_of(statistics, job, names)
+                    plain = data.drop("features", "label")
+                    if job["stored"]:
+                        model = GrowingForest.load(store, key).grown(plain, scale, trees=new_trees)
+                    else:
+                        fitted, params = search.tuned(
+                            classifier(), space, data, search.area_score(CLASSES), folds, n_iter, parallelism=parallelism
+                        )
+                        model = GrowingForest(names, [scale], [fitted], params)
+                    model.save(store, key)
+                    scored = model.transform(plain, scale) if unseen is None else model.transform(of_series(unseen, job))
+                    found = evaluate.classification_metrics(score_columns(scored), SCORE_COLUMNS).first()
+                    return {**(found.asDict() if found else {}), "model_key": key, "features": names}
+
+                run_jobs(spark, work, one, path, results=STRATEGY_RESULTS, parallelism=parallelism)
+    report = run_jobs(spark, keyed.limit(0), lambda job: None, path, results=STRATEGY_RESULTS)
+    done = report.where("status = 'ok'")
+    append_metrics(metrics_rows(done, run_at), metrics_path, replace_metrics)
+    store.register(done.withColumn("kind", F.lit("strategy")))
+    return report
+
+
+# What a training job reports beside its status.
+STRATEGY_RESULTS = "model_key string, features array<string>, accuracy double, precision double, recall double, f1_score double, roc_auc double"
+
+
+def metrics_rows(report: DataFrame, at: dt.datetime) -> DataFrame:
+    """Rows of the metrics table from the report of a training run."""
+    return report.select(
+        F.col("symbol").alias("asset"), "interval", "strategy", "accuracy", "precision", "recall", "f1_score", "roc_auc", F.lit(at).alias("timestamp")
+    )
 
 
 # --- signals ---------------------------------------------------------------------------------------
 
 
 def signal_rows(bars: DataFrame) -> DataFrame:
-    """Signal features and the binary target over the rows a signal model reads."""
-    read = first_bars(bars)
-    rows = sets.signal_features(read, labels.rises_next(), max_rows=DEFAULT_ROW_LIMIT)
+    """Signal features and the binary target of all bars given."""
+    rows = sets.signal_features(bars, labels.rises_next())
     return labels.complete_rows(rows, [*existing_features(rows, list(sets.SIGNAL_FEATURES)), "target"])
 
 
@@ -230,32 +209,52 @@ def train_signals(
     forest_space: dict = search.SIGNAL_FOREST_SPACE,
     boosted_space: dict = search.SIGNAL_BOOSTED_SPACE,
     parallelism: int = 4,
+    rows: int | None = None,
+    latest: bool = False,
 ) -> DataFrame:
-    """Forest and boosted trees per series, combined by a soft vote; refitted when already stored."""
-    folded = evaluate.stratified_folds(stage(signal_rows(bars), "signals"), [*KEYS, INDEX], folds=folds)
-    rows = VectorAssembler(inputCols=list(sets.SIGNAL_FEATURES), outputCol="features").transform(
-        folded.withColumn("label", F.col("target").cast("double"))
-    )
-    rows = stage(rows, "signal-rows")
-    evaluator = MulticlassClassificationEvaluator(metricName="accuracy")
-    models = {
-        "forest": (classifier(None), forest_space),
-        "boosted": (GBTClassifier(featuresCol="features", labelCol="label", seed=search.SEED), boosted_space),
-    }
-
-    def one(job: Row) -> None:
-        data, key = of_series(rows, job), signal_key(job)
-        parts, params = {}, {}
-        for name, (estimator, space) in models.items():
-            if store.exists(key):
-                params[name] = store.note(key)["params"][name]
-                parts[name] = estimator.fit(data, search.param_map(estimator, params[name]))
-            else:
-                parts[name], params[name] = search.tuned(estimator, space, data, evaluator, folds, n_iter, parallelism=parallelism)
-        store.save(key, parts, {"params": params, "features": list(sets.SIGNAL_FEATURES)})
+    """Forest and boosted trees per series, combined by a soft vote; refitted when already stored.
+
+    ``rows`` bounds the bars that a classifier learns from, per series: its oldest ones, or its newest with
+    ``latest``. By default it learns from all of them.
+    """
+    spark = bars.sparkSession
+    with Workspace(spark, "signals"):
+        read = bars if rows is None else first_bars(bars, rows, latest)
+        folded = evaluate.stratified_folds(stage(signal_rows(read), "signals"), [*KEYS, INDEX], folds=folds)
+        ready = VectorAssembler(inputCols=list(sets.SIGNAL_FEATURES), outputCol="features").transform(
+            folded.withColumn("label", F.col("target").cast("double"))
+        )
+        ready = stage(ready, "signal-rows")
+        evaluator = search.accuracy_score()
+        models = {
+            "forest": (classifier(None), forest_space),
+            "boosted": (GBTClassifier(featuresCol="features", labelCol="label", seed=search.SEED), boosted_space),
+        }
+
+        def one(job: Row) -> dict:
+            data, key = of_series(ready, job), signal_key(job)
+            parts, params = {}, {}
+            for name, (estimator, space) in models.items():
+                if job["stored"]:
+                    params[name] = store.note(key)["params"][name]
+                    parts[name] = estimator.fit(data, search.param_map(estimator, params[name]))
+                else:
+                    parts[name], params[name] = search.tuned(estimator, space, data, evaluator, folds, n_iter, parallelism=parallelism)
+            store.save(key, parts, {"params": params, "features": list(sets.SIGNAL_FEATURES)})
+            return {"model_key": key}
+
+        return _run_series(spark, store, "signal", ready, one, parallelism)
+
 
-    series = rows.select(*KEYS).distinct()
-    return run_jobs(bars.sparkSession, series, one, KEYS, parallelism)
+def _run_series(spark: SparkSession, store: ModelStore, kind: str, rows: DataFrame, one: Callable[[Row], dict], parallelism: int) -> DataFrame:
+    """Run one job per series of ``rows``, each told whether its model is ``stored``, and register what went well."""
+    known = store.registered(kind).select(*KEYS, F.lit(True).alias("stored"))
+    series = rows.select(*KEYS).distinct().join(known, list(KEYS), "left")
+    work = series.withColumn("stored", F.coalesce("stored", F.lit(False)))
+    report = run_jobs(spark, work, one, store.report_path(kind), KEYS, "model_key string", parallelism)
+    done = report.where("status = 'ok'").withColumns({"kind": F.lit(kind), "strategy": F.lit(None), "features": F.lit(None)})
+    store.register(done)
+    return report
 
 
 def signal_key(job: Row) -> str:
@@ -288,75 +287,79 @@ def train_look_back(
     space: dict = search.LOOK_BACK_SPACE,
     parallelism: int = 4,
 ) -> DataFrame:
-    """Boosted regression of the next scaled close on the closes before it; boosted on when stored."""
-    windows = stage(labels.look_back_windows(first_bars(bars), look_back, max_rows=DEFAULT_ROW_LIMIT), "look-back")
-
-    def one(job: Row) -> None:
-        data, key = of_series(windows, job), f"elliott_wave_models/{job['symbol']}_{job['interval']}"
-        if store.exists(key):
-            model = boosted.BoostedRegressor.load(store, key).continued(boosted.look_back_rows(data))
-        else:
-            model = boosted.train_look_back(data, n_iter, folds, space, parallelism=parallelism)
-        model.save(store, key)
+    """Boosted regression of the next scaled close on the closes before it, over whole series; boosted on when stored."""
+    spark = bars.sparkSession
+    with Workspace(spark, "look-back"):
+        windows = stage(labels.look_back_windows(bars, look_back), "windows")
+
+        def one(job: Row) -> dict:
+            data, key = of_series(windows, job), f"elliott_wave_models/{job['symbol']}_{job['interval']}"
+            if job["stored"]:
+                model = boosted.BoostedRegressor.load(store, key).continued(boosted.look_back_rows(data))
+            else:
+                model = boosted.train_look_back(data, n_iter, folds, space, parallelism=parallelism)
+            model.save(store, key)
+            return {"model_key": key}
 
-    series = bars.select(*KEYS).distinct()
-    return run_jobs(bars.sparkSession, series, one, KEYS, parallelism)
+        return _run_series(spark, store, "look_back", windows, one, parallelism)
 
 
 # --- technical ---------------------------------------------------------------------------------------
 
 
 def train_linear(bars: DataFrame, store: ModelStore) -> DataFrame:
-    """Linear models of all series in one job; stored series are refitted on old and new scaling."""
-    rows = sets.linear_features(first_bars(bars, DEFAULT_ROW_LIMIT), max_rows=DEFAULT_ROW_LIMIT)
-    rows = stage(labels.complete_rows(rows, list(sets.LINEAR_FEATURES)), "linear-rows")
-    stored = store.table("linear")
-    if stored is None:
-        model = linear.fit(rows)
-    else:
-        names = [f"_{side}_{f}" for f in sets.LINEAR_FEATURES for side in ("low", "high")]
-        known = rows.join(stored.select(*KEYS), list(KEYS), "left_semi")
-        fresh = rows.join(stored.select(*KEYS), list(KEYS), "left_anti")
-        model = linear.fit(known, stored.select(*KEYS, *names)).unionByName(linear.fit(fresh))
-    store.save_table("linear", model, KEYS)
+    """Linear models of all series in one job, over whole series; stored series are refitted on old and new scaling."""
+    with Workspace(bars.sparkSession, "linear"):
+        rows = stage(labels.complete_rows(sets.linear_features(bars), list(sets.LINEAR_FEATURES)), "linear-rows")
+        stored = store.table("linear")
+        if stored is None:
+            model = linear.fit(rows)
+        else:
+            names = [f"_{side}_{f}" for f in sets.LINEAR_FEATURES for side in ("low", "high")]
+            known = rows.join(stored.select(*KEYS), list(KEYS), "left_semi")
+            fresh = rows.join(stored.select(*KEYS), list(KEYS), "left_anti")
+            model = linear.fit(known, stored.select(*KEYS, *names)).unionByName(linear.fit(fresh))
+        store.save_table("linear", model, KEYS)
     return store.table("linear")
 
 
 def train_arima(bars: DataFrame, store: ModelStore) -> DataFrame:
-    """Order search of all series in one job; stored series keep their order and extend their history."""
-    prices = stage(arima.price_arrays(bars), "prices")
-    stored = store.table("arima")
-    fresh = prices if stored is None else prices.join(stored.select(*KEYS), list(KEYS), "left_anti")
-    orders = arima.require_orders(arima.best_orders(arima.order_criteria(fresh)))
-    model = fresh.join(orders, list(KEYS)).select(*KEYS, "prices", "p", "d", "q", "aic")
-    if stored is not None:
-        extended = stage(arima.extended_history(stored, prices), "history")
-        model = model.unionByName(extended.join(arima.refit(extended).select(*KEYS, "aic"), list(KEYS)).select(*model.columns))
-    store.save_table("arima", model, KEYS)
+    """Order search of all series in one job, over whole series; stored series keep their order and go on."""
+    with Workspace(bars.sparkSession, "arima"):
+        stored = store.table("arima")
+        sums = stage(arima.lagged_sums(bars, None if stored is None else stored), "sums")
+        fresh = sums if stored is None else sums.join(stored.select(*KEYS), list(KEYS), "left_anti")
+        model = arima.fitted(arima.require_orders(arima.best_orders(arima.order_criteria(fresh))), fresh)
+        if stored is not None:
+            known = stage(arima.extended(stored, sums), "extended")
+            model = model.unionByName(arima.refit(known))
+        store.save_table("arima", model, KEYS)
     return store.table("arima")
 
 
 def train_prices(
     bars: DataFrame, store: ModelStore, n_iter: int = 50, folds: int = 3, space: dict = search.PRICE_SPACE, parallelism: int = 4
 ) -> DataFrame:
-    """Boosted regression on time index and averages; refitted with one repeated row when stored."""
-    read = first_bars(bars, DEFAULT_ROW_LIMIT)
-    rows = stage(sets.boosted_features(read, max_rows=DEFAULT_ROW_LIMIT), "price-rows")
-    longer = stage(boosted.price_update_features(read, max_rows=DEFAULT_ROW_LIMIT), "price-update-rows")
-
-    def one(job: Row) -> None:
-        key = f"technical_models/{job['symbol']}_{job['interval']}_price"
-        if store.exists(key):
-            model = boosted.BoostedRegressor.load(store, key).refitted(boosted.price_rows(of_series(longer, job)))
-        else:
-            model = boosted.train_price(of_series(rows, job), n_iter, folds, space, parallelism=parallelism)
-        model.save(store, key)
+    """Boosted regression on time index and averages, over whole series; refitted with one repeated row when stored."""
+    spark = bars.sparkSession
+    with Workspace(spark, "prices"):
+        rows = stage(sets.boosted_features(bars), "price-rows")
+        longer = stage(boosted.price_update_features(bars), "price-update-rows")
+
+        def one(job: Row) -> dict:
+            key = f"technical_models/{job['symbol']}_{job['interval']}_price"
+            if job["stored"]:
+                model = boosted.BoostedRegressor.load(store, key).refitted(boosted.price_rows(of_series(longer, job)))
+            else:
+                model = boosted.train_price(of_series(rows, job), n_iter, folds, space, parallelism=parallelism)
+            model.save(store, key)
+            return {"model_key": key}
 
-    return run_jobs(bars.sparkSession, rows.select(*KEYS).distinct(), one, KEYS, parallelism)
+        return _run_series(spark, store, "price", rows, one, parallelism)
 
 
 def train_technical(bars: DataFrame, store: ModelStore, n_iter: int = 50, **options) -> DataFrame:
-    """Linear, ARIMA and price models over the same rows."""
+    """Linear, ARIMA and price models over the same bars."""
     train_linear(bars, store)
     train_arima(bars, store)
     return train_prices(bars, store, n_iter, **options)

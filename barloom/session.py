@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from collections.abc import Iterable
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,35 +34,32 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach.
-
-    The cluster names it in ``spark.checkpoint.dir``. Only a local master may fall back to a
-    temporary folder of this machine.
-    """
+    """Folder that every executor can reach, as the cluster names it in ``spark.checkpoint.dir``."""
     named = spark.conf.get(CHECKPOINT_DIR, None)
-    if named:
-        return named.rstrip("/")
-    if not spark.conf.get("spark.master", "local").startswith("local"):
+    if not named:
         raise ValueError(f"set {CHECKPOINT_DIR} to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="barloom-")
-    spark.conf.set(CHECKPOINT_DIR, folder)
-    return folder
+    return named.rstrip("/")
+
+
+def for_local_runs(spark: SparkSession) -> SparkSession:
+    """Where no shared folder is named and all runs in this machine's one process, take a temporary one."""
+    if not spark.conf.get(CHECKPOINT_DIR, None) and re.fullmatch(r"local(\[[^-]*\])?", spark.conf.get("spark.master", "")):
+        spark.conf.set(CHECKPOINT_DIR, tempfile.mkdtemp(prefix="barloom-"))
+    return spark
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/barloom/{label}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back.
+def stage(df: DataFrame, label: str, workspace: Workspace | None = None) -> DataFrame:
+    """Write ``df`` once to a workspace (the innermost open one, if none is given) and read it back.
 
     Used where a result feeds several later passes (selection, scaling, balancing, folds): one
     computation instead of one per pass, and a lost executor re-reads files instead of replaying
-    the whole lineage.
+    the whole lineage. Without an open workspace there is nobody to remove the files, which is an error.
     """
-    path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return (workspace or Workspace.current(df.sparkSession)).stage(df, label)
 
 
 class Workspace:
@@ -73,9 +72,22 @@ class Workspace:
 
     _open: dict[str, list[Workspace]] = {}
 
-    def __init__(self, spark: SparkSession, label: str):
+    def __init__(self, spark: SparkSession, label: str, innermost: bool = True):
         self.spark, self.folder = spark, scratch_path(spark, label)
-        self._open.setdefault(spark.sparkContext.applicationId, []).append(self)
+        mine = self._open.setdefault(spark.sparkContext.applicationId, [])
+        mine.insert(len(mine) if innermost else 0, self)
+
+    @property
+    def is_open(self) -> bool:
+        return self in self._open.get(self.spark.sparkContext.applicationId, [])
+
+    @classmethod
+    def current(cls, spark: SparkSession) -> Workspace:
+        """The workspace of this session that was opened last and is still open."""
+        mine = cls._open.get(spark.sparkContext.applicationId)
+        if not mine:
+            raise ValueError("open a Workspace first: staged tables need an owner that removes them")
+        return mine[-1]
 
     def path(self, name: str) -> str:
         return f"{self.folder}/{name}-{uuid.uuid4().hex[:12]}"
@@ -92,9 +104,8 @@ class Workspace:
             _delete(self.spark, file)
 
     def close(self) -> None:
-        mine = self._open.get(self.spark.sparkContext.applicationId, [])
-        if self in mine:
-            mine.remove(self)
+        if self.is_open:
+            self._open[self.spark.sparkContext.applicationId].remove(self)
             _delete(self.spark, self.folder)
 
     def __enter__(self) -> Workspace:
@@ -110,7 +121,12 @@ def _delete(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
-def release(spark: SparkSession) -> None:
-    """Close every workspace of this session that is still open."""
-    for workspace in list(Workspace._open.get(spark.sparkContext.applicationId, [])):
-        workspace.close()
+def open_workspaces(spark: SparkSession) -> list[Workspace]:
+    return list(Workspace._open.get(spark.sparkContext.applicationId, []))
+
+
+def release(spark: SparkSession, keep: Iterable[Workspace] = ()) -> None:
+    """Close the workspaces of this session that are still open, but for those to ``keep``."""
+    for workspace in open_workspaces(spark):
+        if workspace not in keep:
+            workspace.close()

@@ -93,9 +93,14 @@ def bars_from_ticks(ticks: DataFrame, sizes: Sequence[str] = tuple(BAR_SECONDS))
         ticks.groupBy("symbol", bucket_start(F.col("ts"), F.lit(base)).alias("_at"))
         .agg(*tick_totals())
     )
-    sizes_of_row = F.explode(F.array(*[F.struct(F.lit(s).alias("interval"), F.lit(n).alias("n")) for s, n in seconds.items()]))
+    return rolled_up(fine.withColumnRenamed("_at", TIME), sizes)
+
+
+def rolled_up(bars: DataFrame, sizes: Sequence[str]) -> DataFrame:
+    """Longer bars from shorter ones (symbol, time, prices) whose length divides theirs."""
+    seconds = [F.struct(F.lit(s).alias("interval"), F.lit(bar_seconds(s)).alias("n")) for s in sizes]
     return (
-        fine.select("*", sizes_of_row.alias("size"))
+        bars.select("symbol", F.col(TIME).alias("_at"), *PRICES, F.explode(F.array(*seconds)).alias("size"))
         .groupBy("symbol", F.col("size.interval").alias("interval"), bucket_start(F.col("_at"), F.col("size.n")).alias(TIME))
         .agg(
             F.min_by("open", "_at").alias("open"),

@@ -35,9 +35,20 @@ def unseen(batch: DataFrame, stored: DataFrame) -> DataFrame:
     return batch.join(found, list(BAR_KEYS), "left_anti")
 
 
+def first_of_each(batch: DataFrame, arrival: str = "arrival") -> DataFrame:
+    """One bar per key: the one that arrived first, or the one of least values where nothing tells the order.
+
+    Copies collapse before the shuffle: this is an aggregate.
+    """
+    values = [c for c in batch.columns if c not in (*BAR_KEYS, arrival)]
+    whole = F.struct(*values)
+    order = F.struct(F.col(arrival), *values) if arrival in batch.columns else whole
+    return batch.groupBy(*BAR_KEYS).agg(F.min_by(whole, order).alias("_first")).select(*BAR_KEYS, "_first.*").select(*[c for c in batch.columns if c != arrival])
+
+
 def merged(batch: DataFrame, stored: DataFrame) -> DataFrame:
-    """Stored bars after an append: the old ones and the unseen ones, none without a time."""
-    return with_time(stored.unionByName(unseen(batch, stored)))
+    """Stored bars after an append: the old ones and the unseen ones, each once, none without a time."""
+    return with_time(stored.unionByName(unseen(first_of_each(batch), stored)))
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
@@ -50,10 +61,12 @@ def table_exists(spark: SparkSession, path: str) -> bool:
 def append_bars(batch: DataFrame, path: str) -> None:
     """Add unseen bars, one folder per (interval, symbol), files sorted by time.
 
-    Running it twice with the same batch adds nothing the second time, so a retried batch is safe.
+    Of copies in the batch the first stays (see ``first_of_each``). Running it twice with the same batch adds
+    nothing the second time, so a retried batch is safe.
     """
     spark = batch.sparkSession
-    fresh = with_time(batch.select(*BARS_SCHEMA.names))
+    arrival = [c for c in ("arrival",) if c in batch.columns]
+    fresh = first_of_each(with_time(batch.select(*BARS_SCHEMA.names, *arrival)))
     if table_exists(spark, path):
         fresh = unseen(fresh, spark.read.schema(BARS_SCHEMA).parquet(path))
     # Months spread a large first load of one series over many tasks and files.

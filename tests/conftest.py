@@ -36,7 +36,25 @@ def sf_dir():
 @pytest.fixture(scope="session")
 def bars(spark, sf_dir):
     """Bars of all sizes, written once for the whole test run."""
-    from barloom.session import stage
+    from barloom.session import Workspace
     from verification import fixtures
 
-    return stage(fixtures.bars(spark, sf_dir), "test-bars")
+    return Workspace(spark, "test-bars", innermost=False).stage(fixtures.bars(spark, sf_dir), "bars")
+
+
+@pytest.fixture(autouse=True)
+def scratch(request):
+    """Every test has a workspace, and nothing but what outlives it by design is left when it is over."""
+    if "spark" not in request.fixturenames:
+        yield None
+        return
+    from barloom.session import Workspace, open_workspaces, release
+
+    spark = request.getfixturevalue("spark")
+    before = open_workspaces(spark)
+    with Workspace(spark, "test") as workspace:
+        yield workspace
+    shared = [w for w in open_workspaces(spark) if w.folder.rsplit("/", 1)[-1].startswith(("test-bars", "stored-bars"))]
+    release(spark, [*before, *shared])
+    left = {w.folder.rsplit("/", 1)[-1] for w in open_workspaces(spark)}
+    assert set(os.listdir(os.path.dirname(workspace.folder))) <= left

@@ -13,7 +13,7 @@ from barloom.models import arima, linear
 from barloom.operators import balance, evaluate, labels, ranking, scaling, selection
 from barloom.operators.blocks import INDEX, KEYS, TIME
 from barloom.plans import features as sets, strategies
-from barloom.session import scratch_path
+from barloom.session import Workspace
 from barloom.sources import bars as src, payloads, store
 
 RELAXED = settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
@@ -50,7 +50,7 @@ def test_instruments_need_success_time_and_symbol(spark):
 
 
 def test_append_twice_is_append_once(spark, bars):
-    path = scratch_path(spark, "bars")
+    path = Workspace.current(spark).path("bars")
     part = bars.where("interval = '1h'")
     with_null = part.unionByName(part.limit(1).withColumn(TIME, F.lit(None).cast("timestamp")))
     for _ in range(2):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.session import prepare, stage
+from barloom.session import Workspace, prepare
 from barloom.sources.bars import bars_from_ticks
 
 
@@ -32,7 +32,7 @@ def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ticks_of(table(spark, sf_dir, "events"))
 
 
-_STORED: dict[tuple[str, str], DataFrame] = {}
+_STORED: dict[tuple[str, str], tuple[Workspace, DataFrame]] = {}
 
 
 def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,6 +41,8 @@ def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     Operators read stored bars, so their plans start at a scan of that table.
     """
     key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _STORED:
-        _STORED[key] = stage(bars_from_ticks(ticks(spark, sf_dir)), "stored-bars")
-    return _STORED[key]
+    if key not in _STORED or not _STORED[key][0].is_open:
+        # Below the query's own workspace, which must stay the innermost one.
+        workspace = Workspace(spark, "stored-bars", innermost=False)
+        _STORED[key] = workspace, workspace.stage(bars_from_ticks(ticks(spark, sf_dir)), "bars")
+    return _STORED[key][1]

@@ -339,6 +339,66 @@ def oracle() -> dict[str, str]:
     q["windowed_macd"] = rows_sql(
         f"{NUMBERED}, {weighted}", f"{r6('macd', 'macd')}, {r6('macd_signal', 'macd_signal')}", 'b join wsig using (symbol, "interval", i)', recursive=True
     )
+    gappy = f"""{NUMBERED}, gb as materialized (
+      select * replace (case when i % 19 <> 4 and i % 57 <> 5 then close end as close, case when i % 23 <> 5 then low end as low,
+        case when i % 29 <> 7 then volume end as volume) from b)"""
+    gk = k.replace("from b", "from gb")
+    gchain = CHANGES.replace(" from b ", " from gb ")
+    gtyp = "volume * (high + low + close) / 3"
+    gvwap = f"case when {gtyp} is not null then sum({gtyp}) over w / nullif(sum(volume) over w, 0) end"
+    q["gappy_windows"] = rows_sql(
+        f"{gappy}, {gchain}, {RSI}, k as (select *, {gk} as stoch_k from rsi)",
+        ", ".join(
+            [
+                r6(rolling("avg", "close", 10), "sma_10"), r6(dev, "std_20"), r6(f"{mid} + 2 * {dev}", "bollinger_hband"),
+                r6("stoch_k", "stoch_k_14"), r6(rolling("avg", "stoch_k", 3), "stoch_d_14"), r6(mid9, "tenkan_sen_9"),
+                r6(mid26, "kijun_sen_26"), r6(gvwap, "vwap"), r6(rolling("avg", "tr", 14), "atr_14"), r6("rsi_14", "rsi_14"),
+            ]
+        ),
+        "k",
+        W,
+    )
+    q["gappy_filled"] = rows_sql(
+        f"{gappy}, v as (select *, {rolling('avg', 'close', 10)} as sma_10, {gvwap} as vwap from gb {W})",
+        f"{r6(filled('sma_10'), 'sma_10')}, {r6(filled('vwap'), 'vwap')}",
+        "v",
+    )
+
+    def gap_ema(span: int) -> str:
+        left = f"pow({span - 1}.0::double / {span + 1}, s + 1)"
+        return f"case when n.close is null then e{span} when e{span} is null then n.close else ({left} * e{span} + 2.0::double / {span + 1} * n.close) / ({left} + 2.0::double / {span + 1}) end"
+
+    spans_used = (12, 26, 50)
+    gemas = f"""ge as (
+      select symbol, "interval", i, {', '.join(f'close as e{s}' for s in spans_used)}, 0 as s, case when close is not null then 0.0::double end as sig
+      from gb where i = 0
+      union all
+      select symbol, "interval", i, {', '.join(f'e{s}' for s in spans_used)}, s, case when sig is null then e12 - e26 else sig + 0.2 * ((e12 - e26) - sig) end
+      from (select n.symbol, n."interval", n.i, {', '.join(f'{gap_ema(s)} as e{s}' for s in spans_used)},
+              case when n.close is null then s + 1 else 0 end as s, sig
+            from ge r join gb n on n.symbol = r.symbol and n."interval" = r."interval" and n.i = r.i + 1))"""
+    q["gappy_averages"] = rows_sql(
+        f"{gappy}, {gemas}",
+        ", ".join([*(r6(f"e{s}", f"ema_{s}") for s in spans_used), r6("e12 - e26", "macd"), r6("sig", "macd_signal")]),
+        'b join ge using (symbol, "interval", i)',
+        recursive=True,
+    )
+    gmeans = f"""gm as (
+      select symbol, "interval", i, coalesce(close, 0) as n12, coalesce(close, 0) as n26, (close is not null)::int::double as d12,
+        (close is not null)::int::double as d26, (close is not null)::int as seen from gb where i = 0
+      union all
+      select n.symbol, n."interval", n.i, coalesce(n.close, 0) + n12 * (11.0::double / 13), coalesce(n.close, 0) + n26 * (25.0::double / 27),
+        (n.close is not null)::int + d12 * (11.0::double / 13), (n.close is not null)::int + d26 * (25.0::double / 27), seen + (n.close is not null)::int
+      from gm r join gb n on n.symbol = r.symbol and n."interval" = r."interval" and n.i = r.i + 1),
+    gmacd as materialized (select *, case when seen >= 26 then n12 / d12 - n26 / d26 end as macd from gm),
+    gs as (
+      select symbol, "interval", i, macd, 0.0::double as ns, 0.0::double as ds, 0 as seen from gmacd where i = 0
+      union all
+      select n.symbol, n."interval", n.i, n.macd, coalesce(n.macd, 0) + ns * 0.8::double, (n.macd is not null)::int + ds * 0.8::double, r.seen + (n.macd is not null)::int
+      from gs r join gmacd n on n.symbol = r.symbol and n."interval" = r."interval" and n.i = r.i + 1)"""
+    q["gappy_windowed_macd"] = rows_sql(
+        f"{gappy}, {gmeans}", f"{r6('macd', 'macd')}, {r6('case when seen >= 9 then ns / ds end', 'macd_signal')}", 'b join gs using (symbol, "interval", i)', recursive=True
+    )
     q["parabolic_sar"] = rows_sql(f"{NUMBERED}, {SAR}", r6("sar", "sar"), 'b join sars using (symbol, "interval", i)', recursive=True)
 
     # --- feature sets
@@ -571,8 +631,15 @@ def oracle() -> dict[str, str]:
 
     # --- streaming
     q["streamed_bars"] = f"with {BARS} select {KEYS}, open, high, low, close, volume from bars where \"interval\" = '1h'"
-    q["streamed_tick_bars"] = f"""with {BARS} select {KEYS}, open, high, low, close, volume from bars
-      where "interval" = '1h' and start_timestamp + interval 1 hour <= (select max(ts) from events) - interval 1 hour"""
+    q["streamed_payload_bars"] = q["bars_from_payloads"]
+    q["streamed_tick_bars"] = f"with {BARS} select {KEYS}, open, high, low, close, volume from bars"
+    q["streamed_closed_bars"] = f"""with {BARS}, ends as (
+      select bars.*, start_timestamp + case "interval" when '5m' then interval 5 minute when '1h' then interval 1 hour
+        when '4h' then interval 4 hour else interval 1 day end as ends from bars),
+      closed as (select * from ends where "interval" = '5m' and ends <= (select max(ts) from events) - interval 1 hour)
+      select {KEYS}, open, high, low, close, volume from ends
+      where case when "interval" = '5m' then ends <= (select max(ts) from events) - interval 1 hour
+        else ends <= (select max(ends) from closed) end"""
     return q
 
 

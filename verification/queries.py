@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from barloom.functions.scalar import day_of_week, hash32, to_number
 from barloom.models import arima, boosted, forest, linear, registry
@@ -13,7 +15,7 @@ from barloom.operators import balance, evaluate, indicators as ind, labels, scal
 from barloom.operators.blocks import BLOCK, INDEX, KEYS, TIME, with_bar_index
 from barloom.operators.recurrence import with_sar
 from barloom.plans import features as sets, strategies
-from barloom.session import scratch_path, stage
+from barloom.session import Workspace, for_local_runs, stage
 from barloom.sources import bars as src, payloads, store
 from barloom.streaming import ingest
 from verification import fixtures as fx
@@ -23,15 +25,27 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 BAR = (*KEYS, TIME)
+_LANDED = T.StructType(payloads.BARS_PAYLOAD.fields + [T.StructField("landed", T.StructType().add("at", T.LongType()).add("seq", T.LongType()))])
 ALL = (*BAR, "open", "high", "low", "close", "volume")
 READ = (*BAR, "low", "high", "volume", "close")
 
 
 def query(function: Query) -> Query:
-    QUERIES[function.__name__] = function
+    """Register a query. What it stages stays until ``release``: its result is read from it."""
+
+    @wraps(function)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        Workspace(for_local_runs(spark), function.__name__)
+        return function(spark, sf_dir)
+
+    QUERIES[function.__name__] = run
     return function
 
 
+def _path(spark: SparkSession, name: str) -> str:
+    return Workspace.current(spark).path(name)
+
+
 def r6(df: DataFrame, *keep: str) -> DataFrame:
     """The named columns, doubles to six places."""
     kinds = dict(df.dtypes)
@@ -73,16 +87,19 @@ def bars_ordered(spark, sf_dir):
 @query
 def bars_from_payloads(spark, sf_dir):
     """Every tick lands as a payload with one hourly row, so each hour arrives in many copies."""
+    landed = _tick_payloads(spark, sf_dir).select(F.from_json("value", _LANDED).alias("p"))
+    return payloads.first_arrivals(payloads.bars_from_payloads(landed.select("p.*"))).select(*ALL)
+
+
+def _tick_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     row = F.struct(
         F.unix_millis(F.date_trunc("hour", "ts")).alias(TIME),
         *[F.col("price").alias(n) for n in ("open", "high", "low", "close")],
         F.col("amount").alias("volume"),
     )
-    text = F.to_json(F.struct("symbol", F.lit("1h").alias("interval"), F.struct(F.array(row).alias("rows")).alias("data")))
-    landed = fx.ticks(spark, sf_dir).select(
-        F.struct("ts", "seq").alias("landed"), F.from_json(text, payloads.BARS_PAYLOAD).alias("p")
-    )
-    return payloads.first_arrivals(payloads.bars_from_payloads(landed.select("landed", "p.*"))).select(*ALL)
+    data = F.struct(F.array(row).alias("rows")).alias("data")
+    text = F.to_json(F.struct("symbol", F.lit("1h").alias("interval"), data, F.struct(F.unix_micros("ts").alias("at"), "seq").alias("landed")))
+    return fx.ticks(spark, sf_dir).select(text.alias("value"))
 
 
 @query
@@ -110,14 +127,20 @@ def unseen_bars(spark, sf_dir):
 
 @query
 def appended_bars(spark, sf_dir):
-    """The stored table after two appends of overlapping batches, read back from files."""
+    """The stored table after two appends of overlapping batches with conflicting copies, read back from files."""
     stored, batch = _stored_and_batch(spark, sf_dir)
-    path = scratch_path(spark, "bars")
-    store.append_bars(stored, path)
-    store.append_bars(batch, path)
+    path = _path(spark, "bars")
+    store.append_bars(_with_late_copies(stored), path)
+    store.append_bars(_with_late_copies(batch), path)
     return src.read_bars(spark, path).select(*ALL)
 
 
+def _with_late_copies(bars: DataFrame) -> DataFrame:
+    """Every bar and a copy with other prices that arrived after it."""
+    copies = bars.withColumns({"open": F.col("open") - 1.0, "close": F.col("close") / 2, "arrival": F.lit(1)})
+    return copies.unionByName(bars.withColumn("arrival", F.lit(0)))
+
+
 @query
 def bars_without_null_time(spark, sf_dir):
     bars = fx.bars(spark, sf_dir).withColumn(TIME, F.when(F.col("volume") > 0, F.col(TIME)))
@@ -337,6 +360,42 @@ def windowed_macd(spark, sf_dir):
     return steps(spark, sf_dir, ind.windowed_macd(), "macd", "macd_signal")
 
 
+def _gappy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bars of which some lack a close, a low or a volume."""
+
+    def missing(name: str, modulus: int, rest: int) -> Column:
+        return F.when(F.col(INDEX) % modulus != rest, F.col(name))
+
+    bars = with_bar_index(fx.bars(spark, sf_dir))
+    close = F.when((F.col(INDEX) % 19 != 4) & (F.col(INDEX) % 57 != 5), F.col("close"))
+    return bars.withColumns({"close": close, "low": missing("low", 23, 5), "volume": missing("volume", 29, 7)})
+
+
+@query
+def gappy_windows(spark, sf_dir):
+    names = ("sma_10", "std_20", "bollinger_hband", "stoch_k_14", "stoch_d_14", "tenkan_sen_9", "kijun_sen_26", "vwap", "atr_14", "rsi_14")
+    found = sets.add_indicators(_gappy(spark, sf_dir), names, fill=False)
+    return r6(found, *BAR, *names)
+
+
+@query
+def gappy_filled(spark, sf_dir):
+    found = sets.add_indicators(_gappy(spark, sf_dir), ["sma_10", "vwap"], side_columns=False, block_bars=256)
+    return r6(found, *BAR, "sma_10", "vwap")
+
+
+@query
+def gappy_averages(spark, sf_dir):
+    parts = [*ind.macd("ema_12", "ema_26"), *ind.ema("close", 50, "ema_50")]
+    names = ["ema_12", "ema_26", "ema_50", "macd", "macd_signal"]
+    return r6(ind.apply_steps(_gappy(spark, sf_dir), parts, names, block_bars=2048), *BAR, *names)
+
+
+@query
+def gappy_windowed_macd(spark, sf_dir):
+    return r6(ind.apply_steps(_gappy(spark, sf_dir), ind.windowed_macd(), ["macd", "macd_signal"]), *BAR, "macd", "macd_signal")
+
+
 @query
 def parabolic_sar(spark, sf_dir):
     return r6(with_sar(fx.bars(spark, sf_dir)), *BAR, "sar")
@@ -604,10 +663,7 @@ def mean_squared_error(spark, sf_dir):
 
 def _fold_scores(spark, sf_dir):
     folded = evaluate.stratified_folds(scored_rows(spark, sf_dir), [*KEYS, INDEX])
-    scores = folded.groupBy(*KEYS, "fold", F.col("prediction").alias("candidate")).agg(
-        F.count_distinct("target").alias("labels"), F.avg((F.col("target") == F.col("prediction")).cast("double")).alias("score")
-    )
-    return scores.withColumn("score", F.when(F.col("labels") >= 2, F.col("score")))
+    return evaluate.fold_scores(folded.withColumn("candidate", F.col("prediction")), "candidate")
 
 
 @query
@@ -637,13 +693,13 @@ def candidate_orders(spark, sf_dir):
 
 @query
 def arima_orders(spark, sf_dir):
-    """Best order per series, over the rows a model reads; fits are iterative, so there is no SQL."""
-    return arima.best_orders(arima.order_criteria(arima.price_arrays(fx.bars(spark, sf_dir))))
+    """Best order per series, over whole series."""
+    return r6(arima.best_orders(arima.order_criteria(stage(arima.lagged_sums(fx.bars(spark, sf_dir)), "sums"))), *KEYS, "p", "d", "q", "aic")
 
 
 @query
 def augmented_unit_root(spark, sf_dir):
-    return arima.augmented_unit_root(arima.price_arrays(fx.bars(spark, sf_dir)))
+    return r6(arima.augmented_unit_root(arima.lagged_sums(fx.bars(spark, sf_dir))), *KEYS, "tau", "d")
 
 
 def _split(spark, sf_dir):
@@ -689,22 +745,44 @@ def forest_weights(spark, sf_dir):
 
 @query
 def streamed_bars(spark, sf_dir):
-    """Hourly bars landed as files, streamed into a table that already holds some of them."""
+    """Hourly bars landed as files: the latest first, then all of them with late copies."""
     bars = src.bars_from_ticks(fx.ticks(spark, sf_dir), ["1h"]).select(*ALL)
-    landing, path = scratch_path(spark, "landing"), scratch_path(spark, "bars")
-    bars.write.parquet(landing)
-    store.append_bars(bars.where(F.col(TIME) < F.lit("2024-01-15").cast("timestamp")), path)
-    arriving = spark.readStream.schema(bars.schema).parquet(landing)
-    ingest.ingest_bars(arriving, path, scratch_path(spark, "progress"), "60 days").awaitTermination()
+    landing, path, progress = _path(spark, "landing"), _path(spark, "bars"), _path(spark, "progress")
+    landed = _with_late_copies(bars)
+    for part in (landed.where(F.col(TIME) >= F.lit("2024-01-15").cast("timestamp")), landed):
+        part.write.mode("append").parquet(landing)
+        arriving = spark.readStream.schema(landed.schema).parquet(landing)
+        ingest.ingest_bars(arriving, path, progress).awaitTermination()
+    return src.read_bars(spark, path).select(*ALL)
+
+
+@query
+def streamed_payload_bars(spark, sf_dir):
+    """Payloads landed as JSON files, one per tick with one hourly row, streamed into the stored bars."""
+    landing, path = _path(spark, "payloads"), _path(spark, "bars")
+    _tick_payloads(spark, sf_dir).write.text(landing)
+    arriving = spark.readStream.schema(_LANDED).json(landing)
+    ingest.ingest_payloads(arriving, path, _path(spark, "progress")).awaitTermination()
     return src.read_bars(spark, path).select(*ALL)
 
 
 @query
 def streamed_tick_bars(spark, sf_dir):
-    """Hourly bars of a tick stream, each once closed."""
+    """Bars of all sizes from one scan of a tick stream, each once closed, then the last ones."""
+    path = _path(spark, "tick-bars")
+    ingest.ingest_ticks(_tick_stream(spark, sf_dir), path, _path(spark, "progress")).awaitTermination()
+    ingest.close_open_bars(fx.ticks(spark, sf_dir), path)
+    return src.read_bars(spark, path).select(*ALL)
+
+
+@query
+def streamed_closed_bars(spark, sf_dir):
+    """What the tick stream has stored before its last bars are closed."""
+    path = _path(spark, "tick-bars")
+    ingest.ingest_ticks(_tick_stream(spark, sf_dir), path, _path(spark, "progress")).awaitTermination()
+    return src.read_bars(spark, path).select(*ALL)
+
+
+def _tick_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = fx.table(spark, sf_dir, "events").schema
-    events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
-    path = scratch_path(spark, "tick-bars")
-    bars = ingest.tick_bars(fx.ticks_of(events), "1h")
-    ingest.write_closed_bars(bars, path, scratch_path(spark, "progress")).awaitTermination()
-    return spark.read.schema(src.BARS_SCHEMA).parquet(path).select(*ALL)
+    return fx.ticks_of(spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir))
