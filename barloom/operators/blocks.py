@@ -93,12 +93,14 @@ def is_own(block_bars: int = BLOCK_BARS) -> Column:
     return block_of(F.col(INDEX), block_bars) == F.col(BLOCK)
 
 
-def join_per_group(df: DataFrame, per_group: DataFrame, keys: Sequence[str], spread_by: Sequence[str], salts: int = 32) -> DataFrame:
+def join_per_group(df: DataFrame, per_group: DataFrame, keys: Sequence[str], spread_by: Sequence[str]) -> DataFrame:
     """Attach one row per group to every row of the group.
 
-    The small side is repeated per salt, so a hot group meets its values in many tasks. Spark still
-    broadcasts the small side when its measured size is under the broadcast threshold.
+    The small side is repeated per salt, as many as there are shuffle partitions, so a hot group meets its
+    values in all tasks. Spark still broadcasts the small side when its measured size is under the broadcast
+    threshold.
     """
+    salts = max(8, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     salted = per_group.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     rows = df.withColumn("_salt", F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int"))
     return rows.join(salted, [*keys, "_salt"], "left").drop("_salt")

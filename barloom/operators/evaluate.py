@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from barloom.operators.blocks import KEYS, with_position
 from barloom.operators.ranking import value_ranks
 
+_PART_ROWS = 65536
 CLASSES = (-1, 0, 1)  # fixed value: class order of the score columns
 
 
@@ -19,10 +21,12 @@ def stratified_folds(
     """``fold`` 0..folds-1, shuffled, with class sizes that differ by at most one between folds.
 
     Rows are dealt in md5 order. The leading hex digits of the md5 are even, so they cut a class into
-    equal parts that are numbered in parallel.
+    equal parts that are numbered in parallel; the largest class decides how many digits that takes.
     """
     token = F.md5(F.concat_ws("|", *[F.col(c).cast("string") for c in row_id], F.lit(str(seed))))
-    shuffled = df.withColumn("_token", token).withColumn("_part", F.substring("_token", 1, 2))
+    largest = df.groupBy(*keys, label).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+    digits = max(1, math.ceil(math.log(max(largest, 1) / _PART_ROWS, 16)))
+    shuffled = df.withColumn("_token", token).withColumn("_part", F.substring("_token", 1, digits))
     dealt = with_position(shuffled, [*keys, label], "_part", ["_token"], "_position")
     return dealt.withColumn("fold", (F.col("_position") % folds).cast("int")).drop("_token", "_part", "_position")
 

@@ -8,7 +8,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barloom.operators.blocks import KEYS, join_per_group
+from barloom.operators.blocks import KEYS
 from barloom.operators.ranking import value_ranks
 
 # Thresholds tried for mutual information, correlation limit, share of features kept.
@@ -31,17 +31,12 @@ def mutual_information(
     groups = [*keys, "feature"]
     per_class = {f"n{i}": F.count_if(F.col(label) == c) for i, c in enumerate(classes)}
     ranked = value_ranks(long, groups, "value", {"n": F.count(F.lit(1)), **per_class})
-    total = ranked.groupBy(*groups).agg(
-        F.sum("n").alias("_total"), *[F.sum(name).alias(f"_{name}") for name in per_class]
-    )
-    binned = join_per_group(ranked, total, groups, ["value"]).withColumn(
-        "_bin", F.floor(F.col("n_below") * BINS / F.col("_total"))
-    )
+    binned = ranked.withColumn("_bin", F.floor(F.col("n_below") * BINS / F.col("n_total")))
     joint = binned.groupBy(*groups, "_bin").agg(
         F.sum("n").alias("_in_bin"),
-        F.first("_total").alias("_total"),
+        F.first("n_total").alias("_total"),
         *[F.sum(name).alias(name) for name in per_class],
-        *[F.first(f"_{name}").alias(f"_{name}") for name in per_class],
+        *[F.first(f"{name}_total").alias(f"_{name}") for name in per_class],
     )
 
     def term(name: str) -> Column:

@@ -3,6 +3,7 @@
 import datetime as dt
 
 import numpy as np
+import pandas as pd
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -105,29 +106,41 @@ def test_strategies_need_features():
 
 
 @RELAXED
-@given(st.lists(st.one_of(st.integers(-5, 5).map(float), st.floats(-1e6, 1e6)), min_size=1, max_size=200), st.integers(2, 64))
-def test_quantiles_and_ranks_are_exact(spark, values, buckets):
+@given(st.lists(st.one_of(st.integers(-5, 5).map(float), st.floats(-1e6, 1e6)), min_size=1, max_size=200))
+def test_quantiles_and_ranks_are_exact(spark, values):
     frame = spark.createDataFrame([("g", float(v)) for v in values] + [("g", None)], "g string, v double")
     points = {"low": 0.15, "mid": 0.5, "high": 0.85, "first": 0.0, "last": 1.0}
     found = ranking.exact_quantiles(frame, ["g"], "v", points).first()
     for name, point in points.items():
         assert found[name] == pytest.approx(np.quantile(values, point), rel=1e-12, abs=1e-9)
-    ranks = {r["v"]: r["n_below"] for r in ranking.value_ranks(frame, ["g"], "v", {"n": F.count(F.lit(1))}, buckets).collect()}
+    ranks = {r["v"]: r["n_below"] for r in ranking.value_ranks(frame, ["g"], "v", {"n": F.count(F.lit(1))}).collect()}
     ordered = sorted(values)
     assert ranks == {v: ordered.index(v) for v in set(values)}
 
 
 @pytest.mark.parametrize("kind", ["distinct", "copies", "skewed"])
 def test_bracketed_quantiles_are_exact(spark, kind):
-    """Groups too large to be their own bracket: only values near the quantile are ranked."""
+    """Only values near the quantile are ranked, by any margin."""
     value = {"distinct": F.rand(3), "copies": F.floor(F.rand(3) * 7) * 1.0, "skewed": F.when(F.rand(4) < 0.4, 0.0).otherwise(F.exp(F.rand(3) * 20))}[kind]
     from barloom.session import stage
 
     frame = stage(spark.range(60000).select(F.lit("g").alias("g"), value.cast("double").alias("v")), "quantiles")
     points = {"low": 0.15, "mid": 0.5, "high": 0.85}
-    found = ranking.exact_quantiles(frame, ["g"], "v", points, small_group=1000).first()
     values = frame.toPandas()["v"].to_numpy()
-    assert [found[n] for n in points] == pytest.approx([np.quantile(values, p) for p in points.values()], rel=1e-13)
+    for margin in (0, 2):
+        found = ranking.exact_quantiles(frame, ["g"], "v", points, margin).first()
+        assert [found[n] for n in points] == pytest.approx([np.quantile(values, p) for p in points.values()], rel=1e-13)
+
+
+def test_a_bracket_that_misses_is_widened(spark, monkeypatch):
+    frame = spark.createDataFrame([(g, float(i * i)) for g in "ab" for i in range(400)], "g string, v double")
+    monkeypatch.setattr(ranking, "_ACCURACY", 3)  # a sketch that is far off
+    monkeypatch.setattr(ranking, "_MARGINS", (1e-2, 2e-2, 3e-2, 1.0))
+    found = ranking.exact_quantiles(frame, ["g"], "v", {"x": 0.37, "y": 0.9}).collect()
+    values = [float(i * i) for i in range(400)]
+    assert len(found) == 2
+    for r in found:
+        assert (r["x"], r["y"]) == pytest.approx((np.quantile(values, 0.37), np.quantile(values, 0.9)))
 
 
 # --- labels ------------------------------------------------------------------------------------------
@@ -331,14 +344,19 @@ def test_order_search_finds_an_autoregression(spark):
     values = [0.0, 0.0]
     for shock in random.normal(0, 1, 498):
         values.append(1.2 * values[-1] - 0.6 * values[-2] + shock)
-    prices = spark.createDataFrame([("A", "1h", [float(50.0 + v) for v in values])], "symbol string, interval string, prices array<double>")
+    def sums(symbol, closes):
+        times = pd.date_range("2024-01-01", periods=len(closes), freq="h")
+        frame = pd.DataFrame({"symbol": symbol, "interval": "1h", TIME: times, "close": [float(c) for c in closes]})
+        return arima.lagged_sums(spark.createDataFrame(frame))
+
+    prices = sums("A", [50.0 + v for v in values])
     criteria = arima.order_criteria(prices).toPandas()
     assert len(criteria) == 36
     by_order = criteria.set_index(["p", "q"])["aic"]
     assert by_order[2, 0] < by_order[1, 0] < by_order[0, 0]
     best = arima.best_orders(arima.order_criteria(prices)).first()
     assert best["aic"] == pytest.approx(by_order.min())
-    short = spark.createDataFrame([("B", "1h", [1.0, 2.0, 3.0])], "symbol string, interval string, prices array<double>")
+    short = sums("B", [1.0, 2.0, 3.0])
     with pytest.raises(Exception, match="no order fits"):
         arima.require_orders(arima.best_orders(arima.order_criteria(short))).collect()
 
