@@ -183,6 +183,102 @@ SIDE = {
 }
 
 
+def swept(matrix: str, k: str, size: int) -> str:
+    """The matrix with its k-th variable swept: least squares of the others on it, as one step of elimination."""
+    m = matrix
+    return (
+        f"[[case when i = {k} and j = {k} then 1 / {m}[{k}][{k}] when i = {k} then {m}[{k}][j] / {m}[{k}][{k}] "
+        f"when j = {k} then -{m}[i][{k}] / {m}[{k}][{k}] else {m}[i][j] - {m}[i][{k}] * {m}[{k}][j] / {m}[{k}][{k}] end "
+        f"for j in range(1, {size + 1})] for i in range(1, {size + 1})]"
+    )
+
+
+def products(names: list[str]) -> str:
+    """Sums of the products of all pairs of columns, as a matrix."""
+    return "[" + ", ".join("[" + ", ".join(f"sum({a} * {b})" for b in names) + "]" for a in names) + "]"
+
+
+_LEVELS = [f"x{i}" for i in range(18)]
+_CHANGES = [f"c{i}" for i in range(19)]
+# Rows with prices and changes up to 19 bars back, and per series the products that regressions on them need.
+PRODUCTS = f"""{NUMBERED}, scaled as (
+  select *, case when avg(close) over (partition by symbol, "interval") < 1 then close * 1e8 else close end as sc from b),
+centered as (select symbol, "interval", i, sc - avg(sc) over (partition by symbol, "interval") as x0 from scaled),
+back as (
+  select *, {', '.join(f'lag(x0, {i}) over w as x{i}' for i in range(1, 20))} from centered
+  window w as (partition by symbol, "interval" order by i)),
+lags as (select *, 1.0::double as one, {', '.join(f'x{i} - x{i + 1} as c{i}' for i in range(19))} from back where i >= 19),
+products as materialized (
+  select symbol, "interval", count(*) as n, {products(['one', 'x1', *_CHANGES])} as tests, {products(['one', *_LEVELS])} as levels,
+         {products(['one', *_CHANGES[:18]])} as changes
+  from lags group by 1, 2)"""
+
+
+def unit_root_sql() -> str:
+    """Regressions of the change on the price before and 0 to 18 earlier changes; the best criterion decides."""
+    return f"""swept(symbol, "interval", n, step, m) as (
+      select symbol, "interval", n, 0, tests from products
+      union all
+      select symbol, "interval", n, step + 1, {swept('m', '(case when step < 2 then step + 1 else step + 2 end)', 21)} from swept where step < 20),
+    tried as (
+      select symbol, "interval", n * ln(m[3][3] / n) + 2 * step as aic, m[2][3] / sqrt(m[2][2] * m[3][3] / (n - step)) as tau
+      from swept where step >= 2 and n > step),
+    adf as materialized (
+      select symbol, "interval", arg_min(tau, aic) as tau, case when arg_min(tau, aic) <= -2.86 then 0 else 1 end as d from tried group by 1, 2)"""
+
+
+def orders_sql() -> str:
+    """A long autoregression for the shocks, then every order on lags and lagged shocks."""
+    dot = "list_sum([{a}[k] * {b}[k] for k in range(1, 20)])"
+    return f"""chosen as (
+      select symbol, "interval", n, d, case when d = 0 then levels else changes end as g from products join adf using (symbol, "interval")),
+    long(symbol, "interval", n, d, g, step, m) as (
+      select symbol, "interval", n, d, g, d, g from chosen
+      union all
+      select symbol, "interval", n, d, g, step + 1, {swept('m', '(case when step = 0 then 1 else step + 2 end)', 19)} from long where step < 13),
+    forms as (
+      select symbol, "interval", n, d, g, list_concat(
+        [[case when k = 2 then 1.0 else 0.0 end for k in range(1, 20)], [case when k = 1 then 1.0 else 0.0 end for k in range(1, 20)]],
+        list_concat(
+          [[case when k = l + 2 then 1.0 else 0.0 end for k in range(1, 20)] for l in range(1, 6)],
+          [[case when k = l + 2 then 1.0 when k = 1 and d = 0 then -m[1][2] when k > l + 2 and k <= l + 14 then -m[k - l][2] else 0.0 end
+            for k in range(1, 20)] for l in range(1, 6)])) as f
+      from long where step = 13),
+    halves as (select *, [[{dot.format(a='f[a]', b='g[b]')} for b in range(1, 20)] for a in range(1, 13)] as h from forms),
+    seconds as materialized (
+      select symbol, "interval", n, d, [[{dot.format(a='h[a]', b='f[b]')} for b in range(1, 13)] for a in range(1, 13)] as s from halves),
+    orders(symbol, "interval", n, d, p, q, step, m) as (
+      select symbol, "interval", n, d, p, q, 0, s from seconds, range(6) t(p), range(6) u(q)
+      union all
+      select symbol, "interval", n, d, p, q, step + 1,
+             {swept('m', '(case when step < 1 - d then 2 when step < 1 - d + p then step + 2 + d else step + 2 + d + 5 - p end)', 12)}
+      from orders where step < 1 - d + p + q),
+    criteria as (
+      select *, n * (ln(2 * pi() * m[1][1] / n) + 1) + 2 * (step + 1) as aic from orders
+      where step = 1 - d + p + q and n >= greatest(2 * (p + q) + 5, 24)),
+    best as (
+      select s.symbol, s."interval", arg_min(p, (aic, p, q)) as p, any_value(c.d) as d, arg_min(q, (aic, p, q)) as q, min(aic) as aic
+      from products s left join criteria c using (symbol, "interval") group by 1, 2)"""
+
+
+def linear_sql() -> str:
+    """Least squares on four scaled features; the fifth, a band, is a combination of two of them and changes no prediction."""
+    names = ("sma_10", "ema_10", "rsi", "bollinger_high")
+    scaled = ", ".join(
+        f"case when max({n}) over s > min({n}) over s then ({n} - min({n}) over s) / (max({n}) over s - min({n}) over s) when {n} is not null then 0.0 end as {n}_scaled"
+        for n in names
+    )
+    used = ["one", *(f"{n}_scaled" for n in names), "close"]
+    return f"""lscaled as materialized (select {KEYS}, close, 1.0::double as one, {scaled} from lf window s as (partition by symbol, "interval")),
+    lsums as materialized (
+      select symbol, "interval", {products(used)} as g from lscaled where {' and '.join(f'{n}_scaled is not null' for n in names)} group by 1, 2),
+    lswept(symbol, "interval", step, m) as (
+      select symbol, "interval", 0, g from lsums
+      union all
+      select symbol, "interval", step + 1, {swept('m', '(step + 1)', 6)} from lswept where step < 5),
+    lsolved as (select symbol, "interval", [m[i][6] for i in range(1, 6)] as b from lswept where step = 5)"""
+
+
 def feature_sql(features: list[str], intervals: list[str]) -> str:
     columns: list[str] = []
     for feature in features:
@@ -629,6 +725,13 @@ def oracle() -> dict[str, str]:
       p_zero * (100.0::double / 150) + p_neg * (50.0::double / 150) as p_zero,
       p_pos * (100.0::double / 150) + p_zero * (50.0::double / 150) as p_pos from scored"""
 
+    q["augmented_unit_root"] = f"with recursive {PRODUCTS}, {unit_root_sql()} select symbol, \"interval\", {r6('tau', 'tau')}, d from adf"
+    q["arima_orders"] = f"with recursive {PRODUCTS}, {unit_root_sql()}, {orders_sql()} select symbol, \"interval\", p, d, q, round(aic, 3) + 0.0 as aic from best"
+    lf = ", ".join(f"{f}_scaled" for f in ("sma_10", "ema_10", "rsi", "bollinger_high"))
+    q["linear_predictions"] = f"""with recursive {lin}, {linear_sql()}
+      select {KEYS}, {r6('close', 'close')}, {r6('b[1] + ' + ' + '.join(f'b[{i}] * {n}' for i, n in enumerate(lf.split(', '), 2)), 'prediction')}
+      from lscaled join lsolved using (symbol, "interval")"""
+
     # --- streaming
     q["streamed_bars"] = f"with {BARS} select {KEYS}, open, high, low, close, volume from bars where \"interval\" = '1h'"
     q["streamed_payload_bars"] = q["bars_from_payloads"]

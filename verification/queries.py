@@ -694,7 +694,8 @@ def candidate_orders(spark, sf_dir):
 @query
 def arima_orders(spark, sf_dir):
     """Best order per series, over whole series."""
-    return r6(arima.best_orders(arima.order_criteria(stage(arima.lagged_sums(fx.bars(spark, sf_dir)), "sums"))), *KEYS, "p", "d", "q", "aic")
+    orders = arima.best_orders(arima.order_criteria(stage(arima.lagged_sums(fx.bars(spark, sf_dir)), "sums")))
+    return orders.select(*KEYS, "p", "d", "q", (F.round("aic", 3) + F.lit(0.0)).alias("aic"))
 
 
 @query
