@@ -732,6 +732,25 @@ def oracle() -> dict[str, str]:
       select {KEYS}, {r6('close', 'close')}, {r6('b[1] + ' + ' + '.join(f'b[{i}] * {n}' for i, n in enumerate(lf.split(', '), 2)), 'prediction')}
       from lscaled join lsolved using (symbol, "interval")"""
 
+    # --- trained models: what is stored and what their scores must obey
+    four = "where \"interval\" = '4h'"
+    q["strategy_models"] = f"""with {BARS}, {STRATEGIES} select distinct symbol, bars."interval", strategy,
+      'trained_models/' || symbol || '_' || bars."interval" || '_' || replace(features, ',', '_') as model_key, features,
+      2 as forests, true as grown, true as scaled
+      from bars join strategies s on s."interval" = bars."interval" where bars."interval" = '4h' and strategy = 'Volatility Breakout'"""
+    q["metrics_written"] = f"""with {BARS} select distinct symbol as asset, "interval", 'Volatility Breakout' as strategy, 2 as runs, 2 as times, true as in_range
+      from bars {four}"""
+    q["scored_strategies"] = f"""with {NUMBERED}, {CHANGES}, {RETURNS} select {KEYS}, target, true as sums_to_one, true as likeliest from lab
+      {four} and "return" is not null"""
+    q["signal_models"] = f"""with {NUMBERED}, {CHANGES} select {KEYS}, case when next_close > close then 1 else 0 end as target, 1 as version, true as voted
+      from d {four}"""
+    q["look_back_models"] = f"""with {BARS} select symbol, "interval", 1 as version, 2 as stages, count(*) - 10 as rows, true as better_than_mean
+      from bars {four} group by 1, 2"""
+    q["price_models"] = f"""with {BARS} select symbol, "interval", 1 as version, 1 as stages, count(*) + 1 as rows, true as better_than_mean
+      from bars {four} group by 1, 2"""
+    q["arima_history"] = f"""with {BARS} select symbol, "interval", count(*) - 19 as rows, true as order_kept, true as fitted
+      from bars where "interval" in ('5m', '1h') group by 1, 2"""
+
     # --- streaming
     q["streamed_bars"] = f"with {BARS} select {KEYS}, open, high, low, close, volume from bars where \"interval\" = '1h'"
     q["streamed_payload_bars"] = q["bars_from_payloads"]

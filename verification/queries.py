@@ -14,7 +14,7 @@ from barloom.models import arima, boosted, forest, linear, registry
 from barloom.operators import balance, evaluate, indicators as ind, labels, scaling, selection
 from barloom.operators.blocks import BLOCK, INDEX, KEYS, TIME, with_bar_index
 from barloom.operators.recurrence import with_sar
-from barloom.plans import features as sets, strategies
+from barloom.plans import features as sets, strategies, training
 from barloom.session import Workspace, for_local_runs, stage
 from barloom.sources import bars as src, payloads, store
 from barloom.streaming import ingest
@@ -741,6 +741,128 @@ def forest_weights(spark, sf_dir):
     return both.select(*BAR, *[F.get("p", F.lit(i)).alias(n) for i, n in enumerate(_SCORES.values())])
 
 
+# Small spaces: the queries show what training stores, not how good it gets.
+_TREES = {"numTrees": (3, 5), "maxDepth": (2, 4)}
+_BOOSTS = {"maxIter": (2, 4), "maxDepth": (2, 4)}
+_RANGE = "2024-01-01|2030-01-01"
+
+
+def _models(spark: SparkSession) -> registry.ModelStore:
+    return registry.ModelStore(spark, _path(spark, "models"))
+
+
+def _four_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fx.bars(spark, sf_dir).where("interval = '4h'")
+
+
+def _strategy_runs(spark: SparkSession, sf_dir: str, runs: int, replace: bool = False) -> tuple[registry.ModelStore, str]:
+    bars, models, metrics = _four_hours(spark, sf_dir), _models(spark), _path(spark, "metrics")
+    jobs = strategies.job_list(src.series(bars), strategies.strategy_table(spark)).where("strategy = 'Volatility Breakout'")
+    for _ in range(runs):
+        training.train_strategies(
+            bars, jobs, models, metrics, _RANGE, n_iter=1, folds=2, space=_TREES, new_trees=2, replace_metrics=replace
+        )
+    return models, metrics
+
+
+@query
+def strategy_models(spark, sf_dir):
+    """Registered forests after a training and an update, as they are stored."""
+    models, _ = _strategy_runs(spark, sf_dir, 2)
+    found = []
+    for r in models.registered("strategy").select(*registry.JOB_KEYS, "model_key", "features").collect():
+        model = forest.GrowingForest.load(models, r["model_key"])
+        grown = model.trees[1] == 2 and 3 <= model.trees[0] < 5
+        found.append((*r, len(model.forests), grown, all(set(s) == set(r["features"]) for s in model.scalings)))
+    schema = "symbol string, interval string, strategy string, model_key string, features array<string>, forests int, grown boolean, scaled boolean"
+    rows = spark.createDataFrame(found, schema)
+    return rows.withColumn("features", F.concat_ws(",", "features"))
+
+
+@query
+def metrics_written(spark, sf_dir):
+    """Metrics rows of two runs, each in range and later than the run before."""
+    _, metrics = _strategy_runs(spark, sf_dir, 2)
+    names = ("accuracy", "precision", "recall", "f1_score", "roc_auc")
+    inside = F.lit(True)
+    for name in names:
+        inside = inside & F.col(name).between(0.0, 1.0)
+    return store.read_metrics(spark, metrics).groupBy("asset", "interval", "strategy").agg(
+        F.count(F.lit(1)).alias("runs"), F.count_distinct("timestamp").alias("times"), F.every(inside).alias("in_range")
+    )
+
+
+@query
+def scored_strategies(spark, sf_dir):
+    """What the stored forests say of every complete row: a probability of each class, and the likeliest class."""
+    models, _ = _strategy_runs(spark, sf_dir, 1, replace=True)
+    features = strategies.require_features("4h", "Volatility Breakout")["features"]
+    rows = stage(training.strategy_rows(src.bars_in_range(_four_hours(spark, sf_dir), _RANGE), features), "rows")
+    out = None
+    for r in models.registered("strategy").select("symbol", "interval", "model_key").collect():
+        scored = forest.GrowingForest.load(models, r["model_key"]).transform(training.of_series(rows, r))
+        out = scored if out is None else out.unionByName(scored)
+    whole = F.abs(F.aggregate("probability", F.lit(0.0), lambda a, p: a + p) - 1.0) < 1e-9
+    chosen = evaluate.most_likely(F.col("probability")) == F.col("prediction")
+    return out.select(*BAR, "target", whole.alias("sums_to_one"), chosen.alias("likeliest"))
+
+
+@query
+def signal_models(spark, sf_dir):
+    """Stored votes after a training and a refit, over the rows they were fitted on."""
+    bars, models = _four_hours(spark, sf_dir), _models(spark)
+    for _ in range(2):
+        training.train_signals(bars, models, n_iter=1, folds=2, forest_space=_TREES, boosted_space=_BOOSTS)
+    rows, out = stage(training.signal_rows(bars), "rows"), None
+    for r in models.registered("signal").select(*KEYS, "model_key").collect():
+        voted = training.predict_signals(training.of_series(rows, r), models, r).withColumn("version", F.lit(models.note(r["model_key"])["version"]))
+        out = voted if out is None else out.unionByName(voted)
+    vote = F.col("probability")
+    good = (F.abs(vote[0] + vote[1] - 1.0) < 1e-9) & (F.col("prediction") == F.when(vote[1] > vote[0], 1).otherwise(0))
+    return out.select(*BAR, "target", "version", good.alias("voted"))
+
+
+def _boosted_facts(spark: SparkSession, models: registry.ModelStore, kind: str, rows: DataFrame) -> DataFrame:
+    found = []
+    for r in models.registered(kind).select(*KEYS, "model_key").collect():
+        model = boosted.BoostedRegressor.load(models, r["model_key"])
+        own = training.of_series(rows, r)
+        mean = own.agg(F.avg("label")).first()[0]
+        errors = model.transform(own).agg(F.avg(F.pow(F.col("prediction") - F.col("label"), 2)).alias("model"), F.avg(F.pow(F.col("label") - mean, 2)).alias("mean")).first()
+        found.append((r["symbol"], r["interval"], models.note(r["model_key"])["version"], len(model.stages), own.count(), errors["model"] <= errors["mean"]))
+    return spark.createDataFrame(found, "symbol string, interval string, version int, stages int, rows long, better_than_mean boolean")
+
+
+@query
+def look_back_models(spark, sf_dir):
+    """Look-back models of all series after a training and one more boost."""
+    bars, models = _four_hours(spark, sf_dir), _models(spark)
+    for _ in range(2):
+        training.train_look_back(bars, models, look_back=10, n_iter=1, folds=2, space=_BOOSTS)
+    return _boosted_facts(spark, models, "look_back", boosted.look_back_rows(stage(labels.look_back_windows(bars, 10), "windows")))
+
+
+@query
+def price_models(spark, sf_dir):
+    """Price models of all series after a training and a refit on one row more."""
+    bars, models = _four_hours(spark, sf_dir), _models(spark)
+    for _ in range(2):
+        training.train_prices(bars, models, n_iter=1, folds=2, space=_BOOSTS)
+    return _boosted_facts(spark, models, "price", boosted.price_rows(stage(boosted.price_update_features(bars), "rows")))
+
+
+@query
+def arima_history(spark, sf_dir):
+    """Models trained on the first days and updated with the rest have seen every row of the whole series."""
+    bars, models = fx.bars(spark, sf_dir).where("interval in ('5m', '1h')"), _models(spark)
+    cut = F.lit("2024-01-12").cast("timestamp")
+    training.train_arima(bars.where(F.col(TIME) < cut), models)
+    kept = models.table("arima").select(*KEYS, F.col("p").alias("p0"), F.col("d").alias("d0"), F.col("q").alias("q0"))
+    found = training.train_arima(bars.where(F.col(TIME) >= cut), models).join(kept, list(KEYS))
+    same = (F.col("p") == F.col("p0")) & (F.col("d") == F.col("d0")) & (F.col("q") == F.col("q0"))
+    return found.select(*KEYS, "rows", same.alias("order_kept"), F.col("aic").isNotNull().alias("fitted"))
+
+
 # --- streaming -----------------------------------------------------------------------------------
 
 
