@@ -96,7 +96,7 @@ def rolling(words: np.ndarray, k: int) -> np.ndarray:
 class WordHashes(dict):
     """64-bit hash of each word, remembered up to a bound of distinct words."""
 
-    def __init__(self, most: int = 500_000):
+    def __init__(self, most: int = 200_000):
         super().__init__()
         self.most = most
 
