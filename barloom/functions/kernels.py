@@ -74,34 +74,39 @@ def _distances(a, b):
     return np.round(np.sqrt(total), 9)
 
 
-def _closest(distances, members, k):
-    """Per row the ``k`` closest members; columns are in member order, which settles ties."""
+def _closest(distances, k):
+    """Per row the columns of the ``k`` least distances, nearest first; the earlier column wins a tie."""
     k = min(k, distances.shape[1])
-    limit = np.partition(distances, k - 1, axis=1)[:, k - 1]
-    out = []
-    for row, bound in zip(distances, limit):
-        near = np.flatnonzero(row <= bound)
-        near = near[np.argsort(row[near], kind="stable")][:k]
-        out.append([(int(members[j]), float(row[j])) for j in near if np.isfinite(row[j])])
-    return out
+    chosen = np.sort(np.argpartition(distances, k - 1, axis=1)[:, :k], axis=1)
+    limit = np.take_along_axis(distances, chosen, axis=1).max(axis=1)
+    # Where more rows are as near as the last one chosen, which of them were is not settled yet.
+    tied = np.flatnonzero((distances <= limit[:, None]).sum(axis=1) > k)
+    chosen[tied] = np.sort(np.argsort(distances[tied], axis=1, kind="stable")[:, :k], axis=1)
+    order = np.argsort(np.take_along_axis(distances, chosen, axis=1), axis=1, kind="stable")
+    return np.take_along_axis(chosen, order, axis=1)
 
 
 def _search(asking, points, hosting_members, hosts, k, skip_self):
-    found = []
+    names, lengths = [], []
     for begin in range(0, len(points), 512):
         distances = _distances(points[begin : begin + 512], hosts)
         if skip_self:
             rows = np.arange(len(distances))
             distances[rows, rows + begin] = np.inf
-        found.extend(_closest(distances, hosting_members, k))
-    return asking.assign(found=[[{"neighbour": n, "distance": d} for n, d in hits] for hits in found])
+        columns = _closest(distances, k)
+        names.append(hosting_members[columns])
+        lengths.append(np.take_along_axis(distances, columns, axis=1))
+    names, lengths = np.concatenate(names), np.concatenate(lengths)
+    if skip_self and len(hosts) <= k:  # then the row itself, infinitely far, is the last of its own hits
+        names, lengths = names[:, :-1], lengths[:, :-1]
+    return asking.assign(neighbours=list(names), distances=list(lengths))
 
 
 def nearest_inside(cell, k):
     """Neighbours of every row within its cell, and the distance a nearer row must beat."""
     rows, points = _points(cell)
     out = _search(rows, points, rows["member"].to_numpy(), points, k, skip_self=True)
-    return out.assign(bound=[hits[-1]["distance"] if len(hits) == k else np.inf for hits in out["found"]])
+    return out.assign(bound=[d[-1] if len(d) == k else np.inf for d in out["distances"]])
 
 
 def nearest_across(asking, hosting, k):

@@ -16,7 +16,9 @@ from barloom.session import stage
 
 NEIGHBOURS = 5  # fixed value: neighbours per row
 CELL_ROWS = 2048
-_CELLS = 64
+FAN = 8  # parts that a cell is cut into
+VISITORS = 4096
+_SLACK = 1e-8
 _REPLICA_CHUNK = 4096
 
 
@@ -45,102 +47,131 @@ def class_neighbours(
 ) -> DataFrame:
     """The ``k`` nearest rows of the same class for every row, exactly.
 
-    Classes are cut into cells of a bounded number of rows, along the projection of the points on the
-    diagonal. The neighbours inside its own cell bound how far a row has to look: a projection never
-    stretches a distance, so cells farther away than that bound hold no nearer row and are skipped.
-    Each task compares one cell with one cell. Distances count to nine places, ties go to the lower
-    member number. The cells and the first search are written out: both feed several later steps.
+    A class is cut into cells of at most ``cell_rows`` rows, along the widest feature of each part, as often as
+    its size asks for. The neighbours inside its own cell bound how far a row has to look. Cells whose box is
+    farther away than that hold no nearer row; which are not is found by descending the tree of boxes, cell
+    by cell, and then checked row by row. A task compares a bounded number of rows with one cell. Distances
+    count to nine places, ties go to the lower member number.
     """
     groups = [*keys, label]
-    located = stage(_with_cells(members, groups, cell_rows), "cells")
+    located = stage(_with_cells(stage(members, "members"), groups, cell_rows), "cells")
     near = stage(_inside_cells(located, groups, k), "near")
-    far = _across_cells(located, near, groups, k)
-    ranked = near.select(*groups, "member", F.explode("found").alias("hit")).unionByName(
-        far.select(*groups, "member", F.explode("found").alias("hit"))
+    visits = stage(_visits(located, near, groups), "visits")
+    found = near.select(*groups, "member", "neighbours", "distances")
+    if not visits.isEmpty():
+        found = found.unionByName(_across_cells(located, visits, groups, k))
+    hits = F.transform(F.arrays_zip("distances", "neighbours"), lambda h: F.struct(h["distances"].alias("distance"), h["neighbours"].alias("neighbour")))
+    best = found.select(*groups, "member", hits.alias("hits")).groupBy(*groups, "member").agg(
+        F.slice(F.array_sort(F.flatten(F.collect_list("hits"))), 1, k).alias("hits")
     )
-    order = Window.partitionBy(*groups, "member").orderBy("hit.distance", "hit.neighbour")
-    return (
-        ranked.withColumn("rank", F.row_number().over(order))
-        .where(F.col("rank") <= k)
-        .select(*groups, "member", "rank", "hit.neighbour", "hit.distance")
+    return best.select(*groups, "member", F.posexplode("hits").alias("rank", "hit")).select(
+        *groups, "member", (F.col("rank") + 1).alias("rank"), "hit.neighbour", "hit.distance"
     )
 
 
+def _box(features: int) -> list[Column]:
+    """Least and greatest value of every feature."""
+    return [F.array(*[f(F.get("point", F.lit(i))) for i in range(features)]).alias(n) for n, f in (("low", F.min), ("high", F.max))]
+
+
 def _with_cells(members: DataFrame, groups: Sequence[str], cell_rows: int) -> DataFrame:
-    """Add ``along`` (projection) and ``cell``; crowded stretches are dealt out over several cells."""
-    total = F.aggregate("point", F.lit(0.0), lambda acc, x: acc + x)
-    rows = members.withColumn("along", total / F.sqrt(F.size("point").cast("double")))
-    points = F.array(*[F.lit(i / _CELLS) for i in range(1, _CELLS)])
-    splits = rows.groupBy(*groups).agg(
-        F.percentile_approx("along", points, F.lit(1000)).alias("_splits"), F.count(F.lit(1)).alias("_rows")
-    )
-    stretches = F.greatest(F.lit(1), F.least(F.lit(_CELLS), F.floor(F.col("_rows") / cell_rows)))
-    below = F.size(F.filter("_splits", lambda split: split < F.col("along")))
-    stretch = F.floor(below * stretches / _CELLS).cast("long")
-    placed = join_per_group(rows, splits, groups, ["member"]).withColumn("_stretch", stretch).drop("_splits", "_rows")
-    crowd = placed.groupBy(*groups, "_stretch").agg(F.ceil(F.count(F.lit(1)) / cell_rows).alias("_parts"))
-    dealt = join_per_group(placed, crowd, [*groups, "_stretch"], ["member"])
-    part = F.pmod("member", "_parts")
-    return dealt.withColumn("cell", F.col("_stretch") * F.lit(1 << 32) + part).drop("_stretch", "_parts")
+    """Add ``cell``. Cells are numbered like nodes of a tree: the parts of cell c are c * FAN and the next ones."""
+    width = members.select(F.size("point")).first()
+    features = width[0] if width else 0
+    rows = members.withColumn("cell", F.lit(1).cast("long"))
+    cuts = F.array(*[F.lit((i + 1) / FAN) for i in range(FAN - 1)])
+    while True:
+        parts = rows.groupBy(*groups, "cell").agg(F.count(F.lit(1)).alias("n"), *_box(features)).where(F.col("n") > cell_rows)
+        spans = F.zip_with("high", "low", lambda h, l: h - l)
+        widest = F.array_position(spans, F.array_max(spans)).cast("int") - 1
+        large = stage(parts.where(F.array_max(spans) > 0).select(*groups, "cell", widest.alias("_along")), "large")
+        if large.isEmpty():
+            break
+        along = F.get("point", F.col("_along"))
+        marked = stage(join_per_group(rows, large, [*groups, "cell"], ["member"]), "marked")
+        splits = marked.where(F.col("_along").isNotNull()).groupBy(*groups, "cell").agg(F.percentile_approx(along, cuts, F.lit(1000)).alias("_cuts"), F.max(along).alias("_top"))
+        split = join_per_group(marked, splits, [*groups, "cell"], ["member"])
+        # A value as large as the greatest is on its own side of some cut, so every split makes progress.
+        part = F.size(F.filter("_cuts", lambda c: (c < along) | ((c == along) & (along == F.col("_top")))))
+        rows = stage(
+            split.withColumn("cell", F.when(F.col("_along").isNotNull(), F.col("cell") * FAN + part).otherwise(F.col("cell")))
+            .drop("_along", "_cuts", "_top"),
+            "split",
+        )
+    # What is left over the bound is one point many times; it is dealt out.
+    crowd = rows.groupBy(*groups, "cell").agg(F.ceil(F.count(F.lit(1)) / cell_rows).alias("_parts"))
+    dealt = join_per_group(rows, stage(crowd, "crowd"), [*groups, "cell"], ["member"])
+    return dealt.withColumn("part", F.pmod("member", "_parts")).drop("_parts")
 
 
 def _hits_schema(located: DataFrame, groups: Sequence[str]) -> T.StructType:
-    hit = T.StructType().add("neighbour", T.LongType()).add("distance", T.DoubleType())
-    schema = T.StructType([located.schema[name] for name in groups])
-    return schema.add("member", T.LongType()).add("found", T.ArrayType(hit))
+    schema = T.StructType([located.schema[name] for name in groups]).add("member", T.LongType())
+    return schema.add("neighbours", T.ArrayType(T.LongType())).add("distances", T.ArrayType(T.DoubleType()))
 
 
 def _inside_cells(located: DataFrame, groups: Sequence[str], k: int) -> DataFrame:
     """Nearest rows within the own cell, with ``bound``: how far a nearer row could still be."""
-    schema = _hits_schema(located, groups)
-    for name, kind in (("cell", T.LongType()), ("along", T.DoubleType()), ("bound", T.DoubleType())):
-        schema = schema.add(name, kind)
+    schema = _hits_schema(located, groups).add("cell", T.LongType()).add("part", T.LongType()).add("bound", T.DoubleType())
     schema = schema.add("point", T.ArrayType(T.DoubleType()))
 
     def search(cell: pd.DataFrame) -> pd.DataFrame:
         return kernels.nearest_inside(cell, k)[schema.names]
 
-    return located.groupBy(*groups, "cell").applyInPandas(search, schema)
+    return located.groupBy(*groups, "cell", "part").applyInPandas(search, schema)
 
 
-def _across_cells(located: DataFrame, near: DataFrame, groups: Sequence[str], k: int) -> DataFrame:
-    extents = (
-        located.groupBy(*groups, "cell")
-        .agg(F.min("along").alias("low"), F.max("along").alias("high"))
-        .groupBy(*groups)
-        .agg(F.collect_list(F.struct("cell", "low", "high")).alias("_cells"))
-    )
-    slack = F.col("bound") + 1e-8
-
-    def reachable(other: Column) -> Column:
-        overlaps = (other["low"] <= F.col("along") + slack) & (other["high"] >= F.col("along") - slack)
-        return (other["cell"] != F.col("cell")) & overlaps
-
-    several = extents.where(F.size("_cells") > 1)
-    salted = several.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(31))))
-    visits = (
-        near.select(*groups, "member", "cell", "along", "bound", "point")
-        .withColumn("_salt", F.pmod(F.xxhash64("member"), F.lit(32)).cast("int"))
-        .join(salted, [*groups, "_salt"])
-        .withColumn("other", F.explode(F.transform(F.filter("_cells", reachable), lambda c: c["cell"])))
-        .select(*groups, "cell", "other", "member", "point")
+def _visits(located: DataFrame, near: DataFrame, groups: Sequence[str]) -> DataFrame:
+    """Rows with the (cell, part) that may hold a nearer one: ``other``, ``other_part``."""
+    width = located.select(F.size("point")).first()
+    leaves = stage(located.groupBy(*groups, "cell", "part").agg(*_box(width[0] if width else 0)), "leaves")
+    reach = near.groupBy(*groups, "cell", "part").agg(F.max("bound").alias("reach"))
+    asking = leaves.join(reach, [*groups, "cell", "part"])
+    # A node's number in base FAN is a 1 and the parts on the way to it, so its digits without the last are its parent.
+    digits = F.conv(F.col("cell").cast("string"), 10, FAN)
+    above = leaves.withColumn("node", F.explode(F.transform(F.sequence(F.lit(1), F.length(digits)), lambda j: F.conv(F.substr(digits, F.lit(1), j), FAN, 10).cast("long"))))
+    boxes = above.groupBy(*groups, "node").agg(
+        *[F.array(*[f(F.get(n, F.lit(i))) for i in range(width[0] if width else 0)]).alias(n) for n, f in (("low", F.min), ("high", F.max))]
     )
-    pairs = visits.select(*groups, "cell", "other").distinct()
-    # Renamed afresh: the pairs carry the columns of the visits, the other side of the cogroup.
-    asked = pairs.select(*[F.col(name).alias(name) for name in pairs.columns])
-    hosts = located.select(*groups, F.col("cell").alias("other"), "member", "point").join(asked, [*groups, "other"])
-    hosts = hosts.select(*[F.col(name).alias(name) for name in (*groups, "cell", "other", "member", "point")])
+    tree = stage(boxes.withColumn("parent", F.when(F.col("node") > 1, F.expr(f"node div {FAN}"))), "tree")
+
+    def gap(low: Column, high: Column, other_low: Column, other_high: Column) -> Column:
+        sides = F.zip_with(F.zip_with(low, other_high, lambda a, b: a - b), F.zip_with(other_low, high, lambda a, b: a - b), lambda a, b: F.greatest(a, b, F.lit(0.0)))
+        return F.sqrt(F.aggregate(sides, F.lit(0.0), lambda t, x: t + x * x))
+
+    near_enough = gap(F.col("low"), F.col("high"), F.col("_low"), F.col("_high")) <= F.col("reach") + _SLACK
+    frontier = asking.select(*groups, "cell", "part", "low", "high", "reach", F.lit(1).cast("long").alias("node"))
+    below = tree.select(*groups, F.col("parent").alias("node"), F.col("node").alias("_child"), F.col("low").alias("_low"), F.col("high").alias("_high"))
+    pairs, ends = None, leaves.select(*groups, F.col("cell").alias("node"), F.col("part").alias("other_part")).distinct()
+    while True:
+        frontier = stage(frontier, "frontier")
+        reached = frontier.join(ends, [*groups, "node"]).select(*groups, "cell", "part", F.col("node").alias("other"), "other_part")
+        pairs = reached if pairs is None else pairs.unionByName(reached)
+        frontier = frontier.join(below, [*groups, "node"]).where(near_enough).select(*groups, "cell", "part", "low", "high", "reach", F.col("_child").alias("node"))
+        if frontier.isEmpty():
+            break
+    own = (F.col("cell") == F.col("other")) & (F.col("part") == F.col("other_part"))
+    boxed = leaves.select(*groups, F.col("cell").alias("other"), F.col("part").alias("other_part"), F.col("low").alias("_low"), F.col("high").alias("_high"))
+    pairs = stage(pairs.where(~own).join(boxed, [*groups, "other", "other_part"]), "pairs")
+    met = near.select(*groups, "cell", "part", "member", "bound", "point").join(pairs, [*groups, "cell", "part"])
+    inside = gap(F.col("point"), F.col("point"), F.col("_low"), F.col("_high")) <= F.col("bound") + _SLACK
+    return met.where(inside).select(*groups, "other", "other_part", "member", "point")
+
+
+def _across_cells(located: DataFrame, visits: DataFrame, groups: Sequence[str], k: int) -> DataFrame:
+    """Nearest rows in the visited cells. The rows that visit a cell are cut into chunks, each with its copy of the cell."""
+    where_ = [*groups, "other", "other_part"]
+    chunks = stage(visits.groupBy(*where_).agg(F.ceil(F.count(F.lit(1)) / VISITORS).cast("int").alias("_chunks")), "chunks")
+    asking = join_per_group(visits, chunks, where_, ["member"]).withColumn("chunk", F.pmod(F.xxhash64("member"), F.col("_chunks")).cast("int"))
+    hosts = located.select(*groups, F.col("cell").alias("other"), F.col("part").alias("other_part"), "member", "point").join(chunks, where_)
+    hosts = hosts.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("_chunks") - 1)))
     schema = _hits_schema(located, groups)
-    bound_keys = [*groups, "cell", "other"]
 
     def search(asking: pd.DataFrame, hosting: pd.DataFrame) -> pd.DataFrame:
         return kernels.nearest_across(asking, hosting, k)[schema.names]
 
-    return (
-        visits.groupBy(*bound_keys)
-        .cogroup(hosts.groupBy(*bound_keys))
-        .applyInPandas(search, schema)
-    )
+    by = [*where_, "chunk"]
+    sides = [df.select(*[F.col(c).alias(c) for c in (*by, "member", "point")]) for df in (asking, hosts)]
+    return sides[0].groupBy(*by).cogroup(sides[1].groupBy(*by)).applyInPandas(search, schema)
 
 
 def synthetic_rows(

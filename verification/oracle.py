@@ -639,7 +639,7 @@ def oracle() -> dict[str, str]:
       short as (select *, max(n) over (partition by symbol, "interval") - n as missing from cc),
       mem as materialized (
         select z.*, n, missing, row_number() over (partition by symbol, "interval", target order by i) - 1 as member
-        from z join short using (symbol, "interval", target) where missing > 0),
+        from z join short using (symbol, "interval", target)),
       nn as materialized (
         select a.symbol, a."interval", a.target, a.member, b.member as neighbour, round(sqrt((a.zc - b.zc) ** 2 + (a.zv - b.zv) ** 2), 9) as distance
         from mem a join mem b on a.symbol = b.symbol and a."interval" = b."interval" and a.target = b.target and a.member <> b.member

@@ -575,12 +575,7 @@ def _scaled_rows(spark, sf_dir):
 
 @query
 def class_neighbours(spark, sf_dir):
-    rows = _scaled_rows(spark, sf_dir)
-    counts = balance.class_counts(rows)
-    largest = counts.groupBy(*KEYS).agg(F.max("class_rows").alias("most"))
-    smaller = counts.join(largest, list(KEYS)).where("class_rows < most").select(*KEYS, "target")
-    minority = rows.join(smaller, [*KEYS, "target"], "left_semi")
-    found = balance.class_neighbours(balance.class_members(minority, _SCALED))
+    found = balance.class_neighbours(balance.class_members(_scaled_rows(spark, sf_dir), _SCALED), cell_rows=256)
     return r6(found, *KEYS, "target", "member", "rank", "neighbour", "distance")
 
 
