@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barloom.llm.common import map_batches, prepared
+from barloom.llm.common import join_facts, map_batches, prepared
 from barloom.session import Workspace
 
 #: Characters that count as symbols (fixed values).
@@ -130,7 +130,7 @@ def judge(documents: DataFrame, workspace: Workspace, keep: tuple[str, ...] = ("
     """``keep``, host, MEASURES, base_failed, the host's columns and kept, one row for each document."""
     measured = measure(documents, keep, host).withColumn("base_failed", failed())
     rows = workspace.stage(measured, "measured")
-    found = rows.join(host_rates(rows, host_limit), "host")
+    found = join_facts(rows, host_rates(rows, host_limit), ["host"], F.struct(*keep, *MEASURES))
     return found.withColumn("kept", ~F.col("base_failed") & F.col("host_kept"))
 
 
