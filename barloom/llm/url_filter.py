@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from barloom.llm.common import prepared
+from barloom.llm.common import join_facts, prepared
 from barloom.session import Workspace
 
 #: Verdict, host, path.
@@ -103,7 +103,7 @@ def _branches(rows: DataFrame, level: int, share: float, least: int, z: float, s
     )
     totals = children.groupBy("host", "node").agg(F.sum("n").alias("total"))
     named = (F.col("n") >= F.greatest(F.lit(least), F.col("total") * share)) | (F.col("segment") == TAIL)
-    children = children.join(totals, ["host", "node"]).withColumn("named", named)
+    children = join_facts(children, totals, ["host", "node"], F.col("segment")).withColumn("named", named)
     token = F.when(F.col("named"), F.col("segment")).otherwise(_kind(F.col("segment")))
     tokens = children.withColumn("token", token)
     branch = tokens.groupBy("host", "node", "named", "token").agg(
@@ -126,9 +126,9 @@ def _branches(rows: DataFrame, level: int, share: float, least: int, z: float, s
     )
     rest = siblings.where(~F.col("sure")).select(*[F.col("token").alias("name") if c == "name" else c for c in joint.columns])
     judged = joint.unionAll(rest).withColumn("rate", smoothed(F.col("b"), F.col("l"), F.col("prior")))
-    return tokens.select("host", "node", "named", "token", "segment").join(
-        judged.select("host", "node", "named", "token", F.col("name"), "rate"), ["host", "node", "named", "token"]
-    ).select("host", "node", "segment", F.col("name").alias("token"), "rate")
+    keys = ["host", "node", "named", "token"]
+    named_by = join_facts(tokens.select(*keys, "segment"), judged.select(*keys, "name", "rate"), keys, F.col("segment"))
+    return named_by.select("host", "node", "segment", F.col("name").alias("token"), "rate")
 
 
 def judge(pages: DataFrame, workspace: Workspace, rules=RULES, block_at: float = 0.7, **options) -> DataFrame:
