@@ -5,7 +5,9 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterable
+from pathlib import Path
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,6 +35,26 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Let the Python workers of this application import this package, wherever it lies on the driver.
+
+    Spark brings the zipped sources to each executor, as for any dependency given with ``--py-files``.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    root = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="barloom-code-")) / "barloom.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as package:
+        for file in sorted(root.rglob("*.py")):
+            package.write(file, file.relative_to(root.parent))
+    context.addPyFile(str(archive))
+    _shipped.add(context.applicationId)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder that every executor can reach, as the cluster names it in ``spark.checkpoint.dir``."""
     named = spark.conf.get(CHECKPOINT_DIR, None)

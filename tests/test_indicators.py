@@ -196,6 +196,65 @@ def test_one_exchange_and_one_sort_serve_all_windows(spark, bars):
     assert len(by_block) == 1 and len(sorts) == 1
 
 
+def exchanges(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return [line.split("Exchange ")[1] for line in plan.splitlines() if "Exchange hashpartitioning" in line or "Exchange rangepartitioning" in line]
+
+
+STRATEGY_LISTS = [strategy_features(i, s)["features"] for i in ("1h", "1d") for s in STRATEGY_FEATURES]
+
+
+@pytest.mark.parametrize("features", [["ema_200"], ["ema_12", "ema_200"], *STRATEGY_LISTS], ids=lambda f: "-".join(f[-3:]))
+def test_rows_move_twice_at_most(bars, features):
+    """Once for positions, once into blocks; the other exchanges carry a row per block."""
+    if "sar" in features:
+        features = [f for f in features if f != "sar"]
+    found = sets.add_indicators(bars, features, fill=False)
+    moved = [e for e in exchanges(found) if "REPARTITION" in e or "_span" in e]
+    by_block = [e for e in moved if "REPARTITION" in e]
+    assert len(by_block) == 1
+    # Positions: partial counts by span, and the rows once.
+    assert len([e for e in moved if "_span" in e]) <= 3
+
+
+def gappy(g: pd.DataFrame) -> pd.DataFrame:
+    out = g.copy()
+    out.loc[out.index % 11 == 3, "close"] = np.nan
+    out.loc[out.index % 13 == 6, "low"] = np.nan
+    out.loc[out.index < 2, "close"] = np.nan
+    return out
+
+
+@pytest.mark.parametrize("block_bars", [32768, 512])
+def test_missing_prices_are_what_they_are_in_pandas(spark, bars, block_bars):
+    names = ["ema_3", "ema_12", "macd", "macd_signal", "sma_20", "std_20", "stoch_k_14", "stoch_d_14", "tenkan_sen_9", "vwap"]
+    frame = pd.concat([gappy(g.sort_values(KEY).reset_index(drop=True)) for _, g in bars.toPandas().groupby(list(KEYS))])
+
+    def expected(g):
+        c, h, lo, v = g.close, g.high, g.low, g.volume
+        k = 100 * (c - lo.rolling(14).min()) / (h.rolling(14).max() - lo.rolling(14).min())
+        fast, slow = c.ewm(span=12, adjust=False).mean(), c.ewm(span=26, adjust=False).mean()
+        return {
+            "ema_3": c.ewm(span=3, adjust=False).mean(), "ema_12": fast, "macd": fast - slow,
+            "macd_signal": (fast - slow).ewm(span=9, adjust=False).mean(), "sma_20": c.rolling(20).mean(), "std_20": c.rolling(20).std(),
+            "stoch_k_14": k, "stoch_d_14": k.rolling(3).mean(), "tenkan_sen_9": (h.rolling(9).max() + lo.rolling(9).min()) / 2,
+            "vwap": (v * (h + lo + c) / 3).cumsum() / v.cumsum(),
+        }
+
+    holes = spark.createDataFrame(frame.astype({"close": object, "low": object}).where(frame.notna(), None), bars.schema)
+    ours = sets.add_indicators(holes, names, fill=False, side_columns=False, block_bars=block_bars).toPandas()
+    assert_same(ours, per_series(frame, expected))
+
+
+def test_an_average_of_next_to_nothing_fails(spark):
+    closes = [1.0 if i % 40 == 0 else None for i in range(3000)]
+    frame = series(spark, [0.0] * 3000).toPandas()
+    frame["close"] = closes
+    holes = spark.createDataFrame(frame.astype({"close": object}).where(frame.notna(), None), series(spark, [0.0]).schema)
+    with pytest.raises(Exception, match="too many missing values"):
+        ind.apply_steps(holes, ind.ema("close", 12, "x"), ["x"]).collect()
+
+
 def test_unknown_feature_is_refused(bars):
     with pytest.raises(ValueError):
         sets.add_indicators(bars, ["no_such_thing"])

@@ -143,6 +143,19 @@ def test_a_bracket_that_misses_is_widened(spark, monkeypatch):
         assert (r["x"], r["y"]) == pytest.approx((np.quantile(values, 0.37), np.quantile(values, 0.9)))
 
 
+def exchanges(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
+def test_ranks_are_read_from_what_is_written_once(bars):
+    """Counts are made and placed once; what follows are partial sums and one exchange of distinct values."""
+    rows = bars.select(*KEYS, "close", "volume", (F.col("volume") > 50).cast("int").alias("target"))
+    assert exchanges(ranking.value_ranks(rows, KEYS, "close", {"n": F.count(F.lit(1))})) <= 2
+    assert exchanges(selection.mutual_information(rows, ["close", "volume"], classes=(0, 1))) <= 4
+    assert exchanges(evaluate.roc_auc(rows.withColumn("p", F.col("close")), {1: "p"})) <= 5
+    assert exchanges(ranking.exact_quantiles(rows, KEYS, "close", {"a": 0.15, "b": 0.85})) == 0
+
+
 # --- labels ------------------------------------------------------------------------------------------
 
 
