@@ -9,6 +9,10 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
+
+from barloom.session import ship_package
 
 LIMITS = {
     # Long texts: a batch that goes to a Python worker is bounded in bytes, not only in rows.
@@ -30,9 +34,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def map_batches(df: DataFrame, schema: str, work: Callable[[Iterator[dict[str, list]]], Iterable[dict[str, list]]]) -> DataFrame:
     """``work`` sees the batches of one partition as dicts of Python lists and yields dicts of lists or arrays."""
-    from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import StructType
-
+    ship_package(df.sparkSession)
     out = to_arrow_schema(StructType.fromDDL(schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

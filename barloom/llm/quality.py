@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barloom.llm.common import join_facts, map_batches, prepared
-from barloom.session import Workspace
+from barloom.session import Workspace, ship_package
 
 #: Characters that count as symbols (fixed values).
 SYMBOLS = b"#*$%&|<>"
@@ -148,5 +148,6 @@ def kept_documents(documents: DataFrame, workspace: Workspace, host: str = "sour
             texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
             yield batch.filter(pa.array([passes(t) for t in texts], pa.bool_()))
 
+    ship_package(documents.sparkSession)
     passing = documents.mapInArrow(work, documents.schema)
     return passing.join(rejected, F.coalesce(F.col(host).cast("string"), F.lit("")) == rejected["host"], "left_anti")

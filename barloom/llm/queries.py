@@ -46,7 +46,32 @@ def op1_histogram_shards(spark, sf_dir):
 def op10_host_quality(spark, sf_dir):
     """Rules of every document and the verdict of its host."""
     rows = quality.judge(table(spark, sf_dir, "documents"), Workspace(spark, "op10"))
-    return rows.select("doc_id", *quality.MEASURES, "base_failed", "kept", "host", "host_rate")
+    return rows.select("doc_id", *quality.MEASURES, "base_failed", "kept", "host", F.round("host_rate", 9).alias("host_rate"))
+
+
+ORACLE["op10_host_quality"] = r"""
+with t as (select row_number() over () r, doc_id, coalesce(source, '') host, coalesce(text, '') t from documents),
+w as (
+  select *, regexp_extract_all(t, '[^\x09-\x0D ]+') ws,
+         [l for l in string_split(t, chr(10)) if regexp_matches(l, '[^\x09-\x0D ]')] lines from t),
+windows as (select r, i, ws[i:i + 2] win from w, unnest(range(1, len(ws) - 1)) x(i)),
+twice as (select r, win from windows group by all having count(*) > 1),
+repeated as (select r, count(distinct j) n from (select r, unnest([i, i + 1, i + 2]) j from windows semi join twice using (r, win)) group by r),
+m as (
+  select r, doc_id, host, len(ws) n_words, coalesce(list_sum([length(x) for x in ws]), 0)::bigint word_chars,
+         length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) n_symbols, len(lines) - len(list_distinct(lines)) n_dup_lines,
+         coalesce(n, 0) n_repeat_words
+  from w left join repeated using (r)),
+f as (select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words base_failed from m),
+hosts as (select host, count(*)::double n, count(*) filter (base_failed)::double f from f group by host),
+s as (select count(*) h, sum(n) n, sum(f) f, sum(f * f / n) q, (sum(f) + 0.5) / (sum(n) + 1) mean from hosts),
+b as (select *, q / n - (f / n) ** 2 - mean * (1 - mean) * h / n between_hosts from s),
+p as (select mean, case when between_hosts > 0 then least(greatest(mean * (1 - mean) / between_hosts - 1, 1), 1e6) else 1e6 end k from b),
+rates as (select host, (f + mean * k) / (n + k) rate from hosts, p)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, not base_failed and rate <= 0.6 kept, host,
+       round(rate, 9) host_rate
+from f join rates using (host)
+"""
 
 
 @query
@@ -64,6 +89,27 @@ def op9_winnowing_decontamination(spark, sf_dir):
     )
 
 
+ORACLE["op9_winnowing_decontamination"] = r"""
+with d as (
+  select row_number() over () r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') ws
+  from documents),
+items as (
+  select item_id::varchar item,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') ws
+  from benchmark where item_id is not null),
+known as materialized (
+  select distinct item, least(len(ws), 10) n, ws[i:i + least(len(ws), 10) - 1] win from items, unnest(range(1, len(ws) - least(len(ws), 10) + 2)) x(i) where len(ws) > 0),
+hits as materialized (
+  select r, i, d2.n, win from (select r, ws, i, n, ws[i:i + n - 1] win from d, (select distinct n from known) l, unnest(range(1, len(ws) - n + 2)) x(i)) d2
+  semi join known using (win)),
+found as (select r, count(distinct j) n_hit from (select r, unnest(range(i, i + n)) j from hits) group by r),
+its as (select r, count(*) n_items, string_agg(item, ',' order by item) list from (select distinct r, item from hits join known using (win)) group by r)
+select doc_id, len(ws) n_words, coalesce(n_hit, 0) n_hit, coalesce(n_items, 0) n_items, sha256(coalesce(list, '')) items_sha256, coalesce(n_hit, 0) > 0 contaminated
+from d left join found using (r) left join its using (r)
+"""
+
+
 @query
 def op4_token_files(spark, sf_dir):
     """All documents as token files, and what is read back from them."""
