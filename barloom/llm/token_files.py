@@ -29,11 +29,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm.common import map_batches, prepared, size_of, text_bytes
+from barloom.llm.common import combine, map_batches, mix, prepared, size_of, text_bytes
 
 MAGIC = b"BLDAC001"
 RANK_BITS = 512
 END_ID = 1
+BREAK = re.compile(rb"[\t\n\x0b\x0c\r ]")
 
 
 def _padded(raw: bytes) -> bytes:
@@ -106,8 +107,14 @@ class Segment:
         return value
 
 
-#: A run of ASCII and Latin-1 letters, and what may follow it without touching its ids (fixed; after A-Z is lower-cased).
-CORE = re.compile(rb"((?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([^a-z0-9\x80-\xff']*)")
+#: Bytes between chunks, letters, and what may follow letters without touching their ids (fixed values; A-Z is lower-cased).
+SPACE = np.isin(np.arange(256), list(b"\t\n\x0b\x0c\r "))
+LETTER = np.isin(np.arange(256), list(range(0x61, 0x7B)))
+FOLLOWS = np.isin(np.arange(256), [b for b in range(0x80) if not chr(b).isalnum() and b != 0x27])
+#: After the byte C3, these make a Latin-1 letter in UTF-8.
+LATIN = np.isin(np.arange(256), [*range(0x80, 0x97), *range(0x98, 0xB7), *range(0xB8, 0xC0)])
+LONGEST = 64  # bytes of a piece that is remembered by its hash
+_BASE = 0x9E3779B97F4A7C15
 
 
 def _gather(pool: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -120,23 +127,26 @@ class ChunkEncoder:
     """Ids of whole texts, from ids of their pieces.
 
     A tokenizer that lower-cases, drops white space and marks the ends of words looks at no piece's neighbours,
-    so a text's ids are those of its pieces in order. Each distinct piece is encoded by the library once, until
-    more than ``most`` are known; letters and the punctuation after them are two pieces. Texts of other
-    tokenizers are encoded whole.
+    so a text's ids are those of its pieces in order. Pieces are runs between white space; letters and the
+    punctuation after them are two. They are found, hashed (64 bits) and looked up as arrays over many texts; each
+    distinct one is encoded by the library once, until more than ``most`` are known. Pieces over ``LONGEST``
+    bytes, texts with marks of special tokens, and all texts of other tokenizers go to the library as they are.
     """
 
     _last: tuple[str, ChunkEncoder] | None = None
 
-    def __init__(self, path: str, most: int = 400_000, at_once: int = 50_000):
+    def __init__(self, path: str, most: int = 1_000_000, at_once: int = 50_000, window: int = 1 << 20):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.most, self.at_once = Tokenizer.from_file(path), most, at_once
+        self.tokenizer, self.most, self.at_once, self.window = Tokenizer.from_file(path), most, at_once, window
         kind = json.loads(self.tokenizer.to_str())
         self.by_piece = kind["model"].get("end_of_word_suffix") == "</w>" and '"Lowercase"' in json.dumps(kind["normalizer"]) and '"Removed"' in json.dumps(kind["pre_tokenizer"])
         if self.by_piece:
             words = self.tokenizer.get_vocab(with_added_tokens=True)
             self.ends = np.zeros(max(words.values()) + 1, bool)
             self.ends[[i for w, i in words.items() if w.endswith("</w>")]] = True
+        self.values = mix(np.arange(1, 257, dtype=np.uint64))
+        self.powers = self.inverse = np.empty(0, np.uint64)
         self._forget()
 
     @classmethod
@@ -147,13 +157,18 @@ class ChunkEncoder:
         return cls._last[1]
 
     def _forget(self) -> None:
-        self.slots: dict[bytes, int] = {b"": 0}
-        self.pool, self.size = np.empty(0, np.uint32), np.zeros(1, np.int64)
-
-    def _learn(self, pieces: list[bytes], plain: bool) -> None:
-        """Encode new pieces, joined to texts of bounded size. A plain piece is one word of letters."""
-        pools, sizes, first = [self.pool], [self.size], 0
-        self.slots |= zip(pieces, itertools.count(len(self.slots)), strict=False)
+        self.known, self.slots = np.empty(0, np.uint64), np.empty(0, np.int64)
+        self.pool, self.size = np.empty(0, np.uint32), np.empty(0, np.int64)
+
+    def _grow_powers(self, length: int) -> None:
+        if len(self.powers) < length:
+            one = np.uint64(1)
+            for name, base in (("powers", _BASE), ("inverse", pow(_BASE, -1, 1 << 64))):
+                setattr(self, name, np.concatenate([[one], np.cumprod(np.full(length, base, np.uint64))]))
+
+    def _encoded(self, pieces: list[bytes], plain: bool) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """Ids and sizes of new pieces, joined to texts of bounded size. A plain piece is one word of letters."""
+        pools, sizes, first = [], [], 0
         while first < len(pieces):
             some, total = [], 0
             while first < len(pieces) and (total < self.at_once or not some):
@@ -172,53 +187,100 @@ class ChunkEncoder:
                 raise ValueError("pieces and ids do not agree")
             pools.append(ids)
             sizes.append(own)
+        return pools, sizes
+
+    def _learn(self, raw: bytes, hashes: np.ndarray, begin: np.ndarray, end: np.ndarray, plain: np.ndarray) -> None:
+        """Encode pieces of ``raw`` with new (sorted, distinct) hashes and remember them."""
+        pools, sizes, order = [self.pool], [self.size], []
+        for kind in (True, False):
+            mine = np.flatnonzero(plain == kind)
+            more = self._encoded([raw[i:j] for i, j in zip(begin[mine].tolist(), end[mine].tolist(), strict=True)], kind)
+            pools += more[0]
+            sizes += more[1]
+            order.append(mine)
+        slots = np.empty(len(hashes), np.int64)
+        slots[np.concatenate(order)] = np.arange(len(self.size), len(self.size) + len(hashes))
+        at = np.searchsorted(self.known, hashes)
+        self.known, self.slots = np.insert(self.known, at, hashes), np.insert(self.slots, at, slots)
         self.pool, self.size = np.concatenate(pools), np.concatenate(sizes)
 
+    def _pieces(self, window: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Begin and end of each piece of a window of text in order, and whether it is plain."""
+        space = SPACE[window]
+        edge = np.flatnonzero(np.diff(space, prepend=True, append=True))
+        begin, end = edge[::2], edge[1::2]
+        latin = (window[:-1] == 0xC3) & LATIN[window[1:]] if len(window) else np.empty(0, bool)
+        letter = LETTER[window]
+        letter[:-1] |= latin
+        letter[1:] |= latin
+        others = np.flatnonzero(~letter)
+        before = np.cumsum(~letter)[begin] - ~letter[begin]  # bytes that are no letters before each chunk
+        stop = np.minimum(np.append(others, len(window))[before], end)
+        unsafe = np.concatenate([[0], np.cumsum(~FOLLOWS[window])])
+        split = (stop > begin) & (unsafe[end] == unsafe[stop])
+        second = split & (stop < end)
+        place = np.arange(len(begin)) + np.cumsum(second) - second
+        begins, ends, plain = (np.empty(len(begin) + int(second.sum()), k) for k in (np.int64, np.int64, bool))
+        begins[place], ends[place], plain[place] = begin, np.where(split, stop, end), split
+        rest = place[second] + 1
+        begins[rest], ends[rest], plain[rest] = stop[second], end[second], False
+        return begins, ends, plain
+
+    def _window_ids(self, raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of the pieces of a window: where they begin, how many ids they have, and all ids."""
+        window = np.frombuffer(raw, np.uint8)
+        begin, end, plain = self._pieces(window)
+        if not len(begin):
+            return begin, np.empty(0, np.int64), np.empty(0, np.uint32)
+        self._grow_powers(len(window))
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(self.values[window] * self.powers[: len(window)], dtype=np.uint64)])
+        hashes = combine((sums[end] - sums[begin]) * self.inverse[begin], (end - begin).astype(np.uint64))
+        long = np.flatnonzero(end - begin > LONGEST)
+        distinct, first, place = np.unique(hashes, return_index=True, return_inverse=True)
+        at = np.minimum(np.searchsorted(self.known, distinct), max(len(self.known) - 1, 0))
+        new = np.flatnonzero(self.known[at] != distinct) if len(self.known) else np.arange(len(distinct))
+        new = new[(end - begin)[first[new]] <= LONGEST]
+        if len(new):
+            self._learn(raw, distinct[new], begin[first[new]], end[first[new]], plain[first[new]])
+            at = np.minimum(np.searchsorted(self.known, distinct), len(self.known) - 1)
+        slots = self.slots[at][place] if len(self.known) else np.zeros(len(place), np.int64)
+        start = np.cumsum(self.size) - self.size
+        if not len(long):
+            return begin, self.size[slots], _gather(self.pool, start[slots], self.size[slots])
+        # Long pieces are encoded by themselves; their ids follow the pool for this window.
+        more = [np.array(self.tokenizer.encode(raw[begin[i] : end[i]].decode("utf-8", "replace"), add_special_tokens=False).ids, np.uint32) for i in long]
+        sizes, starts = self.size[slots] if len(self.size) else np.zeros(len(slots), np.int64), start[slots] if len(start) else np.zeros(len(slots), np.int64)
+        sizes[long] = [len(m) for m in more]
+        starts[long] = len(self.pool) + np.cumsum(sizes[long]) - sizes[long]
+        return begin, sizes, _gather(np.concatenate([self.pool, *more]), starts, sizes)
+
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         if not self.by_piece:
             found = self.tokenizer.encode_batch_fast([t or "" for t in texts], add_special_tokens=False)
             return [np.array(f.ids, np.uint32) for f in found]
-        if len(self.slots) > self.most:
-            self._forget()
-        split, special = [], set()
-        for t in texts:
-            raw = t.encode("utf-8", "replace") if t else b""
-            if b"<|" in raw:  # special tokens keep their case and their neighbours
-                split.append(raw.split())
-                special.update(split[-1])
-            else:
-                split.append(raw.lower().split())
-        flat = list(itertools.chain.from_iterable(split))
-        chunks: dict[bytes, int] = dict.fromkeys(flat, 0)
-        parts: list[bytes] = []
-        words: dict[bytes, None] = {}
-        others: dict[bytes, None] = {}
-        for i, chunk in enumerate(chunks):
-            chunks[chunk] = i
-            match = CORE.fullmatch(chunk) if chunk not in special else None
-            if match is None:
-                parts += (chunk, b"")
-                if chunk not in self.slots:
-                    others[chunk] = None
-            else:
-                word, rest = match.groups()
-                parts += (word, rest)
-                if word not in self.slots:
-                    words[word] = None
-                if rest not in self.slots:
-                    others[rest] = None
-        if words:
-            self._learn(list(words), plain=True)
-        if others:
-            self._learn(list(others), plain=False)
-        start = np.cumsum(self.size) - self.size
-        slots = np.fromiter(map(self.slots.__getitem__, parts), np.int64, len(parts))
-        pool = _gather(self.pool, start[slots], self.size[slots])
-        size = self.size[slots].reshape(-1, 2).sum(axis=1)
-        start = np.cumsum(size) - size
-        places = np.fromiter(map(chunks.__getitem__, flat), np.int64, len(flat))
-        ends = np.cumsum([0, *map(len, split)])
-        return [_gather(pool, start[p], size[p]) for p in (places[a:b] for a, b in itertools.pairwise(ends))]
+        raws = [t.encode("utf-8", "replace") if t else b"" for t in texts]
+        special = [i for i, raw in enumerate(raws) if b"<|" in raw]
+        found = {i: np.array(self.tokenizer.encode(raws[i].decode("utf-8", "replace"), add_special_tokens=False).ids, np.uint32) for i in special}
+        raw = b"\n".join(b"" if i in found else r.lower() for i, r in enumerate(raws))
+        lengths = np.array([0 if i in found else len(r) for i, r in enumerate(raws)], np.int64)
+        begins = np.cumsum(lengths + 1) - lengths - 1
+        places, sizes, ids, at = [], [], [], 0
+        while at < len(raw):
+            if len(self.known) > self.most:
+                self._forget()
+            cut = BREAK.search(raw, at + self.window)
+            end = cut.end() if cut else len(raw)
+            place, size, some = self._window_ids(raw[at:end])
+            places.append(place + at)
+            sizes.append(size)
+            ids.append(some)
+            at = end
+        if not places:
+            return [found.get(i, np.empty(0, np.uint32)) for i in range(len(texts))]
+        ends = np.concatenate([[0], np.cumsum(np.concatenate(sizes))])
+        first = ends[np.searchsorted(np.concatenate(places), begins)]
+        every = np.concatenate(ids)
+        return [found[i] if i in found else every[a:b] for i, (a, b) in enumerate(itertools.pairwise([*first, ends[-1]]))]
 
 
 def encoded_segments(documents: DataFrame, tokenizer_path: str, end_id: int = END_ID, part_bytes: int = 32 << 20, segment_tokens: int = 1 << 19) -> DataFrame:
