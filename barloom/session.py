@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import atexit
 import re
 import tempfile
 import uuid
 import zipfile
 from collections.abc import Iterable
+from contextlib import suppress
 from pathlib import Path
 from typing import Any
 
@@ -96,12 +98,16 @@ class Workspace:
 
     def __init__(self, spark: SparkSession, label: str, innermost: bool = True):
         self.spark, self.folder = spark, scratch_path(spark, label)
-        mine = self._open.setdefault(spark.sparkContext.applicationId, [])
+        # Hadoop's file system reaches whatever store the shared folder is in, also after the session has been stopped.
+        self._place = spark._jvm.org.apache.hadoop.fs.Path(self.folder)
+        self._store = self._place.getFileSystem(spark._jsc.hadoopConfiguration())
+        self._app = spark.sparkContext.applicationId
+        mine = self._open.setdefault(self._app, [])
         mine.insert(len(mine) if innermost else 0, self)
 
     @property
     def is_open(self) -> bool:
-        return self in self._open.get(self.spark.sparkContext.applicationId, [])
+        return self in self._open.get(self._app, [])
 
     @classmethod
     def current(cls, spark: SparkSession) -> Workspace:
@@ -120,15 +126,10 @@ class Workspace:
         df.write.options(**options).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
-    def drop(self, staged: DataFrame) -> None:
-        """Remove one staged table that nothing reads any more."""
-        for file in {f.rsplit("/", 1)[0] for f in staged.inputFiles()}:
-            _delete(self.spark, file)
-
     def close(self) -> None:
         if self.is_open:
-            self._open[self.spark.sparkContext.applicationId].remove(self)
-            _delete(self.spark, self.folder)
+            self._open[self._app].remove(self)
+            self._store.delete(self._place, True)
 
     def __enter__(self) -> Workspace:
         return self
@@ -137,10 +138,13 @@ class Workspace:
         self.close()
 
 
-def _delete(spark: SparkSession, path: str) -> None:
-    jvm = spark._jvm  # Hadoop's file system reaches whatever store the shared folder is in
-    place = jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+@atexit.register
+def _close_all() -> None:
+    """What is still open at the end of the driver program goes with it, if its JVM is there to do so."""
+    for mine in Workspace._open.values():
+        for workspace in list(mine):
+            with suppress(Exception):
+                workspace.close()
 
 
 def open_workspaces(spark: SparkSession) -> list[Workspace]:
