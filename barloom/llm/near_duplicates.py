@@ -9,11 +9,13 @@ Candidates are verified by banded alignment: the longest common subsequence of k
 and b k-mers must give m / (a + b - m) >= ``SIMILAR``. The band holds every alignment that can reach that.
 
 Copies (equal words) are reduced to one document first. In each bucket of a sketch, members are verified
-against the bucket's least document, its leader; all buckets of one leader together are dealt into chunks
-of bounded size, and in a chunk those that fit no leader so far become leaders for the rest. When a group
-has one chunk, all its pairs are settled by that. Those of larger groups that matched nobody go on into
-buckets refined by several further sketches each, until none is left. So no pair list of a group is made,
-and groups of copies cost one comparison a member. The links' connected components are the classes.
+against one of them, the leader: first the one that shares most with others. All buckets of one leader
+together are dealt into chunks of bounded size, and in a chunk those that fit no leader so far become leaders
+for the rest, so a group of one chunk is settled. After a round, what has matched has one label. Other buckets
+that hold several labels go on, with another leader and with pairs of neighbours by the further sketches, until
+a round joins no labels, for at most ``ROUNDS`` rounds. So no pair list of a group is made, work a round is linear in the members, and the
+classes are the connected components of all matches. In groups of several chunks a text may be left alone
+that matches neither leaders nor neighbours in any round but some other member.
 
 With 16 sketches of 3 k-mers a pair of similarity 0.8 is missed with a probability of about 1e-5.
 
@@ -39,7 +41,7 @@ from barloom.session import Workspace
 WORD = re.compile(r"\w+")
 K, SIMILAR = 5, 0.8
 SKETCHES, TAKE = 16, 3
-CHUNK, FAN = 32, 4
+CHUNK, ROUNDS = 32, 4
 _SEEDS = mix(np.arange(1, SKETCHES + 1, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
@@ -171,42 +173,115 @@ def verified(roles: DataFrame, least: float) -> DataFrame:
 
 
 def duplicate_links(texts: DataFrame, documents: DataFrame, workspace: Workspace, least: float) -> DataFrame:
-    """Links (a, b) between nodes of ``texts`` (node, sketches), whose texts are in ``documents`` (node, text)."""
-    spark = prepared(documents.sparkSession)
-    buckets = texts.select("node", "sketches", F.posexplode("sketches").alias("place", "sketch")).select(
+    """Verified pairs (a, b) of nodes of ``texts`` (node, sketches), whose texts are in ``documents`` (node, text),
+    enough to connect all that were found similar."""
+    placed = texts.select("node", F.posexplode("sketches").alias("place", "sketch")).select(
         "node", "place", F.xxhash64("place", "sketch").alias("bucket")
     )
-    found, held = [], None
-    step = 0
+    shared = workspace.stage(placed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "shared")
+    members = workspace.stage(placed.join(shared, "bucket"), "members")
+    labels = workspace.stage(texts.select("node", F.col("node").alias("label")), "labels")
+    # Texts of all that share a bucket, once for all rounds. Both sides are shuffled at every size.
+    asked = members.select("node").distinct().hint("merge")
+    held = workspace.stage(documents.join(asked, "node", "left_semi").select("node", "text"), "texts")
+    leaders = workspace.stage(_central_leaders(members, workspace), "leaders")
+    pairs = members.join(leaders, "bucket").where("node != leader").select("leader", "node")
+    step, found = 0, None
     while True:
-        leaders = buckets.groupBy("bucket").agg(F.min("node").alias("leader"), F.max("node").alias("last")).where("leader != last").select("bucket", "leader")
-        leaders = workspace.stage(leaders, "leaders")
-        met = workspace.stage(buckets.join(leaders, "bucket").where("node != leader"), "met")
-        pairs = workspace.stage(met.select("leader", "node").distinct(), "pairs")
+        pairs = workspace.stage(pairs.distinct(), "pairs")
         sizes = pairs.groupBy("leader").agg(F.ceil(F.count(F.lit(1)) / CHUNK).cast("int").alias("chunks"))
         sizes = workspace.stage(sizes, "sizes")
-        chunk = F.pmod(F.xxhash64("node", F.lit(step)), F.col("chunks")).cast("int")
-        members = pairs.join(sizes, "leader").select("leader", chunk.alias("chunk"), F.lit(True).alias("is_member"), "node")
-        heads = sizes.select("leader", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), F.lit(False).alias("is_member"), F.col("leader").alias("node"))
-        roles = workspace.stage(members.unionAll(heads), "roles")
-        if held is None:  # later rounds only ask for texts of these
-            held = workspace.stage(documents.join(roles.select("node").distinct(), "node", "left_semi").select("node", "text"), "texts")
-        settled = workspace.stage(verified(roles.join(held, "node"), least), "settled")
-        found.append(settled.where("match is not null").select(F.col("node").alias("a"), F.col("match").alias("b")))
-        rest = settled.where("match is null").join(sizes.where("chunks > 1"), "leader").select("leader", "node")
-        rest = workspace.stage(rest, "rest")
-        if rest.isEmpty():
-            break
+        roles = workspace.stage(_roles(pairs, sizes, once=step == 0), "roles")
+        matches = verified(roles.join(held.hint("merge"), "node"), least).where("match is not null")
+        matches = workspace.stage(matches.select(F.col("node").alias("a"), F.col("match").alias("b")), "matches")
+        found = matches if found is None else found.unionAll(matches)
+        links = workspace.stage(_label_links(labels, matches), "links")
+        if step and links.isEmpty():
+            return found
+        labels = workspace.stage(_merged_labels(labels, links, workspace), "labels")
+        # All pairs of a group of one chunk have been settled, and so have the buckets in it.
+        settled = leaders.join(sizes.where("chunks = 1"), "leader", "left_semi").select("bucket")
+        members = workspace.stage(members.join(settled, "bucket", "left_anti"), "members")
         step += 1
-        again = met.join(rest, ["leader", "node"]).select("node", "place", "bucket").join(texts, "node")
-        nexts = [F.xxhash64("bucket", F.element_at("sketches", F.pmod(F.col("place") + F.lit(FAN * (step - 1) + j), F.lit(SKETCHES)) + 1), F.lit(j)) for j in range(1, FAN + 1)]
-        if FAN * step >= SKETCHES:
-            nexts = [F.col("bucket")]  # all sketches are alike: leaders alone thin these out
-        buckets = workspace.stage(again.select("node", "place", F.explode(F.array(*nexts)).alias("bucket")).distinct(), "buckets")
-    out = found[0]
-    for more in found[1:]:
-        out = out.unionAll(more)
-    return out.distinct()
+        if step == ROUNDS:
+            return found
+        labelled_ = workspace.stage(members.join(labels, "node"), "labelled")
+        leaders = workspace.stage(_other_leaders(labelled_, step), "leaders")
+        if leaders.isEmpty():
+            return found
+        open_ = workspace.stage(labelled_.join(leaders, "bucket"), "open")
+        star = open_.where((F.col("label") != F.col("leader_label")) | (F.col("n") <= CHUNK) & (F.col("node") != F.col("leader")))
+        pairs = star.select("leader", "node").unionAll(_neighbours(open_, texts, step))
+
+
+def _central_leaders(members: DataFrame, workspace: Workspace) -> DataFrame:
+    """Of each bucket, the member that shares its sketches with most others; of a family of near copies that is
+    the text that they were made from."""
+    central = workspace.stage(members.groupBy("node").agg(F.sum("n").alias("central")), "central")
+    ranked = members.join(central, "node")
+    return ranked.groupBy("bucket").agg(F.max(F.struct("central", "node")).alias("l")).select("bucket", F.col("l.node").alias("leader"))
+
+
+def _other_leaders(labelled_members: DataFrame, step: int) -> DataFrame:
+    """A leader, another one in each round, for the buckets that hold several labels."""
+    one = F.min(F.struct(F.xxhash64("node", F.lit(step)).alias("h"), "node", "label"))
+    leaders = labelled_members.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"), one.alias("l"))
+    return leaders.where("low != high").select("bucket", F.col("l.node").alias("leader"), F.col("l.label").alias("leader_label"))
+
+
+def _neighbours(open_: DataFrame, texts: DataFrame, step: int) -> DataFrame:
+    """Members next to each other, with different labels, when each bucket is sorted by the further sketches of
+    its members: those agree on the most sketches. A global sort, so a large bucket is in many tasks."""
+    further = F.transform(F.sequence(F.lit(1), F.lit(SKETCHES - 1)), lambda j: F.element_at("sketches", F.pmod(F.col("place") + j * (2 * step - 1), F.lit(SKETCHES)) + 1))
+    rows = open_.select("bucket", "place", "node", "label").join(texts, "node").select("bucket", further.alias("further"), "node", "label")
+    order = ["bucket", "further", "node"]
+
+    def work(batches: Iterator[dict[str, list]]) -> Iterator[dict[str, list]]:
+        before = (None, None, None)
+        for batch in batches:
+            out: dict[str, list] = {"leader": [], "node": []}
+            for row in zip(batch["bucket"], batch["node"], batch["label"], strict=True):
+                if row[0] == before[0] and row[2] != before[2]:
+                    out["leader"].append(min(row[1], before[1]))
+                    out["node"].append(max(row[1], before[1]))
+                before = row
+            yield out
+
+    parts = int(open_.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order).select("bucket", "node", "label")
+    return map_batches(dealt, "leader long, node long", work)
+
+
+def _roles(pairs: DataFrame, sizes: DataFrame, once: bool) -> DataFrame:
+    """Members and leaders by chunk. With ``once`` a member of several large groups takes part in the largest;
+    most of what the others would find follows from the labels of that."""
+    sized = pairs.join(sizes, "leader").select("leader", "node", "chunks")
+    if once:
+        largest = sized.where("chunks > 1").groupBy("node").agg(F.max(F.struct("chunks", "leader")).alias("g"))
+        sized = sized.where("chunks = 1").unionAll(largest.select("g.leader", "node", "g.chunks"))
+    chunk = F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")
+    heads = sizes.select("leader", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"))
+    return sized.select("leader", chunk.alias("chunk"), F.lit(True).alias("is_member"), "node").unionAll(
+        heads.select("leader", "chunk", F.lit(False).alias("is_member"), F.col("leader").alias("node"))
+    )
+
+
+def _label_links(labels: DataFrame, matches: DataFrame) -> DataFrame:
+    """Different labels at the ends of a match."""
+    ends = matches.join(labels.select(F.col("node").alias("a"), F.col("label").alias("from")), "a")
+    ends = ends.join(labels.select(F.col("node").alias("b"), F.col("label").alias("to")), "b")
+    return ends.where("from != to").select(F.col("from").alias("a"), F.col("to").alias("b")).distinct()
+
+
+def _merged_labels(labels: DataFrame, links: DataFrame, workspace: Workspace) -> DataFrame:
+    """Labels after linked ones have become one, as far as two steps to the least neighbour lead. That joins what
+    has a common leader; the rest shows in the components of all matches, and costs work at most here."""
+    both = links.unionAll(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    one = workspace.stage(both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("least")), "one")
+    two = both.join(one.select(F.col("a").alias("b"), "least"), "b").groupBy("a").agg(F.min("least").alias("least"))
+    two = two.withColumn("least", F.least("a", "least")).withColumnRenamed("a", "label")
+    found = labels.join(workspace.stage(two, "two"), "label", "left")
+    return found.select("node", F.coalesce("least", "label").alias("label"))
 
 
 def duplicate_classes(documents: DataFrame, workspace: Workspace, least: float = SIMILAR) -> DataFrame:
@@ -216,10 +291,9 @@ def duplicate_classes(documents: DataFrame, workspace: Workspace, least: float =
     texts = rows.groupBy("copy_of").agg(F.min(F.struct("doc_id", "row", "node", "sketches")).alias("one"))
     texts = workspace.stage(texts.select("copy_of", "one.*"), "texts")
     by_node = documents.select(F.xxhash64("doc_id", "text").alias("node"), "text")
-    links = workspace.stage(duplicate_links(texts.select("node", "sketches"), by_node, workspace, least), "links")
+    links = duplicate_links(texts.select("node", "sketches"), by_node, workspace, least)
     groups = workspace.stage(components(links, workspace), "components")
-    of_text = texts.select("copy_of", "doc_id", "row", "node").join(groups, "node", "left")
-    of_text = of_text.withColumn("component", F.coalesce("component", "node"))
+    of_text = texts.select("copy_of", "doc_id", "row", "node").join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least_of = of_text.groupBy("component").agg(F.min(F.struct("doc_id", "row")).alias("first"))
     classes = workspace.stage(
         of_text.join(workspace.stage(least_of, "firsts"), "component").select(
