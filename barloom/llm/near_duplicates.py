@@ -180,7 +180,7 @@ def duplicate_links(texts: DataFrame, documents: DataFrame, workspace: Workspace
     )
     shared = workspace.stage(placed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "shared")
     members = workspace.stage(placed.join(shared, "bucket"), "members")
-    labels = workspace.stage(texts.select("node", F.col("node").alias("label")), "labels")
+    labels = workspace.stage(texts.select("node", F.col("node").alias("label"), "sketches"), "labels")
     # Texts of all that share a bucket, once for all rounds. Both sides are shuffled at every size.
     asked = members.select("node").distinct().hint("merge")
     held = workspace.stage(documents.join(asked, "node", "left_semi").select("node", "text"), "texts")
@@ -211,7 +211,7 @@ def duplicate_links(texts: DataFrame, documents: DataFrame, workspace: Workspace
             return found
         open_ = workspace.stage(labelled_.join(leaders, "bucket"), "open")
         star = open_.where((F.col("label") != F.col("leader_label")) | (F.col("n") <= CHUNK) & (F.col("node") != F.col("leader")))
-        pairs = star.select("leader", "node").unionAll(_neighbours(open_, texts, step))
+        pairs = star.select("leader", "node").unionAll(_neighbours(open_, step))
 
 
 def _central_leaders(members: DataFrame, workspace: Workspace) -> DataFrame:
@@ -229,11 +229,11 @@ def _other_leaders(labelled_members: DataFrame, step: int) -> DataFrame:
     return leaders.where("low != high").select("bucket", F.col("l.node").alias("leader"), F.col("l.label").alias("leader_label"))
 
 
-def _neighbours(open_: DataFrame, texts: DataFrame, step: int) -> DataFrame:
+def _neighbours(open_: DataFrame, step: int) -> DataFrame:
     """Members next to each other, with different labels, when each bucket is sorted by the further sketches of
     its members: those agree on the most sketches. A global sort, so a large bucket is in many tasks."""
     further = F.transform(F.sequence(F.lit(1), F.lit(SKETCHES - 1)), lambda j: F.element_at("sketches", F.pmod(F.col("place") + j * (2 * step - 1), F.lit(SKETCHES)) + 1))
-    rows = open_.select("bucket", "place", "node", "label").join(texts, "node").select("bucket", further.alias("further"), "node", "label")
+    rows = open_.select("bucket", further.alias("further"), "node", "label")
     order = ["bucket", "further", "node"]
 
     def work(batches: Iterator[dict[str, list]]) -> Iterator[dict[str, list]]:
@@ -281,7 +281,7 @@ def _merged_labels(labels: DataFrame, links: DataFrame, workspace: Workspace) ->
     two = both.join(one.select(F.col("a").alias("b"), "least"), "b").groupBy("a").agg(F.min("least").alias("least"))
     two = two.withColumn("least", F.least("a", "least")).withColumnRenamed("a", "label")
     found = labels.join(workspace.stage(two, "two"), "label", "left")
-    return found.select("node", F.coalesce("least", "label").alias("label"))
+    return found.select("node", F.coalesce("least", "label").alias("label"), "sketches")
 
 
 def duplicate_classes(documents: DataFrame, workspace: Workspace, least: float = SIMILAR) -> DataFrame:

@@ -87,7 +87,7 @@ def test_rendering(spark, workspace):
 def test_equal_turns_nulls_and_nothing(spark, workspace):
     data = [(1, 0, "user", "a"), (1, 0, "user", "a"), (1, None, "system", "s"), (None, 1, None, None), (None, 2, "assistant", "")]
     found = repaired(spark, workspace, data)
-    assert [p["action"] for p in found[1]] == ["keep", "keep", "merge", "insert"]
+    assert [p["action"] for p in found[1]] == ["keep", "keep", "relabel"]
     assert [p["role"] for p in found[None] if p["turn"] is not None] == ["user", "assistant"]
     assert repaired(spark, workspace, []) == {}
 
