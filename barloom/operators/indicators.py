@@ -411,6 +411,8 @@ def apply_steps(
     steps = list(steps)
     indexed = with_bar_index(bars, block_bars)
     carried = [_TRADED, _VOLUME]
+    if any(need in carried for step in steps for need in step.needs) and INDEX not in bars.columns:
+        indexed = stage(indexed, "indexed")  # read by the rows and by the totals of their blocks
     layers, reach, ahead = layers_of(steps, [*indexed.columns, *carried])
     work = spread(indexed, reach, ahead, block_bars)
     if any(need in carried for step in steps for need in step.needs):
