@@ -187,10 +187,9 @@ def synthetic_rows(
     counts = class_counts(df, label, keys).withColumn(
         "_missing", F.max("class_rows").over(Window.partitionBy(*keys)) - F.col("class_rows")
     )
-    alone = F.raise_error(F.lit("a class with a single row cannot be balanced"))
-    short = counts.where(F.col("_missing") > 0).withColumn(
-        "class_rows", F.when(F.col("class_rows") < 2, alone.cast("long")).otherwise(F.col("class_rows"))
-    )
+    short = stage(counts.where(F.col("_missing") > 0), "short")
+    if not short.where(F.col("class_rows") < 2).isEmpty():
+        raise ValueError("a class with a single row cannot be balanced")
     members = stage(class_members(_of_classes(df, short, groups), features, label, keys), "members")
     nearest = class_neighbours(members, label, k, keys, cell_rows)
     wanted = _running_numbers(short, groups)
