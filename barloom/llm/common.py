@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import suppress
 
 import numpy as np
 import pyarrow as pa
@@ -17,7 +20,7 @@ from barloom.session import ship_package
 LIMITS = {
     # Long texts: a batch that goes to a Python worker is bounded in bytes, not only in rows.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "4000",
-    "spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20),
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(2 << 20),
 }
 
 
@@ -43,10 +46,19 @@ def map_batches(df: DataFrame, schema: str, work: Callable[[Iterator[dict[str, l
             arrays = [pa.array(made[f.name], type=f.type) for f in out]
             if len(arrays[0]):
                 yield pa.RecordBatch.from_arrays(arrays, schema=out)
+        give_back()
 
     return df.mapInArrow(run, schema)
 
 
+def give_back() -> None:
+    """Return freed memory to the system. Workers are used again by later stages, which count with their own needs."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with suppress(OSError, AttributeError):
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def size_of(df: DataFrame, each: Column) -> tuple[int, int]:
     """Rows and the sum of ``each`` over them, one partial aggregate."""
     row = df.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(each), F.lit(0)).alias("s")).first()

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barloom.llm.common import join_facts, map_batches, prepared
+from barloom.llm.common import give_back, join_facts, map_batches, prepared
 from barloom.session import Workspace, ship_package
 
 #: Characters that count as symbols (fixed values).
@@ -147,6 +147,7 @@ def kept_documents(documents: DataFrame, workspace: Workspace, host: str = "sour
         for batch in batches:
             texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
             yield batch.filter(pa.array([passes(t) for t in texts], pa.bool_()))
+        give_back()
 
     ship_package(documents.sparkSession)
     passing = documents.mapInArrow(work, documents.schema)

@@ -34,6 +34,7 @@ from barloom.llm.common import combine, map_batches, mix, prepared, size_of, tex
 MAGIC = b"BLDAC001"
 RANK_BITS = 512
 END_ID = 1
+MOST_PARTS = 20_000
 BREAK = re.compile(rb"[\t\n\x0b\x0c\r ]")
 
 
@@ -135,7 +136,7 @@ class ChunkEncoder:
 
     _last: tuple[str, ChunkEncoder] | None = None
 
-    def __init__(self, path: str, most: int = 1_000_000, at_once: int = 50_000, window: int = 1 << 20):
+    def __init__(self, path: str, most: int = 500_000, at_once: int = 50_000, window: int = 1 << 19):
         from tokenizers import Tokenizer
 
         self.tokenizer, self.most, self.at_once, self.window = Tokenizer.from_file(path), most, at_once, window
@@ -283,11 +284,12 @@ class ChunkEncoder:
         return [found[i] if i in found else every[a:b] for i, (a, b) in enumerate(itertools.pairwise([*first, ends[-1]]))]
 
 
-def encoded_segments(documents: DataFrame, tokenizer_path: str, end_id: int = END_ID, part_bytes: int = 32 << 20, segment_tokens: int = 1 << 19) -> DataFrame:
+def encoded_segments(documents: DataFrame, tokenizer_path: str, end_id: int = END_ID, part_bytes: int = 16 << 20, segment_tokens: int = 1 << 19) -> DataFrame:
     """Segments of the documents in ascending order of doc_id: part, seq, before (tokens before it in its part), tokens, doc_ids, data."""
     prepared(documents.sparkSession)
     kind = dict(documents.dtypes)["doc_id"]
     _, total = size_of(documents, text_bytes())
+    part_bytes = max(part_bytes, total // MOST_PARTS)
     rows = documents.select("doc_id", "text", F.xxhash64("text").alias("by_text"), F.monotonically_increasing_id().alias("by_place"))
     order = ["doc_id", "by_text", "by_place"]
     moved = rows.repartitionByRange(max(1, -(-total // part_bytes)), *order).sortWithinPartitions(*order).select("doc_id", "text")
