@@ -8,14 +8,15 @@ sketch changes when passages change places.
 Candidates are verified by banded alignment: the longest common subsequence of k-mers m of sequences of a
 and b k-mers must give m / (a + b - m) >= ``SIMILAR``. The band holds every alignment that can reach that.
 
-Copies (equal words) are reduced to one document first. In each bucket of a sketch, members are verified
-against one of them, the leader: first the one that shares most with others. All buckets of one leader
-together are dealt into chunks of bounded size, and in a chunk those that fit no leader so far become leaders
-for the rest, so a group of one chunk is settled. After a round, what has matched has one label. Other buckets
-that hold several labels go on, with another leader and with pairs of neighbours by the further sketches, until
-a round joins no labels, for at most ``ROUNDS`` rounds. So no pair list of a group is made, work a round is linear in the members, and the
-classes are the connected components of all matches. In groups of several chunks a text may be left alone
-that matches neither leaders nor neighbours in any round but some other member.
+Copies (equal words) are reduced to one document first. All buckets that have one leader (the member that
+shares most with others) are dealt into chunks of bounded size. In a chunk all pairs are compared, but for those
+that matches have joined already, so buckets in groups of one chunk are settled. What has matched gets one label.
+The other buckets that still hold several labels are cut into blocks of bounded size, by label; every pair of blocks
+but those of one and the same label is a task of its own, first the blocks with themselves, then, with the labels that
+gave, each with the others. A pair is compared in the first bucket that it shares. So no pair list is made, and the
+classes are the connected components of all similar pairs that share a sketch: none is left out, in groups of any
+size. The work in a large bucket is linear in its members while few labels are left, and grows with their pairs
+where most of them are not similar; before an alignment, k-mers in common are counted for a whole block at once.
 
 With 16 sketches of 3 k-mers a pair of similarity 0.8 is missed with a probability of about 1e-5.
 
@@ -28,6 +29,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import xxhash
@@ -41,7 +43,7 @@ from barloom.session import Workspace
 WORD = re.compile(r"\w+")
 K, SIMILAR = 5, 0.8
 SKETCHES, TAKE = 16, 3
-CHUNK, ROUNDS = 32, 4
+CHUNK, BLOCK = 32, 64
 _SEEDS = mix(np.arange(1, SKETCHES + 1, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
@@ -145,73 +147,106 @@ def sketched(documents: DataFrame) -> DataFrame:
     return map_batches(rows, f"doc_id {kind}, node long, copy_of binary, sketches array<long>", work)
 
 
-def verified(roles: DataFrame, least: float) -> DataFrame:
-    """For members of a chunk: the leader that they match, or null. ``roles``: leader, chunk, is_member, node, text."""
+class Text(NamedTuple):
+    """One text of a block."""
+
+    node: int
+    label: int
+    sketches: np.ndarray
+    runs: np.ndarray
+    marks: np.ndarray
+
+
+def block_matches(left: list[Text], right: list[Text] | None, place: int | None, least: float) -> Iterator[tuple[int, int]]:
+    """Similar pairs of a left and a right text (of two left ones, if ``right`` is None) that connect all similar pairs
+    of different labels. With ``place`` only pairs whose first common sketch is at that place count."""
+    sizes = np.array([len(t.marks) for t in left])
+    marks, owner = np.concatenate([t.marks for t in left]), np.repeat(np.arange(len(left)), sizes)
+    order = np.argsort(marks, kind="stable")
+    marks, owner = marks[order], owner[order]
+    above: dict[int, int] = {}
+
+    def top(label: int) -> int:
+        while label in above:
+            label = above[label]
+        return label
+
+    for j, own in enumerate(left if right is None else right):
+        first = np.searchsorted(marks, own.marks, "left")
+        n = np.searchsorted(marks, own.marks, "right") - first
+        at = np.arange(n.sum()) + np.repeat(first - np.cumsum(n) + n, n)
+        common = np.bincount(owner[at], minlength=len(left))  # at least as many as can be aligned
+        fits = common >= np.ceil(least * (sizes + len(own.marks)) / (1 + least) - 1e-9)
+        if right is None:
+            fits[j:] = False
+        for i in np.flatnonzero(fits).tolist():
+            other = left[i]
+            a, b = top(other.label), top(own.label)
+            if a == b or place is not None and int((other.sketches == own.sketches).argmax()) != place:
+                continue
+            if similar(other.runs, own.runs, least):
+                above[a] = b
+                yield other.node, own.node
+
+
+def verified(rows: DataFrame, least: float) -> DataFrame:
+    """Matches (a, b) in each block. ``rows``: one, two, three (the block), place, side, node, label, sketches, text."""
 
     def work(batches: Iterator[dict[str, list]]) -> Iterator[dict[str, list]]:
-        runs, at, leaders = Runs(), None, []
+        runs, at, place = Runs(), None, None
+        sides: tuple[list[Text], list[Text]] = ([], [])
+
+        def matches() -> dict[str, list]:
+            found = list(block_matches(sides[0], sides[1] or None, place, least)) if sides[0] else []
+            return {"a": [a for a, _ in found], "b": [b for _, b in found]}
+
+        names = ("one", "two", "three", "place", "side", "node", "label", "sketches", "text")
         for batch in batches:
-            out: dict[str, list] = {"leader": [], "node": [], "match": []}
-            for leader, chunk, member, node, text in zip(*(batch[c] for c in ("leader", "chunk", "is_member", "node", "text")), strict=True):
-                if (leader, chunk) != at:
-                    at, leaders = (leader, chunk), []
-                own = runs.of(text)
-                if leaders and leaders[-1][0] == node:
-                    continue  # a repeated row
-                match = next((n for n, r in leaders if similar(r, own, least)), None)
-                if match is None:
-                    leaders.append((node, own))
-                if member:
-                    out["leader"].append(leader)
-                    out["node"].append(node)
-                    out["match"].append(match)
-            yield out
-
-    order = ["leader", "chunk", "is_member", "node"]
-    dealt = roles.select(*order, "text").repartition("leader", "chunk").sortWithinPartitions(*order)
-    return map_batches(dealt, "leader long, node long, match long", work)
+            for one, two, three, own_place, side, node, label, sketch, text in zip(*(batch[c] for c in names), strict=True):
+                if (one, two, three) != at:
+                    yield matches()
+                    at, place, sides = (one, two, three), own_place, ([], [])
+                if not sides[side] or sides[side][-1].node != node:  # not a repeated row
+                    own = runs.of(text)
+                    sides[side].append(Text(node, label, np.array(sketch, np.int64), own, labelled(own)))
+        yield matches()
+
+    order = ["one", "two", "three", "side", "node"]
+    dealt = rows.select(*order, "place", "label", "sketches", "text").repartition("one", "two", "three").sortWithinPartitions(*order)
+    return map_batches(dealt, "a long, b long", work)
 
 
 def duplicate_links(texts: DataFrame, documents: DataFrame, workspace: Workspace, least: float) -> DataFrame:
     """Verified pairs (a, b) of nodes of ``texts`` (node, sketches), whose texts are in ``documents`` (node, text),
-    enough to connect all that were found similar."""
+    enough to connect all similar ones that share a sketch."""
     placed = texts.select("node", F.posexplode("sketches").alias("place", "sketch")).select(
         "node", "place", F.xxhash64("place", "sketch").alias("bucket")
     )
     shared = workspace.stage(placed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "shared")
     members = workspace.stage(placed.join(shared, "bucket"), "members")
-    labels = workspace.stage(texts.select("node", F.col("node").alias("label"), "sketches"), "labels")
-    # Texts of all that share a bucket, once for all rounds. Both sides are shuffled at every size.
-    asked = members.select("node").distinct().hint("merge")
-    held = workspace.stage(documents.join(asked, "node", "left_semi").select("node", "text"), "texts")
+    labels = texts.select("node", F.col("node").alias("label"))
+    # Texts of all that share a bucket, once for all passes. Both sides are shuffled at every size.
+    asked = texts.join(members.select("node").distinct().hint("merge"), "node", "left_semi").select("node", "sketches")
+    held = workspace.stage(documents.join(asked.hint("merge"), "node").select("node", "text", "sketches"), "texts").hint("merge")
     leaders = workspace.stage(_central_leaders(members, workspace), "leaders")
     pairs = members.join(leaders, "bucket").where("node != leader").select("leader", "node")
-    step, found = 0, None
-    while True:
-        pairs = workspace.stage(pairs.distinct(), "pairs")
-        sizes = pairs.groupBy("leader").agg(F.ceil(F.count(F.lit(1)) / CHUNK).cast("int").alias("chunks"))
-        sizes = workspace.stage(sizes, "sizes")
-        roles = workspace.stage(_roles(pairs, sizes, once=step == 0), "roles")
-        matches = verified(roles.join(held.hint("merge"), "node"), least).where("match is not null")
-        matches = workspace.stage(matches.select(F.col("node").alias("a"), F.col("match").alias("b")), "matches")
-        found = matches if found is None else found.unionAll(matches)
-        links = workspace.stage(_label_links(labels, matches), "links")
-        if step and links.isEmpty():
-            return found
-        labels = workspace.stage(_merged_labels(labels, links, workspace), "labels")
-        # All pairs of a group of one chunk have been settled, and so have the buckets in it.
-        settled = leaders.join(sizes.where("chunks = 1"), "leader", "left_semi").select("bucket")
-        members = workspace.stage(members.join(settled, "bucket", "left_anti"), "members")
-        step += 1
-        if step == ROUNDS:
-            return found
-        labelled_ = workspace.stage(members.join(labels, "node"), "labelled")
-        leaders = workspace.stage(_other_leaders(labelled_, step), "leaders")
-        if leaders.isEmpty():
-            return found
-        open_ = workspace.stage(labelled_.join(leaders, "bucket"), "open")
-        star = open_.where((F.col("label") != F.col("leader_label")) | (F.col("n") <= CHUNK) & (F.col("node") != F.col("leader")))
-        pairs = star.select("leader", "node").unionAll(_neighbours(open_, step))
+    pairs = workspace.stage(pairs.distinct(), "pairs")
+    sizes = pairs.groupBy("leader").agg(F.ceil(F.count(F.lit(1)) / CHUNK).cast("int").alias("chunks"))
+    sizes = workspace.stage(sizes, "sizes")
+    roles = workspace.stage(_roles(pairs, sizes), "roles")
+    found = workspace.stage(verified(roles.join(held, "node"), least), "matches")
+    labels = workspace.stage(_merged_labels(labels, _label_links(labels, found, workspace), workspace), "labels")
+    # All pairs of a group of one chunk have been settled, and so have the buckets in it.
+    settled = leaders.join(sizes.where("chunks = 1"), "leader", "left_semi").select("bucket")
+    members = workspace.stage(members.join(settled, "bucket", "left_anti"), "open")
+    blocks = workspace.stage(_in_blocks(members.join(labels, "node"), workspace), "blocks")
+    if blocks.isEmpty():
+        return found
+    matches = workspace.stage(verified(_block_rows(blocks, workspace, own=True).join(held, "node"), least), "matches")
+    labels = workspace.stage(_merged_labels(labels, _label_links(labels, matches, workspace), workspace), "labels")
+    blocks = workspace.stage(blocks.drop("label").join(labels, "node"), "blocks")
+    others = verified(_block_rows(blocks, workspace, own=False).join(held, "node"), least)
+    return found.unionAll(matches).unionAll(workspace.stage(others, "matches"))
 
 
 def _central_leaders(members: DataFrame, workspace: Workspace) -> DataFrame:
@@ -222,55 +257,55 @@ def _central_leaders(members: DataFrame, workspace: Workspace) -> DataFrame:
     return ranked.groupBy("bucket").agg(F.max(F.struct("central", "node")).alias("l")).select("bucket", F.col("l.node").alias("leader"))
 
 
-def _other_leaders(labelled_members: DataFrame, step: int) -> DataFrame:
-    """A leader, another one in each round, for the buckets that hold several labels."""
-    one = F.min(F.struct(F.xxhash64("node", F.lit(step)).alias("h"), "node", "label"))
-    leaders = labelled_members.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"), one.alias("l"))
-    return leaders.where("low != high").select("bucket", F.col("l.node").alias("leader"), F.col("l.label").alias("leader_label"))
-
-
-def _neighbours(open_: DataFrame, step: int) -> DataFrame:
-    """Members next to each other, with different labels, when each bucket is sorted by the further sketches of
-    its members: those agree on the most sketches. A global sort, so a large bucket is in many tasks."""
-    further = F.transform(F.sequence(F.lit(1), F.lit(SKETCHES - 1)), lambda j: F.element_at("sketches", F.pmod(F.col("place") + j * (2 * step - 1), F.lit(SKETCHES)) + 1))
-    rows = open_.select("bucket", further.alias("further"), "node", "label")
-    order = ["bucket", "further", "node"]
-
-    def work(batches: Iterator[dict[str, list]]) -> Iterator[dict[str, list]]:
-        before = (None, None, None)
-        for batch in batches:
-            out: dict[str, list] = {"leader": [], "node": []}
-            for row in zip(batch["bucket"], batch["node"], batch["label"], strict=True):
-                if row[0] == before[0] and row[2] != before[2]:
-                    out["leader"].append(min(row[1], before[1]))
-                    out["node"].append(max(row[1], before[1]))
-                before = row
-            yield out
-
-    parts = int(open_.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order).select("bucket", "node", "label")
-    return map_batches(dealt, "leader long, node long", work)
-
-
-def _roles(pairs: DataFrame, sizes: DataFrame, once: bool) -> DataFrame:
-    """Members and leaders by chunk. With ``once`` a member of several large groups takes part in the largest;
-    most of what the others would find follows from the labels of that."""
+def _roles(pairs: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Members and leaders by chunk. A member of several large groups takes part in the largest; what that joins need
+    not be compared in blocks, and all else is."""
     sized = pairs.join(sizes, "leader").select("leader", "node", "chunks")
-    if once:
-        largest = sized.where("chunks > 1").groupBy("node").agg(F.max(F.struct("chunks", "leader")).alias("g"))
-        sized = sized.where("chunks = 1").unionAll(largest.select("g.leader", "node", "g.chunks"))
+    largest = sized.where("chunks > 1").groupBy("node").agg(F.max(F.struct("chunks", "leader")).alias("g"))
+    sized = sized.where("chunks = 1").unionAll(largest.select("g.leader", "node", "g.chunks"))
     chunk = F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")
     heads = sizes.select("leader", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"))
-    return sized.select("leader", chunk.alias("chunk"), F.lit(True).alias("is_member"), "node").unionAll(
-        heads.select("leader", "chunk", F.lit(False).alias("is_member"), F.col("leader").alias("node"))
+    rows = sized.select("leader", chunk.alias("chunk"), "node").unionAll(heads.select("leader", "chunk", F.col("leader").alias("node")))
+    return rows.select(
+        F.col("leader").alias("one"), F.col("chunk").cast("long").alias("two"), F.lit(0).cast("long").alias("three"),
+        F.lit(None).cast("int").alias("place"), F.lit(0).alias("side"), "node", F.col("node").alias("label"),
     )
 
 
-def _label_links(labels: DataFrame, matches: DataFrame) -> DataFrame:
+def _in_blocks(members: DataFrame, workspace: Workspace) -> DataFrame:
+    """Members of the buckets that hold several labels, with their block of about ``BLOCK`` members: of one label where
+    it has so many, or else of several."""
+    counts = workspace.stage(members.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("same")), "counts")
+    few = F.sum(F.when(F.col("same") < BLOCK, F.col("same")).otherwise(0)).alias("few")
+    several = counts.groupBy("bucket").agg(F.count(F.lit(1)).alias("labels"), few).where("labels > 1").drop("labels")
+    counts = workspace.stage(counts.join(workspace.stage(several, "several"), "bucket"), "counts")
+    alone = F.xxhash64("label", F.pmod(F.xxhash64("node"), F.ceil(F.col("same") / BLOCK)))
+    block = F.when(F.col("same") >= BLOCK, alone).otherwise(F.pmod(F.xxhash64("label"), F.ceil(F.col("few") / BLOCK)))
+    return members.join(counts, ["bucket", "label"]).select("bucket", "place", "node", "label", block.alias("block"))
+
+
+def _block_rows(blocks: DataFrame, workspace: Workspace, own: bool) -> DataFrame:
+    """Members by pair of blocks of a bucket, of a block with itself (``own``) or with another one."""
+    ends = workspace.stage(blocks.groupBy("bucket", "block").agg(F.min("label").alias("low"), F.max("label").alias("high")), "ends")
+    if own:
+        sides = [(ends.where("low != high").select("bucket", "block", F.col("block").alias("two"), F.col("block").alias("three")), 0)]
+    else:
+        other = ends.select("bucket", F.col("block").alias("three"), F.col("low").alias("low3"), F.col("high").alias("high3"))
+        met = ends.withColumnRenamed("block", "two").join(other, "bucket").where("two < three and least(low, low3) != greatest(high, high3)")
+        met = workspace.stage(met.select("bucket", "two", "three"), "met")
+        sides = [(met.withColumn("block", F.col(c)), side) for side, c in enumerate(("two", "three"))]
+    rows = [
+        blocks.join(asked, ["bucket", "block"]).select(F.col("bucket").alias("one"), "two", "three", "place", F.lit(side).alias("side"), "node", "label")
+        for asked, side in sides
+    ]
+    return workspace.stage(rows[0] if own else rows[0].unionAll(rows[1]), "rows")
+
+
+def _label_links(labels: DataFrame, matches: DataFrame, workspace: Workspace) -> DataFrame:
     """Different labels at the ends of a match."""
     ends = matches.join(labels.select(F.col("node").alias("a"), F.col("label").alias("from")), "a")
     ends = ends.join(labels.select(F.col("node").alias("b"), F.col("label").alias("to")), "b")
-    return ends.where("from != to").select(F.col("from").alias("a"), F.col("to").alias("b")).distinct()
+    return workspace.stage(ends.where("from != to").select(F.col("from").alias("a"), F.col("to").alias("b")).distinct(), "links")
 
 
 def _merged_labels(labels: DataFrame, links: DataFrame, workspace: Workspace) -> DataFrame:
@@ -281,7 +316,7 @@ def _merged_labels(labels: DataFrame, links: DataFrame, workspace: Workspace) ->
     two = both.join(one.select(F.col("a").alias("b"), "least"), "b").groupBy("a").agg(F.min("least").alias("least"))
     two = two.withColumn("least", F.least("a", "least")).withColumnRenamed("a", "label")
     found = labels.join(workspace.stage(two, "two"), "label", "left")
-    return found.select("node", F.coalesce("least", "label").alias("label"), "sketches")
+    return found.select("node", F.coalesce("least", "label").alias("label"))
 
 
 def duplicate_classes(documents: DataFrame, workspace: Workspace, least: float = SIMILAR) -> DataFrame:

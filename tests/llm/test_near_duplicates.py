@@ -116,3 +116,56 @@ def test_query(spark, sf_dir):
     want = {w: min(ids) for w, ids in runs.items()}
     brute = brute_classes([(i, " ".join(w)) for w, i in want.items()])
     assert {r["doc_id"]: r["class_id"] for r in found} == {d: brute[min(ids)] for ids in runs.values() for d in ids}
+
+
+def with_new(words, places, tag):
+    return " ".join(f"{tag}{i}" if i in places else w for i, w in enumerate(words))
+
+
+def chains():
+    """Texts A ~ C ~ B with A not ~ B: C and a copy differ in up to six words, A and B in twelve."""
+    rng, families = random.Random(31), []
+    for _ in range(6):
+        words = prose(rng, 300).split()
+        spots = rng.sample(range(5, 295, 10), 12)
+        texts = [with_new(words, spots[:6], "left"), with_new(words, spots[6:], "right"), " ".join(words)]
+        rng.shuffle(texts)
+        families.append(texts)
+    return families
+
+
+def two_labels(n=150, m=10):
+    """A large family, a small one not similar to it, and one text that is similar to both."""
+    rng = random.Random(32)
+    words = prose(rng, 300).split()
+    spots = rng.sample(range(5, 295, 10), 12)
+    large = [with_new(words, {*spots[:6], rng.randrange(150)}, f"a{i}x") for i in range(n)]
+    small = [with_new(with_new(words, spots[6:], "far").split(), {rng.randrange(150, 295)}, f"b{i}x") for i in range(m)]
+    texts = [*large, *small, " ".join(words)]
+    rng.shuffle(texts)
+    return [texts]
+
+
+@pytest.mark.parametrize(("chunk", "block"), [(32, 64), (2, 3)])
+@pytest.mark.parametrize("made", [chains, two_labels])
+def test_no_link_between_different_texts_is_lost(spark, workspace, monkeypatch, made, chunk, block):
+    """Each family shares one sketch and no other, so its pairs meet there or nowhere."""
+    monkeypatch.setattr(nd, "CHUNK", chunk)
+    monkeypatch.setattr(nd, "BLOCK", block, raising=False)
+    data = [(i, t, f) for i, (f, t) in enumerate((f, t) for f, texts in enumerate(made()) for t in texts)]
+    texts = [(i, [f, *(1000 + i * nd.SKETCHES + j for j in range(1, nd.SKETCHES))]) for i, _, f in data]
+    links = nd.duplicate_links(
+        spark.createDataFrame(texts, "node long, sketches array<long>"), spark.createDataFrame([r[:2] for r in data], "node long, text string"), workspace, 0.8
+    )
+    found = {r["node"]: r["component"] for r in components(links, workspace).collect()}
+    assert {i: found.get(i, i) for i, _, _ in data} == brute_classes(data)
+
+
+def test_block_compares_what_a_leader_would_hide():
+    runs = {r[0]: nd.Runs().of(r[1]) for r in enumerate(chains()[0])}
+    pairs = {(a, b) for a in runs for b in runs if a < b and nd.similar(runs[a], runs[b])}
+    assert len(pairs) == 2  # one pair of the three is not similar
+    texts = [nd.Text(n, n, nd.sketches(r).view(np.int64), r, nd.labelled(r)) for n, r in runs.items()]
+    for order in ([0, 1, 2], [2, 0, 1], [1, 2, 0]):
+        found = nd.block_matches([texts[i] for i in order], None, None, 0.8)
+        assert {tuple(sorted(p)) for p in found} == pairs
