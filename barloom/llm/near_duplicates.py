@@ -12,8 +12,8 @@ Copies (equal words) are reduced to one document first. All buckets that have on
 shares most with others) are dealt into chunks of bounded size. In a chunk all pairs are compared, but for those
 that matches have joined already, so buckets in groups of one chunk are settled. What has matched gets one label.
 The other buckets that still hold several labels are cut into blocks of bounded size, by label; every pair of blocks
-but those of one and the same label is a task of its own, first the blocks with themselves, then, with the labels that
-gave, each with the others. A pair is compared in the first bucket that it shares. So no pair list is made, and the
+but those of one and the same label is dealt out alone: first the blocks with themselves, then, cut anew by the labels
+that gave, each with itself and all others. A pair is compared in the first bucket that it shares. So no pair list is made, and the
 classes are the connected components of all similar pairs that share a sketch: none is left out, in groups of any
 size. The work in a large bucket is linear in its members while few labels are left, and grows with their pairs
 where most of them are not similar; before an alignment, k-mers in common are counted for a whole block at once.
@@ -43,7 +43,7 @@ from barloom.session import Workspace
 WORD = re.compile(r"\w+")
 K, SIMILAR = 5, 0.8
 SKETCHES, TAKE = 16, 3
-CHUNK, BLOCK = 32, 64
+CHUNK, BLOCK = 32, 128
 _SEEDS = mix(np.arange(1, SKETCHES + 1, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
@@ -224,7 +224,6 @@ def duplicate_links(texts: DataFrame, documents: DataFrame, workspace: Workspace
     )
     shared = workspace.stage(placed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "shared")
     members = workspace.stage(placed.join(shared, "bucket"), "members")
-    labels = texts.select("node", F.col("node").alias("label"))
     # Texts of all that share a bucket, once for all passes. Both sides are shuffled at every size.
     asked = texts.join(members.select("node").distinct().hint("merge"), "node", "left_semi").select("node", "sketches")
     held = workspace.stage(documents.join(asked.hint("merge"), "node").select("node", "text", "sketches"), "texts").hint("merge")
@@ -235,18 +234,17 @@ def duplicate_links(texts: DataFrame, documents: DataFrame, workspace: Workspace
     sizes = workspace.stage(sizes, "sizes")
     roles = workspace.stage(_roles(pairs, sizes), "roles")
     found = workspace.stage(verified(roles.join(held, "node"), least), "matches")
-    labels = workspace.stage(_merged_labels(labels, _label_links(labels, found, workspace), workspace), "labels")
     # All pairs of a group of one chunk have been settled, and so have the buckets in it.
     settled = leaders.join(sizes.where("chunks = 1"), "leader", "left_semi").select("bucket")
     members = workspace.stage(members.join(settled, "bucket", "left_anti"), "open")
-    blocks = workspace.stage(_in_blocks(members.join(labels, "node"), workspace), "blocks")
-    if blocks.isEmpty():
-        return found
-    matches = workspace.stage(verified(_block_rows(blocks, workspace, own=True).join(held, "node"), least), "matches")
-    labels = workspace.stage(_merged_labels(labels, _label_links(labels, matches, workspace), workspace), "labels")
-    blocks = workspace.stage(blocks.drop("label").join(labels, "node"), "blocks")
-    others = verified(_block_rows(blocks, workspace, own=False).join(held, "node"), least)
-    return found.unionAll(matches).unionAll(workspace.stage(others, "matches"))
+    # First the blocks alone: what they join spares comparisons and, dealt again by label, pairs of blocks.
+    for others in (False, True):
+        blocks = workspace.stage(_in_blocks(workspace.stage(_labels(members, found, workspace), "labelled"), workspace), "blocks")
+        if blocks.isEmpty():
+            break
+        matches = verified(_block_rows(blocks, workspace, others).join(held, "node"), least)
+        found = found.unionAll(workspace.stage(matches, "matches"))
+    return found
 
 
 def _central_leaders(members: DataFrame, workspace: Workspace) -> DataFrame:
@@ -284,39 +282,28 @@ def _in_blocks(members: DataFrame, workspace: Workspace) -> DataFrame:
     return members.join(counts, ["bucket", "label"]).select("bucket", "place", "node", "label", block.alias("block"))
 
 
-def _block_rows(blocks: DataFrame, workspace: Workspace, own: bool) -> DataFrame:
-    """Members by pair of blocks of a bucket, of a block with itself (``own``) or with another one."""
+def _block_rows(blocks: DataFrame, workspace: Workspace, others: bool) -> DataFrame:
+    """Members by pair of blocks of a bucket: of each block with itself, and with ``others`` of each two blocks too."""
     ends = workspace.stage(blocks.groupBy("bucket", "block").agg(F.min("label").alias("low"), F.max("label").alias("high")), "ends")
-    if own:
-        sides = [(ends.where("low != high").select("bucket", "block", F.col("block").alias("two"), F.col("block").alias("three")), 0)]
-    else:
-        other = ends.select("bucket", F.col("block").alias("three"), F.col("low").alias("low3"), F.col("high").alias("high3"))
-        met = ends.withColumnRenamed("block", "two").join(other, "bucket").where("two < three and least(low, low3) != greatest(high, high3)")
-        met = workspace.stage(met.select("bucket", "two", "three"), "met")
-        sides = [(met.withColumn("block", F.col(c)), side) for side, c in enumerate(("two", "three"))]
+    met = ends.where("low != high").select("bucket", F.col("block").alias("two"), F.col("block").alias("three"))
+    if others:
+        second = ends.select("bucket", F.col("block").alias("three"), F.col("low").alias("low3"), F.col("high").alias("high3"))
+        two = ends.withColumnRenamed("block", "two").join(second, "bucket").where("two < three and least(low, low3) != greatest(high, high3)")
+        met = met.unionAll(two.select("bucket", "two", "three"))
+    met = workspace.stage(met, "met")
+    sides = [(met, "two", 0)] + [(met.where("two < three"), "three", 1)] * others
     rows = [
-        blocks.join(asked, ["bucket", "block"]).select(F.col("bucket").alias("one"), "two", "three", "place", F.lit(side).alias("side"), "node", "label")
-        for asked, side in sides
+        blocks.join(pairs.withColumn("block", F.col(c)), ["bucket", "block"])
+        .select(F.col("bucket").alias("one"), "two", "three", "place", F.lit(side).alias("side"), "node", "label")
+        for pairs, c, side in sides
     ]
-    return workspace.stage(rows[0] if own else rows[0].unionAll(rows[1]), "rows")
+    return workspace.stage(rows[0].unionAll(rows[1]) if others else rows[0], "rows")
 
 
-def _label_links(labels: DataFrame, matches: DataFrame, workspace: Workspace) -> DataFrame:
-    """Different labels at the ends of a match."""
-    ends = matches.join(labels.select(F.col("node").alias("a"), F.col("label").alias("from")), "a")
-    ends = ends.join(labels.select(F.col("node").alias("b"), F.col("label").alias("to")), "b")
-    return workspace.stage(ends.where("from != to").select(F.col("from").alias("a"), F.col("to").alias("b")).distinct(), "links")
-
-
-def _merged_labels(labels: DataFrame, links: DataFrame, workspace: Workspace) -> DataFrame:
-    """Labels after linked ones have become one, as far as two steps to the least neighbour lead. That joins what
-    has a common leader; the rest shows in the components of all matches, and costs work at most here."""
-    both = links.unionAll(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    one = workspace.stage(both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("least")), "one")
-    two = both.join(one.select(F.col("a").alias("b"), "least"), "b").groupBy("a").agg(F.min("least").alias("least"))
-    two = two.withColumn("least", F.least("a", "least")).withColumnRenamed("a", "label")
-    found = labels.join(workspace.stage(two, "two"), "label", "left")
-    return found.select("node", F.coalesce("least", "label").alias("label"))
+def _labels(members: DataFrame, links: DataFrame, workspace: Workspace) -> DataFrame:
+    """Members with the label of all that links connect so far."""
+    groups = workspace.stage(components(links, workspace), "groups")
+    return members.join(groups, "node", "left").withColumn("label", F.coalesce("component", "node")).drop("component")
 
 
 def duplicate_classes(documents: DataFrame, workspace: Workspace, least: float = SIMILAR) -> DataFrame:
