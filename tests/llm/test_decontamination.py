@@ -86,3 +86,14 @@ def test_query(spark, sf_dir, name):
         r = found[doc]
         digest = hashlib.sha256(",".join(ids).encode()).hexdigest()
         assert (r["n_words"], r["n_hit"], r["n_items"], r["items_sha256"], r["contaminated"]) == (n, len(hit), len(ids), digest, bool(hit))
+
+
+def test_items_without_an_id_count_for_hits(spark, workspace):
+    rng = random.Random(12)
+    passages = [prose(rng, 20) for _ in range(3)]
+    items = [(None, passages[0]), (1, passages[1]), (None, passages[2]), (2, passages[2])]
+    data = [(i, f"{prose(rng, 15)} {p} {prose(rng, 15)}", "en", "s", 0) for i, p in enumerate(passages)] + [(3, prose(rng, 40), "en", "s", 0)]
+    found = dc.contamination(frame(spark, data), benchmark(spark, items), workspace).collect()
+    want = brute([(r[0], r[1]) for r in data], items)
+    assert sorted((r["doc_id"], r["n_hit"], list(r["items"])) for r in found) == [(d, len(hit), [i for i in ids if i != "None"]) for d, _, hit, ids in want]
+    assert [len(hit) for _, _, hit, _ in want][:3] == [20, 20, 20]
