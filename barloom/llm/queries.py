@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import chat, decontamination, language_model, mixing, near_duplicates, personal_data, quality, sharding, token_files, url_filter
+from barloom.llm import chat, decontamination, exact_copies, language_model, mixing, near_duplicates, personal_data, quality, sharding, token_files, url_filter
 from barloom.llm.common import table, text_bytes
 from barloom.session import Workspace
 
@@ -192,3 +192,20 @@ def op3_contextual_personal_data(spark, sf_dir):
         return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{personal_data.KINDS[kind]}")
 
     return rows.select("doc_id", *[count(k) for k in range(4)], F.sha2(_written("base"), 256).alias("base_sha256"), _written("spans").alias("spans"))
+
+
+@query
+def op11_exact_copies(spark, sf_dir):
+    """The group of equal texts of every document; of each group the document of greatest id stays."""
+    return exact_copies.marked(
+        table(spark, sf_dir, "documents"), Workspace(spark, "op11"), keep="greatest", carried={"text_sha256": lambda text: F.sha2(text.cast("binary"), 256)}
+    )
+
+
+ORACLE["op11_exact_copies"] = """
+with t as (
+  select row_number() over () r, doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') norm from documents),
+g as (select *, count(*) over (partition by norm) group_size, first_value(doc_id) over w keep_id, row_number() over w place from t
+      window w as (partition by norm order by doc_id desc nulls last, r rows between unbounded preceding and unbounded following))
+select doc_id, keep_id, group_size, place = 1 kept, sha256(norm) text_sha256 from g
+"""
