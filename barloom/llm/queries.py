@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import chat, decontamination, exact_copies, language_model, mixing, near_duplicates, personal_data, quality, sharding, token_files, url_filter
+from barloom.llm import chat, decontamination, exact_copies, language_model, merkle, mixing, near_duplicates, personal_data, quality, sharding, token_files, url_filter, whitening
 from barloom.llm.common import table, text_bytes
 from barloom.session import Workspace
 
@@ -209,3 +209,60 @@ g as (select *, count(*) over (partition by norm) group_size, first_value(doc_id
       window w as (partition by norm order by doc_id desc nulls last, r rows between unbounded preceding and unbounded following))
 select doc_id, keep_id, group_size, place = 1 kept, sha256(norm) text_sha256 from g
 """
+
+
+@query
+def op12_embedding_whitening(spark, sf_dir):
+    """Every usable vector, whitened, on the eight components of greatest variance."""
+    return whitening.whitened_rows(table(spark, sf_dir, "embeddings"), Workspace(spark, "op12"))
+
+
+@query
+def op13_merkle_manifest(spark, sf_dir):
+    """Leaf, roots and proof of every document; every seventh id is checked with a length that is one too great."""
+    documents = table(spark, sf_dir, "documents")
+    fields = {c: F.col(c) for c in ("doc_id", "source", "lang", "n_chars", "text")}
+    longer = fields | {"n_chars": F.col("n_chars").cast("decimal(20,0)") + 1}
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    claimed = F.when(tampered, merkle.leaf(list(longer.values())))
+    found = merkle.checked(merkle.leaves(documents, list(fields.values()), "lang", "doc_id", claimed), Workspace(spark, "op13"))
+    return found.withColumnRenamed("id", "doc_id")
+
+
+#: DuckDB has no CRC-32: its 8 steps for each byte, on the reversed polynomial 0xEDB88320.
+_CRC32 = """xor(4294967295, list_reduce(
+  flatten(list_transform(string_split({0}, ''), lambda c: [ord(c)::bigint, -1, -1, -1, -1, -1, -1, -1, -1])),
+  lambda a, e: case when e >= 0 then xor(a, e) else xor(a >> 1, 3988292384 * (a & 1)) end, 4294967295::bigint))"""
+_FIELD = "coalesce(strlen({0}::varchar)::varchar || ':' || {0}::varchar, '-')"
+
+ORACLE["op13_merkle_manifest"] = rf"""
+with recursive d as (
+  select *, coalesce('=' || lang, '') tree, {_CRC32.format("doc_id::varchar")} % 7 = 0 odd from documents),
+h as (
+  select doc_id, tree, sha256(a || b || c || n || t) leaf, case when odd then sha256(a || b || c || n1 || t) end claimed
+  from (select *, {_FIELD.format("doc_id")} a, {_FIELD.format("source")} b, {_FIELD.format("lang")} c, {_FIELD.format("n_chars")} n,
+               {_FIELD.format("(n_chars + 1)")} n1, {_FIELD.format("text")} t from d)),
+ranked as (select *, row_number() over (order by tree, doc_id nulls first, leaf) r,
+                  row_number() over (partition by tree order by doc_id nulls first, leaf) - 1 place from h),
+levels as (
+  select tree, 0 lvl, list(leaf order by place) l from ranked group by tree
+  union all
+  select tree, lvl + 1, list_transform(range(0, (len(l) + 1) // 2), lambda i: sha256(l[2 * i + 1] || coalesce(l[2 * i + 2], ''))) from levels where len(l) > 1),
+roots as (select tree, l[1] subroot, row_number() over (order by tree) - 1 place from levels where len(l) = 1),
+tops as (
+  select 100 lvl, list(subroot order by place) l from roots
+  union all
+  select lvl + 1, list_transform(range(0, (len(l) + 1) // 2), lambda i: sha256(l[2 * i + 1] || coalesce(l[2 * i + 2], ''))) from tops where len(l) > 1),
+steps as (
+  select r, lvl, place >> lvl pos, l from ranked join levels using (tree) where len(l) > 1
+  union all
+  select r, lvl, roots.place >> (lvl - 100) pos, l from ranked join roots using (tree), tops where len(l) > 1),
+sides as (select r, lvl, case when l[xor(pos, 1) + 1] is null then 'A' when pos % 2 = 1 then 'L' else 'R' end side, coalesce(l[xor(pos, 1) + 1], '') other from steps),
+paths as (select r, list(side || other order by lvl) path, string_agg(other, '' order by lvl) others from sides group by r),
+proven as (
+  select doc_id, leaf, subroot, (select l[1] from tops where len(l) = 1) root, sha256(coalesce(others, '')) proof_sha256,
+         list_reduce(list_prepend(coalesce(claimed, leaf), coalesce(path, [])),
+                     lambda own, e: case e[1] when 'A' then sha256(own) when 'L' then sha256(e[2:] || own) else sha256(own || e[2:]) end) folded_root
+  from ranked left join paths using (r) join roots using (tree))
+select *, folded_root = root verified from proven
+"""
