@@ -11,12 +11,19 @@ and b k-mers must give m / (a + b - m) >= ``SIMILAR``. The band holds every alig
 Copies (equal words) are reduced to one document first. All buckets that have one leader (the member that
 shares most with others) are dealt into chunks of bounded size. In a chunk all pairs are compared, but for those
 that matches have joined already, so buckets in groups of one chunk are settled. What has matched gets one label.
-The other buckets that still hold several labels are cut into blocks of bounded size, by label; every pair of blocks
-but those of one and the same label is dealt out alone: first the blocks with themselves, then, cut anew by the labels
-that gave, each with itself and all others. A pair is compared in the first bucket that it shares. So no pair list is made, and the
-classes are the connected components of all similar pairs that share a sketch: none is left out, in groups of any
-size. The work in a large bucket is linear in its members while few labels are left, and grows with their pairs
-where most of them are not similar; before an alignment, k-mers in common are counted for a whole block at once.
+
+Texts of the other buckets meet again by their rare k-mers, which loses no similar pair: if k-mers m of a text's n are
+aligned with another's, m >= ``SIMILAR`` * n, so two similar texts share one of the n - ceil(SIMILAR * n) + 1 labelled
+k-mers that come first in any order that is common to all. The order taken is from the rarest to the most frequent.
+If the first k-mer that two texts share has place q in a text's order, no more than n - q can be aligned, which bounds
+the length of the other text. The k-mers of a passage that many unlike texts hold are frequent, so such texts do not
+meet, however many they are; near copies do. Where those that meet hold several labels, all their pairs of different labels are compared, each at the
+first k-mer that it shares: in one block, or, where they are more than a block holds, first by the rare k-mers of
+those texts alone, and what stays too large by pairs of blocks (but those of one and the same label). No pair list is
+made, and the classes are the connected components of all similar pairs that share a sketch: none is left out, in
+groups of any size. Work is linear in the members of a group that few labels are left of; it grows with their pairs
+only where many texts share rare k-mers and are not joined, that is, where they are only just not similar.
+Before an alignment, k-mers in common are counted for a whole block at once.
 
 With 16 sketches of 3 k-mers a pair of similarity 0.8 is missed with a probability of about 1e-5.
 
@@ -33,6 +40,7 @@ from typing import NamedTuple
 
 import numpy as np
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -43,7 +51,12 @@ from barloom.session import Workspace
 WORD = re.compile(r"\w+")
 K, SIMILAR = 5, 0.8
 SKETCHES, TAKE = 16, 3
-CHUNK, BLOCK = 32, 128
+CHUNK = 32
+#: K-mers of the texts of a block, which a task holds two of (some 15 MB each).
+BLOCK = 1 << 18
+#: Counters that tell frequent k-mers from rare ones, 4 MB in a worker. A k-mer shares its counter with others; that
+#: affects the order of k-mers and so the work, but not what is found.
+COUNTERS = 1 << 20
 _SEEDS = mix(np.arange(1, SKETCHES + 1, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
@@ -147,24 +160,80 @@ def sketched(documents: DataFrame) -> DataFrame:
     return map_batches(rows, f"doc_id {kind}, node long, copy_of binary, sketches array<long>", work)
 
 
+def longest_partner(size: np.ndarray, place: np.ndarray, least: float) -> np.ndarray:
+    """K-mers of the longest text that can be similar to one of ``size`` k-mers if the first k-mer they share has this
+    place in the order of the latter: all before it can't be aligned."""
+    return np.floor((size - place) * (1 + least) / least - size + 1e-6).astype(np.int64)
+
+
+def rarest(marks: np.ndarray, counts: np.ndarray, least: float) -> np.ndarray:
+    """The labelled k-mers of a text by which it meets all that are similar to it: the first in order of their counts."""
+    n = len(marks)
+    first = n - int(np.ceil(least * n - 1e-9)) + 1
+    return marks[np.lexsort((marks, counts[(marks % np.uint64(len(counts))).astype(np.int64)]))[:first]]
+
+
+def kmer_counts(texts: DataFrame) -> np.ndarray:
+    """How often labelled k-mers occur in all ``texts``, by counter; what reaches the driver is COUNTERS numbers at most."""
+
+    def work(batches: Iterator[dict[str, list]]) -> Iterator[dict[str, list]]:
+        runs, counts = Runs(), np.zeros(COUNTERS, np.int64)
+        for batch in batches:
+            marks = [labelled(own) for own in map(runs.of, batch["text"]) if len(own)]
+            if marks:
+                counts += np.bincount((np.concatenate(marks) % np.uint64(COUNTERS)).astype(np.int64), minlength=COUNTERS)
+        place = np.flatnonzero(counts)
+        yield {"place": place, "n": counts[place]}
+
+    rows = map_batches(texts.select("text"), "place int, n long", work).groupBy("place").agg(F.sum("n").alias("n")).toArrow()
+    counts = np.zeros(COUNTERS, np.int64)
+    counts[rows.column("place").to_numpy()] = rows.column("n").to_numpy()
+    return np.minimum(counts, np.iinfo(np.int32).max).astype(np.int32)
+
+
+def meetings(texts: DataFrame, counts: Broadcast, least: float) -> DataFrame:
+    """Of each text and each of its rare k-mers: bucket (the k-mer), node, size (k-mers of the text) and partner (the
+    longest text that can be similar if this k-mer is the first they share)."""
+
+    def work(batches: Iterator[dict[str, list]]) -> Iterator[dict[str, list]]:
+        runs = Runs()
+        for batch in batches:
+            texts = [(node, own) for node, own in zip(batch["node"], map(runs.of, batch["text"]), strict=True) if len(own)]
+            marks = [rarest(labelled(own), counts.value, least) for _, own in texts]
+            if marks:
+                each = np.array([len(m) for m in marks])
+                node, size = np.repeat(np.array([(node, len(own)) for node, own in texts], np.int64), each, axis=0).T
+                place = np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
+                yield {"bucket": np.concatenate(marks).view(np.int64), "node": node, "size": size, "partner": longest_partner(size, place, least)}
+
+    return map_batches(texts.select("node", "text"), "bucket long, node long, size long, partner long", work)
+
+
 class Text(NamedTuple):
-    """One text of a block."""
+    """One text of a block; ``keys`` are its rare k-mers, in their order."""
 
     node: int
     label: int
-    sketches: np.ndarray
     runs: np.ndarray
     marks: np.ndarray
+    keys: np.ndarray
+
+
+def _partner(text: Text, met_at: int | None, least: float) -> float:
+    if met_at is None:
+        return np.inf
+    return float(longest_partner(np.array(len(text.marks)), np.flatnonzero(text.keys == met_at)[0], least))
 
 
-def block_matches(left: list[Text], right: list[Text] | None, place: int | None, least: float) -> Iterator[tuple[int, int]]:
+def block_matches(left: list[Text], right: list[Text] | None, met_at: int | None, least: float) -> Iterator[tuple[int, int]]:
     """Similar pairs of a left and a right text (of two left ones, if ``right`` is None) that connect all similar pairs
-    of different labels. With ``place`` only pairs whose first common sketch is at that place count."""
+    of different labels. With ``met_at`` only pairs whose first common key it is count."""
     sizes = np.array([len(t.marks) for t in left])
     marks, owner = np.concatenate([t.marks for t in left]), np.repeat(np.arange(len(left)), sizes)
     order = np.argsort(marks, kind="stable")
     marks, owner = marks[order], owner[order]
     above: dict[int, int] = {}
+    partners = np.array([_partner(t, met_at, least) for t in left])
 
     def top(label: int) -> int:
         while label in above:
@@ -177,42 +246,45 @@ def block_matches(left: list[Text], right: list[Text] | None, place: int | None,
         at = np.arange(n.sum()) + np.repeat(first - np.cumsum(n) + n, n)
         common = np.bincount(owner[at], minlength=len(left))  # at least as many as can be aligned
         fits = common >= np.ceil(least * (sizes + len(own.marks)) / (1 + least) - 1e-9)
+        fits &= (len(own.marks) <= partners) & (sizes <= _partner(own, met_at, least))
         if right is None:
             fits[j:] = False
         for i in np.flatnonzero(fits).tolist():
             other = left[i]
             a, b = top(other.label), top(own.label)
-            if a == b or place is not None and int((other.sketches == own.sketches).argmax()) != place:
+            if a == b or met_at is not None and other.keys[np.isin(other.keys, own.keys).argmax()] != met_at:
                 continue
             if similar(other.runs, own.runs, least):
                 above[a] = b
                 yield other.node, own.node
 
 
-def verified(rows: DataFrame, least: float) -> DataFrame:
-    """Matches (a, b) in each block. ``rows``: one, two, three (the block), place, side, node, label, sketches, text."""
+def verified(rows: DataFrame, least: float, counts: Broadcast | None = None) -> DataFrame:
+    """Matches (a, b) in each block. ``rows``: one, two, three (the block), side, node, label, text. With ``counts``
+    texts have met by rare k-mers, ``one`` being the k-mer."""
 
     def work(batches: Iterator[dict[str, list]]) -> Iterator[dict[str, list]]:
-        runs, at, place = Runs(), None, None
+        runs, at = Runs(), None
         sides: tuple[list[Text], list[Text]] = ([], [])
 
         def matches() -> dict[str, list]:
-            found = list(block_matches(sides[0], sides[1] or None, place, least)) if sides[0] else []
+            met_at = None if counts is None or at is None else np.int64(at[0]).view(np.uint64)
+            found = list(block_matches(sides[0], sides[1] or None, met_at, least)) if sides[0] else []
             return {"a": [a for a, _ in found], "b": [b for _, b in found]}
 
-        names = ("one", "two", "three", "place", "side", "node", "label", "sketches", "text")
+        names = ("one", "two", "three", "side", "node", "label", "text")
         for batch in batches:
-            for one, two, three, own_place, side, node, label, sketch, text in zip(*(batch[c] for c in names), strict=True):
+            for one, two, three, side, node, label, text in zip(*(batch[c] for c in names), strict=True):
                 if (one, two, three) != at:
                     yield matches()
-                    at, place, sides = (one, two, three), own_place, ([], [])
-                if not sides[side] or sides[side][-1].node != node:  # not a repeated row
-                    own = runs.of(text)
-                    sides[side].append(Text(node, label, np.array(sketch, np.int64), own, labelled(own)))
+                    at, sides = (one, two, three), ([], [])
+                own = runs.of(text)
+                marks = labelled(own)
+                sides[side].append(Text(node, label, own, marks, marks[:0] if counts is None else rarest(marks, counts.value, least)))
         yield matches()
 
     order = ["one", "two", "three", "side", "node"]
-    dealt = rows.select(*order, "place", "label", "sketches", "text").repartition("one", "two", "three").sortWithinPartitions(*order)
+    dealt = rows.select(*order, "label", "text").repartition("one", "two", "three").sortWithinPartitions(*order)
     return map_batches(dealt, "a long, b long", work)
 
 
@@ -220,13 +292,14 @@ def duplicate_links(texts: DataFrame, documents: DataFrame, workspace: Workspace
     """Verified pairs (a, b) of nodes of ``texts`` (node, sketches), whose texts are in ``documents`` (node, text),
     enough to connect all similar ones that share a sketch."""
     placed = texts.select("node", F.posexplode("sketches").alias("place", "sketch")).select(
-        "node", "place", F.xxhash64("place", "sketch").alias("bucket")
+        "node", F.xxhash64("place", "sketch").alias("bucket")
     )
     shared = workspace.stage(placed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "shared")
     members = workspace.stage(placed.join(shared, "bucket"), "members")
     # Texts of all that share a bucket, once for all passes. Both sides are shuffled at every size.
-    asked = texts.join(members.select("node").distinct().hint("merge"), "node", "left_semi").select("node", "sketches")
-    held = workspace.stage(documents.join(asked.hint("merge"), "node").select("node", "text", "sketches"), "texts").hint("merge")
+    asked = members.select("node").distinct().hint("merge")
+    once = documents.join(asked, "node").select("node", "text").dropDuplicates(["node"])
+    held = workspace.stage(once, "texts").hint("merge")
     leaders = workspace.stage(_central_leaders(members, workspace), "leaders")
     pairs = members.join(leaders, "bucket").where("node != leader").select("leader", "node")
     pairs = workspace.stage(pairs.distinct(), "pairs")
@@ -236,14 +309,26 @@ def duplicate_links(texts: DataFrame, documents: DataFrame, workspace: Workspace
     found = workspace.stage(verified(roles.join(held, "node"), least), "matches")
     # All pairs of a group of one chunk have been settled, and so have the buckets in it.
     settled = leaders.join(sizes.where("chunks = 1"), "leader", "left_semi").select("bucket")
-    members = workspace.stage(members.join(settled, "bucket", "left_anti"), "open")
-    # First the blocks alone: what they join spares comparisons and, dealt again by label, pairs of blocks.
-    for others in (False, True):
-        blocks = workspace.stage(_in_blocks(workspace.stage(_labels(members, found, workspace), "labelled"), workspace), "blocks")
-        if blocks.isEmpty():
-            break
-        matches = verified(_block_rows(blocks, workspace, others).join(held, "node"), least)
+    open_ = members.join(settled, "bucket", "left_anti").select("node").distinct()
+    return _by_rare_kmers(workspace.stage(open_, "open"), held, found, workspace, least)
+
+
+def _by_rare_kmers(nodes: DataFrame, held: DataFrame, found: DataFrame, workspace: Workspace, least: float) -> DataFrame:
+    """``found`` and what connects all similar pairs of ``nodes`` beside it."""
+    spark, n = nodes.sparkSession, nodes.count()
+    while n:
+        own = workspace.stage(held.join(nodes, "node", "left_semi"), "texts")
+        counts = spark.sparkContext.broadcast(kmer_counts(own))
+        index = workspace.stage(meetings(own, counts, least), "meetings")
+        blocks = workspace.stage(_in_blocks(_labels(index, found, workspace), workspace), "blocks")
+        # Those of one block meet now. The others' rare k-mers are rarer among themselves.
+        rest = workspace.stage(blocks.where("blocks > 1").select("node").distinct(), "rest")
+        left = rest.count()
+        once_more = 2 * left < n
+        rows = _block_rows(blocks.where("blocks = 1") if once_more else blocks, workspace)
+        matches = verified(rows.join(own.hint("merge"), "node"), least, counts)
         found = found.unionAll(workspace.stage(matches, "matches"))
+        nodes, n = rest, left if once_more else 0
     return found
 
 
@@ -266,38 +351,42 @@ def _roles(pairs: DataFrame, sizes: DataFrame) -> DataFrame:
     rows = sized.select("leader", chunk.alias("chunk"), "node").unionAll(heads.select("leader", "chunk", F.col("leader").alias("node")))
     return rows.select(
         F.col("leader").alias("one"), F.col("chunk").cast("long").alias("two"), F.lit(0).cast("long").alias("three"),
-        F.lit(None).cast("int").alias("place"), F.lit(0).alias("side"), "node", F.col("node").alias("label"),
+        F.lit(0).alias("side"), "node", F.col("node").alias("label"),
     )
 
 
 def _in_blocks(members: DataFrame, workspace: Workspace) -> DataFrame:
-    """Members of the buckets that hold several labels, with their block of about ``BLOCK`` members: of one label where
-    it has so many, or else of several."""
-    counts = workspace.stage(members.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("same")), "counts")
+    """Members of the buckets that hold several labels, with their block of about ``BLOCK`` k-mers (of one label where
+    it has so many, or else of several) and the ``blocks`` that the bucket's members would fill."""
+    members = workspace.stage(members, "labelled")
+    # Whose partners would have to be shorter than all members has none.
+    shortest = members.groupBy("bucket").agg(F.min("size").alias("shortest"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    shortest = workspace.stage(shortest.drop("n"), "shortest")
+    members = workspace.stage(members.join(shortest, "bucket").where("partner >= shortest").drop("shortest", "partner"), "meeting")
+    counts = workspace.stage(members.groupBy("bucket", "label").agg(F.sum("size").alias("same")), "counts")
     few = F.sum(F.when(F.col("same") < BLOCK, F.col("same")).otherwise(0)).alias("few")
-    several = counts.groupBy("bucket").agg(F.count(F.lit(1)).alias("labels"), few).where("labels > 1").drop("labels")
+    several = counts.groupBy("bucket").agg(F.count(F.lit(1)).alias("labels"), few, F.sum("same").alias("all")).where("labels > 1")
+    several = several.select("bucket", "few", F.ceil(F.col("all") / BLOCK).alias("blocks"))
     counts = workspace.stage(counts.join(workspace.stage(several, "several"), "bucket"), "counts")
     alone = F.xxhash64("label", F.pmod(F.xxhash64("node"), F.ceil(F.col("same") / BLOCK)))
-    block = F.when(F.col("same") >= BLOCK, alone).otherwise(F.pmod(F.xxhash64("label"), F.ceil(F.col("few") / BLOCK)))
-    return members.join(counts, ["bucket", "label"]).select("bucket", "place", "node", "label", block.alias("block"))
+    mixed = F.when(F.col("same") >= BLOCK, alone).otherwise(F.pmod(F.xxhash64("label"), F.greatest(F.ceil(F.col("few") / BLOCK), F.lit(1))))
+    block = F.when(F.col("blocks") == 1, F.lit(0)).otherwise(mixed)
+    return members.join(counts, ["bucket", "label"]).select("bucket", "node", "label", block.cast("long").alias("block"), "blocks")
 
 
-def _block_rows(blocks: DataFrame, workspace: Workspace, others: bool) -> DataFrame:
-    """Members by pair of blocks of a bucket: of each block with itself, and with ``others`` of each two blocks too."""
+def _block_rows(blocks: DataFrame, workspace: Workspace) -> DataFrame:
+    """Members by pair of blocks of a bucket, of each block with itself and with every other, where labels differ."""
     ends = workspace.stage(blocks.groupBy("bucket", "block").agg(F.min("label").alias("low"), F.max("label").alias("high")), "ends")
     met = ends.where("low != high").select("bucket", F.col("block").alias("two"), F.col("block").alias("three"))
-    if others:
-        second = ends.select("bucket", F.col("block").alias("three"), F.col("low").alias("low3"), F.col("high").alias("high3"))
-        two = ends.withColumnRenamed("block", "two").join(second, "bucket").where("two < three and least(low, low3) != greatest(high, high3)")
-        met = met.unionAll(two.select("bucket", "two", "three"))
-    met = workspace.stage(met, "met")
-    sides = [(met, "two", 0)] + [(met.where("two < three"), "three", 1)] * others
+    second = ends.select("bucket", F.col("block").alias("three"), F.col("low").alias("low3"), F.col("high").alias("high3"))
+    two = ends.withColumnRenamed("block", "two").join(second, "bucket").where("two < three and least(low, low3) != greatest(high, high3)")
+    met = workspace.stage(met.unionAll(two.select("bucket", "two", "three")), "met")
     rows = [
         blocks.join(pairs.withColumn("block", F.col(c)), ["bucket", "block"])
-        .select(F.col("bucket").alias("one"), "two", "three", "place", F.lit(side).alias("side"), "node", "label")
-        for pairs, c, side in sides
+        .select(F.col("bucket").alias("one"), "two", "three", F.lit(side).alias("side"), "node", "label")
+        for pairs, c, side in ((met, "two", 0), (met.where("two < three"), "three", 1))
     ]
-    return workspace.stage(rows[0].unionAll(rows[1]) if others else rows[0], "rows")
+    return workspace.stage(rows[0].unionAll(rows[1]), "rows")
 
 
 def _labels(members: DataFrame, links: DataFrame, workspace: Workspace) -> DataFrame:

@@ -151,7 +151,7 @@ def two_labels(n=150, m=10):
 def test_no_link_between_different_texts_is_lost(spark, workspace, monkeypatch, made, chunk, block):
     """Each family shares one sketch and no other, so its pairs meet there or nowhere."""
     monkeypatch.setattr(nd, "CHUNK", chunk)
-    monkeypatch.setattr(nd, "BLOCK", block, raising=False)
+    monkeypatch.setattr(nd, "BLOCK", block * 300)
     data = [(i, t, f) for i, (f, t) in enumerate((f, t) for f, texts in enumerate(made()) for t in texts)]
     texts = [(i, [f, *(1000 + i * nd.SKETCHES + j for j in range(1, nd.SKETCHES))]) for i, _, f in data]
     links = nd.duplicate_links(
@@ -165,7 +165,68 @@ def test_block_compares_what_a_leader_would_hide():
     runs = {r[0]: nd.Runs().of(r[1]) for r in enumerate(chains()[0])}
     pairs = {(a, b) for a in runs for b in runs if a < b and nd.similar(runs[a], runs[b])}
     assert len(pairs) == 2  # one pair of the three is not similar
-    texts = [nd.Text(n, n, nd.sketches(r).view(np.int64), r, nd.labelled(r)) for n, r in runs.items()]
+    texts = [nd.Text(n, n, r, nd.labelled(r), nd.labelled(r)) for n, r in runs.items()]
     for order in ([0, 1, 2], [2, 0, 1], [1, 2, 0]):
         found = nd.block_matches([texts[i] for i in order], None, None, 0.8)
         assert {tuple(sorted(p)) for p in found} == pairs
+
+
+def test_rare_kmers_are_shared_by_similar_texts():
+    """In whatever order, similar texts share one of their first k-mers; unlike texts with a common passage don't."""
+    rng = random.Random(41)
+    shared = prose(rng, 100)
+    texts = [shared + " " + prose(rng, 100) for _ in range(60)]
+    runs = [nd.Runs().of(t) for t in texts + [changed(t, rng, 1 + i % 5) for i, t in enumerate(texts)]]
+    marks = [nd.labelled(r) for r in runs]
+    for counts in (np.zeros(4, np.int32), np.bincount((np.concatenate(marks) % np.uint64(4096)).astype(int), minlength=4096)):
+        first = [set(nd.rarest(m, counts, 0.8).tolist()) for m in marks]
+        for i in range(len(runs)):
+            for j in range(i):
+                if nd.similar(runs[i], runs[j]):
+                    assert first[i] & first[j]
+                elif len(counts) > 4 and i % 60 != j % 60:
+                    assert not first[i] & first[j]
+    one = np.array([7], np.uint64)
+    assert nd.longest_partner(np.array([1, 100, 100]), np.array([0, 0, 20]), 0.8).tolist() == [1, 125, 80]
+    assert nd.rarest(one, np.zeros(4, np.int32), 0.8).tolist() == [7]
+
+
+def links_and_rows(spark, workspace, monkeypatch, texts):
+    """Classes of texts that all share one sketch, and the rows with texts that are dealt to find them."""
+    dealt, real = [], nd.verified
+
+    def counted(rows, *options):
+        dealt.append(rows.count())
+        return real(rows, *options)
+
+    monkeypatch.setattr(nd, "verified", counted)
+    sketches = [(i, [0, *(1000 + i * nd.SKETCHES + j for j in range(1, nd.SKETCHES))]) for i in range(len(texts))]
+    links = nd.duplicate_links(
+        spark.createDataFrame(sketches, "node long, sketches array<long>"), spark.createDataFrame(list(enumerate(texts)), "node long, text string"), workspace, 0.8
+    )
+    found = {r["node"]: r["component"] for r in components(links, workspace).collect()}
+    monkeypatch.setattr(nd, "verified", real)
+    return {i: found.get(i, i) for i in range(len(texts))}, sum(dealt)
+
+
+def test_rows_of_a_large_bucket_grow_with_its_members(spark, workspace, monkeypatch):
+    """Unlike texts that share a passage, and a noisy family of which half is just not similar to anything."""
+    rng = random.Random(43)
+    shared, base = prose(rng, 60), prose(rng, 120)
+    texts = [shared + " " + prose(rng, 60) for _ in range(2000)]
+    rows = [links_and_rows(spark, workspace, monkeypatch, texts[:n])[1] for n in (500, 1000, 2000)]
+    assert rows[1] <= 2.1 * rows[0] and rows[2] <= 2.1 * rows[1], rows
+    monkeypatch.setattr(nd, "BLOCK", 1 << 15)
+    noisy = [changed(base, rng, rng.choice([1, 3, 8, 20])) for _ in range(2000)]
+    assert links_and_rows(spark, workspace, monkeypatch, noisy)[1] <= 10 * len(noisy)
+
+
+@pytest.mark.parametrize("block", [1 << 18, 1 << 13, 1 << 10])
+def test_noisy_family_equals_all_pairs(spark, workspace, monkeypatch, block):
+    """Members from nearly equal to unlike, in one block, in several, and met again by the k-mers of what is left."""
+    monkeypatch.setattr(nd, "BLOCK", block)
+    rng = random.Random(44)
+    base = prose(rng, 150)
+    texts = [changed(base, rng, rng.randrange(25)) for _ in range(250)] + [prose(rng, 40) + " " + base[:300] for _ in range(40)]
+    found, _ = links_and_rows(spark, workspace, monkeypatch, texts)
+    assert found == brute_classes(list(enumerate(texts)))
