@@ -65,6 +65,12 @@ def size_of(df: DataFrame, each: Column) -> tuple[int, int]:
     return int(row["n"]), int(row["s"])
 
 
+def few_tasks(df: DataFrame, rows: int, row_bytes: int = 32) -> DataFrame:
+    """``df``, a shuffled table of about ``rows`` narrow rows, in no more tasks than its size and the cluster's cores ask
+    for: rounds over small tables would else spend their time on starting tasks and on files of a few rows."""
+    return df.coalesce(max(4 * df.sparkSession.sparkContext.defaultParallelism, rows * row_bytes // (64 << 20)))
+
+
 def join_facts(rows: DataFrame, facts: DataFrame, keys: list[str], spread: Column, salts: int = 64) -> DataFrame:
     """``rows`` with the columns of ``facts``, which has one row for each key. ``spread`` deals the rows of a key,
     however many, over ``salts`` tasks, each with its copy of the key's facts."""

@@ -44,7 +44,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barloom.llm.common import WordHashes, combine, map_batches, mix, prepared, rolling
+from barloom.llm.common import WordHashes, combine, few_tasks, map_batches, mix, prepared, rolling
 from barloom.llm.components import components
 from barloom.session import Workspace
 
@@ -294,23 +294,28 @@ def duplicate_links(texts: DataFrame, documents: DataFrame, workspace: Workspace
     placed = texts.select("node", F.posexplode("sketches").alias("place", "sketch")).select(
         "node", F.xxhash64("place", "sketch").alias("bucket")
     )
-    shared = workspace.stage(placed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "shared")
-    members = workspace.stage(placed.join(shared, "bucket"), "members")
+    n = SKETCHES * texts.count()
+    shared = _narrow(placed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), n, workspace, "shared")
+    members = _narrow(placed.join(shared, "bucket"), n, workspace, "members")
     # Texts of all that share a bucket, once for all passes. Both sides are shuffled at every size.
     asked = members.select("node").distinct().hint("merge")
     once = documents.join(asked, "node").select("node", "text").dropDuplicates(["node"])
     held = workspace.stage(once, "texts").hint("merge")
-    leaders = workspace.stage(_central_leaders(members, workspace), "leaders")
+    leaders = _narrow(_central_leaders(members), n, workspace, "leaders")
     pairs = members.join(leaders, "bucket").where("node != leader").select("leader", "node")
-    pairs = workspace.stage(pairs.distinct(), "pairs")
+    pairs = _narrow(pairs.distinct(), n, workspace, "pairs")
     sizes = pairs.groupBy("leader").agg(F.ceil(F.count(F.lit(1)) / CHUNK).cast("int").alias("chunks"))
-    sizes = workspace.stage(sizes, "sizes")
-    roles = workspace.stage(_roles(pairs, sizes), "roles")
+    sizes = _narrow(sizes, n, workspace, "sizes")
+    roles = _narrow(_roles(pairs, sizes), n, workspace, "roles")
     found = workspace.stage(verified(roles.join(held, "node"), least), "matches")
     # All pairs of a group of one chunk have been settled, and so have the buckets in it.
     settled = leaders.join(sizes.where("chunks = 1"), "leader", "left_semi").select("bucket")
     open_ = members.join(settled, "bucket", "left_anti").select("node").distinct()
-    return _by_rare_kmers(workspace.stage(open_, "open"), held, found, workspace, least)
+    return _by_rare_kmers(_narrow(open_, n, workspace, "open"), held, found, workspace, least)
+
+
+def _narrow(df: DataFrame, rows: int, workspace: Workspace, name: str) -> DataFrame:
+    return workspace.stage(few_tasks(df, rows), name)
 
 
 def _by_rare_kmers(nodes: DataFrame, held: DataFrame, found: DataFrame, workspace: Workspace, least: float) -> DataFrame:
@@ -320,22 +325,23 @@ def _by_rare_kmers(nodes: DataFrame, held: DataFrame, found: DataFrame, workspac
         own = workspace.stage(held.join(nodes, "node", "left_semi"), "texts")
         counts = spark.sparkContext.broadcast(kmer_counts(own))
         index = workspace.stage(meetings(own, counts, least), "meetings")
-        blocks = workspace.stage(_in_blocks(_labels(index, found, workspace), workspace), "blocks")
+        size = index.count()
+        blocks = _narrow(_in_blocks(_labels(index, found, workspace), size, workspace), size, workspace, "blocks")
         # Those of one block meet now. The others' rare k-mers are rarer among themselves.
-        rest = workspace.stage(blocks.where("blocks > 1").select("node").distinct(), "rest")
+        rest = _narrow(blocks.where("blocks > 1").select("node").distinct(), size, workspace, "rest")
         left = rest.count()
         once_more = 2 * left < n
-        rows = _block_rows(blocks.where("blocks = 1") if once_more else blocks, workspace)
+        rows = _block_rows(blocks.where("blocks = 1") if once_more else blocks, size, workspace)
         matches = verified(rows.join(own.hint("merge"), "node"), least, counts)
         found = found.unionAll(workspace.stage(matches, "matches"))
         nodes, n = rest, left if once_more else 0
     return found
 
 
-def _central_leaders(members: DataFrame, workspace: Workspace) -> DataFrame:
+def _central_leaders(members: DataFrame) -> DataFrame:
     """Of each bucket, the member that shares its sketches with most others; of a family of near copies that is
     the text that they were made from."""
-    central = workspace.stage(members.groupBy("node").agg(F.sum("n").alias("central")), "central")
+    central = members.groupBy("node").agg(F.sum("n").alias("central"))
     ranked = members.join(central, "node")
     return ranked.groupBy("bucket").agg(F.max(F.struct("central", "node")).alias("l")).select("bucket", F.col("l.node").alias("leader"))
 
@@ -355,43 +361,44 @@ def _roles(pairs: DataFrame, sizes: DataFrame) -> DataFrame:
     )
 
 
-def _in_blocks(members: DataFrame, workspace: Workspace) -> DataFrame:
+def _in_blocks(members: DataFrame, n: int, workspace: Workspace) -> DataFrame:
     """Members of the buckets that hold several labels, with their block of about ``BLOCK`` k-mers (of one label where
     it has so many, or else of several) and the ``blocks`` that the bucket's members would fill."""
-    members = workspace.stage(members, "labelled")
+    members = _narrow(members, n, workspace, "labelled")
     # Whose partners would have to be shorter than all members has none.
     shortest = members.groupBy("bucket").agg(F.min("size").alias("shortest"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    shortest = workspace.stage(shortest.drop("n"), "shortest")
-    members = workspace.stage(members.join(shortest, "bucket").where("partner >= shortest").drop("shortest", "partner"), "meeting")
-    counts = workspace.stage(members.groupBy("bucket", "label").agg(F.sum("size").alias("same")), "counts")
+    shortest = _narrow(shortest.drop("n"), n, workspace, "shortest")
+    members = members.join(shortest, "bucket").where("partner >= shortest").drop("shortest", "partner")
+    members = _narrow(members, n, workspace, "meeting")
+    counts = _narrow(members.groupBy("bucket", "label").agg(F.sum("size").alias("same")), n, workspace, "counts")
     few = F.sum(F.when(F.col("same") < BLOCK, F.col("same")).otherwise(0)).alias("few")
     several = counts.groupBy("bucket").agg(F.count(F.lit(1)).alias("labels"), few, F.sum("same").alias("all")).where("labels > 1")
     several = several.select("bucket", "few", F.ceil(F.col("all") / BLOCK).alias("blocks"))
-    counts = workspace.stage(counts.join(workspace.stage(several, "several"), "bucket"), "counts")
+    counts = _narrow(counts.join(_narrow(several, n, workspace, "several"), "bucket"), n, workspace, "counts")
     alone = F.xxhash64("label", F.pmod(F.xxhash64("node"), F.ceil(F.col("same") / BLOCK)))
     mixed = F.when(F.col("same") >= BLOCK, alone).otherwise(F.pmod(F.xxhash64("label"), F.greatest(F.ceil(F.col("few") / BLOCK), F.lit(1))))
     block = F.when(F.col("blocks") == 1, F.lit(0)).otherwise(mixed)
     return members.join(counts, ["bucket", "label"]).select("bucket", "node", "label", block.cast("long").alias("block"), "blocks")
 
 
-def _block_rows(blocks: DataFrame, workspace: Workspace) -> DataFrame:
+def _block_rows(blocks: DataFrame, n: int, workspace: Workspace) -> DataFrame:
     """Members by pair of blocks of a bucket, of each block with itself and with every other, where labels differ."""
-    ends = workspace.stage(blocks.groupBy("bucket", "block").agg(F.min("label").alias("low"), F.max("label").alias("high")), "ends")
+    ends = _narrow(blocks.groupBy("bucket", "block").agg(F.min("label").alias("low"), F.max("label").alias("high")), n, workspace, "ends")
     met = ends.where("low != high").select("bucket", F.col("block").alias("two"), F.col("block").alias("three"))
     second = ends.select("bucket", F.col("block").alias("three"), F.col("low").alias("low3"), F.col("high").alias("high3"))
     two = ends.withColumnRenamed("block", "two").join(second, "bucket").where("two < three and least(low, low3) != greatest(high, high3)")
-    met = workspace.stage(met.unionAll(two.select("bucket", "two", "three")), "met")
+    met = _narrow(met.unionAll(two.select("bucket", "two", "three")), n, workspace, "met")
     rows = [
         blocks.join(pairs.withColumn("block", F.col(c)), ["bucket", "block"])
         .select(F.col("bucket").alias("one"), "two", "three", F.lit(side).alias("side"), "node", "label")
         for pairs, c, side in ((met, "two", 0), (met.where("two < three"), "three", 1))
     ]
-    return workspace.stage(rows[0].unionAll(rows[1]), "rows")
+    return _narrow(rows[0].unionAll(rows[1]), n, workspace, "rows")
 
 
 def _labels(members: DataFrame, links: DataFrame, workspace: Workspace) -> DataFrame:
     """Members with the label of all that links connect so far."""
-    groups = workspace.stage(components(links, workspace), "groups")
+    groups = components(links, workspace)
     return members.join(groups, "node", "left").withColumn("label", F.coalesce("component", "node")).drop("component")
 
 
@@ -400,18 +407,17 @@ def duplicate_classes(documents: DataFrame, workspace: Workspace, least: float =
     prepared(documents.sparkSession)
     rows = workspace.stage(sketched(documents).withColumn("row", F.monotonically_increasing_id()), "sketched")
     texts = rows.groupBy("copy_of").agg(F.min(F.struct("doc_id", "row", "node", "sketches")).alias("one"))
-    texts = workspace.stage(texts.select("copy_of", "one.*"), "texts")
+    n = rows.count()
+    texts = workspace.stage(few_tasks(texts.select("copy_of", "one.*"), n, 32 + 8 * SKETCHES), "texts")
     by_node = documents.select(F.xxhash64("doc_id", "text").alias("node"), "text")
     links = duplicate_links(texts.select("node", "sketches"), by_node, workspace, least)
-    groups = workspace.stage(components(links, workspace), "components")
+    groups = _narrow(components(links, workspace), n, workspace, "components")
     of_text = texts.select("copy_of", "doc_id", "row", "node").join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least_of = of_text.groupBy("component").agg(F.min(F.struct("doc_id", "row")).alias("first"))
-    classes = workspace.stage(
-        of_text.join(workspace.stage(least_of, "firsts"), "component").select(
-            "copy_of", F.col("first.doc_id").alias("class_id"), F.col("first.row").alias("class_row")
-        ),
-        "classes",
+    classes = of_text.join(_narrow(least_of, n, workspace, "firsts"), "component").select(
+        "copy_of", F.col("first.doc_id").alias("class_id"), F.col("first.row").alias("class_row")
     )
+    classes = _narrow(classes, n, workspace, "classes")
     return rows.select("doc_id", "node", "copy_of", "row").join(classes, "copy_of").select(
         "doc_id", "node", "class_id", (F.col("row") == F.col("class_row")).alias("kept")
     )
