@@ -126,6 +126,12 @@ class Workspace:
         df.write.options(**options).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def drop(self, path: str) -> None:
+        """Remove one table of this folder that nothing reads any more, before the rest goes."""
+        if not path.startswith(f"{self.folder}/"):
+            raise ValueError(f"{path} is not in {self.folder}")
+        self._store.delete(self.spark._jvm.org.apache.hadoop.fs.Path(path), True)
+
     def close(self) -> None:
         if self.is_open:
             self._open[self._app].remove(self)
