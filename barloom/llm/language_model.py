@@ -11,10 +11,10 @@ Storage. The tables are binary rows of uncompressed Parquet files in the shared
 files and search the sorted arrays where they lie; nothing is loaded or copied. A store that is not a file
 system has its files fetched to every node by Spark first.
 
-``min_count`` of 2 leaves n-grams of highest order that occur once to the lower orders, with all of their
-probability; contexts whose n-grams were all left out need no entry. Both are part of the model, not of
-the counting, which covers all tokens. Words are compared by hash: among V words V**2 / 2**49 collisions are
-expected.
+All n-grams are kept. A greater ``min_count`` leaves rarer ones of highest order to the lower orders, with all of
+their probability; contexts whose n-grams were all left out need no entry. Both are part of the model, not of
+the counting, which covers all tokens. What one level has sent to the next is removed once that has read it. Words are
+compared by hash: among V words V**2 / 2**49 collisions are expected.
 
 Defined cases: a null text is empty, and every text has its end as last token. Without training tokens
 every probability is 1 / (V + 1) = 1. Rows that repeat count and are scored each.
@@ -167,7 +167,7 @@ def _sent(kind: str, keys: np.ndarray, words: int, buckets: int, arrays: list[np
 # --- counting ------------------------------------------------------------------------------------
 
 
-def counted(texts: DataFrame, order: int, buckets: int, stretch: int = 1_000_000) -> DataFrame:
+def counted(texts: DataFrame, order: int, buckets: int, stretch: int = 2_000_000) -> DataFrame:
     """The n-grams of all texts, summed over stretches of tokens, by bucket."""
 
     def work(batches: Iterator[dict[str, list]]) -> Iterator[dict[str, list]]:
@@ -292,7 +292,7 @@ def _discounts(n: list[int]) -> tuple[float, float, float]:
     return tuple(d if 0.0 < d <= i else i / 2 for i, d in enumerate(out, 1))
 
 
-def train(texts: DataFrame, workspace: Workspace, order: int = 2, min_count: int = 2, bucket_bytes: int = 8 << 20) -> Model:
+def train(texts: DataFrame, workspace: Workspace, order: int = 3, min_count: int = 1, bucket_bytes: int = 8 << 20) -> Model:
     """Count ``texts`` (column text) and write the tables of the model to the workspace."""
     spark = prepared(texts.sparkSession)
     _, total = size_of(texts, text_bytes() + 1)
@@ -304,10 +304,12 @@ def train(texts: DataFrame, workspace: Workspace, order: int = 2, min_count: int
     def by_bucket(rows: DataFrame) -> DataFrame:
         return rows.repartitionById(buckets, F.col("bucket"))
 
-    rows = counted(texts, order, buckets)
+    rows, read = counted(texts, order, buckets), None
     for words in range(order, 0, -1):
         path = workspace.path(f"level{words}")
         reduced(by_bucket(rows), words, words == order, buckets, min_count).write.options(**plain).partitionBy("kind").parquet(path)
+        if read:
+            workspace.drop(read)
         made = spark.read.schema(ROW).parquet(path)
         facts = made.where("kind = 'facts'").select(F.posexplode("facts").alias("i", "v")).groupBy("i").agg(F.sum("v").alias("v")).collect()
         n = [0] * 7
@@ -320,6 +322,8 @@ def train(texts: DataFrame, workspace: Workspace, order: int = 2, min_count: int
             table = contexts(by_bucket(made.where("kind = 'context'")), words, words == order and min_count > 1)
             table.select("bucket", "data").write.options(**plain).parquet(at)
             files[words, "contexts"] = _files(spark.read.schema("bucket int, data binary").parquet(at))
+            workspace.drop(f"{path}/kind=context")
+            read = f"{path}/kind=next"
             rows = made.where("kind = 'next'").select("bucket", "data")
     local = all(urlparse(f).scheme in ("", "file") for fs in files.values() for f in fs)
     if not local:
