@@ -120,7 +120,7 @@ def test_held_out_texts_are_likelier_by_the_model_than_by_single_words(spark, sf
     assert held["score"].sum() > held["base_score"].sum()
     texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
     learnt = [texts[i] for i in found[~found["held_out"]]["doc_id"]]
-    brute = Brute(learnt, 3, 1)
+    brute = Brute(learnt, 2, 1)
     for r in found.itertuples():
         assert r.score == pytest.approx(brute.score(texts[r.doc_id]), rel=1e-6)
         assert r.base_score == pytest.approx(brute.base(texts[r.doc_id]), rel=1e-6)
