@@ -14,7 +14,7 @@ from barloom.models import arima, boosted, forest, linear, registry
 from barloom.operators import balance, evaluate, indicators as ind, labels, scaling, selection
 from barloom.operators.blocks import BLOCK, INDEX, KEYS, TIME, with_bar_index
 from barloom.operators.recurrence import with_sar
-from barloom.plans import features as sets, strategies, training
+from barloom.plans import features as sets, forests, strategies, training
 from barloom.session import Workspace, for_local_runs, stage
 from barloom.sources import bars as src, payloads, store
 from barloom.streaming import ingest
@@ -802,6 +802,42 @@ def scored_strategies(spark, sf_dir):
     return out.select(*BAR, "target", whole.alias("sums_to_one"), chosen.alias("likeliest"))
 
 
+_FORESTS = {"trees": (2, 5), "depth": (2, 5), "min_split": (5, 20), "min_leaf": (2, 10), "subset": ["sqrt", "log2"]}
+
+
+def _forest_run(spark: SparkSession, sf_dir: str, runs: int) -> tuple[DataFrame, DataFrame, registry.ModelStore, DataFrame]:
+    """Forests of all series, bar sizes and strategies: five draws on two folds, then two trees more for each further run."""
+    bars, models = fx.bars(spark, sf_dir), _models(spark)
+    jobs = stage(strategies.job_list(src.series(bars), strategies.strategy_table(spark)), "jobs")
+    for _ in range(runs):
+        report = forests.train_forests(bars, jobs, models, _path(spark, "metrics"), _RANGE, n_iter=5, folds=2, space=_FORESTS, new_trees=2)
+    return bars, jobs, models, report
+
+
+@query
+def forest_models(spark, sf_dir):
+    """The report of every job after a training and an update of all forests, with what is stored of each."""
+    _, _, models, report = _forest_run(spark, sf_dir, 2)
+    trees_of = models.table("forests/nodes").groupBy("model").agg(F.count_distinct("fit").alias("runs"), F.count_distinct("fit", "tree").alias("trees"))
+    fits = models.table("forests/fits").select("model", "has")
+    stored = trees_of.join(fits, "model").withColumn("grown", (F.col("trees") == F.col("has")) & F.col("has").between(4, 6))
+    found = report.withColumn("model", F.concat_ws("|", *registry.JOB_KEYS)).join(stored, "model", "left")
+    inside = F.lit(True)
+    for name in ("accuracy", "precision", "recall", "f1_score"):
+        inside = inside & F.col(name).between(0.0, 1.0)
+    return found.select(*registry.JOB_KEYS, "status", "model_key", "runs", "grown", inside.alias("in_range"))
+
+
+@query
+def scored_forests(spark, sf_dir):
+    """What the stored forests of all jobs say of every complete row, in one job for all."""
+    bars, jobs, models, _ = _forest_run(spark, sf_dir, 1)
+    out = forests.score_forests(bars, jobs, models, _RANGE)
+    whole = F.abs(F.aggregate("probability", F.lit(0.0), lambda a, p: a + p) - 1.0) < 1e-9
+    chosen = evaluate.most_likely(F.col("probability")) == F.col("prediction")
+    return out.select(*registry.JOB_KEYS, TIME, "target", whole.alias("sums_to_one"), chosen.alias("likeliest"))
+
+
 @query
 def signal_models(spark, sf_dir):
     """Stored votes after a training and a refit, over the rows they were fitted on."""
