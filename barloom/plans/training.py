@@ -121,8 +121,8 @@ def train_strategies(
     """Train or update one forest per (symbol, interval, strategy) and report how each job went.
 
     Indicators, labels, scaling and balance of a strategy are computed for all its series together. A model
-    is saved before anything is said about it; metrics and registry rows are written once per table of jobs,
-    by one writer. Metrics are in-sample on the balanced rows; with ``holdout`` that share of the latest rows
+    is saved before anything is said about it; metrics and registry rows are written after each bar size and
+    strategy, by one writer. Every job has a row in the report; one that fails leaves the others as they are. Metrics are in-sample on the balanced rows; with ``holdout`` that share of the latest rows
     is kept out of training and scored instead. With ``replace_metrics`` those of this run replace all older.
     """
     spark, path = bars.sparkSession, store.report_path("strategies")
@@ -130,11 +130,33 @@ def train_strategies(
     run_at = dt.datetime.now(dt.timezone.utc)
     keyed = jobs.withColumn("model_key", F.concat(F.lit("trained_models/"), model_key(F.col("symbol"), F.col("interval"), F.col("features"))))
     groups = jobs.select("interval", "strategy", "features", "force_features").distinct()
+    replace = replace_metrics
+
+    def finish(group: Row) -> None:
+        """Metrics and registry rows of what a group has trained; a later group that fails takes nothing from it."""
+        nonlocal replace
+        of_group = (F.col("interval") == group["interval"]) & (F.col("strategy") == group["strategy"])
+        report = run_jobs(spark, keyed.limit(0), lambda job: None, path, results=STRATEGY_RESULTS)
+        done = report.where(of_group & (F.col("status") == "ok"))
+        append_metrics(metrics_rows(done, run_at), metrics_path, replace)
+        store.register(done.withColumn("kind", F.lit("strategy")))
+        replace = False
+
+    def refuse(job: Row) -> None:
+        raise ValueError(job["problem"])
+
     for group in groups.toLocalIterator():  # at most one per bar size and strategy
         with Workspace(spark, "strategies"):
             mine = keyed.where((F.col("interval") == group["interval"]) & (F.col("strategy") == group["strategy"]))
             features = list(dict.fromkeys([*BASE_FEATURES, *group["features"]]))
             rows = stage(strategy_rows(read.join(mine.select(*KEYS), list(KEYS), "left_semi"), features), "strategy-rows")
+            # Series that can't be balanced are reported, and the others go on without them.
+            known = stage(job_problems(mine, rows.select(*KEYS, "target")), "problems")
+            run_jobs(spark, known.where("problem is not null"), refuse, path, results=STRATEGY_RESULTS)
+            mine = known.where("problem is null").drop("problem")
+            if mine.isEmpty():
+                continue
+            rows = rows.join(mine.select(*KEYS), list(KEYS), "left_semi")
             kept, unseen = rows, None
             if holdout:
                 length = rows.groupBy(*KEYS).agg((F.max(INDEX) * (1.0 - holdout)).alias("_end"))
@@ -174,11 +196,17 @@ def train_strategies(
                     return {**(found.asDict() if found else {}), "model_key": key, "features": names}
 
                 run_jobs(spark, work, one, path, results=STRATEGY_RESULTS, parallelism=parallelism)
-    report = run_jobs(spark, keyed.limit(0), lambda job: None, path, results=STRATEGY_RESULTS)
-    done = report.where("status = 'ok'")
-    append_metrics(metrics_rows(done, run_at), metrics_path, replace_metrics)
-    store.register(done.withColumn("kind", F.lit("strategy")))
-    return report
+        finish(group)
+    return run_jobs(spark, keyed.limit(0), lambda job: None, path, results=STRATEGY_RESULTS)
+
+
+def job_problems(jobs: DataFrame, rows: DataFrame) -> DataFrame:
+    """``jobs`` with ``problem``: why the series of a job can't be trained on its complete ``rows``, or null."""
+    counts = rows.groupBy(*KEYS, "target").agg(F.count(F.lit(1)).alias("n"))
+    per_series = counts.groupBy(*KEYS).agg(F.min("n").alias("_least"), F.max("n").alias("_most"))
+    single = F.when((F.col("_least") == 1) & (F.col("_most") > 1), "a class with a single row cannot be balanced")
+    problem = F.when(F.col("_least").isNull(), "no complete rows").otherwise(single)
+    return jobs.join(per_series, list(KEYS), "left").withColumn("problem", problem).drop("_least", "_most")
 
 
 # What a training job reports beside its status.
@@ -324,12 +352,13 @@ def train_linear(bars: DataFrame, store: ModelStore) -> DataFrame:
 
 
 def train_arima(bars: DataFrame, store: ModelStore) -> DataFrame:
-    """Order search of all series in one job, over whole series; stored series keep their order and go on."""
+    """Order search of all series in one job, over whole series; stored series keep their order and go on. A series
+    that no order fits gets no model."""
     with Workspace(bars.sparkSession, "arima"):
         stored = store.table("arima")
         sums = stage(arima.lagged_sums(bars, None if stored is None else stored), "sums")
         fresh = sums if stored is None else sums.join(stored.select(*KEYS), list(KEYS), "left_anti")
-        model = arima.fitted(arima.require_orders(arima.best_orders(arima.order_criteria(fresh))), fresh)
+        model = arima.fitted(arima.best_orders(arima.order_criteria(fresh)).where("aic is not null"), fresh)
         if stored is not None:
             known = stage(arima.extended(stored, sums), "extended")
             model = model.unionByName(arima.refit(known))

@@ -121,6 +121,25 @@ def test_updated_linear_models_keep_series_that_were_not_retrained(spark, bars,
     assert training.train_linear(one, models).count() == both.select(*KEYS).distinct().count()
 
 
+def test_series_that_cannot_be_trained_do_not_stop_the_rest(spark, bars, models):
+    """One series with a class of one row, one without complete rows: both are reported, the ordinary one is trained."""
+    one = bars.where("interval = '4h' and symbol = 'PERP_VIEW_USDC'")
+    constant = {c: F.lit(5.0) for c in ("open", "high", "low", "close")}
+    later = F.col("start_timestamp") >= F.lit("2024-01-20").cast("timestamp")
+    moves = one.withColumns({"symbol": F.lit("PERP_ONCE_USDC"), **constant}).withColumn("close", F.when(later, 6.0).otherwise(5.0))
+    short = one.orderBy("start_timestamp").limit(9).withColumn("symbol", F.lit("PERP_SHORT_USDC"))
+    mixed = stage(one.unionByName(moves).unionByName(short), "mixed")
+    jobs = strategies.job_list(src.series(mixed), strategies.strategy_table(spark)).where("strategy = 'Volatility Breakout'")
+    metrics = Workspace.current(spark).path("metrics")
+    report = training.train_strategies(mixed, jobs, models, metrics, RANGE, n_iter=1, folds=2, space=TREES)
+    assert {r["symbol"].split("_")[1]: r["status"] for r in report.collect()} == {
+        "VIEW": "ok", "ONCE": "ValueError: a class with a single row cannot be balanced", "SHORT": "ValueError: no complete rows",
+    }
+    assert models.registered("strategy").count() == 1 == tables.read_metrics(spark, metrics).count()
+    training.train_arima(mixed.where("symbol <> 'PERP_VIEW_USDC'").unionByName(one), models)
+    assert "PERP_VIEW_USDC" in {r["symbol"] for r in models.table("arima").collect()}
+
+
 JOBS = "symbol string, interval string, strategy string"
 
 
