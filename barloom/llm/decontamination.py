@@ -11,7 +11,7 @@ windows that cannot match are not shuffled. It decides nothing: what passes is j
 scanned once; nothing is collected but the bitmap's words and the set of short item lengths.
 
 Defined cases: a null text has no words and no hits, an item without words has no windows, rows that
-repeat are judged each, an item without an id counts for hits and is left out of the items only, empty tables give no hits or no rows. Only the id columns and the text are read.
+repeat are judged each, an item without an id counts for hits and is left out of the items only, empty tables give no hits or no rows. Very long texts are read whole. Only the id columns and the text are read.
 """
 
 from __future__ import annotations

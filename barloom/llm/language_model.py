@@ -18,6 +18,7 @@ compared by hash: among V words V**2 / 2**49 collisions are expected.
 
 Defined cases: a null text is empty, and every text has its end as last token. Without training tokens
 every probability is 1 / (V + 1) = 1. Rows that repeat count and are scored each.
+Very long texts are learnt and scored whole. Only the kept columns and the text are read.
 """
 
 from __future__ import annotations

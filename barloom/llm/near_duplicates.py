@@ -30,6 +30,8 @@ With 16 sketches of 3 k-mers a pair of similarity 0.8 is missed with a probabili
 Defined cases: words are runs of letters, digits and underscores, in lower case. Documents without words
 are copies of each other when their texts are equal (null as empty). Repeated rows are copies. The
 document that stays is the one of least doc_id (null first). An empty table gives no rows.
+Very long texts are compared whole; a block is bounded by the k-mers of its texts, and one text may fill it alone.
+Only doc_id and text are read, so other columns cannot clash.
 """
 
 from __future__ import annotations

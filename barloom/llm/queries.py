@@ -97,14 +97,14 @@ with d as (
 items as (
   select item_id::varchar item,
          regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') ws
-  from benchmark where item_id is not null),
+  from benchmark),
 known as materialized (
   select distinct item, least(len(ws), 10) n, ws[i:i + least(len(ws), 10) - 1] win from items, unnest(range(1, len(ws) - least(len(ws), 10) + 2)) x(i) where len(ws) > 0),
 hits as materialized (
   select r, i, d2.n, win from (select r, ws, i, n, ws[i:i + n - 1] win from d, (select distinct n from known) l, unnest(range(1, len(ws) - n + 2)) x(i)) d2
   semi join known using (win)),
 found as (select r, count(distinct j) n_hit from (select r, unnest(range(i, i + n)) j from hits) group by r),
-its as (select r, count(*) n_items, string_agg(item, ',' order by item) list from (select distinct r, item from hits join known using (win)) group by r)
+its as (select r, count(*) n_items, string_agg(item, ',' order by item) list from (select distinct r, item from hits join known using (win) where item is not null) group by r)
 select doc_id, len(ws) n_words, coalesce(n_hit, 0) n_hit, coalesce(n_items, 0) n_items, sha256(coalesce(list, '')) items_sha256, coalesce(n_hit, 0) > 0 contaminated
 from d left join found using (r) left join its using (r)
 """

@@ -8,7 +8,8 @@ boundary falls in. A boundary is done when a probe lies within the tolerance, or
 is bounded by ``PROBES``, or 16 for each part where there are more parts than that.
 
 Defined cases: a null key or tie counts as -1 and sorts first. Rows that agree in key and tie stay
-together. An empty table gives no rows. Input columns named like the result's are replaced.
+together. A very long text is one row like others and is never cut; its weight is its size. An empty table
+gives no rows. Input columns named like the result's are replaced.
 """
 
 from __future__ import annotations

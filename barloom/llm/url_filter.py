@@ -15,8 +15,8 @@ has at most 1 / share named children, so the windows over siblings are bounded.
 one wildcard tail, which is part of what a template is.
 
 Defined cases: a null url, or one without "://", has empty host and path and no rule; it is judged by the
-root template of the empty host. Rows that repeat are judged alike. An empty table gives no rows. Only
-``page_id`` and ``url`` are read.
+root template of the empty host. Rows that repeat are judged alike. An empty table gives no rows. Path
+levels beyond the eighth, of however long a url, are one tail. Only ``page_id`` and ``url`` are read.
 """
 
 from __future__ import annotations
