@@ -3,20 +3,23 @@
 Fixed rules judge the urls that they fit. Their verdicts are also the labels from which templates are
 learnt for the other urls. Each host has a tree of path segments, grown level by level:
 
-* generalise: a segment keeps its name where it has a fair share of its node's urls; the others, which
-  vary, become one wildcard for their kind (digits, mixed, words);
-* merge: named siblings with enough labels whose block rates do not differ significantly (two-proportion
-  z) become one branch;
+* generalise: a word keeps its name where it has a fair share of its node's urls, and any segment does whose
+  labels differ significantly from those of the others of its kind; the rest, which vary, become one wildcard
+  for their kind (digits, mixed, words, each with its file ending);
+* merge: named siblings with enough labels whose block rates do not differ significantly (two-proportion z, from
+  the merged branch as a whole and from its lowest member) become one branch. It is named after its first and
+  last member and the number of those between;
 * judge: the block rate of a branch is smoothed towards that of its parent, of a host towards the rate of
   all urls. A url is blocked when the smoothed rate of its template is ``block_at`` or more.
 
-Rows are first reduced to distinct (host, path) with counts. Counts of a node are partial aggregates; a node
-has at most 1 / share named children, so the windows over siblings are bounded. Levels below ``depth`` are
-one wildcard tail, which is part of what a template is.
+Rows are first reduced to distinct (host, path) with counts. Counts of a node are partial aggregates. Before
+siblings are merged, those whose rates agree in whole percent are one bin, so a node has at most 101 however
+many children it has. Levels below ``depth`` are one wildcard tail, which is part of what a template is.
 
 Defined cases: a null url, or one without "://", has empty host and path and no rule; it is judged by the
 root template of the empty host. Rows that repeat are judged alike. An empty table gives no rows. Path
-levels beyond the eighth, of however long a url, are one tail. Only ``page_id`` and ``url`` are read.
+levels beyond the eighth, of however long a url, are one tail. Siblings with equal rates fall into one bin. Other
+columns, whatever their names, do not matter. Only ``page_id`` and ``url`` are read.
 """
 
 from __future__ import annotations
@@ -65,7 +68,8 @@ def _kind(segment: Column) -> Column:
 
 
 def learn_templates(
-    urls: DataFrame, workspace: Workspace, depth: int = 8, share: float = 0.02, least: int = 5, z: float = 1.96, strength: float = 10.0
+    urls: DataFrame, workspace: Workspace, depth: int = 8, share: float = 0.02, least: int = 5, z: float = 1.96,
+    apart: float = 4.0, strength: float = 10.0,
 ) -> DataFrame:
     """Of each (host, path) of ``urls`` (host, path, blocked: 1, 0 or null): its template and its smoothed block rate."""
     segments = F.filter(F.split("path", "/"), lambda s: s != "")
@@ -85,7 +89,7 @@ def learn_templates(
     # The tree's tables are read from files, so adaptive execution can split a hot host in these joins.
     rows = workspace.stage(paths.join(hosts, "host").withColumn("node", F.lit("")), "level")
     for level in range(top["deep"] or 0):
-        branches = workspace.stage(_branches(rows, level, share, least, z, smoothed), f"branches{level}")
+        branches = workspace.stage(_branches(rows, level, share, least, z, apart, smoothed), f"branches{level}")
         segment = F.get("segments", F.lit(level))
         deeper = rows.withColumn("segment", segment)
         joined = deeper.where(segment.isNotNull()).join(
@@ -95,40 +99,78 @@ def learn_templates(
     return rows.select("host", "path", F.concat(F.lit("/"), F.ltrim(F.col("node"), F.lit("/"))).alias("template"), "rate")
 
 
-def _branches(rows: DataFrame, level: int, share: float, least: int, z: float, smoothed) -> DataFrame:
+def _differ(l1: Column, b1: Column, l2: Column, b2: Column, z: float) -> Column:
+    """Whether two block rates differ significantly (two-proportion z); null where one has no labels."""
+    pooled = F.try_divide(b1 + b2, l1 + l2)
+    spread = F.sqrt(pooled * (1 - pooled) * (F.try_divide(F.lit(1), l1) + F.try_divide(F.lit(1), l2)))
+    return F.abs(F.try_divide(b1, l1) - F.try_divide(b2, l2)) > F.lit(z) * spread
+
+
+def _merged(bins: Column, z: float) -> Column:
+    """Groups (bins, l, b) of a node's bins (bin, l, b) in order of their rates.
+
+    A bin joins the last group unless it differs from the group as a whole or from the group's lowest bin, so
+    that a chain of small steps does not run together.
+    """
+    lone = lambda x: F.struct(F.array(x["bin"]).alias("bins"), x["l"].alias("l"), x["b"].alias("b"), x["l"].alias("first_l"), x["b"].alias("first_b"))
+
+    def step(groups: Column, x: Column) -> Column:
+        last = F.element_at(groups, -1)
+        apart = _differ(last["l"], last["b"], x["l"], x["b"], z) | _differ(last["first_l"], last["first_b"], x["l"], x["b"], z)
+        grown = F.struct(
+            F.concat(last["bins"], F.array(x["bin"])).alias("bins"), (last["l"] + x["l"]).alias("l"), (last["b"] + x["b"]).alias("b"),
+            last["first_l"].alias("first_l"), last["first_b"].alias("first_b"),
+        )
+        return F.when(apart, F.concat(groups, F.array(lone(x)))).otherwise(F.concat(F.slice(groups, 1, F.size(groups) - 1), F.array(grown)))
+
+    start = F.array(lone(F.get(bins, F.lit(0))))
+    return F.aggregate(F.slice(bins, 2, F.greatest(F.size(bins), F.lit(1))), start, step)
+
+
+def _branches(rows: DataFrame, level: int, share: float, least: int, z: float, apart: float, smoothed) -> DataFrame:
     """(host, node, segment) to the token that stands for the segment and the smoothed rate of that branch."""
     at = rows.withColumn("segment", F.get("segments", F.lit(level))).where(F.col("segment").isNotNull())
     children = at.groupBy("host", "node", "segment").agg(
         F.sum("n").alias("n"), F.sum("l").alias("l"), F.sum("b").alias("b"), F.first("rate").alias("prior")
     )
-    totals = children.groupBy("host", "node").agg(F.sum("n").alias("total"))
-    named = (F.col("n") >= F.greatest(F.lit(least), F.col("total") * share)) | (F.col("segment") == TAIL)
-    children = join_facts(children, totals, ["host", "node"], F.col("segment")).withColumn("named", named)
-    token = F.when(F.col("named"), F.col("segment")).otherwise(_kind(F.col("segment")))
-    tokens = children.withColumn("token", token)
-    branch = tokens.groupBy("host", "node", "named", "token").agg(
-        F.sum("n").alias("n"), F.sum("l").alias("l"), F.sum("b").alias("b"), F.first("prior").alias("prior")
+    children = children.withColumn("kind", _kind(F.col("segment")))
+    kinds = children.groupBy("host", "node", "kind").agg(F.sum("n").alias("kn"), F.sum("l").alias("kl"), F.sum("b").alias("kb"))
+    kinds = kinds.withColumn("total", F.sum("kn").over(Window.partitionBy("host", "node"))).drop("kn")
+    children = join_facts(children, kinds, ["host", "node", "kind"], F.col("segment"))
+    sure = F.col("l") >= least
+    common = F.col("kind").startswith("<w>") & (F.col("n") >= F.greatest(F.lit(least), F.col("total") * share))
+    rest_l, rest_b = F.col("kl") - F.col("l"), F.col("kb") - F.col("b")
+    special = sure & (rest_l >= least) & _differ(F.col("l"), F.col("b"), rest_l, rest_b, apart)
+    named = (F.col("segment") == TAIL) | common | F.coalesce(special, F.lit(False))
+    # Named children with labels are binned by their rate in percent, so that a node has at most 101 bins to merge.
+    percent = F.when(sure, F.round(F.try_divide(100 * F.col("b"), F.col("l"))).cast("int"))
+    tokens = children.withColumn("named", named).select(
+        "host", "node", "segment", "n", "l", "b", "prior",
+        F.when(~F.col("named"), F.col("kind")).when(percent.isNull(), F.col("segment")).alias("alone"),
+        F.when(F.col("named"), percent).alias("bin"),
+    )
+    sums = [F.sum("l").alias("l"), F.sum("b").alias("b"), F.first("prior").alias("prior")]
+    binned = tokens.where(F.col("alone").isNull()).groupBy("host", "node", "bin").agg(
+        *sums, F.min("segment").alias("low"), F.max("segment").alias("high"), F.count(F.lit(1)).alias("names")
     )
-    # Named siblings in the order of their rates; a branch goes on while neighbours do not differ.
-    sure = F.col("named") & (F.col("l") >= least)
-    order = Window.partitionBy("host", "node", "sure").orderBy(F.col("b") / F.col("l"), "token")
-    before_l, before_b = F.lag("l").over(order), F.lag("b").over(order)
-    pooled = (F.col("b") + before_b) / (F.col("l") + before_l)
-    spread = F.sqrt(pooled * (1 - pooled) * (1 / F.col("l") + 1 / before_l))
-    gap = F.abs(F.col("b") / F.col("l") - before_b / before_l)
-    differs = before_l.isNull() | (gap > F.lit(z) * spread)
-    siblings = branch.withColumn("sure", sure)
-    grouped = siblings.where("sure").withColumn("group", F.sum(differs.cast("int")).over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    merged = Window.partitionBy("host", "node", "group")
-    joint = grouped.select(
-        "host", "node", "named", "token", "prior", F.sum("l").over(merged).alias("l"), F.sum("b").over(merged).alias("b"),
-        F.array_join(F.array_sort(F.collect_list("token").over(merged)), "|").alias("name"),
+    merged = binned.groupBy("host", "node").agg(
+        F.first("prior").alias("prior"), F.array_sort(F.collect_list(F.struct("bin", "l", "b", "low", "high", "names"))).alias("all")
     )
-    rest = siblings.where(~F.col("sure")).select(*[F.col("token").alias("name") if c == "name" else c for c in joint.columns])
-    judged = joint.unionAll(rest).withColumn("rate", smoothed(F.col("b"), F.col("l"), F.col("prior")))
-    keys = ["host", "node", "named", "token"]
-    named_by = join_facts(tokens.select(*keys, "segment"), judged.select(*keys, "name", "rate"), keys, F.col("segment"))
-    return named_by.select("host", "node", "segment", F.col("name").alias("token"), "rate")
+    group = F.explode(_merged(F.col("all"), z)).alias("group")
+    merged = merged.select("host", "node", "prior", "all", group).withColumn("all", F.filter("all", lambda x: F.array_contains("group.bins", x["bin"])))
+    low, high = F.array_min(F.col("all.low")), F.array_max(F.col("all.high"))
+    names = F.aggregate("all.names", F.lit(0).cast("long"), lambda x, y: x + y)
+    token = F.when(names == 1, low).when(names == 2, F.concat_ws("|", low, high)).otherwise(F.concat(low, F.lit("|+"), names - 2, F.lit("|"), high))
+    rate = smoothed(F.col("group.b"), F.col("group.l"), F.col("prior"))
+    by_bin = merged.select("host", "node", token.alias("token"), rate.alias("rate"), F.explode("group.bins").alias("bin"))
+    alone = tokens.where(F.col("alone").isNotNull())
+    judged = alone.groupBy("host", "node", "alone").agg(*sums)
+    by_name = judged.select("host", "node", "alone", F.col("alone").alias("token"), smoothed(F.col("b"), F.col("l"), F.col("prior")).alias("rate"))
+    out = ["host", "node", "segment", "token", "rate"]
+    return (
+        join_facts(alone, by_name, ["host", "node", "alone"], F.col("segment")).select(*out)
+        .unionAll(join_facts(tokens.where(F.col("alone").isNull()), by_bin, ["host", "node", "bin"], F.col("segment")).select(*out))
+    )
 
 
 def judge(pages: DataFrame, workspace: Workspace, rules=RULES, block_at: float = 0.7, **options) -> DataFrame:
@@ -143,3 +185,19 @@ def judge(pages: DataFrame, workspace: Workspace, rules=RULES, block_at: float =
     return rows.join(templates, ["host", "path"]).select(
         "page_id", "host", "path", "rule", "template", F.col("rate").alias("block_rate"), verdict.alias("verdict")
     )
+
+
+def hidden_verdicts(pages: DataFrame, workspace: Workspace, rules=RULES, block_at: float = 0.7, parts: int = 2, **options) -> DataFrame:
+    """How templates judge urls whose rule they did not see: ruled (its verdict), learnt (the template's), urls.
+
+    The labels of one of ``parts`` of the ruled (host, path) pairs, dealt by hash, are hidden while learning.
+    """
+    prepared(pages.sparkSession)
+    _, ruled = rule_columns(rules)
+    hidden = F.pmod(F.crc32(F.concat_ws(" ", "host", "path")), F.lit(parts)) == 0
+    rows = workspace.stage(with_parts(pages.select("url")).select("host", "path", ruled.alias("ruled"), hidden.alias("hidden")), "hidden")
+    label = F.when(~F.col("hidden"), (F.col("ruled") == "block").cast("long"))
+    templates = learn_templates(rows.select("host", "path", label.alias("blocked")), workspace, **options)
+    asked = rows.where(F.col("hidden") & F.col("ruled").isNotNull()).join(templates, ["host", "path"])
+    learnt = F.when(F.col("rate") >= block_at, F.lit("block")).otherwise(F.lit("allow"))
+    return asked.groupBy("ruled", learnt.alias("learnt")).agg(F.count(F.lit(1)).alias("urls"))

@@ -62,6 +62,72 @@ def test_similar_branches_merge_and_different_ones_do_not(spark, workspace):
     assert templates == {"/a|b/<n>", "/c/<n>"}
 
 
+def tree(spark, workspace, rows, **options):
+    frame = spark.createDataFrame(rows, "host string, path string, blocked long")
+    return {r["path"]: (r["template"], r["rate"]) for r in url_filter.learn_templates(frame, workspace, **options).collect()}
+
+
+def test_a_chain_of_small_steps_does_not_run_together(spark, workspace):
+    rows = [("h", f"/{'abcdefghi'[k]}/{i}", int(i < 4 * (k + 1))) for k in range(9) for i in range(40)]
+    found = tree(spark, workspace, rows)
+    groups = {}
+    for path, (template, _) in found.items():
+        groups.setdefault(template, set()).add(path[1])
+
+    def differ(x, y):
+        (l1, b1), (l2, b2) = x, y
+        p = (b1 + b2) / (l1 + l2)
+        return abs(b1 / l1 - b2 / l2) > 1.96 * (p * (1 - p) * (1 / l1 + 1 / l2)) ** 0.5
+
+    expected = []
+    for k in range(9):
+        x = (40, 4 * (k + 1))
+        if expected and not differ(expected[-1][1], x) and not differ(expected[-1][2], x):
+            names, (l, b), first = expected[-1]
+            expected[-1] = (names | {"abcdefghi"[k]}, (l + 40, b + x[1]), first)
+        else:
+            expected.append(({"abcdefghi"[k]}, x, x))
+    assert len(expected) >= 3 and sorted(map(sorted, groups.values())) == sorted(sorted(names) for names, *_ in expected)
+    assert all(template.endswith("/<n>") for template in groups)
+    for names, (l, b), first in expected:  # the branch's rate is that of its pooled urls, smoothed level by level
+        name = min(names)
+        root = (180 + 10 * 0.5) / (360 + 10)
+        branch = (b + 10 * root) / (l + 10)
+        assert found[f"/{name}/0"][1] == pytest.approx((b + 10 * branch) / (l + 10))
+
+
+def test_a_small_branch_with_labels_of_its_own_keeps_its_name(spark, workspace):
+    rows = [("h", f"/w{'abcdefghij'[i % 10]}{'abcdefghij'[i // 10 % 10]}{'abcdefghij'[i // 100]}/x", 0) for i in range(1000)]
+    rows += [("h", f"/pills/{i}", 1) for i in range(12)] + [("h", f"/7/{i}", 1) for i in range(12)] + [("h", f"/{i}/0", 0) for i in range(100, 200)]
+    found = tree(spark, workspace, rows)
+    assert found["/waaa/x"][0] == "/<w>/x" and found["/100/0"][0] == "/<n>/<n>"
+    assert found["/pills/3"] == found["/7/3"] == ("/7|pills/<n>", found["/7/3"][1]) and found["/7/3"][1] > 0.5
+
+
+def test_many_named_siblings_are_merged_in_bins(spark, workspace):
+    rows = [("h", f"/{kind}{i:03d}/{j}", int(kind == "b")) for kind in "ab" for i in range(150) for j in range(8)]
+    found = tree(spark, workspace, rows, share=0.001)
+    assert {t for t, _ in found.values()} == {"/<x>/<n>"}  # names with digits vary: no single one differs enough
+    rows = [("h", p.translate(str.maketrans("0123456789", "qrstuvwxyz")) + "/5", b) for _, p, b in rows]
+    found = tree(spark, workspace, rows, share=0.001)
+    assert len({t.split("/")[1] for t, _ in found.values()}) == 2
+    assert found["/aqqq/q/5"][0].startswith("/aqqq|+148|aruz/") and found["/bqqq/q/5"][0].startswith("/bqqq|+148|bruz/")
+
+
+def test_templates_recover_hidden_verdicts(spark, workspace):
+    rules = (("block", "shop.net", "/buy/"), ("allow", "shop.net", "/news/"))
+    urls = [f"http://shop.net/{part}/{i}" for part in ("buy", "news") for i in range(300)]
+    pages = spark.createDataFrame(list(enumerate(urls)), SCHEMA)
+    found = {(r["ruled"], r["learnt"]): r["urls"] for r in url_filter.hidden_verdicts(pages, workspace, rules).collect()}
+    assert set(found) == {("block", "block"), ("allow", "allow")} and sum(found.values()) > 200
+
+
+def test_very_long_urls(spark, workspace):
+    urls = ["http://h.net/" + "x" * 200_000, "http://h.net/" + "y/" * 50_000, "http://" + "z" * 100_000]
+    found = judged(spark, workspace, urls)
+    assert [len(found[i]["path"]) for i in range(3)] == [200_001, 100_001, 0] and found[1]["template"].endswith("/**")
+
+
 def test_deep_paths_end_in_a_tail(spark, workspace):
     rows = spark.createDataFrame([("h", "/x" * 30 + f"/{i}", 1) for i in range(8)], "host string, path string, blocked long")
     assert {r["template"] for r in url_filter.learn_templates(rows, workspace, depth=3).collect()} == {"/x/x/x/**"}
