@@ -69,7 +69,7 @@ def _kind(segment: Column) -> Column:
 
 def learn_templates(
     urls: DataFrame, workspace: Workspace, depth: int = 8, share: float = 0.02, least: int = 5, z: float = 1.96,
-    apart: float = 4.0, strength: float = 10.0,
+    apart: float = 4.0, strength: float = 4.0,
 ) -> DataFrame:
     """Of each (host, path) of ``urls`` (host, path, blocked: 1, 0 or null): its template and its smoothed block rate."""
     segments = F.filter(F.split("path", "/"), lambda s: s != "")

@@ -91,9 +91,9 @@ def test_a_chain_of_small_steps_does_not_run_together(spark, workspace):
     assert all(template.endswith("/<n>") for template in groups)
     for names, (l, b), first in expected:  # the branch's rate is that of its pooled urls, smoothed level by level
         name = min(names)
-        root = (180 + 10 * 0.5) / (360 + 10)
-        branch = (b + 10 * root) / (l + 10)
-        assert found[f"/{name}/0"][1] == pytest.approx((b + 10 * branch) / (l + 10))
+        root = (180 + 4 * 0.5) / (360 + 4)
+        branch = (b + 4 * root) / (l + 4)
+        assert found[f"/{name}/0"][1] == pytest.approx((b + 4 * branch) / (l + 4))
 
 
 def test_a_small_branch_with_labels_of_its_own_keeps_its_name(spark, workspace):
