@@ -46,7 +46,7 @@ def op1_histogram_shards(spark, sf_dir):
 def op10_host_quality(spark, sf_dir):
     """Rules of every document and the verdict of its host."""
     rows = quality.judge(table(spark, sf_dir, "documents"), Workspace(spark, "op10"))
-    return rows.select("doc_id", *quality.MEASURES, "base_failed", "kept", "host", F.round("host_rate", 9).alias("host_rate"))
+    return rows.select("doc_id", *quality.MEASURES, "base_failed", "kept", "host", "host_rule", F.round("host_rate", 9).alias("host_rate"))
 
 
 ORACLE["op10_host_quality"] = r"""
@@ -62,15 +62,22 @@ m as (
          length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) n_symbols, len(lines) - len(list_distinct(lines)) n_dup_lines,
          coalesce(n, 0) n_repeat_words
   from w left join repeated using (r)),
-f as (select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words base_failed from m),
-hosts as (select host, count(*)::double n, count(*) filter (base_failed)::double f from f group by host),
-s as (select count(*) h, sum(n) n, sum(f) f, sum(f * f / n) q, (sum(f) + 0.5) / (sum(n) + 1) mean from hosts),
+f as (
+  select *, n_words < 50 few_words, 100 * n_repeat_words > 50 * n_words repetition, 10 * n_symbols > word_chars symbols,
+         20 * n_dup_lines > n_words repeated_lines, word_chars < 3 * n_words or word_chars > 12 * n_words odd_words from m),
+flags as (
+  select host, unnest(['few_words', 'repetition', 'symbols', 'repeated_lines', 'odd_words']) rule,
+         unnest([few_words, repetition, symbols, repeated_lines, odd_words]) bad from f),
+hosts as (select host, rule, count(*)::double n, count(*) filter (bad)::double f from flags group by all),
+s as (select rule, count(*) h, sum(n) n, sum(f) f, sum(f * f / n) q, (sum(f) + 0.5) / (sum(n) + 1) mean from hosts group by rule),
 b as (select *, q / n - (f / n) ** 2 - mean * (1 - mean) * h / n between_hosts from s),
-p as (select mean, case when between_hosts > 0 then least(greatest(mean * (1 - mean) / between_hosts - 1, 1), 1e6) else 1e6 end k from b),
-rates as (select host, (f + mean * k) / (n + k) rate from hosts, p)
-select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, not base_failed and rate <= 0.6 kept, host,
-       round(rate, 9) host_rate
-from f join rates using (host)
+p as (select rule, mean, case when between_hosts > 0 then least(greatest(mean * (1 - mean) / between_hosts - 1, 1), 1e6) else 1e6 end k from b),
+rates as (select host, rule, n + k weight, (f + mean * k) / (n + k) rate from hosts join p using (rule)),
+bounds as (select host, rule, rate, rate - 2 * sqrt(rate * (1 - rate) / (weight + 1)) bound from rates),
+worst as (select * from bounds qualify row_number() over (partition by host order by bound desc, rate desc, rule desc) = 1)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, few_words or repetition base_failed,
+       not (few_words or repetition) and bound <= 0.5 kept, host, rule host_rule, round(rate, 9) host_rate
+from f join worst using (host)
 """
 
 

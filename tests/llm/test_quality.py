@@ -45,17 +45,47 @@ def test_a_bad_host_is_rejected_and_a_small_one_is_not(spark, workspace):
     assert sorted(r["doc_id"] for r in kept) == sorted(i for i, r in found.items() if r["kept"])
 
 
-def test_rates_are_shrunk_towards_the_mean(spark):
-    hosts = spark.createDataFrame([("a", 100, 10), ("b", 100, 30), ("c", 100, 50), ("d", 1, 1)], "host string, host_docs long, host_failures long")
-    alpha, beta = quality.beta_prior(hosts)
-    mean = alpha / (alpha + beta)
-    assert mean == pytest.approx(0.3, abs=0.01) and (1 + alpha) / (1 + alpha + beta) < 0.5
-    assert quality.beta_prior(hosts.limit(0)) == (0.5, 0.5)
-    assert all(x >= 0 for x in quality.beta_prior(hosts.withColumn("host_failures", F.lit(0))))
+def test_a_host_is_rejected_by_any_one_rule_that_it_surely_breaks(spark, workspace):
+    rng = random.Random(4)
+    noisy = {
+        "symbols": lambda t: t.replace(" ", "#$ "),
+        "repeated_lines": lambda t: "".join(w + ("\nsame\n" if i % 4 == 3 else " ") for i, w in enumerate(t.split())),
+        "odd_words": lambda t: t.replace(" ", "q" * 20 + " "),
+    }
+    data = [(i, prose(rng, 80), "en", f"good{i % 8}", 0) for i in range(320)]
+    for k, (name, change) in enumerate(noisy.items()):
+        data += [(1000 * (k + 1) + i, change(prose(rng, 80)) if i % 12 else prose(rng, 80), "en", name, 0) for i in range(60)]
+        data += [(5000 + 10 * k + i, change(prose(rng, 80)), "en", f"few-{name}", 0) for i in range(2)]
+    found = {r["doc_id"]: r for r in quality.judge(frame(spark, data), workspace).collect()}
+    for i, _, _, host, _ in data:
+        r = found[i]
+        assert not r["base_failed"] and r["kept"] == (host not in noisy), (host, r)
+        assert r["kept"] or r["host_rule"] == host
+    kept = quality.kept_documents(frame(spark, data), workspace).collect()
+    assert sorted(r["doc_id"] for r in kept) == sorted(i for i, r in found.items() if r["kept"])
+
+
+def test_posteriors_by_hand(spark, workspace):
+    counts = {"a": (100, 10), "b": (100, 30), "c": (100, 50), "d": (1, 1), "e": (300, 290)}
+    flags = [*quality.RULES, *quality.SIGNS]
+    data = [(host, *[i < bad and f == "symbols" for f in flags]) for host, (n, bad) in counts.items() for i in range(n)]
+    rows = spark.createDataFrame(data, "host string, " + ", ".join(f"{f} boolean" for f in flags))
+    n, f = sum(c[0] for c in counts.values()), sum(c[1] for c in counts.values())
+    mean = (f + 0.5) / (n + 1)
+    between = sum(b * b / m for m, b in counts.values()) / n - (f / n) ** 2 - mean * (1 - mean) * len(counts) / n
+    strength = max(mean * (1 - mean) / between - 1, 1.0)
+    for r in quality.host_rates(rows).collect():
+        docs, bad = counts[r["host"]]
+        rate = (bad + mean * strength) / (docs + strength)
+        bound = rate - 2 * (rate * (1 - rate) / (docs + strength + 1)) ** 0.5
+        assert (r["host_docs"], r["host_kept"]) == (docs, bound <= 0.5) and r["host_kept"] == (r["host"] != "e")
+        if r["host_rule"] == "symbols":
+            assert (r["host_rate"], r["host_bound"]) == pytest.approx((rate, bound))
+    assert quality.host_rates(rows.limit(0)).collect() == []
 
 
 def test_odd_rows(spark, workspace):
-    df = clashing(frame(spark), "host", "n_words", "kept", "base_failed")
+    df = clashing(frame(spark), "host", "n_words", "kept", "base_failed", "host_rule", "symbols")
     found = quality.judge(df, workspace).collect()
     assert len(found) == len(rows())
     texts = {(r[0], r[1]) for r in rows()}
