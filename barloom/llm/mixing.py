@@ -66,6 +66,15 @@ def source_rates(documents: DataFrame, alpha: float = 0.7, source: str = "source
     return weighted.withColumn("rate", rate).withColumn("draws", draws).withColumn("cdf", table).select("mix_source", "bytes", "rate", "draws", "cdf")
 
 
+def _label(id_column: str, seed: int) -> Column:
+    return F.concat_ws(":", F.coalesce(F.col(id_column).cast("string"), F.lit("")), F.lit(str(seed)))
+
+
+def hash_order(copy: Column, seed: int = 17, id_column: str = "doc_id") -> Column:
+    """Place in a global shuffle of what tells the copies of a document apart."""
+    return _digits(F.concat_ws(":", _label(id_column, seed), F.lit("order"), copy.cast("string")), 15)
+
+
 def mixed(
     documents: DataFrame, rates: DataFrame | None = None, seed: int = 17, source: str = "source", id_column: str = "doc_id", part_bytes: int = 128 << 20, **options
 ) -> DataFrame:
@@ -75,7 +84,7 @@ def mixed(
     facts = rates.agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("bytes") * F.col("rate")).alias("b")).first()
     rows = documents.drop("copy", "copies", "mix_order")
     own = rows.columns
-    label = F.concat_ws(":", F.coalesce(F.col(id_column).cast("string"), F.lit("")), F.lit(str(seed)))
+    label = _label(id_column, seed)
     keyed = rows.withColumn("mix_source", F.coalesce(F.col(source).cast("string"), F.lit("")))
     if facts["n"] <= MOST_BROADCAST:
         joined = keyed.join(F.broadcast(rates), "mix_source")
@@ -90,7 +99,7 @@ def mixed(
     copies = F.aggregate(F.sequence(F.lit(1), F.col("draws")), F.lit(0), lambda s, k: s + draw(k))
     counted = joined.withColumn("copies", copies).where((F.col("copies") > 0) & (F.col("rate") > 0))
     copied = counted.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
-    order = _digits(F.concat_ws(":", label, F.lit("order"), F.col("copy").cast("string")), 15)
+    order = hash_order(F.col("copy"), seed, id_column)
     parts = max(1, int((facts["b"] or 0) // part_bytes) + 1, spark.sparkContext.defaultParallelism)
     placed = copied.select(*own, "copy", "copies", order.alias("mix_order"))
     part = F.expr(f"int(mix_order div {-(-ORDER_SPACE // parts)})")

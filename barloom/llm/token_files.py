@@ -22,11 +22,11 @@ import itertools
 import json
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barloom.llm.common import combine, map_batches, mix, prepared, size_of, text_bytes
@@ -284,14 +284,26 @@ class ChunkEncoder:
         return [found[i] if i in found else every[a:b] for i, (a, b) in enumerate(itertools.pairwise([*first, ends[-1]]))]
 
 
-def encoded_segments(documents: DataFrame, tokenizer_path: str, end_id: int = END_ID, part_bytes: int = 16 << 20, segment_tokens: int = 1 << 19) -> DataFrame:
-    """Segments of the documents in ascending order of doc_id: part, seq, before (tokens before it in its part), tokens, doc_ids, data."""
+def encoded_segments(
+    documents: DataFrame,
+    tokenizer_path: str,
+    end_id: int = END_ID,
+    part_bytes: int = 16 << 20,
+    segment_tokens: int = 1 << 19,
+    order_by: Callable[[Column], Column] | None = None,
+) -> DataFrame:
+    """Segments of the documents: part, seq, before (tokens before it in its part), tokens, doc_ids, data.
+
+    Documents are in ascending order of doc_id, or of what ``order_by`` makes of a number that tells all rows apart.
+    """
     prepared(documents.sparkSession)
     kind = dict(documents.dtypes)["doc_id"]
     _, total = size_of(documents, text_bytes())
     part_bytes = max(part_bytes, total // MOST_PARTS)
     rows = documents.select("doc_id", "text", F.xxhash64("text").alias("by_text"), F.monotonically_increasing_id().alias("by_place"))
     order = ["doc_id", "by_text", "by_place"]
+    if order_by is not None:
+        rows, order = rows.withColumn("by_order", order_by(F.col("by_place"))), ["by_order", *order]
     moved = rows.repartitionByRange(max(1, -(-total // part_bytes)), *order).sortWithinPartitions(*order).select("doc_id", "text")
 
     def work(batches: Iterator[dict[str, list]]) -> Iterator[dict[str, list]]:

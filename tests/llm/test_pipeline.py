@@ -72,6 +72,22 @@ def test_stages_against_brute_force(spark, sf_dir, workspace):
         want.append((r["doc_id"], len(raw) // 4, zlib.crc32(raw)))
     found = stages["token files"](spark, mixed, sf_dir).collect()
     assert sorted((r["doc_id"], r["n_tokens"], r["ids_crc32"]) for r in found) == sorted(want)
+    order = [r["doc_id"] for r in sorted(found, key=lambda r: r["start"])]
+    rising = sum(a < b for a, b in zip(order, order[1:], strict=False)) / len(order)
+    assert order != sorted(order) and 0.3 < rising < 0.7  # a shuffle: about half of the neighbours rise
+
+
+def test_rows_that_differ_in_their_id_only_by_hash_are_told_apart(spark, sf_dir, workspace, monkeypatch):
+    """With a hash that tells nothing apart the ids still do."""
+    from pyspark.sql import functions as F
+
+    data = [r for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect() if quality.passes(r["text"])]
+    docs = spark.createDataFrame(data, spark.read.parquet(f"{sf_dir}/documents.parquet").schema)
+    stages = dict(corpus_pipeline.STAGES)
+    want = sorted(r["doc_id"] for r in workspace.stage(stages["decontamination"](spark, docs, sf_dir), "plain").collect())
+    monkeypatch.setattr(corpus_pipeline, "_with_node", lambda d: d.withColumn(corpus_pipeline.NODE, F.lit(1).cast("long")))
+    found = sorted(r["doc_id"] for r in workspace.stage(stages["decontamination"](spark, docs, sf_dir), "same").collect())
+    assert found == want and len(found) < len(data)
 
 
 def test_run_is_the_stages_in_order(spark, sf_dir):
