@@ -1,8 +1,13 @@
 """From raw documents to token files: quality rules, near duplicates, decontamination, mixture, tokens.
 
 Each stage is written and read again as the next one's input. A stage's scratch tables are its own and go
-when the next stage begins. Documents are told apart by a hash of id and text where a verdict joins them
-back; rows that are equal in both get the same verdict, and of equal texts one row stays.
+when the next stage begins. Documents are told apart by their id and a hash of id and text where a verdict joins
+them back; rows that are equal in both get the same verdict, and of equal texts one row stays. The token files hold
+the mixture in a global shuffle, not by id.
+
+Defined cases: a null or empty text fails the quality rules; a null id is an id like others, a null source the source "".
+Rows that repeat are near copies of each other, so one of them stays. Very long texts are read whole, ties between copies
+go to the least id. Other columns, whatever their names, are kept up to the last stage. No documents give no rows.
 """
 
 from __future__ import annotations
@@ -28,8 +33,12 @@ def _workspace(spark: SparkSession, label: str) -> Workspace:
     return _scratch[app]
 
 
-def _node() -> Column:
-    return F.xxhash64("doc_id", "text").alias(NODE)
+def _with_node(docs: DataFrame) -> DataFrame:
+    return docs.withColumn(NODE, F.xxhash64("doc_id", "text"))
+
+
+def _same(rows: DataFrame, found: DataFrame) -> Column:
+    return (rows[NODE] == found["found_node"]) & rows["doc_id"].eqNullSafe(found["found_id"])
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,15 +49,17 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near copies."""
     classes = near_duplicates.duplicate_classes(docs, _workspace(spark, "stage-copies"))
-    kept = classes.where("kept").select(F.col("node").alias(NODE))
-    return docs.withColumn(NODE, _node()).join(kept, NODE, "left_semi").dropDuplicates([NODE]).select(*docs.columns)
+    kept = classes.where("kept").select(F.col("doc_id").alias("found_id"), F.col("node").alias("found_node"))
+    rows = _with_node(docs)
+    return rows.join(kept, _same(rows, kept), "left_semi").dropDuplicates(["doc_id", NODE]).select(*docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a window of the benchmark."""
-    rows = docs.withColumn(NODE, _node())
-    found = decontamination.contamination(rows, table(spark, sf_dir, "benchmark"), _workspace(spark, "stage-contamination"), (NODE,))
-    return rows.join(found.where("n_hit > 0").select(NODE).distinct(), NODE, "left_anti").select(*docs.columns)
+    rows = _with_node(docs)
+    found = decontamination.contamination(rows, table(spark, sf_dir, "benchmark"), _workspace(spark, "stage-contamination"), ("doc_id", NODE))
+    hit = found.where("n_hit > 0").select(F.col("doc_id").alias("found_id"), F.col(NODE).alias("found_node")).distinct()
+    return rows.join(hit, _same(rows, hit), "left_anti").select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -58,9 +69,9 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token files of the documents, and what is read back from them."""
+    """Token files of the documents in the mixture's shuffle, and what is read back from them."""
     path = _workspace(spark, "stage-tokens").path("tokens")
-    token_files.write_tokens(docs, path, tokenizer_path())
+    token_files.write_tokens(docs, path, tokenizer_path(), order_by=mixing.hash_order)
     return token_files.read_documents(token_files.read_segments(spark, path))
 
 
