@@ -39,7 +39,7 @@ def benchmark(spark, items):
 
 
 def assert_equal(spark, workspace, data, items):
-    df = clashing(frame(spark, data), "row", "windows", "fp", "item_id", "n_words_")
+    df = clashing(frame(spark, data), "row", "runs", "fp", "item_id", "n_words_", "start", "left", "gram")
     found = dc.contamination(df, benchmark(spark, items), workspace).collect()
     got = [(r["doc_id"], r["n_words"], [i for s in r["spans"] for i in range(s["start"], s["end"])], list(r["items"])) for r in found]
     assert all(r["n_hit"] == len(g[2]) for r, g in zip(found, got, strict=True))
@@ -66,13 +66,41 @@ def test_no_benchmark_and_no_documents(spark, workspace):
     assert dc.contamination(frame(spark, []), benchmark(spark, [(1, "a b c")]), workspace).collect() == []
 
 
-def test_winnowing_keeps_one_fingerprint_of_every_window():
-    hashes = np.random.default_rng(1).integers(0, 2**63, 200).astype(np.uint64)
-    found = dc.fingerprints(hashes)
-    runs = dc.rolling(hashes, dc.K)
-    assert found.tolist() == [int(runs[i : i + 6].min()) for i in range(191)]
-    for i in (0, 50, 190):  # a span alone has the fingerprint that it has in its text
-        assert dc.fingerprints(hashes[i : i + 10])[0] == found[i]
+def test_winnowing_selects_a_run_of_every_window():
+    rng = np.random.default_rng(1)
+    for hashes in (rng.integers(0, 2**63, 200).astype(np.uint64), rng.integers(0, 3, 200).astype(np.uint64), np.zeros(40, np.uint64)):
+        places, found = dc.fingerprints(hashes)
+        runs = dc.rolling(hashes, dc.K)
+        wide, n = dc.SPAN - dc.K + 1, len(hashes) - dc.SPAN + 1
+        least = [max(range(i, i + wide), key=lambda j: (-int(runs[j]), j)) for i in range(n)]  # the rightmost of equals
+        assert places.tolist() == sorted(set(least)) and (found == runs[places]).all()
+        for i in (0, n // 2, n - 1):  # a span alone selects the run that it selects in its text
+            alone, _ = dc.fingerprints(hashes[i : i + dc.SPAN])
+            assert alone.tolist() == [least[i] - i]
+    places, _ = dc.fingerprints(rng.integers(0, 2**63, 100_000).astype(np.uint64))
+    assert len(places) < 0.52 * 100_000  # 2 of every wide + 1 runs
+    assert len(dc.fingerprints(np.zeros(dc.SPAN - 1, np.uint64))[0]) == 0
+
+
+def test_runs_that_match_without_a_whole_window_are_no_hits(spark, workspace):
+    item = " ".join(f"w{i}" for i in range(40))
+    near = [f"a{k} {' '.join(f'w{i}' for i in range(k, k + n))} b{k}" for k in range(30) for n in (8, 9, 10, 11)]
+    assert_equal(spark, workspace, [(i, t, "en", "s", 0) for i, t in enumerate(near)], [(1, item), (2, " ".join(f"w{i}" for i in range(5, 14)))])
+
+
+def test_repeated_words_and_long_texts(spark, workspace):
+    data = [(1, "la " * 9, "en", "s", 0), (2, "la " * 10, "en", "s", 0), (3, "la " * 500 + "x " + "la " * 9, "en", "s", 0), (4, "lo la " * 20_000, "en", "s", 0)]
+    assert_equal(spark, workspace, data, [(1, "la " * 12), (2, "la lo " * 6), (3, "la la la")])
+
+
+def test_bitmap_grows_with_the_fingerprints(spark):
+    for n in (0, 3, 5000):
+        found = spark.range(n).selectExpr("xxhash64(id) as fp")
+        bits = np.frombuffer(dc.fingerprint_bitmap(found), np.uint64)
+        assert 64 * len(bits) >= 16 * n
+        for r in found.collect():
+            low = r["fp"] & (64 * len(bits) - 1)
+            assert int(bits[low >> 6]) >> (low & 63) & 1
 
 
 @pytest.mark.parametrize("name", ["op9_winnowing_decontamination"])
