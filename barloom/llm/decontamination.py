@@ -27,7 +27,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from barloom.llm.common import WordHashes, combine, map_batches, prepared, rolling
+from barloom.llm.common import WordHashes, combine, map_batches, mix, prepared
 from barloom.session import Workspace
 
 #: Words: ASCII letters and digits and everything beyond ASCII, with A-Z lower-cased (fixed).
@@ -40,9 +40,20 @@ def words_of(text: str | None) -> list[bytes]:
     return WORD.findall(text.encode("utf-8", "surrogatepass").lower()) if text else []
 
 
+def run_hashes(hashes: np.ndarray, k: int) -> np.ndarray:
+    """Hash of each run of ``k`` words, from runs of half the length (which overlap unless ``k`` is a power of two)."""
+    if len(hashes) < k:
+        return np.empty(0, np.uint64)
+    out, length = mix(hashes), 1
+    while length < k:
+        step = min(length, k - length)
+        out, length = combine(out[: len(out) - step], out[step:]), length + step
+    return out
+
+
 def fingerprints(hashes: np.ndarray, k: int = K, span: int = SPAN) -> tuple[np.ndarray, np.ndarray]:
     """Selected positions, ascending, and their hashes: of each window of ``span`` words the least of its runs of ``k``."""
-    runs = rolling(hashes, k)
+    runs = run_hashes(hashes, k)
     wide = span - k + 1
     n = len(runs) - wide + 1
     if n <= 0:
@@ -50,13 +61,13 @@ def fingerprints(hashes: np.ndarray, k: int = K, span: int = SPAN) -> tuple[np.n
     place = np.arange(wide - 1, wide - 1 + n)
     for i in range(wide - 2, -1, -1):
         place = np.where(runs[i : i + n] < runs[place], np.arange(i, i + n), place)
-    place = np.unique(place)
+    place = place[np.append(True, place[1:] != place[:-1])]  # they never go back
     return place, runs[place]
 
 
 def short_fingerprints(hashes: np.ndarray, length: int) -> np.ndarray:
     """A run that is shorter than a window is its own fingerprint."""
-    return combine(rolling(hashes, length), np.uint64(length)) if len(hashes) >= length else np.empty(0, np.uint64)
+    return combine(run_hashes(hashes, length), np.uint64(length)) if len(hashes) >= length else np.empty(0, np.uint64)
 
 
 def selections(words: list[bytes], hashes: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, int]:

@@ -70,7 +70,7 @@ def test_winnowing_selects_a_run_of_every_window():
     rng = np.random.default_rng(1)
     for hashes in (rng.integers(0, 2**63, 200).astype(np.uint64), rng.integers(0, 3, 200).astype(np.uint64), np.zeros(40, np.uint64)):
         places, found = dc.fingerprints(hashes)
-        runs = dc.rolling(hashes, dc.K)
+        runs = dc.run_hashes(hashes, dc.K)
         wide, n = dc.SPAN - dc.K + 1, len(hashes) - dc.SPAN + 1
         least = [max(range(i, i + wide), key=lambda j: (-int(runs[j]), j)) for i in range(n)]  # the rightmost of equals
         assert places.tolist() == sorted(set(least)) and (found == runs[places]).all()
@@ -82,6 +82,15 @@ def test_winnowing_selects_a_run_of_every_window():
     assert len(dc.fingerprints(np.zeros(dc.SPAN - 1, np.uint64))[0]) == 0
 
 
+def test_equal_runs_and_only_they_have_equal_hashes():
+    hashes = np.random.default_rng(3).integers(0, 3, 400).astype(np.uint64)
+    for k in range(1, 10):
+        found = dc.run_hashes(hashes, k)
+        runs = [tuple(hashes[i : i + k].tolist()) for i in range(len(hashes) - k + 1)]
+        assert len(found) == len(runs) and len(set(zip(runs, found.tolist(), strict=True))) == len(set(runs)) == len(set(found.tolist()))
+    assert len(dc.run_hashes(hashes[:3], 4)) == 0
+
+
 def test_runs_that_match_without_a_whole_window_are_no_hits(spark, workspace):
     item = " ".join(f"w{i}" for i in range(40))
     near = [f"a{k} {' '.join(f'w{i}' for i in range(k, k + n))} b{k}" for k in range(30) for n in (8, 9, 10, 11)]
