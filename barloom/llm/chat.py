@@ -13,7 +13,9 @@ each fragment, the best states between the fragments of a conversation, and the
 
 Defined cases: role names are trimmed and lower-cased; a null or unknown role fits no turn and is always
 relabelled or merged. A null text is empty. Rows of equal (conversation, turn) are ordered by role and
-text. A null conversation is one conversation, a null turn comes first. An empty table gives no rows.
+text. A null conversation is one conversation, a null turn comes first. An empty table gives no rows. Rows that repeat
+are turns each. A very long turn is one row like others and its text is rendered whole. Only the four columns are read,
+so others may have any names.
 """
 
 from __future__ import annotations

@@ -9,7 +9,8 @@ Sources are one row each after partial aggregation. That table is joined by broa
 ``MOST_BROADCAST`` rows, and by a salted join beyond.
 
 Defined cases: a null source is the source "". Rows of equal id get equal counts. A null text has no bytes.
-A document without a target weight is left out (weight 0). An empty table gives no rows. Input columns
+Very long texts are moved whole and only their size is read. Rows that repeat are told apart by their copy's number only,
+so they can tie in the order. A document without a target weight is left out (weight 0). An empty table gives no rows. Input columns
 named like the result's are replaced.
 """
 

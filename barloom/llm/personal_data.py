@@ -13,7 +13,8 @@ execution can split it.
 
 Defined cases: a null text is empty. Copies of an instance count once for a pattern, however often they
 occur. Rows that repeat are judged each. An empty table gives no rows. Positions are code points.
-Very long texts are read whole, each in one task. Only the kept columns and the text are read.
+Patterns with equal scores, and instances with equal beliefs, are treated alike; a place that several patterns accept
+is one span. Very long texts are read whole, each in one task. Only the kept columns and the text are read.
 """
 
 from __future__ import annotations

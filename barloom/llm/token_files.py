@@ -13,7 +13,9 @@ ranges of the document id. Part numbers and the token count before a segment wit
 beside it; one total for each part is all that is needed to number the tokens of the corpus.
 
 Defined cases: a null or empty text has just the end id. Documents with equal ids are ordered by a hash of
-their text. A null id sorts first. An empty table gives no segments.
+their text, and equal rows by their place. A null id sorts first. Rows that repeat are written each. A very long text is
+encoded whole by one task and stays in one segment. Only the ids and the text are read, so other columns may have any
+names. An empty table gives no segments.
 """
 
 from __future__ import annotations

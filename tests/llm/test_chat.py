@@ -92,6 +92,15 @@ def test_equal_turns_nulls_and_nothing(spark, workspace):
     assert repaired(spark, workspace, []) == {}
 
 
+def test_very_long_turns_and_clashing_columns(spark, workspace):
+    long = ["word " * 400_000, "é" * 1_000_000, "x"]
+    data = [(1, 0, "user", long[0]), (1, 1, "user", long[1]), (1, 2, "assistant", long[2])]
+    names = ("place", "block", "copy", "tie", "state", "action", "rendered", "out_turn", "piece")
+    rows = spark.createDataFrame(data, SCHEMA).withColumns({c: F.lit(c) for c in names})
+    found = sorted(chat.repaired(rows, workspace).collect(), key=lambda r: (r["out_turn"], r["piece"]))
+    assert "".join(p["rendered"] for p in found) == f"<|im_start|>user\n{long[0]}\n\n{long[1]}<|im_end|>\n<|im_start|>assistant\nx<|im_end|>\n"
+
+
 @pytest.mark.parametrize("name", ["op5_role_repair"])
 def test_query(spark, sf_dir, name):
     from barloom.llm.queries import QUERIES
