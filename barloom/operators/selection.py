@@ -63,10 +63,15 @@ def features_above(
     )
 
 
+def _correlation(a: str, b: str) -> Column:
+    """Pearson correlation over the rows that have both. It is null where one of them does not vary, which is an error in ``F.corr``."""
+    return F.try_divide(F.regr_sxy(a, b), F.sqrt(F.regr_sxx(a, b) * F.regr_syy(a, b)))
+
+
 def correlations(df: DataFrame, features: Sequence[str], keys: Sequence[str] = KEYS) -> DataFrame:
     """Absolute Pearson correlation of every pair of features, all pairs in one aggregation."""
     pairs = list(combinations(features, 2))
-    measured = df.groupBy(*keys).agg(*[F.corr(a, b).alias(f"_c{i}") for i, (a, b) in enumerate(pairs)])
+    measured = df.groupBy(*keys).agg(*[_correlation(a, b).alias(f"_c{i}") for i, (a, b) in enumerate(pairs)])
     rows = F.array(
         *[
             F.struct(F.lit(a).alias("earlier"), F.lit(b).alias("later"), F.abs(F.nanvl(F.col(f"_c{i}"), F.lit(None))).alias("correlation"))

@@ -188,6 +188,20 @@ def test_constant_columns_scale_to_zero(spark):
     assert rows["v"].std(ddof=0) == pytest.approx(1.0)
 
 
+def test_correlations_of_columns_that_do_not_vary_are_null(spark):
+    """Over the rows that have both: ``c`` never varies, ``g`` only where ``b`` is missing; B has one row, C no pair at all."""
+    rows = [("A", float(i), 2.0 * i * i, 0.1, None if i == 7 else 3.0 * i, 5.0 if i < 7 else 9.0) for i in range(8)]
+    rows += [("B", 1.0, 2.0, 3.0, 4.0, 5.0), ("C", None, 2.0, None, 4.0, None), ("C", 1.0, None, 3.0, None, 5.0), ("D", float("nan"), 1.0, 1.0, 2.0, 3.0), ("D", 1.0, 2.0, 3.0, 4.0, 5.0)]
+    frame = spark.createDataFrame([(r[0], "1h", *r[1:]) for r in rows], "symbol string, interval string, a double, q double, c double, b double, g double")
+    found = {(r["symbol"], r["earlier"], r["later"]): r["correlation"] for r in selection.correlations(frame, ["a", "q", "c", "b", "g"]).collect()}
+    assert len(found) == 40
+    x = np.arange(8.0)
+    assert found["A", "a", "q"] == pytest.approx(np.corrcoef(x, 2 * x * x)[0, 1], abs=1e-12) and found["A", "a", "b"] == pytest.approx(1.0, abs=1e-12)
+    assert found["A", "a", "g"] == pytest.approx(np.corrcoef(x, np.where(x < 7, 5.0, 9.0))[0, 1], abs=1e-12)
+    assert found["A", "b", "g"] is None and all(v is None for k, v in found.items() if "c" in k[1:] and k[0] == "A")
+    assert all(v is None for k, v in found.items() if k[0] in "BC") and found["D", "a", "q"] is None and found["D", "q", "g"] == pytest.approx(1.0)
+
+
 def pairs(spark, rows):
     return spark.createDataFrame([("A", "1h", a, b, float(c)) for a, b, c in rows], "symbol string, interval string, earlier string, later string, correlation double")
 
