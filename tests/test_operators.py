@@ -224,6 +224,14 @@ def test_correlated_features_are_dropped(spark, names, high, expected):
     assert found["final_features"] == expected
 
 
+def test_features_that_do_not_vary_are_no_reason_to_drop_others(spark):
+    rows = [("A", "1h", float(i), i + 0.25, 0.0, float(i * i % 7)) for i in range(30)]
+    frame = spark.createDataFrame(rows, "symbol string, interval string, close double, high double, low double, volume double")
+    names = ["close", "high", "low", "volume"]
+    found = selection.uncorrelated_features(selection.correlations(frame, names), selected(spark, names)).first()
+    assert found["final_features"] == ["close", "low", "volume"]
+
+
 # --- balance -----------------------------------------------------------------------------------------
 
 
