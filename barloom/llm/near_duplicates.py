@@ -59,6 +59,8 @@ BLOCK = 1 << 18
 #: Counters that tell frequent k-mers from rare ones, 4 MB in a worker. A k-mer shares its counter with others; that
 #: affects the order of k-mers and so the work, but not what is found.
 COUNTERS = 1 << 20
+#: Counters that a task hands on in one row, so that its rows are as many for any texts.
+SECTION = 1 << 12
 _SEEDS = mix(np.arange(1, SKETCHES + 1, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
@@ -184,15 +186,29 @@ def kmer_counts(texts: DataFrame) -> np.ndarray:
             marks = [labelled(own) for own in map(runs.of, batch["text"]) if len(own)]
             if marks:
                 counts += np.bincount((np.concatenate(marks) % np.uint64(COUNTERS)).astype(np.int64), minlength=COUNTERS)
-        place = np.flatnonzero(counts)
-        yield {"place": place, "n": counts[place]}
+        yield _sections({i: counts[i : i + SECTION] for i in range(0, COUNTERS, SECTION)})
 
-    rows = map_batches(texts.select("text"), "place int, n long", work).groupBy("place").agg(F.sum("n").alias("n")).toArrow()
+    def added(batches: Iterator[dict[str, list]]) -> Iterator[dict[str, list]]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for start, counts in zip(batch["start"], batch["counts"], strict=True):
+                sums[start] = sums.get(start, 0) + np.frombuffer(counts, np.int64)
+        yield _sections(sums)
+
+    schema = "start int, counts binary"
+    rows = map_batches(map_batches(texts.select("text"), schema, work).repartition("start"), schema, added).collect()
     counts = np.zeros(COUNTERS, np.int64)
-    counts[rows.column("place").to_numpy()] = rows.column("n").to_numpy()
+    for row in rows:
+        counts[row["start"] : row["start"] + SECTION] = np.frombuffer(row["counts"], np.int64)
     return np.minimum(counts, np.iinfo(np.int32).max).astype(np.int32)
 
 
+def _sections(counts: dict[int, np.ndarray]) -> dict[str, list]:
+    """Rows of the sections, by their first counter, that are not all zero."""
+    some = {start: own for start, own in counts.items() if own.any()}
+    return {"start": list(some), "counts": [own.tobytes() for own in some.values()]}
+
+
 def meetings(texts: DataFrame, counts: Broadcast, least: float) -> DataFrame:
     """Of each text and each of its rare k-mers: bucket (the k-mer), node, size (k-mers of the text) and partner (the
     longest text that can be similar if this k-mer is the first they share)."""

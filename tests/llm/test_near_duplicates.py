@@ -191,6 +191,24 @@ def test_rare_kmers_are_shared_by_similar_texts():
     assert nd.rarest(one, np.zeros(4, np.int32), 0.8).tolist() == [7]
 
 
+def test_kmer_counts_have_as_many_rows_for_any_texts(spark, monkeypatch):
+    """Near copies, whose k-mers all tasks count; the rows handed on are bounded by the tasks, and the sums are exact."""
+    rng, made, real = random.Random(45), [], nd.map_batches
+    base = prose(rng, 150)
+    texts = [None, "", *(changed(base, rng, 20) for _ in range(400)), "a b a b a b a b a b a b a b a b"]
+
+    def counted(*args):
+        made.append(real(*args).count())
+        return real(*args)
+
+    monkeypatch.setattr(nd, "map_batches", counted)
+    found = nd.kmer_counts(spark.createDataFrame([(t,) for t in texts], "text string").repartition(4))
+    marks = np.concatenate([nd.labelled(r) for r in map(nd.Runs().of, texts) if len(r)])
+    assert (found == np.bincount((marks % np.uint64(nd.COUNTERS)).astype(int), minlength=nd.COUNTERS)).all()
+    assert len(np.unique(marks)) > 10_000 and made[0] <= 4 * 256 and sum(made[1:]) <= 256
+    assert not nd.kmer_counts(spark.createDataFrame([], "text string")).any()
+
+
 def links_and_rows(spark, workspace, monkeypatch, texts):
     """Classes of texts that all share one sketch, and the rows with texts that are dealt to find them."""
     dealt, real = [], nd.verified
