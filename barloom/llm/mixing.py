@@ -23,6 +23,7 @@ from barloom.llm.common import prepared, text_bytes
 
 SPLIT, TERMS = 16, 96
 MOST_BROADCAST, SALTS = 10_000, 64
+MOST_PARTS = 20_000
 ORDER_SPACE = 1 << 60
 
 
@@ -77,9 +78,13 @@ def hash_order(copy: Column, seed: int = 17, id_column: str = "doc_id") -> Colum
 
 
 def mixed(
-    documents: DataFrame, rates: DataFrame | None = None, seed: int = 17, source: str = "source", id_column: str = "doc_id", part_bytes: int = 128 << 20, **options
+    documents: DataFrame, rates: DataFrame | None = None, seed: int = 17, source: str = "source", id_column: str = "doc_id", part_bytes: int = 32 << 20, **options
 ) -> DataFrame:
-    """The documents' columns with copy (from 1), copies and mix_order; one row for each copy, in global hash order."""
+    """The documents' columns with copy (from 1), copies and mix_order; one row for each copy, in global hash order.
+
+    A task sorts about ``part_bytes`` of text in memory and writes them; a Parquet file of them is then read by row groups, so
+    large parts cost memory twice. Beyond ``MOST_PARTS`` parts, parts grow instead.
+    """
     spark = prepared(documents.sparkSession)
     rates = source_rates(documents, source=source, **options) if rates is None else rates
     facts = rates.agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("bytes") * F.col("rate")).alias("b")).first()
@@ -101,7 +106,8 @@ def mixed(
     counted = joined.withColumn("copies", copies).where((F.col("copies") > 0) & (F.col("rate") > 0))
     copied = counted.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
     order = hash_order(F.col("copy"), seed, id_column)
-    parts = max(1, int((facts["b"] or 0) // part_bytes) + 1, spark.sparkContext.defaultParallelism)
+    total = int(facts["b"] or 0)
+    parts = max(1, total // max(part_bytes, total // MOST_PARTS) + 1, spark.sparkContext.defaultParallelism)
     placed = copied.select(*own, "copy", "copies", order.alias("mix_order"))
     part = F.expr(f"int(mix_order div {-(-ORDER_SPACE // parts)})")
     return placed.repartitionById(parts, part).sortWithinPartitions("mix_order", id_column)

@@ -64,3 +64,19 @@ def test_odd_rows(spark):
 def test_rows_come_in_global_hash_order(spark):
     found = [r["mix_order"] for r in mixing.mixed(many(spark, 2000)).select("mix_order").collect()]
     assert found == sorted(found)
+
+
+def test_large_mixtures_are_dealt_over_parts_of_bounded_size(spark):
+    df = many(spark, 2000)
+    wanted = mixing.source_rates(df).withColumn("bytes", F.lit(1e9) / (3 * F.col("rate")))  # 3 sources, 1e9 bytes
+    found = mixing.mixed(df, wanted).withColumn("part", F.spark_partition_id()).select("part", "mix_order").collect()
+    assert len({r["part"] for r in found}) == 30  # 32 MB each
+    ends = [(min(x), max(x)) for x in ([r["mix_order"] for r in found if r["part"] == p] for p in range(30))]
+    assert all(a[1] < b[0] for a, b in zip(ends, ends[1:], strict=False))
+
+
+def test_the_largest_mixtures_have_larger_parts_and_not_more(spark):
+    df = many(spark, 300)
+    wanted = mixing.source_rates(df).withColumn("bytes", F.lit(1e13) / (3 * F.col("rate")))
+    plan = mixing.mixed(df, wanted)._jdf.queryExecution().optimizedPlan().toString()
+    assert str(mixing.MOST_PARTS + 1) in plan
